@@ -181,35 +181,35 @@ TRACKING = (
     "else concat('a|b: ', coalesce(reference, 'none'), ' : v', cast(seq % 5 as string)) end"
 )
 SAFE_NAME = "coalesce(name, 'unnamed')"
-REAL_ID = f"case when {NO_ID} then cast(null as string) else id end"
+# Item texts per shop, filled in by position: 1 id entry, 2 id, 3 name, 4 price, 5 pounds, 6 pence,
+# 7 stock word, 8 tracking text, 9 price in pence.
+KIND = (
+    "case when shop = 'ASOS' then concat('ASOS', cast(seq % 2 as string)) "
+    "when shop = 'ZARA' then case when seq % 2 = 0 then 'ZARA0' when seq % 11 = 0 then 'ZARA2' else 'ZARA1' end else shop end"
+)
+ID_ENTRIES = {
+    "ASOS": '"id":"%s",', "GAP": '"id":"%s",', "NEWLOOK": '"code":"%s",', "PRIMARK": '"BusinessId":"%s",',
+    "HM": '"articleCode":"%s",', "TKMAXX": '"code":"%s",', "ZARA": '"id":"%s",',
+    "JOHN_LEWIS": ' data-product-id="%s"', "MS": "%s",
+}
+_ASOS = '{%1$s"productCode":"c%2$s",TITLE"name":"n %3$s","price":{"current":{"value":%4$s}},"url":"p/%2$s"}'
 ITEMS = {
-    "ASOS": f"""to_json(named_struct('id', {REAL_ID}, 'productCode', concat('c', id),
-        'title', case when seq % 2 = 0 then {SAFE_NAME} end, 'name', concat('n ', {SAFE_NAME}),
-        'price', named_struct('current', named_struct('value', pence / 100)), 'url', concat('p/', id)))""",
-    "GAP": f"""to_json(named_struct('id', {REAL_ID}, 'uuid', concat('u-', id), 'name', {SAFE_NAME}, 'prices',
-        array(named_struct('value', concat('£', {PRICE_TEXT})), named_struct('value', '£9.00'),
-              named_struct('value', cast(null as string)))))""",
-    "NEWLOOK": f"""to_json(named_struct('code', {REAL_ID}, 'name', {SAFE_NAME},
-        'price', named_struct('value', pence / 100),
-        'stock', named_struct('stockLevelStatus', named_struct('code', if(inStock, 'inStock', 'outOfStock'))),
-        'url', concat('p/', id)))""",
-    "PRIMARK": f"""to_json(named_struct('BusinessId', {REAL_ID}, 'Sku', concat('k', id), 'Title', {SAFE_NAME},
-        'PriceInteger', cast({idiv('pence', 100)} as string), 'PriceDecimal', lpad(cast(pence % 100 as string), 2, '0')))""",
-    "HM": f"""to_json(named_struct('articleCode', {REAL_ID}, 'title', {SAFE_NAME}, 'price', concat('£', {PRICE_TEXT}),
-        'outOfStockText', if(inStock, '', 'Sold out'), 'favouritesTracking', {TRACKING},
-        'swatches', array(named_struct('articleLink', concat('p/', id)))))""",
-    "TKMAXX": f"""to_json(named_struct('code', {REAL_ID}, 'label', {SAFE_NAME}, 'price', named_struct('value', pence / 100),
-        'stockLevelStatus', if(inStock, 'inStock', 'outOfStock'), 'url', concat('p/', id)))""",
-    "ZARA": f"""to_json(named_struct('id', {REAL_ID}, 'detail', named_struct('reference', concat('r', id)),
-        'name', if(seq % 2 = 0, {SAFE_NAME}, null), 'price', if(seq % 2 = 0, pence, null),
-        'bundleProductSummaries', if(seq % 2 = 0 or seq % 11 = 0, null,
-            array(named_struct('name', concat('set ', {SAFE_NAME}), 'price', pence)))))""",
-    "JOHN_LEWIS": f"""concat('<section class="product-card"', if({NO_ID}, '', concat(' data-product-id="', id, '"')),
-        '><img src="i.png"><div><a class="x" href="p/', id, '"><h2> ', {SAFE_NAME}, ' &amp; co</h2>',
-        '<span class="product-card__price">£', {PRICE_TEXT}, '</span><span class="product-card__price was">£45.00</span>',
-        '</a></div></section>')""",
-    "MS": f"""concat('<a class="product" href="/shop/p/', if({NO_ID}, '', id), '?x=1"><h3 class="product__title"> ',
-        {SAFE_NAME}, ' </h3><p class="product__price"><b><i></i>£', {PRICE_TEXT}, '</b></p></a>')""",
+    "ASOS0": _ASOS.replace("TITLE", '"title":"%3$s",'),
+    "ASOS1": _ASOS.replace("TITLE", ""),
+    "GAP": '{%1$s"uuid":"u-%2$s","name":"%3$s","prices":[{"value":"£%4$s"},{"value":"£9.00"},{}]}',
+    "NEWLOOK": '{%1$s"name":"%3$s","price":{"value":%4$s},"stock":{"stockLevelStatus":{"code":"%7$s"}},"url":"p/%2$s"}',
+    "PRIMARK": '{%1$s"Sku":"k%2$s","Title":"%3$s","PriceInteger":"%5$s","PriceDecimal":"%6$s"}',
+    "HM": '{%1$s"title":"%3$s","price":"£%4$s","outOfStockText":"%7$s","favouritesTracking":"%8$s",'
+          '"swatches":[{"articleLink":"p/%2$s"}]}',
+    "TKMAXX": '{%1$s"label":"%3$s","price":{"value":%4$s},"stockLevelStatus":"%7$s","url":"p/%2$s"}',
+    "ZARA0": '{%1$s"detail":{"reference":"r%2$s"},"name":"%3$s","price":%9$s}',
+    "ZARA1": '{%1$s"detail":{"reference":"r%2$s"},"bundleProductSummaries":[{"name":"set %3$s","price":%9$s}]}',
+    "ZARA2": '{%1$s"detail":{"reference":"r%2$s"},"bundleProductSummaries":[]}',
+    "JOHN_LEWIS": '<section class="product-card"%1$s><img src="i.png"><div><a class="x" href="p/%2$s"><h2> %3$s &amp; co</h2>'
+                  '<span class="product-card__price">£%4$s</span><span class="product-card__price was">£45.00</span>'
+                  "</a></div></section>",
+    "MS": '<a class="product" href="/shop/p/%1$s?x=1"><h3 class="product__title"> %3$s </h3>'
+          '<p class="product__price"><b><i></i>£%4$s</b></p></a>',
 }
 BODIES = {
     "ASOS": ('{"itemCount":1,"products":[', "]}"),
@@ -227,28 +227,37 @@ BODIES = {
 }
 
 
+def item_text():
+    entry = F.when(F.expr(NO_ID), "").otherwise(F.expr(f"format_string({_map(ID_ENTRIES)}[shop], id)"))
+    stock = "if(inStock, if(shop = 'HM', '', 'inStock'), if(shop = 'HM', 'Sold out', 'outOfStock'))"
+    values = [
+        "_entry", "id", SAFE_NAME, PRICE_TEXT, f"cast({idiv('pence', 100)} as string)",
+        "lpad(cast(pence % 100 as string), 2, '0')", stock, TRACKING, "cast(pence as string)",
+    ]
+    return entry, F.expr(f"format_string({_map(ITEMS)}[{KIND}], {', '.join(values)})")
+
+
+def _map(values: dict[str, str]) -> str:
+    return "map(" + ", ".join(f"{quote(k)}, {quote(v)}" for k, v in values.items()) + ")"
+
+
 def captures(spark: SparkSession, sf: str) -> DataFrame:
     """Bodies of the listing view; some pages are unreadable and some items lack their id."""
-    item = "case shop " + " ".join(f"when '{s}' then {e}" for s, e in ITEMS.items()) + " end"
+    entry, item = item_text()
     pages = (
         listing(spark, sf)
-        .selectExpr("shop", "page", "seq", "date", f"{item} AS item")
+        .withColumn("_entry", entry)
+        .select("shop", "page", "seq", "date", item.alias("item"))
         .groupBy("shop", "page")
         .agg(F.array_sort(F.collect_list(F.struct("seq", "item"))).alias("items"), F.min("date").alias("captured_at"))
     )
-
-    def part(i: int):
-        return F.expr("case shop " + " ".join(f"when '{s}' then {quote(b[i])}" for s, b in BODIES.items()) + " end")
-
-    page_body = F.concat(part(0), F.expr("concat_ws(' ', items.item)"), part(1))
-    json_body = F.concat(part(0), F.expr("concat_ws(',', items.item)"), part(1))
     is_page = F.col("shop").isin("JOHN_LEWIS", "MS")
-    broken = F.when(is_page, "<html>").when(
-        F.col("shop") == "ZARA", "<script>window.zara.dataLayer = {oops};window.zara.viewPayload = window.zara.dataLayer</script>"
-    ).otherwise("oops")
-    out = pages.withColumn(
-        "body", F.when(F.expr(BAD_PAGE), broken).when(is_page, page_body).otherwise(json_body)
-    )
+    script = "<script>window.zara.dataLayer = {oops};window.zara.viewPayload = window.zara.dataLayer</script>"
+    broken = F.when(is_page, "<html>").when(F.col("shop") == "ZARA", script).otherwise("oops")
+    heads = F.expr(_map({s: b[0] for s, b in BODIES.items()}) + "[shop]")
+    tails = F.expr(_map({s: b[1] for s, b in BODIES.items()}) + "[shop]")
+    whole = F.concat(heads, F.when(is_page, F.concat_ws(" ", "items.item")).otherwise(F.concat_ws(",", "items.item")), tails)
+    out = pages.withColumn("body", F.when(F.expr(BAD_PAGE), broken).otherwise(whole))
     levels = {k: F.expr(v) for k, v in capture_columns(SPARK).items()}
     return out.withColumns(levels).select(
         "shop", F.col("c1").alias("taxo1"), F.col("c2").alias("taxo2"), F.col("c3").alias("taxo3"),

@@ -1,15 +1,14 @@
 """Stored JSON bodies to product rows.
 
-Each shop's body shape is a :class:`Payload`, plain data. All shops are flattened in one plan: a
-CASE over the shop column picks the paths, the body is parsed once to VARIANT, and one explode
-yields the items. Records that lack a required entry leave with a reason instead of failing the
-run. Missing and null differ: a JSON null is an entry, a missing key is not.
+Each shop's body shape is a :class:`Payload`, plain data. All shops are flattened in one plan:
+the shop column selects the paths, the body is parsed once to VARIANT, and one explode yields the
+items. Records that lack a required entry leave with a reason instead of failing the run. Missing
+and null differ: a JSON null is an entry, a missing key is not.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -19,169 +18,228 @@ from pyspark.sql import types as T
 
 from shelfwatch.functions.conditions import by_shop, member
 from shelfwatch.functions.levels import compact_levels, tracking_levels
-from shelfwatch.functions.text import cut_first, first_group, min_price_text
+from shelfwatch.functions.text import cut_first, min_price_text
 from shelfwatch.operators.dedup import keep_first
 from shelfwatch.operators.lookup import lookup_with_fallback
-from shelfwatch.operators.quality import first_reason
+from shelfwatch.operators.quality import first_reason, log_rows
 from shelfwatch.schema import INFORMATION, MEDIUM, MINOR
 from shelfwatch.sources.pages import DATA_LAYER
 
+# How a price is written: a number or number text; a text with one sign in front; a list of such
+# texts of which the smallest counts; two whole numbers.
+NUMBER, SIGNED, SMALLEST, PARTS = "number", "signed", "smallest", "parts"
+
 
 @dataclass(frozen=True)
 class Payload:
-    """Paths of one shop's body. ``entries`` must be present (null is fine), ``texts`` must also
-    not be null, ``page_entries`` must be present in the body itself."""
+    """Paths of one shop's body.
+
+    ``entries`` must be present (null is fine), ``texts`` must also not be null, ``page_entries``
+    must be present in the body itself. Where the entry ``switch`` is absent, ``name_else`` and
+    ``price_else`` are read in place of ``name`` and ``price``.
+    """
 
     items: str
     id: str
     name: str
     price: str
+    price_kind: str = NUMBER
+    price_pence: str | None = None
     reference: str | None = None
     url: str | None = None
-    url_prefix: str = ""
+    url_prefix: str | None = None
+    switch: str | None = None
+    name_else: str | None = None
+    price_else: str | None = None
+    stock: str | None = None
+    stock_is: str | None = None  # in stock if the text at ``stock`` is this
+    stock_not: str | None = None  # in stock unless it is this
     page_entries: Sequence[str] = ()
     entries: Sequence[str] = ()
     texts: Sequence[str] = ()
+    else_entries: Sequence[str] = ()  # needed where ``switch`` is absent
+    else_note: str | None = None  # reason if the first of them is missing
     items_optional: bool = False
     script: str | None = None  # the body is a page; the object is assigned in a script
     group: str | None = None  # a body without this entry is noted as having no elements
 
 
+NO_ELEMENTS = "no elements"
+NO_PRICE = "no price/name"
+
 # Body shapes and link prefixes.
 PAYLOADS = {
     "ASOS": Payload(
-        items="$.products", id="$.id", reference="$.productCode", name="$.title",
-        price="$.price.current.value", url="$.url", url_prefix="https://www.asos.com/",
-        page_entries=("$.itemCount",),
+        items="$.products", id="$.id", reference="$.productCode",
+        name="$.title", switch="$.title", name_else="$.name",
+        price="$.price.current.value", price_else="$.price.current.value",
+        url="$.url", url_prefix="https://www.asos.com/", page_entries=("$.itemCount",),
         entries=("$.id", "$.productCode", "$.price.current.value"), texts=("$.url",),
+        else_entries=("$.name",),
     ),
     "GAP": Payload(
-        items="$.productHits", id="$.id", reference="$.uuid", name="$.name", price="$.prices",
+        items="$.productHits", id="$.id", reference="$.uuid", name="$.name",
+        price="$.prices", price_kind=SMALLEST,
         entries=("$.id", "$.uuid", "$.name"), texts=("$.prices",),
     ),
     "NEWLOOK": Payload(
-        items="$.data.results", id="$.code", name="$.name", price="$.price.value", url="$.url",
-        url_prefix="https://www.newlook.com/", page_entries=("$.data.pagination.numberOfPages",),
+        items="$.data.results", id="$.code", name="$.name", price="$.price.value",
+        url="$.url", url_prefix="https://www.newlook.com/",
+        stock="$.stock.stockLevelStatus.code", stock_not="outOfStock",
+        page_entries=("$.data.pagination.numberOfPages",),
         entries=("$.code", "$.name", "$.price.value", "$.stock.stockLevelStatus.code"),
         texts=("$.url",),
     ),
     "PRIMARK": Payload(
         items="$.Products", id="$.BusinessId", reference="$.Sku", name="$.Title",
-        price="$.PriceInteger", entries=("$.BusinessId", "$.Sku", "$.Title"),
-        texts=("$.PriceInteger", "$.PriceDecimal"),
+        price="$.PriceInteger", price_kind=PARTS, price_pence="$.PriceDecimal", url_prefix="",
+        entries=("$.BusinessId", "$.Sku", "$.Title"), texts=("$.PriceInteger", "$.PriceDecimal"),
     ),
     "HM": Payload(
-        items="$.products", id="$.articleCode", name="$.title", price="$.price",
+        items="$.products", id="$.articleCode", name="$.title", price="$.price", price_kind=SIGNED,
         url="$.swatches[0].articleLink", url_prefix="https://www2.hm.com/",
+        stock="$.outOfStockText", stock_is="",
         entries=("$.articleCode", "$.title", "$.outOfStockText"),
         texts=("$.favouritesTracking", "$.price", "$.swatches[0].articleLink"),
     ),
     "TKMAXX": Payload(
-        items="$.results", id="$.code", name="$.label", price="$.price.value", url="$.url",
-        url_prefix="https://www.tkmaxx.com/uk/", page_entries=("$.pagination.numberOfPages",),
+        items="$.results", id="$.code", name="$.label", price="$.price.value",
+        url="$.url", url_prefix="https://www.tkmaxx.com/uk/",
+        stock="$.stockLevelStatus", stock_is="inStock",
+        page_entries=("$.pagination.numberOfPages",),
         entries=("$.code", "$.label", "$.price.value", "$.stockLevelStatus"), texts=("$.url",),
         items_optional=True,
     ),
     "ZARA": Payload(
         items="$.productGroups[0].products", id="$.id", reference="$.detail.reference",
-        name="$.name", price="$.price", entries=("$.id", "$.detail.reference"),
-        script=DATA_LAYER, group="$.productGroups",
+        name="$.name", price="$.price", switch="$.price",
+        name_else="$.bundleProductSummaries[0].name", price_else="$.bundleProductSummaries[0].price",
+        url_prefix="", entries=("$.id", "$.detail.reference"),
+        else_entries=(
+            "$.bundleProductSummaries[0]", "$.bundleProductSummaries[0].name",
+            "$.bundleProductSummaries[0].price",
+        ),
+        else_note=NO_PRICE, script=DATA_LAYER, group="$.productGroups",
     ),
 }
 HM_DENIED_LEVEL2 = ("BASICS_BASICS",)
 HM_DENIED_LEVEL3 = (" BASICS_VIEW_ALL", "BEST BASICS_VIEW_ALL", "BESTBASICS")
+HM_TRACKING = "$.favouritesTracking"
 ZARA_LINK = "$.marketingMetaInfo.mappingInfo[0].regions[0].link.id"
 
 
-def text_at(doc: Column, path: str) -> Column:
+def text_at(doc: Column, path: str | Column) -> Column:
     return F.try_variant_get(doc, path, "string")
 
 
-def has(doc: Column, path: str) -> Column:
+def has(doc: Column, path: str | Column) -> Column:
     """The entry exists, be it null or not."""
     return F.try_variant_get(doc, path, "variant").isNotNull()
 
 
-def has_value(doc: Column, path: str) -> Column:
-    node = F.try_variant_get(doc, path, "variant")
-    return node.isNotNull() & ~F.is_variant_null(node)
-
-
 def choose_field(doc: Column, path: str, other: str) -> Column:
     """Entry at ``path`` if it exists (even if null), else the entry at ``other``."""
     return F.when(has(doc, path), text_at(doc, path)).otherwise(text_at(doc, other))
 
 
-def stock_flag(doc: Column, shop: str) -> Column:
-    """In stock or not; shops whose lists hold available products only say true."""
-    if shop == "HM":
-        return F.coalesce(text_at(doc, "$.outOfStockText") == "", F.lit(False))
-    if shop == "TKMAXX":
-        return F.coalesce(text_at(doc, "$.stockLevelStatus") == "inStock", F.lit(False))
-    if shop == "NEWLOOK":
-        return ~text_at(doc, "$.stock.stockLevelStatus.code").eqNullSafe(F.lit("outOfStock"))
-    return F.lit(True)
-
-
-def price_of(doc: Column, shop: str, spec: Payload) -> Column:
-    if shop == "GAP":
-        nodes = F.try_variant_get(doc, spec.price, "array<variant>")
-        return min_price_text(F.transform(nodes, lambda p: F.try_variant_get(p, "$.value", "string"))).try_cast("double")
-    if shop == "HM":
-        return cut_first(text_at(doc, spec.price)).try_cast("double")
-    if shop == "PRIMARK":
-        pounds = text_at(doc, "$.PriceInteger").try_cast("int")
-        return (pounds * 100 + text_at(doc, "$.PriceDecimal").try_cast("int")).cast("double")
-    if shop == "ZARA":
-        bundle = text_at(doc, "$.bundleProductSummaries[0].price")
-        return F.when(has(doc, "$.price"), text_at(doc, "$.price")).otherwise(bundle).try_cast("double")
-    return text_at(doc, spec.price).try_cast("double")
-
-
-def name_of(doc: Column, shop: str, spec: Payload) -> Column:
-    if shop == "ASOS":
-        return choose_field(doc, "$.title", "$.name")
-    if shop == "ZARA":
-        return F.when(has(doc, "$.price"), text_at(doc, "$.name")).otherwise(
-            text_at(doc, "$.bundleProductSummaries[0].name")
-        )
-    return text_at(doc, spec.name)
-
-
-def _reject(doc: Column, shop: str, spec: Payload) -> Column:
-    checks = [(~has(doc, p), f"missing {p}") for p in spec.entries]
-    checks += [(~has_value(doc, p), f"missing {p}") for p in spec.texts]
-    if shop == "ASOS":
-        checks.append((~has(doc, "$.title") & ~has(doc, "$.name"), "missing $.name"))
-    if shop == "PRIMARK":
-        checks.append((price_of(doc, shop, spec).isNull(), "price is not a number"))
-    if shop == "ZARA":
-        priced = has(doc, "$.price")
-        summary = "$.bundleProductSummaries[0]"
-        checks.insert(0, (~priced & ~has(doc, summary), NO_PRICE))
-        checks.insert(1, (priced & ~has(doc, "$.name"), "missing $.name"))
-        for entry in ("name", "price"):
-            checks.append((~priced & ~has(doc, f"{summary}.{entry}"), f"missing {summary}.{entry}"))
-    return first_reason(checks)
+class Record:
+    """Columns of one opened item: every path any shop uses, read once, under its own name.
 
+    All paths are constants, so none is parsed per row, and later steps refer to plain columns.
+    """
 
-def _array(doc: Column, path: str) -> Column:
-    return F.try_variant_get(doc, path, "array<variant>")
+    def __init__(self, payloads: dict[str, Payload]):
+        self.payloads = payloads
+        self.users: dict[str, list[str]] = {HM_TRACKING: ["HM"], ZARA_LINK: ["ZARA"]}
+        for shop, p in payloads.items():
+            single = (p.id, p.name, p.price, p.price_pence, p.reference, p.url, p.switch, p.name_else, p.price_else, p.stock)
+            used = dict.fromkeys([*(x for x in single if x), *p.entries, *p.texts, *p.else_entries])
+            for path in used:
+                shops = self.users.setdefault(path, [])
+                shops.extend({shop} - set(shops))
+        self.slots = {path: f"_e{i}" for i, path in enumerate(self.users)}
+
+    def open(self, items: DataFrame, item: str) -> DataFrame:
+        read = {
+            slot: F.when(F.col("shop").isin(self.users[path]), F.try_variant_get(item, path, "variant"))
+            for path, slot in self.slots.items()
+        }
+        return items.withColumns(read).drop(item)
+
+    def entry(self, path: str) -> Column:
+        return F.col(self.slots[path])
+
+    def has(self, path: str) -> Column:
+        """The entry exists, be it null or not."""
+        return self.entry(path).isNotNull()
+
+    def has_value(self, path: str) -> Column:
+        return self.has(path) & ~F.is_variant_null(self.entry(path))
+
+    def text(self, path: str) -> Column:
+        return self.entry(path).try_cast("string")
+
+    def pick(self, trait: Callable[[Payload], str | None], make: Callable[[str], Column]) -> Column:
+        """``make`` of the path each shop has for a trait; shops with the same path share a branch."""
+        groups: dict[str, list[str]] = {}
+        for shop, p in self.payloads.items():
+            if trait(p) is not None:
+                groups.setdefault(trait(p), []).append(shop)
+        out = None
+        for path, shops in groups.items():
+            hit = F.col("shop").isin(shops)
+            out = F.when(hit, make(path)) if out is None else out.when(hit, make(path))
+        return F.lit(None) if out is None else out
+
+    def price(self, plain: Column) -> Column:
+        """Price by the way each shop writes it; ``plain`` is the text at the price path."""
+
+        def shops(kind: str) -> Column:
+            return F.col("shop").isin([s for s, p in self.payloads.items() if p.price_kind == kind])
+
+        def smallest(path: str) -> Column:
+            nodes = self.entry(path).try_cast("array<variant>")
+            return min_price_text(F.transform(nodes, lambda n: F.try_variant_get(n, "$.value", "string")))
+
+        listed = self.pick(lambda p: p.price if p.price_kind == SMALLEST else None, smallest)
+        pence = self.pick(lambda p: p.price_pence, self.text).try_cast("int")
+        return (
+            F.when(shops(SMALLEST), listed.try_cast("double"))
+            .when(shops(PARTS), (plain.try_cast("int") * 100 + pence).cast("double"))
+            .when(shops(SIGNED), cut_first(plain).try_cast("double"))
+            .otherwise(plain.try_cast("double"))
+        )
 
+    def in_stock(self) -> Column:
+        """In stock or not; shops whose lists hold available products only say true."""
+        out = F
+        for shop, p in self.payloads.items():
+            if p.stock is None:
+                continue
+            text = self.text(p.stock)
+            flag = ~text.eqNullSafe(F.lit(p.stock_not)) if p.stock_is is None else F.coalesce(text == p.stock_is, F.lit(False))
+            out = out.when(F.col("shop") == shop, flag)
+        return F.lit(True) if out is F else out.otherwise(True)
+
+    def reason(self, switched: Column, price: Column) -> Column:
+        """Why a record is refused, null if it is fine. ``switched``: the other entries are read."""
+        branches = {}
+        for shop, p in self.payloads.items():
+            checks = []
+            if p.else_note:
+                checks.append((switched & ~self.has(p.else_entries[0]), p.else_note))
+                checks.append((~switched & ~self.has(p.name), f"missing {p.name}"))
+            checks += [(~self.has(x), f"missing {x}") for x in p.entries]
+            checks += [(~self.has_value(x), f"missing {x}") for x in p.texts]
+            checks += [(switched & ~self.has(x), f"missing {x}") for x in p.else_entries]
+            if p.price_kind == PARTS:
+                checks.append((price.isNull(), "price is not a number"))
+            branches[shop] = first_reason(checks)
+        return by_shop(branches)
 
-NO_ELEMENTS = "no elements"
-NO_PRICE = "no price/name"
 
-
-def _page_reason(doc: Column, found: Column, spec: Payload) -> Column:
-    checks = [(found.isNotNull() & doc.isNull() if spec.script else doc.isNull(), "not JSON")]
-    if spec.group:
-        checks.append((doc.isNotNull() & ~has(doc, spec.group), NO_ELEMENTS))
-    checks += [(~has(doc, p), f"missing {p}") for p in spec.page_entries]
-    if not spec.items_optional:
-        no_items = _array(doc, spec.items).isNull()
-        checks.append((doc.isNotNull() & no_items if spec.script else no_items, f"missing {spec.items}"))
-    return first_reason(checks)
+def _array(doc: Column, path: str) -> Column:
+    return F.try_variant_get(doc, path, "array<variant>")
 
 
 def parse_bodies(captures: DataFrame, payloads: dict = PAYLOADS, body: str = "body") -> DataFrame:
@@ -189,50 +247,65 @@ def parse_bodies(captures: DataFrame, payloads: dict = PAYLOADS, body: str = "bo
 
     A page without the script that should carry the object has neither.
     """
-    doc, found = F.col("_doc"), F.col("_found")
-    scripts = {s: first_group(F.col(body), p.script) for s, p in payloads.items() if p.script}
+    doc = F.col("_doc")
+    scripts = {s: F.regexp_extract(body, p.script, 1) for s, p in payloads.items() if p.script}
+    scripted = F.col("shop").isin(list(scripts))
+    bad = {}
+    for shop, p in payloads.items():
+        checks = [(doc.isNull(), "not JSON")]
+        if p.group:
+            checks.append((~has(doc, p.group), NO_ELEMENTS))
+        checks += [(~has(doc, x), f"missing {x}") for x in p.page_entries]
+        if not p.items_optional:
+            checks.append((F.col("_items").isNull(), f"missing {p.items}"))
+        bad[shop] = first_reason(checks)
     return (
         captures.where(F.col("shop").isin(list(payloads)))
-        .withColumn("_found", by_shop(scripts, F.col(body)) if scripts else F.col(body))
+        .withColumn("_found", F.coalesce(by_shop(scripts, F.col(body)), F.lit("")))
+        .withColumn("_found", F.when(~scripted | (F.col("_found") != ""), F.col("_found")))
         .withColumn("_doc", F.try_parse_json("_found"))
-        .withColumn("page_reason", by_shop({s: _page_reason(doc, found, p) for s, p in payloads.items()}))
         .withColumn("_items", by_shop({s: _array(doc, p.items) for s, p in payloads.items()}))
+        .withColumn("page_reason", F.when(F.col("_found").isNotNull(), by_shop(bad)))
         .drop(body, "_found", "_doc")
     )
 
 
 def flatten(captures: DataFrame, payloads: dict = PAYLOADS, body: str = "body") -> DataFrame:
-    """One row per item with ``reason`` (null if the record is good), and one row with a
-    ``page_reason`` per unreadable page."""
+    """One row per item with ``reason`` (null if the record is good), and one row with ``page_lost``
+    per unreadable page."""
     pages = parse_bodies(captures, payloads, body)
     kept = [c for c in pages.columns if c != "_items"]
     items = pages.select(
         *kept, F.posexplode_outer(F.when(F.col("page_reason").isNull(), F.col("_items"))).alias("pos", "_item")
     ).where(F.col("_item").isNotNull() | F.col("page_reason").isNotNull())
-    doc = F.col("_item")
-
-    def each(make, null="string"):
-        return by_shop(
-            {s: make(s, spec) for s, spec in payloads.items()}, F.lit(None).cast(null)
-        )
-
-    return items.withColumns(
-        {
-            "id": each(lambda s, p: text_at(doc, p.id)),
-            "reference": each(lambda s, p: text_at(doc, p.reference) if p.reference else F.lit(None).cast("string")),
-            "name": each(lambda s, p: name_of(doc, s, p)),
-            "price": each(lambda s, p: price_of(doc, s, p), "double"),
-            "inStock": each(lambda s, p: stock_flag(doc, s), "boolean"),
-            "product_url": each(
-                lambda s, p: F.concat(F.lit(p.url_prefix), text_at(doc, p.url))
-                if p.url
-                else (F.lit(None).cast("string") if s == "GAP" else F.lit(""))
-            ),
-            "tracking": F.when(F.col("shop") == "HM", text_at(doc, "$.favouritesTracking")),
-            "link_id": F.when(F.col("shop") == "ZARA", text_at(doc, ZARA_LINK)),
-            "reason": F.when(F.col("page_reason").isNull(), each(lambda s, p: _reject(doc, s, p))),
-        }
-    ).drop("_item")
+    rec = Record(payloads)
+    opened = rec.open(items, "_item").withColumn(
+        "_else", F.coalesce(~rec.pick(lambda p: p.switch, rec.has), F.lit(False))
+    )
+    switched = F.col("_else")
+    plain = F.when(switched, rec.pick(lambda p: p.price_else, rec.text)).otherwise(rec.pick(lambda p: p.price, rec.text))
+    prefix = rec.pick(lambda p: p.url_prefix, F.lit)
+    linked = rec.pick(lambda p: p.url, rec.text)
+    has_url = F.col("shop").isin([s for s, p in payloads.items() if p.url])
+    fields = {
+        "id": rec.pick(lambda p: p.id, rec.text),
+        "reference": rec.pick(lambda p: p.reference, rec.text),
+        "name": F.when(switched, rec.pick(lambda p: p.name_else, rec.text)).otherwise(
+            rec.pick(lambda p: p.name, rec.text)
+        ),
+        "price": F.col("_price"),
+        "inStock": rec.in_stock(),
+        "product_url": F.when(has_url, F.concat(prefix, linked)).otherwise(prefix),
+        "tracking": F.when(F.col("shop") == "HM", rec.text(HM_TRACKING)),
+        "link_id": F.when(F.col("shop") == "ZARA", rec.text(ZARA_LINK)),
+        "reason": F.coalesce("page_reason", rec.reason(switched, F.col("_price"))),
+        "page_lost": F.col("page_reason").isNotNull(),
+    }
+    row = F.struct(*[c.alias(n) for n, c in fields.items()])
+    kept.remove("page_reason")
+    # One generated row per item: a filter on a generated column stays above this step. Pushed
+    # below, it would repeat the parsing and reading of the body once per use of an entry.
+    return opened.withColumn("_price", rec.price(plain)).select(*kept, "pos", F.inline(F.array(row)))
 
 
 def good_rows(flat: DataFrame) -> DataFrame:
@@ -241,23 +314,17 @@ def good_rows(flat: DataFrame) -> DataFrame:
     denied = (F.col("shop") == "HM") & (
         member(tracked[0], HM_DENIED_LEVEL2) | member(tracked[1], HM_DENIED_LEVEL3)
     )
-    return flat.where(F.col("reason").isNull() & F.col("page_reason").isNull() & ~denied)
+    return flat.where(F.col("reason").isNull() & ~denied)
 
 
 def rejects(flat: DataFrame, url: str = "url") -> DataFrame:
     """(level, shop, message, url) of bad records and unreadable pages."""
     level = (
-        F.when((F.col("page_reason") == NO_ELEMENTS) | (F.col("reason") == NO_PRICE), INFORMATION)
-        .when(F.col("page_reason").isNotNull(), MEDIUM)
+        F.when(F.col("reason").isin(NO_ELEMENTS, NO_PRICE), INFORMATION)
+        .when(F.col("page_lost"), MEDIUM)
         .otherwise(MINOR)
     )
-    return flat.where(F.col("reason").isNotNull() | F.col("page_reason").isNotNull()).select(
-        F.current_timestamp().alias("ts"),
-        level.alias("level"),
-        "shop",
-        F.coalesce("page_reason", "reason").alias("message"),
-        F.col(url).alias("url"),
-    )
+    return log_rows(flat.where(F.col("reason").isNotNull()), level, F.col("reason"), url)
 
 
 def product_levels(levels: Sequence[str] = ("taxo1", "taxo2", "taxo3", "taxo4"), leaf: str = "leaf") -> list[Column]:
@@ -304,37 +371,33 @@ def with_sub_category(rows: DataFrame, lookup: DataFrame, shop: str = "ZARA") ->
     return rows.where(~F.col("shop").eqNullSafe(F.lit(shop))).unionByName(found)
 
 
-def _walk(key: str, node, out: list) -> None:
-    for k, v in node.items():
-        for below in v if isinstance(v, list) else [v]:
-            if isinstance(below, dict):
-                _walk(key, below, out)
-        if k == key:
-            out.append(json.dumps(v, ensure_ascii=False, separators=(",", ":")))
-
-
 def find_key(body: Column, key: str) -> Column:
     """Every value under ``key`` at any depth, as JSON texts, nested matches first.
 
     Recursion over an object of unknown depth is the one thing built-in functions cannot express
     in one pass; an Arrow-batched function walks each body once. Bodies that are not a JSON object
-    give null.
+    give null. The function is self-contained, so workers need nothing but pandas.
     """
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def walk(bodies: pd.Series) -> pd.Series:
-        found = []
-        for text in bodies:
+        import json
+
+        def hits(node: dict):
+            for name, value in node.items():
+                for below in value if isinstance(value, list) else [value]:
+                    if isinstance(below, dict):
+                        yield from hits(below)
+                if name == key:
+                    yield json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+        def found(text: str | None) -> list | None:
             try:
-                doc = json.loads(text) if text is not None else None
+                doc = json.loads(text or "")
             except ValueError:
-                doc = None
-            if isinstance(doc, dict):
-                hits: list = []
-                _walk(key, doc, hits)
-                found.append(hits)
-            else:
-                found.append(None)
-        return pd.Series(found, dtype=object)
+                return None
+            return list(hits(doc)) if isinstance(doc, dict) else None
+
+        return bodies.map(found, na_action="ignore")
 
     return walk(body)

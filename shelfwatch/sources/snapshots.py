@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwatch.functions.conditions import by_shop
 from shelfwatch.schema import SHOPS
 
 # fixed values: columns of a snapshot file, and texts a CSV read takes for a missing value
@@ -29,16 +28,20 @@ MISSING = (
     "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 )
 OLD_URL = "url_old"  # older files carry the link as ``url``
+FILE_NAME = r"([^/]*\.csv)(?:/[^/]*)?\z"  # the file, or the folder that stands for it
 ORIGIN = ("src_file", "src_block", "src_row")
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First line of each file; a small read per file, inside the task."""
-    from pyarrow import fs
+def with_header(files: DataFrame) -> DataFrame:
+    """First line of each file: one small read per file, inside the task.
 
-    for batch in batches:
-        heads = []
-        for path in batch["path"]:
+    The function is self-contained, so workers need nothing but Arrow.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        def head(path: str) -> str:
             store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
             line = b""
             with store.open_input_stream(inner) as f:
@@ -47,8 +50,12 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if not more:
                         break
                     line += more
-            heads.append(line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-        yield pd.DataFrame({"path": batch["path"], "header": heads})
+            return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+
+        for batch in batches:
+            yield batch.assign(header=[head(p) for p in batch["path"]])
+
+    return files.select("path", "src_shop").mapInPandas(read, "path string, src_shop string, header string")
 
 
 def snapshot_files(spark: SparkSession, root: str, shops: Sequence[str] = SHOPS) -> DataFrame:
@@ -62,16 +69,12 @@ def snapshot_files(spark: SparkSession, root: str, shops: Sequence[str] = SHOPS)
         .load(f"{root.rstrip('/')}/*.csv")
         .select("path")
     )
-    inner = F.replace(F.col("path"), F.lit("%20"), F.lit(" "))
-    name = F.regexp_extract(inner, r"([^/]*\.csv)(?:/[^/]*)?\z", 1)
+    name = F.regexp_extract("path", FILE_NAME, 1)
     shop = by_shop_name(name, shops)
     wanted = listed.withColumn("src_shop", shop).where(
         F.col("src_shop").isNotNull() & ~F.contains(name, F.lit("before_clean"))
     )
-    return wanted.mapInPandas(
-        lambda it: ((b.merge(h, on="path")) for b in it for h in _first_lines(iter([b]))),
-        "path string, src_shop string, header string",
-    )
+    return with_header(wanted)
 
 
 def by_shop_name(name: Column, shops: Sequence[str]) -> Column:
@@ -94,7 +97,7 @@ def _read_group(spark: SparkSession, header: str, paths: list[str], multi_line:
     tidy = [F.when(~F.col(c).isin(list(MISSING)), F.col(c)).alias(c) for c in kept]
     return df.select(
         *tidy,
-        F.regexp_extract("_metadata.file_path", r"([^/]*\.csv)(?:/[^/]*)?\z", 1).alias("src_file"),
+        F.regexp_extract("_metadata.file_path", FILE_NAME, 1).alias("src_file"),
         F.struct("_metadata.file_path", "_metadata.file_block_start").alias("src_block"),
         F.monotonically_increasing_id().alias("src_row"),
     )

@@ -57,7 +57,7 @@ def write_snapshot_csv(df: DataFrame, root: str, before_clean: bool = False) ->
         .drop("src_shop")
         .hint("rebalance", "snapshot_file")
         .write.mode("append")
-        .options(header=True, quote='"', escape='"', emptyValue="", timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .options(header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
         .partitionBy("snapshot_file")
         .csv(root)
     )
