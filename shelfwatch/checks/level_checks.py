@@ -179,7 +179,7 @@ def stock_flag(spark, sf):
     )
     record = Record(stocked)
     rows = listing(spark, sf).selectExpr("seq", "shop", f"parse_json({body}) AS doc")
-    return record.open(rows, "doc").select("seq", "shop", record.in_stock().alias("in_stock"))
+    return record.open(rows, "doc").select("seq", "shop", F.expr(record.in_stock()).alias("in_stock"))
 
 
 @query(

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from shelfwatch.functions.conditions import by_shop, member
 from shelfwatch.functions.levels import compact_levels, tracking_levels
-from shelfwatch.functions.text import cut_first, min_price_text
 from shelfwatch.operators.dedup import keep_first
 from shelfwatch.operators.lookup import lookup_with_fallback
 from shelfwatch.operators.quality import first_reason, log_rows
@@ -142,10 +141,25 @@ def choose_field(doc: Column, path: str, other: str) -> Column:
     return F.when(has(doc, path), text_at(doc, path)).otherwise(text_at(doc, other))
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _case(branches: list[tuple[str, str]], otherwise: str = "NULL") -> str:
+    if not branches:
+        return otherwise
+    return "CASE " + " ".join(f"WHEN {test} THEN {value}" for test, value in branches) + f" ELSE {otherwise} END"
+
+
+def _shops(names: Sequence[str]) -> str:
+    return f"shop IN ({', '.join(map(_text, names))})" if names else "false"
+
+
 class Record:
-    """Columns of one opened item: every path any shop uses, read once, under its own name.
+    """SQL expressions over one opened item: every path a shop uses, read once, as a column.
 
-    All paths are constants, so none is parsed per row, and later steps refer to plain columns.
+    All paths are constants, so none is parsed per row; a path is read only for the shops that use
+    it, and later expressions refer to plain columns.
     """
 
     def __init__(self, payloads: dict[str, Payload]):
@@ -160,82 +174,75 @@ class Record:
         self.slots = {path: f"_e{i}" for i, path in enumerate(self.users)}
 
     def open(self, items: DataFrame, item: str) -> DataFrame:
-        read = {
-            slot: F.when(F.col("shop").isin(self.users[path]), F.try_variant_get(item, path, "variant"))
+        read = [
+            f"IF({_shops(self.users[path])}, try_variant_get({item}, '{path}', 'variant'), NULL) AS {slot}"
             for path, slot in self.slots.items()
-        }
-        return items.withColumns(read).drop(item)
+        ]
+        return items.selectExpr(*[c for c in items.columns if c != item], *read)
 
-    def entry(self, path: str) -> Column:
-        return F.col(self.slots[path])
-
-    def has(self, path: str) -> Column:
+    def has(self, path: str) -> str:
         """The entry exists, be it null or not."""
-        return self.entry(path).isNotNull()
+        return f"{self.slots[path]} IS NOT NULL"
 
-    def has_value(self, path: str) -> Column:
-        return self.has(path) & ~F.is_variant_null(self.entry(path))
+    def lacks_value(self, path: str) -> str:
+        return f"({self.slots[path]} IS NULL OR is_variant_null({self.slots[path]}))"
 
-    def text(self, path: str) -> Column:
-        return self.entry(path).try_cast("string")
+    def text(self, path: str) -> str:
+        return f"try_cast({self.slots[path]} AS STRING)"
 
-    def pick(self, trait: Callable[[Payload], str | None], make: Callable[[str], Column]) -> Column:
+    def pick(self, trait: Callable[[Payload], str | None], make: Callable[[str], str]) -> str:
         """``make`` of the path each shop has for a trait; shops with the same path share a branch."""
         groups: dict[str, list[str]] = {}
         for shop, p in self.payloads.items():
             if trait(p) is not None:
                 groups.setdefault(trait(p), []).append(shop)
-        out = None
-        for path, shops in groups.items():
-            hit = F.col("shop").isin(shops)
-            out = F.when(hit, make(path)) if out is None else out.when(hit, make(path))
-        return F.lit(None) if out is None else out
+        return _case([(_shops(shops), make(path)) for path, shops in groups.items()])
 
-    def price(self, plain: Column) -> Column:
+    def price(self, plain: str) -> str:
         """Price by the way each shop writes it; ``plain`` is the text at the price path."""
-
-        def shops(kind: str) -> Column:
-            return F.col("shop").isin([s for s, p in self.payloads.items() if p.price_kind == kind])
-
-        def smallest(path: str) -> Column:
-            nodes = self.entry(path).try_cast("array<variant>")
-            return min_price_text(F.transform(nodes, lambda n: F.try_variant_get(n, "$.value", "string")))
-
-        listed = self.pick(lambda p: p.price if p.price_kind == SMALLEST else None, smallest)
-        pence = self.pick(lambda p: p.price_pence, self.text).try_cast("int")
-        return (
-            F.when(shops(SMALLEST), listed.try_cast("double"))
-            .when(shops(PARTS), (plain.try_cast("int") * 100 + pence).cast("double"))
-            .when(shops(SIGNED), cut_first(plain).try_cast("double"))
-            .otherwise(plain.try_cast("double"))
+        pence = self.pick(lambda p: p.price_pence, self.text)
+        listed = self.pick(
+            lambda p: p.price if p.price_kind == SMALLEST else None,
+            lambda path: f"transform(try_cast({self.slots[path]} AS ARRAY<VARIANT>), n -> try_variant_get(n, '$.value', 'string'))",
         )
-
-    def in_stock(self) -> Column:
+        kinds = {
+            SMALLEST: f"array_min(transform(filter({listed}, t -> t IS NOT NULL), t -> substring(t, 2)))",
+            PARTS: f"try_cast({plain} AS INT) * 100 + try_cast({pence} AS INT)",
+            SIGNED: f"substring({plain}, 2)",
+        }
+        branches = []
+        for kind, value in kinds.items():
+            shops = [s for s, p in self.payloads.items() if p.price_kind == kind]
+            if shops:
+                branches.append((_shops(shops), f"try_cast({value} AS DOUBLE)"))
+        return _case(branches, f"try_cast({plain} AS DOUBLE)")
+
+    def in_stock(self) -> str:
         """In stock or not; shops whose lists hold available products only say true."""
-        out = F
+        branches = []
         for shop, p in self.payloads.items():
-            if p.stock is None:
-                continue
-            text = self.text(p.stock)
-            flag = ~text.eqNullSafe(F.lit(p.stock_not)) if p.stock_is is None else F.coalesce(text == p.stock_is, F.lit(False))
-            out = out.when(F.col("shop") == shop, flag)
-        return F.lit(True) if out is F else out.otherwise(True)
-
-    def reason(self, switched: Column, price: Column) -> Column:
+            if p.stock_is is not None:
+                flag = f"coalesce({self.text(p.stock)} = {_text(p.stock_is)}, false)"
+                branches.append((_shops([shop]), flag))
+            elif p.stock_not is not None:
+                branches.append((_shops([shop]), f"NOT ({self.text(p.stock)} <=> {_text(p.stock_not)})"))
+        return _case(branches, "true")
+
+    def reason(self, switched: str, price: str) -> str:
         """Why a record is refused, null if it is fine. ``switched``: the other entries are read."""
-        branches = {}
+        branches = []
         for shop, p in self.payloads.items():
             checks = []
             if p.else_note:
-                checks.append((switched & ~self.has(p.else_entries[0]), p.else_note))
-                checks.append((~switched & ~self.has(p.name), f"missing {p.name}"))
-            checks += [(~self.has(x), f"missing {x}") for x in p.entries]
-            checks += [(~self.has_value(x), f"missing {x}") for x in p.texts]
-            checks += [(switched & ~self.has(x), f"missing {x}") for x in p.else_entries]
+                checks.append((f"{switched} AND NOT {self.has(p.else_entries[0])}", p.else_note))
+                checks.append((f"NOT {switched} AND NOT {self.has(p.name)}", f"missing {p.name}"))
+            checks += [(f"NOT {self.has(x)}", f"missing {x}") for x in p.entries]
+            checks += [(self.lacks_value(x), f"missing {x}") for x in p.texts]
+            checks += [(f"{switched} AND NOT {self.has(x)}", f"missing {x}") for x in p.else_entries]
             if p.price_kind == PARTS:
-                checks.append((price.isNull(), "price is not a number"))
-            branches[shop] = first_reason(checks)
-        return by_shop(branches)
+                checks.append((f"{price} IS NULL", "price is not a number"))
+            branches.append((_shops([shop]), _case([(test, _text(note)) for test, note in checks])))
+        return _case(branches)
 
 
 def _array(doc: Column, path: str) -> Column:
@@ -247,25 +254,23 @@ def parse_bodies(captures: DataFrame, payloads: dict = PAYLOADS, body: str = "bo
 
     A page without the script that should carry the object has neither.
     """
-    doc = F.col("_doc")
     scripts = {s: F.regexp_extract(body, p.script, 1) for s, p in payloads.items() if p.script}
-    scripted = F.col("shop").isin(list(scripts))
-    bad = {}
+    bad, items = [], []
     for shop, p in payloads.items():
-        checks = [(doc.isNull(), "not JSON")]
-        if p.group:
-            checks.append((~has(doc, p.group), NO_ELEMENTS))
-        checks += [(~has(doc, x), f"missing {x}") for x in p.page_entries]
-        if not p.items_optional:
-            checks.append((F.col("_items").isNull(), f"missing {p.items}"))
-        bad[shop] = first_reason(checks)
+        lacks = lambda path: f"try_variant_get(_doc, '{path}', 'variant') IS NULL"
+        checks = [("_doc IS NULL", "not JSON")]
+        checks += [(lacks(p.group), NO_ELEMENTS)] if p.group else []
+        checks += [(lacks(x), f"missing {x}") for x in p.page_entries]
+        checks += [] if p.items_optional else [("_items IS NULL", f"missing {p.items}")]
+        bad.append((_shops([shop]), _case([(test, _text(note)) for test, note in checks])))
+        items.append((_shops([shop]), f"try_variant_get(_doc, '{p.items}', 'array<variant>')"))
+    no_script = f"({_shops(list(scripts))} AND _found = '')"
     return (
-        captures.where(F.col("shop").isin(list(payloads)))
+        captures.where(_shops(list(payloads)))
         .withColumn("_found", F.coalesce(by_shop(scripts, F.col(body)), F.lit("")))
-        .withColumn("_found", F.when(~scripted | (F.col("_found") != ""), F.col("_found")))
         .withColumn("_doc", F.try_parse_json("_found"))
-        .withColumn("_items", by_shop({s: _array(doc, p.items) for s, p in payloads.items()}))
-        .withColumn("page_reason", F.when(F.col("_found").isNotNull(), by_shop(bad)))
+        .withColumn("_items", F.expr(_case(items)))
+        .withColumn("page_reason", F.expr(_case([(f"NOT {no_script}", _case(bad))])))
         .drop(body, "_found", "_doc")
     )
 
@@ -274,38 +279,36 @@ def flatten(captures: DataFrame, payloads: dict = PAYLOADS, body: str = "body")
     """One row per item with ``reason`` (null if the record is good), and one row with ``page_lost``
     per unreadable page."""
     pages = parse_bodies(captures, payloads, body)
-    kept = [c for c in pages.columns if c != "_items"]
-    items = pages.select(
-        *kept, F.posexplode_outer(F.when(F.col("page_reason").isNull(), F.col("_items"))).alias("pos", "_item")
-    ).where(F.col("_item").isNotNull() | F.col("page_reason").isNotNull())
+    kept = [c for c in pages.columns if c not in ("_items", "page_reason")]
+    items = pages.selectExpr(
+        *kept, "page_reason", "posexplode_outer(IF(page_reason IS NULL, _items, NULL)) AS (pos, _item)"
+    ).where("_item IS NOT NULL OR page_reason IS NOT NULL")
     rec = Record(payloads)
-    opened = rec.open(items, "_item").withColumn(
-        "_else", F.coalesce(~rec.pick(lambda p: p.switch, rec.has), F.lit(False))
-    )
-    switched = F.col("_else")
-    plain = F.when(switched, rec.pick(lambda p: p.price_else, rec.text)).otherwise(rec.pick(lambda p: p.price, rec.text))
-    prefix = rec.pick(lambda p: p.url_prefix, F.lit)
-    linked = rec.pick(lambda p: p.url, rec.text)
-    has_url = F.col("shop").isin([s for s, p in payloads.items() if p.url])
+    switch = rec.pick(lambda p: p.switch, lambda path: f"NOT {rec.has(path)}")
+    opened = rec.open(items, "_item").selectExpr("*", f"coalesce({switch}, false) AS _else")
+
+    def either(first, other) -> str:
+        return f"IF(_else, {rec.pick(other, rec.text)}, {rec.pick(first, rec.text)})"
+
+    prefix, linked = rec.pick(lambda p: p.url_prefix, _text), rec.pick(lambda p: p.url, rec.text)
+    has_url = _shops([s for s, p in payloads.items() if p.url])
+    priced = opened.selectExpr("*", f"{rec.price(either(lambda p: p.price, lambda p: p.price_else))} AS _price")
     fields = {
         "id": rec.pick(lambda p: p.id, rec.text),
         "reference": rec.pick(lambda p: p.reference, rec.text),
-        "name": F.when(switched, rec.pick(lambda p: p.name_else, rec.text)).otherwise(
-            rec.pick(lambda p: p.name, rec.text)
-        ),
-        "price": F.col("_price"),
+        "name": either(lambda p: p.name, lambda p: p.name_else),
+        "price": "_price",
         "inStock": rec.in_stock(),
-        "product_url": F.when(has_url, F.concat(prefix, linked)).otherwise(prefix),
-        "tracking": F.when(F.col("shop") == "HM", rec.text(HM_TRACKING)),
-        "link_id": F.when(F.col("shop") == "ZARA", rec.text(ZARA_LINK)),
-        "reason": F.coalesce("page_reason", rec.reason(switched, F.col("_price"))),
-        "page_lost": F.col("page_reason").isNotNull(),
+        "product_url": f"IF({has_url}, concat({prefix}, {linked}), {prefix})",
+        "tracking": rec.text(HM_TRACKING),
+        "link_id": rec.text(ZARA_LINK),
+        "reason": f"coalesce(page_reason, {rec.reason('_else', '_price')})",
+        "page_lost": "page_reason IS NOT NULL",
     }
-    row = F.struct(*[c.alias(n) for n, c in fields.items()])
-    kept.remove("page_reason")
+    row = ", ".join(f"'{name}', {value}" for name, value in fields.items())
     # One generated row per item: a filter on a generated column stays above this step. Pushed
     # below, it would repeat the parsing and reading of the body once per use of an entry.
-    return opened.withColumn("_price", rec.price(plain)).select(*kept, "pos", F.inline(F.array(row)))
+    return priced.selectExpr(*kept, "pos", f"inline(array(named_struct({row})))")
 
 
 def good_rows(flat: DataFrame) -> DataFrame:
