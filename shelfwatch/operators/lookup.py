@@ -62,17 +62,11 @@ def tree_paths(
         ).drop("_id", "_up", "_name")
     deep = F.raise_error(F.format_string(f"menu tree deeper than {max_depth}: %s", F.col("_above").cast("string")))
     out = out.withColumn("_line", F.when(F.col("_above").isNotNull(), deep).otherwise(F.col("_line")))
-    masks = F.sequence(F.lit(0), F.shiftleft(F.lit(1), max_depth - 1) - 1)
-    fits = F.filter(masks, lambda m: m < F.pow(F.lit(2), F.size("_line")))
-    out = out.withColumn("_mask", F.explode(fits))
-    chosen = F.filter(
-        F.transform(
-            F.col("_line"),
-            lambda x, i: F.when(F.expr("_mask").bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0, x),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    path = F.array_append(chosen, F.col(name))
-    return out.withColumn("path", path).select(
-        *nodes.columns, *[F.get("path", F.lit(i)).alias(f"taxo{i + 1}") for i in range(width)], "path"
+    # Every choice of ancestors, in order of their bits: a node with k ancestors has the first 2^k.
+    choices = ", ".join(
+        "array(" + "".join(f"get(_line, {i}), " for i in range(max_depth - 1) if m >> i & 1) + f"`{name}`)"
+        for m in range(2 ** (max_depth - 1))
     )
+    own = f"explode(slice(array({choices}), 1, cast(shiftleft(1, size(_line)) as int))) AS path"
+    levels = [f"get(path, {i}) AS taxo{i + 1}" for i in range(width)]
+    return out.selectExpr(*nodes.columns, own).selectExpr(*nodes.columns, *levels, "path")

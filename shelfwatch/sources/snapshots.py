@@ -111,12 +111,14 @@ def read_snapshots(
     ``seq`` orders rows as they lie in the files: file, block, row in the block.
     """
     found = snapshot_files(spark, root, shops)
-    groups = found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups: dict[str, list[str]] = {}
+    for row in found.select("header", "path").collect():  # file names only
+        groups.setdefault(row["header"], []).append(row["path"])
     if not groups:
         raise FileNotFoundError(f"no snapshot files below {root}")
     df = None
-    for g in sorted(groups, key=lambda r: r["header"]):
-        part = _read_group(spark, g["header"], g["paths"], multi_line)
+    for header in sorted(groups):
+        part = _read_group(spark, header, sorted(groups[header]), multi_line)
         df = part if df is None else df.unionByName(part, allowMissingColumns=True)
     for c in (*COLUMNS, OLD_URL):
         if c not in df.columns:
