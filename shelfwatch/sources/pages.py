@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,3 +143,65 @@ def named_block(html: Column, title: str, block: str, item: str) -> Column:
 def named_block_ladder(html: Column, titles: Sequence[str], block: str, item: str) -> Column:
     """Items of the first titled block that has any ("Product Type", then "Categories", then ...)."""
     return F.coalesce(*[named_block(html, t, block, item) for t in titles])
+
+
+def label_without_count(col: Column) -> Column:
+    """``Jeans`` of a filter label like ``Jeans (12)``; null without a count."""
+    return first_group(strip(col), r"(.*).\(.*\)")
+
+
+def attribute_values(pages: DataFrame, attribute: str, html: str = "html", out: str = "value") -> DataFrame:
+    """One row per occurrence of an attribute, in page order, such as the menu codes of a page."""
+    values = F.regexp_extract_all(F.col(html), F.lit(rf'\s{attribute}="([^"]*)"'), F.lit(1))
+    exploded = pages.select(*[c for c in pages.columns if c != html], F.posexplode(values).alias("pos", out))
+    return exploded.withColumn(out, unescape(F.col(out)))
+
+
+MENU_NODE = "array<struct<node:int,parent:int,name:string,url:string>>"
+
+
+def menu_tree(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Nested menu entries (``li`` with ``data-name``) as (node, parent, name, url) rows.
+
+    Nesting is beyond patterns, so an Arrow-batched function runs the standard HTML parser over
+    each page. An entry without a name or link is no level of its own: what is below it belongs to
+    the entry above. The function is self-contained, so workers need nothing but pandas.
+    """
+
+    @F.pandas_udf(MENU_NODE)
+    def entries(bodies: pd.Series) -> pd.Series:
+        from html.parser import HTMLParser
+
+        class Menu(HTMLParser):
+            def __init__(self):
+                super().__init__()
+                self.open, self.found = [], []
+
+            def handle_starttag(self, tag, attrs):
+                attrs = dict(attrs)
+                if tag == "li":
+                    self.open.append({"name": attrs.get("data-name"), "node": None, "fresh": True})
+                elif self.open and self.open[-1]["fresh"]:
+                    entry = self.open[-1]
+                    entry["fresh"] = False
+                    url = attrs.get("href", attrs.get("data-href"))
+                    if entry["name"] is not None and url is not None:
+                        above = [e["node"] for e in self.open[:-1] if e["node"] is not None]
+                        entry["node"] = len(self.found)
+                        self.found.append(
+                            {"node": entry["node"], "parent": above[-1] if above else None, "name": entry["name"], "url": url}
+                        )
+
+            def handle_endtag(self, tag):
+                if tag == "li" and self.open:
+                    self.open.pop()
+
+        def read(body):
+            menu = Menu()
+            menu.feed(body or "")
+            return menu.found
+
+        return bodies.map(read)
+
+    kept = [c for c in pages.columns if c != html]
+    return pages.select(*kept, F.explode(entries(html)).alias("_e")).select(*kept, "_e.*")

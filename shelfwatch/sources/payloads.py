@@ -347,6 +347,23 @@ def product_levels(levels: Sequence[str] = ("taxo1", "taxo2", "taxo3", "taxo4"),
     return [F.get(parts, F.lit(i)) for i in range(4)]
 
 
+def facet_codes(body: Column, facet: str = "style") -> Column:
+    """Codes of one facet of a stored JSON body, null if it has none.
+
+    The category is then listed once per code, or as a whole.
+    """
+    groups = F.filter(_array(F.try_parse_json(body), "$.facets"), lambda g: text_at(g, "$.code") == facet)
+    codes = F.flatten(
+        F.transform(
+            groups,
+            lambda g: F.transform(
+                F.coalesce(_array(g, "$.values"), F.array().cast("array<variant>")), lambda v: text_at(v, "$.code")
+            ),
+        )
+    )
+    return F.when(F.size(codes) > 0, codes)
+
+
 def sub_categories(filters: DataFrame, body: str = "body") -> DataFrame:
     """(shop, url, product_id, category) from the stored filter bodies of category pages.
 

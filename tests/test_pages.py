@@ -105,3 +105,32 @@ def test_too_deep_tree_raises(spark):
     assert tree_paths(df, max_depth=4).count() == 15
     with pytest.raises(Exception, match="deeper than 3"):
         tree_paths(df, max_depth=3).collect()
+
+
+def test_labels_and_attributes(spark):
+    assert one(spark, P.label_without_count, " Jeans (12) ") == "Jeans"
+    assert one(spark, P.label_without_count, "Jeans") is None
+    html = '<li data-category="men,Jeans"><a data-category="women,Coats &amp; Jackets">'
+    got = P.attribute_values(spark.createDataFrame([("P", html)], "shop string, html string"), "data-category").orderBy("pos")
+    assert [r.value for r in got.collect()] == ["men,Jeans", "women,Coats & Jackets"]
+
+
+def test_menu_tree(spark):
+    html = """<nav id="menu"><ul><li data-name="MAN"><a href="/m">M</a><ul>
+        <li><span>x</span><ul><li data-name="JEANS"><a data-href="/j">J</a></li></ul></li>
+        <li data-name="NOLINK"><b>x</b><ul><li data-name="SHIRTS"><a href="/s">S</a><p>x<br></li></ul></li></ul></li>
+        <li data-name="KIDS"><a href="/k">K</a></li></ul></nav>"""
+    got = P.menu_tree(spark.createDataFrame([("ZARA", html), ("ZARA", None)], "shop string, html string")).collect()
+    names = {r.node: r.name for r in got}
+    assert [(r.name, names.get(r.parent), r.url) for r in got] == [
+        ("MAN", None, "/m"), ("JEANS", "MAN", "/j"), ("SHIRTS", "MAN", "/s"), ("KIDS", None, "/k"),
+    ]
+
+
+def test_json_facets(spark):
+    from shelfwatch.sources.payloads import facet_codes
+
+    body = '{"facets":[{"code":"size","values":[{"code":"s"}]},{"code":"style","values":[{"code":"Slim"},{"code":"Wide"}]},{"code":"style"}]}'
+    assert one(spark, facet_codes, body) == ["Slim", "Wide"]
+    assert one(spark, facet_codes, '{"facets":[]}') is None
+    assert one(spark, facet_codes, "oops") is None
