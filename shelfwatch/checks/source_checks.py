@@ -12,14 +12,22 @@ from shelfwatch.operators.dedup import keep_first
 from shelfwatch.operators.lookup import lookup_with_fallback, tree_paths
 from shelfwatch.operators.quality import log_counts
 from shelfwatch.plans import collect as plan
-from shelfwatch.plans.aggregate import clean_shops
-from shelfwatch.schema import SHOPS
+from shelfwatch.schema import CAPTURE
 from shelfwatch.session import scratch_dir
 from shelfwatch.sources import pages as P
 from shelfwatch.sources import payloads, sitemaps, snapshots, tables
 
 # --- captures ---------------------------------------------------------------------------------
 
+
+
+def stored(spark, sf):
+    """The captures as a job finds them: a table by shop, below the shared folder."""
+    path = scratch_dir(spark, "captures")
+    tables.write_partitioned(captures(spark, sf), path, "shop")
+    return spark.read.schema(CAPTURE).parquet(path)
+
+
 JSON_SHOPS = tuple(payloads.PAYLOADS)
 NUMBERED = (
     "numbered AS (SELECT *, row_number() OVER (PARTITION BY shop, page ORDER BY seq) - 1 AS pos, "
@@ -91,7 +99,7 @@ def json_flatten(spark, sf):
     CAPTURED,
 )
 def reject_log(spark, sf):
-    _, bad = plan.collect(captures(spark, sf))
+    _, bad = plan.collect(stored(spark, sf))
     return bad.groupBy("shop", "level", "message").agg(F.count("*").alias("n"))
 
 
@@ -104,7 +112,7 @@ def reject_log(spark, sf):
     CAPTURED,
 )
 def log_counts_(spark, sf):
-    return log_counts(plan.collect(captures(spark, sf))[1])
+    return log_counts(plan.collect(stored(spark, sf))[1])
 
 
 @query(
@@ -113,12 +121,8 @@ def log_counts_(spark, sf):
     CAPTURED,
 )
 def card_fields(spark, sf):
-    out = None
-    for shop, spec in P.CARDS.items():
-        mine = captures(spark, sf).where(F.col("shop") == shop).select("shop", "page_seq", "body")
-        cards = P.product_cards(mine, spec, "body").where(F.col("id").isNotNull())
-        out = cards if out is None else out.unionByName(cards)
-    return out.withColumn("pos", F.col("pos").cast("bigint"))
+    cards = P.product_cards(captures(spark, sf).select("shop", "page_seq", "body"), P.CARDS, "body")
+    return cards.where(F.col("id").isNotNull()).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 _GAP_RANK = ladder_sql(L.CATEGORY_LADDERS["GAP"]).replace("taxo1", "c1").replace("taxo2", "c2").replace("taxo3", "c3")
@@ -133,7 +137,7 @@ OWNED = f"""owned AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY C
     (*CAPTURED, OWNED),
 )
 def canonical_record(spark, sf):
-    return plan.collect(captures(spark, sf))[0].drop("seq")
+    return plan.collect(stored(spark, sf))[0].drop("seq")
 
 
 _NAMED = "CASE WHEN shop = 'ASOS' THEN coalesce(taxo3, 'None') ELSE taxo3 END"
@@ -154,7 +158,7 @@ def _clean_rank() -> str:
     (*CAPTURED, OWNED),
 )
 def collect_clean(spark, sf):
-    return plan.clean(plan.collect(captures(spark, sf))[0]).drop("seq")
+    return plan.clean(plan.collect(stored(spark, sf))[0]).drop("seq")
 
 
 # --- snapshot files ---------------------------------------------------------------------------

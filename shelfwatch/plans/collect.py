@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwatch.config.ladders import CATEGORY_LADDERS, KEEP_ALL_LISTINGS, PRODUCT_LADDERS
 from shelfwatch.functions.levels import compact_levels
 from shelfwatch.operators.dedup import first_category_wins, keep_first, with_rank
-from shelfwatch.operators.quality import first_reason
+from shelfwatch.operators.quality import first_reason, log_rows
 from shelfwatch.schema import MINOR, PRODUCT, TAXO
 from shelfwatch.sources import payloads, tables
 from shelfwatch.sources.pages import CARDS, product_cards
@@ -28,7 +28,8 @@ def json_products(captures: DataFrame, filters: DataFrame | None = None) -> tupl
     if filters is not None:
         good = payloads.with_sub_category(good, payloads.sub_categories(filters))
     levels = payloads.product_levels()
-    # Categories own their products in the order they are visited, in one shop.
+    # Categories own their products in the order they are visited, in one shop. Captures are
+    # stored by shop, so the two branches read different folders and only this shop is shuffled.
     ours = F.col("shop") == "GAP"
     owned = first_category_wins(
         good.where(ours).withColumn("date", F.col("captured_at").cast("date")),
@@ -48,35 +49,20 @@ def json_products(captures: DataFrame, filters: DataFrame | None = None) -> tupl
 
 def card_products(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(raw products, rejects) of the shops whose pages are read card by card."""
-    good, bad = None, None
-    for shop, spec in CARDS.items():
-        mine = captures.where(F.col("shop") == shop).withColumnRenamed("url", "page_url")
-        cards = product_cards(mine, spec, "body").withColumn(
-            "reason", first_reason([(F.col(c).isNull(), f"missing {c}") for c in spec.required])
-        )
-        levels = compact_levels([F.col(c) for c in TAXO[:3]], F.col("leaf"))
-        fine = cards.where(F.col("reason").isNull()).withColumn("_levels", F.array(*levels))
-        fine = fine.withColumns({c: F.get("_levels", F.lit(i)) for i, c in enumerate(TAXO)})
-        fine = canonical(
-            fine.withColumns(
-                {
-                    "reference": F.lit(None).cast("string"),
-                    "inStock": F.lit(True),
-                    "date": F.col("captured_at"),
-                    "seq": F.struct("page_seq", "pos"),
-                }
-            )
-        )
-        poor = cards.where(F.col("reason").isNotNull()).select(
-            F.current_timestamp().alias("ts"),
-            F.lit(MINOR).alias("level"),
-            "shop",
-            F.col("reason").alias("message"),
-            F.col("page_url").alias("url"),
-        )
-        good = fine if good is None else good.unionByName(fine)
-        bad = poor if bad is None else bad.unionByName(poor)
-    return good, bad
+    missing = first_reason([(F.col(c).isNull(), f"missing {c}") for c in ("id", "url")])
+    cards = product_cards(captures.withColumnRenamed("url", "page_url"), CARDS, "body").withColumn("reason", missing)
+    levels = compact_levels([F.col(c) for c in TAXO[:3]], F.col("leaf"))
+    good = cards.where(F.col("reason").isNull()).withColumn("_levels", F.array(*levels))
+    good = good.withColumns({c: F.get("_levels", F.lit(i)) for i, c in enumerate(TAXO)}).withColumns(
+        {
+            "reference": F.lit(None).cast("string"),
+            "inStock": F.lit(True),
+            "date": F.col("captured_at"),
+            "seq": F.struct("page_seq", "pos"),
+        }
+    )
+    bad = cards.where(F.col("reason").isNotNull())
+    return canonical(good), log_rows(bad, MINOR, F.col("reason"), "page_url")
 
 
 def collect(captures: DataFrame, filters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

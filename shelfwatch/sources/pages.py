@@ -7,12 +7,13 @@ Patterns are parameters; the page-specific ones of the tracked shops are default
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwatch.functions.conditions import by_shop
 from shelfwatch.functions.text import first_group, min_price_number, strip
 
 LINK = r"(?s)<a\s[^>]*>.*?</a>"
@@ -58,8 +59,7 @@ class Card:
     name: str
     price: str
     base_url: str = ""
-    smallest_price: bool = True
-    required: Sequence[str] = field(default=("id", "url"))
+    smallest_price: bool = True  # else the last one
 
 
 # fixed values: card markup of the two shops that are read from HTML
@@ -84,22 +84,26 @@ CARDS = {
 }
 
 
-def product_cards(pages: DataFrame, spec: Card, html: str = "html") -> DataFrame:
-    """One row per card: (pos, id, name, price, url)."""
-    cards = F.regexp_extract_all(F.col(html), F.lit(spec.card), F.lit(0))
-    out = pages.select(*[c for c in pages.columns if c != html], F.posexplode(cards).alias("pos", "_card"))
-    prices = F.regexp_extract_all(F.col("_card"), F.lit(spec.price), F.lit(1))
-    if spec.smallest_price:
-        price = min_price_number(prices)
-    else:
-        price = min_price_number(F.slice(prices, F.greatest(F.size(prices), F.lit(1)), F.lit(1)))
-    href = first_group(F.col("_card"), spec.href)
+def product_cards(pages: DataFrame, specs: dict[str, Card] = CARDS, html: str = "html") -> DataFrame:
+    """One row per card: (pos, id, name, price, url). The row's shop selects the patterns."""
+
+    def each(make) -> Column:
+        return by_shop({shop: make(spec) for shop, spec in specs.items()})
+
+    def prices(spec: Card) -> Column:
+        found = F.regexp_extract_all(F.col("_card"), F.lit(spec.price), F.lit(1))
+        last = F.slice(found, F.greatest(F.size(found), F.lit(1)), F.lit(1))
+        return found if spec.smallest_price else last
+
+    cards = each(lambda s: F.regexp_extract_all(F.col(html), F.lit(s.card), F.lit(0)))
+    mine = pages.where(F.col("shop").isin(list(specs)))
+    out = mine.select(*[c for c in pages.columns if c != html], F.posexplode(cards).alias("pos", "_card"))
     return out.withColumns(
         {
-            "id": first_group(F.col("_card"), spec.id),
-            "name": unescape(strip(F.regexp_extract("_card", spec.name, 1))),
-            "price": price,
-            "url": F.concat(F.lit(spec.base_url), href),
+            "id": each(lambda s: first_group(F.col("_card"), s.id)),
+            "name": unescape(strip(each(lambda s: F.regexp_extract("_card", s.name, 1)))),
+            "price": min_price_number(each(prices)),
+            "url": each(lambda s: F.concat(F.lit(s.base_url), first_group(F.col("_card"), s.href))),
         }
     ).drop("_card")
 

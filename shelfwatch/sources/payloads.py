@@ -403,13 +403,15 @@ def find_key(body: Column, key: str) -> Column:
     def walk(bodies: pd.Series) -> pd.Series:
         import json
 
+        encode = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
+
         def hits(node: dict):
             for name, value in node.items():
                 for below in value if isinstance(value, list) else [value]:
                     if isinstance(below, dict):
                         yield from hits(below)
                 if name == key:
-                    yield json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+                    yield encode(value)
 
         def found(text: str | None) -> list | None:
             try:

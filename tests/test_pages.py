@@ -43,12 +43,14 @@ def test_cards(spark):
       <section class="product-card" data-product-id="8"><a href="p/8"><h2>B</h2></a></section></div>"""
     jl = jl.replace('class="product-card product-card--x"', 'class="product-card"')
     ms = '<a href="/p/P60?x=1" class="product"><h3 class="product__title"> Polo </h3><p class="product__price"><b><i></i>£35.00</b></p></a>'
-    df = spark.createDataFrame([(jl,)], "html string")
-    got = P.product_cards(df, P.CARDS["JOHN_LEWIS"]).orderBy("pos").collect()
+    df = spark.createDataFrame([("JOHN_LEWIS", jl), ("MS", ms), ("HM", ms)], "shop string, html string")
+    cards = P.product_cards(df)
+    assert cards.count() == 3
+    got = cards.where("shop = 'JOHN_LEWIS'").orderBy("pos").collect()
     assert [(r.id, r.name, r.price, r.url) for r in got] == [
         ("7", "Tea & co", 9.5, "https://www.johnlewis.com/p/7"), ("8", "B", None, "https://www.johnlewis.com/p/8"),
     ]
-    got = P.product_cards(spark.createDataFrame([(ms,)], "html string"), P.CARDS["MS"]).collect()
+    got = cards.where("shop = 'MS'").collect()
     assert [(r.id, r.name, r.price, r.url) for r in got] == [("P60", "Polo", 35.0, "https://www.marksandspencer.com//p/P60?x=1")]
 
 

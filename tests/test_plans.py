@@ -8,7 +8,7 @@ from shelfwatch.checks import QUERIES
 
 SF = "/root/testdata/sf0.001"
 PYTHON = {"json_find_key"}
-WRITES_FILES = {"snapshot_scan"}
+WRITES_FILES = {"snapshot_scan"}  # reads what a Python function listed
 KEEP_FIRST = ("priority_dedup", "default_dedup", "first_per_key", "first_category_wins", "lookup_fallback", "collect_clean")
 
 
