@@ -77,11 +77,9 @@ _BASE = 'shop, id, reference, name, price, "inStock", taxo1, taxo2, taxo3, taxo4
     CAPTURED,
 )
 def json_flatten(spark, sf):
-    good = payloads.good_rows(payloads.flatten(captures(spark, sf)))
-    levels = payloads.product_levels()
-    return good.withColumn("_l", F.array(*levels)).select(
-        "shop", "id", "reference", "name", "price", "inStock",
-        *[F.get("_l", F.lit(i)).alias(f"taxo{i + 1}") for i in range(4)],
+    good = payloads.with_levels(payloads.good_rows(payloads.flatten(captures(spark, sf))))
+    return good.select(
+        "shop", "id", "reference", "name", "price", "inStock", "taxo1", "taxo2", "taxo3", "taxo4",
         F.col("product_url").alias("URL"), "page_seq", F.col("pos").cast("bigint").alias("pos"),
     )
 

@@ -17,10 +17,13 @@ def pick(parts: Column, positions: Sequence[int]) -> list[Column]:
 
 def compact_levels(levels: Sequence[Column], leaf: Column | None = None, width: int = 4) -> list[Column]:
     """Close the gaps null levels leave, append the leaf, return ``width`` levels."""
+    return pick(level_array(levels, leaf), range(width))
+
+
+def level_array(levels: Sequence[Column], leaf: Column | None = None) -> Column:
+    """The same as one array; positions past its end read as null with ``get``."""
     parts = F.array_compact(F.array(*levels))
-    if leaf is not None:
-        parts = F.array_append(parts, leaf)
-    return pick(parts, range(width))
+    return parts if leaf is None else F.array_append(parts, leaf)
 
 
 def url_parts(col: Column, prefix: str = "", sep: str = "/", drop: str | None = None, drop_last: int = 0) -> Column:
@@ -52,10 +55,14 @@ def code_levels(col: Column, count: int = 6) -> list[Column]:
 
 
 def tracking_levels(col: Column) -> list[Column]:
-    """Levels 2, 3 and 4 of a tracking text: last pipe part, colon-separated, trimmed."""
+    """Levels 2, 3 and 4 of a tracking text."""
+    return pick(tracking_parts(col), (1, 2, 3))
+
+
+def tracking_parts(col: Column) -> Column:
+    """Last pipe part of a tracking text, split at colons, trimmed."""
     last = F.element_at(split_plain(col, "|"), -1)
-    parts = F.transform(split_plain(last, ":"), strip)
-    return pick(parts, (1, 2, 3))
+    return F.transform(split_plain(last, ":"), strip)
 
 
 def fallback_level(level: Column, below: Column, vague: str = "department") -> Column:

@@ -15,11 +15,6 @@ from shelfwatch.schema import MAN
 from shelfwatch.sources import tables
 from shelfwatch.sources.snapshots import OLD_URL, read_snapshots, typed_snapshots
 
-FIELDS = (
-    "shop", "id", "reference", "name", "price", "inStock",
-    "taxo1", "taxo2", "taxo3", "taxo4", "URL", "date",
-)
-
 
 def _case(shops: Sequence[Shop], trait: Callable, make: Callable, otherwise: Column) -> Column:
     """CASE over the shops with one branch per distinct trait, so shared rules appear once."""

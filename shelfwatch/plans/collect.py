@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.config.ladders import CATEGORY_LADDERS, KEEP_ALL_LISTINGS, PRODUCT_LADDERS
-from shelfwatch.functions.levels import compact_levels
+from shelfwatch.functions.levels import level_array
 from shelfwatch.operators.dedup import first_category_wins, keep_first, with_rank
 from shelfwatch.operators.quality import first_reason, log_rows
 from shelfwatch.schema import MINOR, PRODUCT, TAXO
 from shelfwatch.sources import payloads, tables
 from shelfwatch.sources.pages import CARDS, product_cards
 
-FIELDS = [f.name for f in PRODUCT]
-
 
 def canonical(df: DataFrame) -> DataFrame:
     """The record layout plus ``seq``; every field is cast to its declared type."""
@@ -27,7 +25,6 @@ def json_products(captures: DataFrame, filters: DataFrame | None = None) -> tupl
     good = payloads.good_rows(flat)
     if filters is not None:
         good = payloads.with_sub_category(good, payloads.sub_categories(filters))
-    levels = payloads.product_levels()
     # Categories own their products in the order they are visited, in one shop. Captures are
     # stored by shop, so the two branches read different folders and only this shop is shuffled.
     ours = F.col("shop") == "GAP"
@@ -38,21 +35,16 @@ def json_products(captures: DataFrame, filters: DataFrame | None = None) -> tupl
         seq=("page_seq", "pos"),
     ).drop("date")
     rows = good.where(~ours).unionByName(owned)
-    placed = rows.withColumn("_levels", F.array(*levels)).withColumns(
-        {c: F.get("_levels", F.lit(i)) for i, c in enumerate(TAXO)}
-    )
-    out = placed.withColumns(
-        {"URL_": F.col("product_url"), "date": F.col("captured_at"), "seq": F.struct("page_seq", "pos")}
-    )
-    return canonical(out.drop("url").withColumnRenamed("URL_", "URL")), payloads.rejects(flat)
+    out = payloads.with_levels(rows).withColumns({"date": F.col("captured_at"), "seq": F.struct("page_seq", "pos")})
+    return canonical(out.drop("url").withColumnRenamed("product_url", "URL")), payloads.rejects(flat)
 
 
 def card_products(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(raw products, rejects) of the shops whose pages are read card by card."""
     missing = first_reason([(F.col(c).isNull(), f"missing {c}") for c in ("id", "url")])
     cards = product_cards(captures.withColumnRenamed("url", "page_url"), CARDS, "body").withColumn("reason", missing)
-    levels = compact_levels([F.col(c) for c in TAXO[:3]], F.col("leaf"))
-    good = cards.where(F.col("reason").isNull()).withColumn("_levels", F.array(*levels))
+    levels = level_array([F.col(c) for c in TAXO[:3]], F.col("leaf"))
+    good = cards.where(F.col("reason").isNull()).withColumn("_levels", levels)
     good = good.withColumns({c: F.get("_levels", F.lit(i)) for i, c in enumerate(TAXO)}).withColumns(
         {
             "reference": F.lit(None).cast("string"),

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.functions.conditions import by_shop, member
-from shelfwatch.functions.levels import compact_levels, tracking_levels
+from shelfwatch.functions.levels import level_array, tracking_parts
 from shelfwatch.operators.dedup import keep_first
 from shelfwatch.operators.lookup import lookup_with_fallback
 from shelfwatch.operators.quality import first_reason, log_rows
-from shelfwatch.schema import INFORMATION, MEDIUM, MINOR
+from shelfwatch.schema import INFORMATION, MEDIUM, MINOR, TAXO
 from shelfwatch.sources.pages import DATA_LAYER
 
 # How a price is written: a number or number text; a text with one sign in front; a list of such
@@ -312,12 +312,15 @@ def flatten(captures: DataFrame, payloads: dict = PAYLOADS, body: str = "body")
 
 
 def good_rows(flat: DataFrame) -> DataFrame:
-    """Valid products, without the listings one shop marks as collections of basics."""
-    tracked = tracking_levels(F.col("tracking"))
-    denied = (F.col("shop") == "HM") & (
-        member(tracked[0], HM_DENIED_LEVEL2) | member(tracked[1], HM_DENIED_LEVEL3)
+    """Valid products, without the listings one shop marks as collections of basics.
+
+    ``tracked`` holds the parts of that shop's tracking text.
+    """
+    good = flat.where(F.col("reason").isNull()).withColumn(
+        "tracked", F.when(F.col("shop") == "HM", tracking_parts(F.col("tracking")))
     )
-    return flat.where(F.col("reason").isNull() & ~denied)
+    denied = member(F.get("tracked", F.lit(1)), HM_DENIED_LEVEL2) | member(F.get("tracked", F.lit(2)), HM_DENIED_LEVEL3)
+    return good.where(~denied)
 
 
 def rejects(flat: DataFrame, url: str = "url") -> DataFrame:
@@ -330,21 +333,20 @@ def rejects(flat: DataFrame, url: str = "url") -> DataFrame:
     return log_rows(flat.where(F.col("reason").isNotNull()), level, F.col("reason"), url)
 
 
-def product_levels(levels: Sequence[str] = ("taxo1", "taxo2", "taxo3", "taxo4"), leaf: str = "leaf") -> list[Column]:
+def with_levels(rows: DataFrame) -> DataFrame:
     """taxo1..taxo4 of a product from its category and the leaf (facet) it was listed under."""
-    t1, t2, t3, t4 = (F.col(c) for c in levels)
-    usual = F.array(*compact_levels([t1, t2, t3], F.col(leaf)))
-    tracked = tracking_levels(F.col("tracking"))
+    t1, t2, t3, t4, leaf = (F.col(c) for c in (*TAXO, "leaf"))
     parts = by_shop(
         {
-            "HM": F.array(t1, *tracked),
-            "GAP": F.array(*compact_levels([t1, t2, t3, t4], F.col(leaf))),
-            "TKMAXX": F.array(*compact_levels([t1, t2, t3, t3], F.col(leaf))),
-            "PRIMARK": F.array(t1, t2, t3, F.lit(None).cast("string")),
+            "HM": F.concat(F.array(t1), F.slice("tracked", 2, 3)),
+            "GAP": level_array([t1, t2, t3, t4], leaf),
+            "TKMAXX": level_array([t1, t2, t3, t3], leaf),
+            "PRIMARK": F.array(t1, t2, t3),
         },
-        usual,
+        level_array([t1, t2, t3], leaf),
     )
-    return [F.get(parts, F.lit(i)) for i in range(4)]
+    placed = rows.withColumn("_levels", parts)
+    return placed.withColumns({c: F.get("_levels", F.lit(i)) for i, c in enumerate(TAXO)}).drop("_levels")
 
 
 def facet_codes(body: Column, facet: str = "style") -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwatch.plans.collect import canonical
-from shelfwatch.schema import CAPTURE, TAXO
+from shelfwatch.schema import CAPTURE
 from shelfwatch.sources import payloads
 
 
@@ -23,9 +23,7 @@ def capture_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 
 def raw_products(captures: DataFrame) -> DataFrame:
     """Raw rows of JSON captures; works on a stream as well as on a table."""
-    good = payloads.good_rows(payloads.flatten(captures))
-    placed = good.withColumn("_levels", F.array(*payloads.product_levels()))
-    placed = placed.withColumns({c: F.get("_levels", F.lit(i)) for i, c in enumerate(TAXO)})
+    placed = payloads.with_levels(payloads.good_rows(payloads.flatten(captures)))
     placed = placed.withColumns({"date": F.col("captured_at"), "seq": F.struct("page_seq", "pos")})
     return canonical(placed.drop("url").withColumnRenamed("product_url", "URL"))
 
