@@ -199,9 +199,6 @@ def field_choice(spark, sf):
     return table(spark, sf, "events").select("event_id", choose_field(doc, "$.title", "$.name").alias("label"))
 
 
-_LINKS = "unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1))"
-
-
 @query(
     "url_filter",
     """SELECT page_id, url FROM pages WHERE (starts_with(url, 'https://www.') OR starts_with(url, 'https://blog.'))

@@ -20,7 +20,7 @@ from shelfwatch.functions.conditions import by_shop, member
 from shelfwatch.functions.levels import level_array, tracking_parts
 from shelfwatch.operators.dedup import keep_first
 from shelfwatch.operators.lookup import lookup_with_fallback
-from shelfwatch.operators.quality import first_reason, log_rows
+from shelfwatch.operators.quality import log_rows
 from shelfwatch.schema import INFORMATION, MEDIUM, MINOR, TAXO
 from shelfwatch.sources.pages import DATA_LAYER
 
