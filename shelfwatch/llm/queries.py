@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwatch.llm import quality_rules
+from shelfwatch.llm import quality_rules, secret_scan, simhash
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,29 @@ def query(fn):
     return fn
 
 
+@query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}")
+
+    def joined(which: str):
+        return f"array_join(transform(filter(spans, s -> {which}), s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+
+    return rows.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.expr(f"sha2({joined("s.kind != 'literal'")}, 256)").alias("base_sha256"),
+        F.expr(joined("true")).alias("spans"),
+    )
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")), "v2")
