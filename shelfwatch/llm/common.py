@@ -44,9 +44,18 @@ def words_sql(text: str) -> str:
     return rf"if({cut} = '', cast(array() as array<string>), split({cut}, '[\\x20\\x09-\\x0D]+'))"
 
 
-def source_order() -> list[Column]:
-    """Sources by code point (UTF-8 bytes sort alike), null last."""
-    return [F.col("source").isNull(), F.col("source").cast("binary")]
+def ranked(df: DataFrame, name: str, by: list[Column]) -> DataFrame:
+    """Number all rows from 0 in the order ``by``, which must be unique: ranges, and their offsets.
+
+    No task sees more than one range; only the ranges' row counts meet in one place.
+    """
+    ranged = materialise(df.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(*by)
+    numbered = ranged.withColumn(name, F.row_number().over(inside).cast("long") - 1)
+    return numbered.join(offsets, "_range").withColumn(name, F.col(name) + F.col("_before")).drop("_range", "_before")
 
 
 def gapless(df: DataFrame, name: str, within: list[str], by: list[str], per_chunk: int = 50_000) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import quality_rules, secret_scan, simhash
+from shelfwatch.llm import mixing, quality_rules, secret_scan, simhash
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(fn):
     return fn
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return plan.selectExpr(
+        "doc_id", "size", "source_size", "target", "copies * size as taken", "copies", "source", "explode(sequence(1, n)) as _row"
+    ).drop("_row")
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
