@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import mixing, quality_rules, secret_scan, simhash
+from shelfwatch.llm import bpe, mixing, quality_rules, secret_scan, simhash
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,4 +97,14 @@ FROM judged
 """
 
 
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe.decode(ids, path).selectExpr(
+        "doc_id", "cast(octet_length(ids) div 4 as bigint) as n_tokens", "sha2(ids, 256) as ids_sha256",
+        "sha2(cast(decoded as binary), 256) as decoded_sha256",
+    )
+
+
 ORACLES["op8_quality_rules"] = _quality_sql()
