@@ -5,7 +5,9 @@ farther from the vantage. Every fingerprint goes to its own leaf, and as a visit
 that the triangle inequality can't rule out: a neighbour within r bits differs by at most r in its
 distance to any vantage. Each leaf is one shard; its own fingerprints are compared with all its
 members, so every pair is found in the leaf of either end. Visitors grow by about 1.7 times per
-level, for distances of unrelated texts lie close together; the search takes about n^1.75 steps.
+level, for distances of unrelated texts lie close together; so the tree is cut into shards high up,
+and each shard goes on by itself with rings around further vantages, which take no copies. In all
+the search takes about n^1.75 steps.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from shelfwatch.llm.components import components
 
 SEED = 42
 #: own fingerprints a leaf should have
-LEAF = 8192
+LEAF = 65_536
 #: the tree's shape is fitted on this many fingerprints per leaf, MOST at most; what it finds doesn't depend on it
 PER_LEAF, LEAST, MOST = 16, 4096, 65_536
 
@@ -67,16 +69,17 @@ def distance(values: np.ndarray, vantage: int) -> np.ndarray:
     return np.bitwise_count(values ^ np.uint64(vantage))
 
 
-def _vantage(values: np.ndarray, rng: np.random.Generator) -> tuple[int, int]:
-    """Of some candidates, the vantage and radius whose boundary fewest values overlap.
-
-    Candidates are values, and the sign pattern of the widest direction.
-    """
+def _wide(values: np.ndarray, k: int) -> list[int]:
+    """Sign patterns of the ``k`` widest directions: vantages from which distances differ most."""
     bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float64)
     _, axes = np.linalg.eigh(np.cov(bits, rowvar=False))
-    wide = [int(np.packbits(axes[:, -k] > 0, bitorder="little").view("<u8")[0]) for k in (1, 2, 3)]
+    return [int(np.packbits(axes[:, -i] > 0, bitorder="little").view("<u8")[0]) for i in range(1, k + 1)]
+
+
+def _vantage(values: np.ndarray, rng: np.random.Generator) -> tuple[int, int]:
+    """Of some candidates, the vantage and radius whose boundary fewest values overlap."""
     best = None
-    for v in [*wide, *map(int, rng.choice(values, 8))]:
+    for v in [*_wide(values, 3), *map(int, rng.choice(values, 8))]:
         d = distance(values, v).astype(np.int64)
         radius = int(np.median(d))
         inside = float(np.mean(d <= radius))
@@ -138,7 +141,7 @@ def _union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def search(values: np.ndarray, own: np.ndarray, bits: int, block: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
     """Links between the own values of a leaf and its members, as (value, smallest of its set).
 
-    Two more vantages cut the leaf into rings; a value meets only members whose rings are within
+    Further vantages cut the leaf into rings; a value meets only members whose rings are all within
     ``bits`` of its own. A set of many near copies yields one link per member, not all pairs.
     """
     values, at = np.unique(values, return_index=True)
@@ -146,21 +149,23 @@ def search(values: np.ndarray, own: np.ndarray, bits: int, block: int = 1 << 21)
     label = np.arange(len(values))
     if len(values) < 2 or not own.any():
         return values[:0], values[:0]
-    rng = np.random.default_rng(11)
-    some = values if len(values) <= 4096 else rng.choice(values, 4096, replace=False)
-    v1, v2 = _vantage(some, rng)[0], int(rng.choice(values))
-    r1, r2 = distance(values, v1).astype(np.int64), distance(values, v2).astype(np.int64)
-    ring = r1 * 65 + r2
+    some = values if len(values) <= 4096 else np.random.default_rng(11).choice(values, 4096, replace=False)
+    vantages = _wide(some, 1 + (len(values) > 2000) + (len(values) > 30_000))
+    rings = [distance(values, v).astype(np.int64) for v in vantages]
+    scale = 65 ** np.arange(len(rings) - 1, -1, -1)
+    ring = np.dot(scale, rings)
     order = np.argsort(ring, kind="stable")
     sorted_rings, members = ring[order], values[order]
     mine = order[own[order]]  # own values, by ring
     cells, first = np.unique(ring[mine], return_index=True)
     for cell, queries in zip(cells.tolist(), np.split(mine, first[1:])):
-        k1, k2 = divmod(cell, 65)
-        near = np.arange(max(0, k1 - bits), min(64, k1 + bits) + 1) * 65
-        lo = np.searchsorted(sorted_rings, near + max(0, k2 - bits), "left")
-        hi = np.searchsorted(sorted_rings, near + min(64, k2 + bits), "right")
-        spots = np.concatenate([np.arange(i, j) for i, j in zip(lo, hi)])
+        *outer, last = (cell // scale % 65).tolist()
+        near = np.zeros(1, np.int64)
+        for k, unit in zip(outer, scale):
+            near = (near[:, None] + np.arange(max(0, k - bits), min(64, k + bits) + 1) * unit).ravel()
+        lo = np.searchsorted(sorted_rings, near + max(0, last - bits), "left")
+        hi = np.searchsorted(sorted_rings, near + min(64, last + bits), "right")
+        spots = np.concatenate([np.arange(i, j) for i, j in zip(lo, hi) if i < j])
         others = members[spots]
         for part in np.array_split(queries, len(queries) * len(others) // block + 1):
             hit_q, hit_m = np.nonzero(np.bitwise_count(values[part][:, None] ^ others[None, :]) <= bits)
