@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import bpe, mixing, quality_rules, secret_scan, simhash
+from shelfwatch.llm import bpe, language_id, mixing, quality_rules, secret_scan, simhash, toxicity
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,17 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(language_id.fold("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -107,4 +118,14 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(language_id.fold("doc_id", 3) == 1, F.lit(False))
+    model = language_id.learn(docs.where(~held_out))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 ORACLES["op8_quality_rules"] = _quality_sql()
