@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import bpe, language_id, mixing, quality_rules, secret_scan, simhash, toxicity
+from shelfwatch.llm import bpe, language_id, mixing, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,54 @@ def query(fn):
     return fn
 
 
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+def _url_sql() -> str:
+    def longest(rules, fits):
+        order = sorted(range(len(rules)), key=lambda i: (-len(rules[i].name), i))
+        return " ".join(f"WHEN {fits(rules[i])} THEN '{rules[i].name}'" for i in order)
+
+    base = longest(
+        url_filter.BASE,
+        lambda r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')",
+    )
+    patterns = longest(url_filter.PATTERNS, lambda r: f"strpos(low, '{r.pattern}') > 0")
+    allowed = ", ".join(f"'{r.name}'" for r in url_filter.BASE if r.verdict == "allow")
+    lower = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH rests AS (
+  SELECT page_id, {lower.format("coalesce(url, '')")} AS low,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+parts AS (
+  SELECT page_id, low, {lower.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+    regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') AS path
+  FROM rests
+),
+fitted AS (SELECT *, CASE {base} END AS rule, CASE {patterns} END AS any_pattern FROM parts)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ({allowed}) THEN 'allow' WHEN rule IS NOT NULL OR any_pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NULL THEN any_pattern END AS pattern
+FROM fitted
+"""
+
+
+ORACLES["op2_url_filter"] = _url_sql()
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
