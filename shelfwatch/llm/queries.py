@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import bpe, language_id, mixing, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
+from shelfwatch.llm import bpe, language_id, mixing, paragraph_sketch, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op5_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = paragraph_sketch.fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
