@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 #: cells per table of each attempt; positions use disjoint bits of the digest from bit 1 up
 ATTEMPTS = (4, 8, 16, 64)
 #: digests of both versions per block
-PER_BLOCK = 8
+PER_BLOCK = 6
 #: pieces end at line breaks and after sentence ends
 PIECES = r"\n+|(?<=[.!?])[ \t]+"
 #: rows per bucket of the id order, and buckets at most
@@ -59,11 +59,12 @@ def _peel(cells: str, attempt: int) -> str:
     """SQL for the number of digests peeled out of a subtracted sketch; null if some remain."""
     low, width = _bits(attempt)
     c = ATTEMPTS[attempt]
-    pure = "array_distinct(transform(filter(st.cells, x -> abs(x.c) = 1 and hash(x.k) = x.h), x -> struct(x.c as c, x.k as k)))"
-    hit = f"(shiftright(p.k, {low} + {width} * cast(i div {c} as int)) & {c - 1}) = i % {c}"
+    spots = ", ".join(f"{t * c} + cast(shiftright(x.k, {low + t * width}) & {c - 1} as int) as p{t}" for t in range(3))
+    # a digest may be alone in several of its cells
+    pure = f"array_distinct(transform(filter(st.cells, x -> abs(x.c) = 1 and hash(x.k) = x.h), x -> struct(x.c as c, x.k as k, x.h as h, {spots})))"
     out = (
-        f"transform(st.cells, (x, i) -> aggregate(filter(pure, p -> {hit}), x,"
-        " (y, p) -> struct(y.c - p.c as c, y.k ^ p.k as k, y.h ^ hash(p.k) as h)))"
+        "transform(st.cells, (x, i) -> aggregate(filter(pure, p -> i = p.p0 or i = p.p1 or i = p.p2), x,"
+        " (y, p) -> struct(y.c - p.c as c, y.k ^ p.k as k, y.h ^ p.h as h)))"
     )
     step = f"transform(array({pure}), pure -> if(size(pure) = 0, struct(st.cells as cells, st.n as n, false as live), struct({out} as cells, st.n + size(pure) as n, true as live)))[0]"
     return (
