@@ -44,7 +44,7 @@ def mask(policy: str, policies: dict[str, tuple[str, ...]] = POLICIES) -> int:
 # equal hashes, so sorted (hash, position) numbers put them side by side; only those are then
 # compared as text. Linear but for the sorts; ``w`` are the words, each step is bound once.
 _REPEATED = """
-if(size(w) < 6, 0L, cast(transform(array(
+if(size(w) < 4, 0L, cast(transform(array(
   array_sort(transform(sequence(0, size(w) - 3),
     i -> shiftleft(cast(hash(get(w, i), get(w, i + 1), get(w, i + 2)) as bigint), 32) + i))), s ->
   transform(array(filter(s, (x, j) ->
