@@ -34,8 +34,11 @@ def _hash(salt: int, bins: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns, F.lit(salt)), F.lit(bins))
 
 
-def _pick(rows: list, quota: dict) -> dict:
-    """Per (from, to): the last order bin admitted under its quota. ``rows``: from, to, bin, bytes."""
+def _pick(rows: list, quota: dict) -> tuple[dict, set]:
+    """Per (from, to): the last order bin admitted under its quota; and the shards that refused some.
+
+    ``rows``: from, to, bin, bytes.
+    """
     last, used, closed = {}, defaultdict(float), set()
     for r in sorted(rows, key=lambda r: (r["label"], r["to"], r["o"])):
         pair = (r["label"], r["to"])
@@ -44,7 +47,7 @@ def _pick(rows: list, quota: dict) -> dict:
             last[pair] = r["o"]
         else:
             closed.add(pair)
-    return last
+    return last, {j for _, j in closed}
 
 
 def _quotas(rows: list, load: dict, cap: float, shards: int) -> dict:
@@ -69,16 +72,21 @@ def _admitted(last: dict) -> Column:
 
 
 def propagate(nodes: DataFrame, cap: float, shards: int) -> DataFrame:
-    """``nodes`` (KEY, bundle, n, bytes, label) of groups with more than one node, moved together."""
+    """``nodes`` (KEY, bundle, n, bytes, label) of groups with more than one node, moved together.
+
+    A shard that had to refuse requests is full, and asked for no more; its groups go elsewhere.
+    """
+    full: set[int] = set()
     for turn in range(ROUNDS):
         load = {r["label"]: float(r["bytes"]) for r in nodes.groupBy("label").agg(F.sum("bytes").alias("bytes")).collect()}
-        room = [j for j in range(shards) if cap - load.get(j, 0.0) > EVEN * cap]
+        room = [j for j in range(shards) if j not in full and cap - load.get(j, 0.0) > EVEN * cap]
+        open_ = f"array_contains(array({', '.join(map(str, room)) or '-1'}), x.label)"
         held = nodes.groupBy(*KEY, "label").agg(F.sum("n").alias("w"))
         spread = held.groupBy(*KEY).agg(F.collect_list(F.struct("w", "label")).alias("held"))  # a row per shard at most
-        # the shard that holds most of the group, of those with room and one's own; ties by a hash of the group
+        # the shard that holds most of the group, of those with room and one's own; ties to one with room, then by hash
         best = F.expr(
-            f"array_max(transform(filter(held, x -> x.label = label or array_contains(array({', '.join(map(str, room)) or '-1'}), x.label)),"
-            f" x -> struct(x.w as w, pmod(xxhash64(h, x.label), 1000) as t, x.label as label)))"
+            f"array_max(transform(filter(held, x -> x.label = label or {open_}),"
+            f" x -> struct(x.w as w, {open_} as open, pmod(xxhash64(h, x.label), 1000) as t, x.label as label)))"
         )
         own = F.expr("filter(held, x -> x.label = label)[0].w - n")
         asked = (
@@ -88,11 +96,12 @@ def propagate(nodes: DataFrame, cap: float, shards: int) -> DataFrame:
             .select(*nodes.columns, "to", "o", "gain")
         )
         asked = materialise(asked)
-        rows = asked.where("`to` <> label and gain > 0").groupBy("label", "to", "o").agg(F.sum("bytes").alias("bytes")).collect()
-        last = _pick(rows, _quotas(rows, load, cap, shards))
-        if not last:
+        rows = asked.where("`to` <> label and gain >= 0").groupBy("label", "to", "o").agg(F.sum("bytes").alias("bytes")).collect()
+        last, refused = _pick(rows, _quotas(rows, load, cap, shards))
+        if not last and refused <= full:
             return nodes
-        moves = _admitted(last) & (F.col("gain") > 0)
+        full |= refused
+        moves = _admitted(last) & (F.col("gain") >= 0)
         nodes = asked.withColumn("label", F.when(moves, F.col("to")).otherwise(F.col("label")).cast("int")).select(*nodes.columns)
     return materialise(nodes)
 
