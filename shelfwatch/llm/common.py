@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: white space between words, as a Java pattern and as the plain characters
 GAP = r"[\x20\x09-\x0D]+"
@@ -38,6 +42,29 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_slices(df: DataFrame, fields: str, column: str, make: Callable[[], Callable[[list], dict]], rows: int = 256) -> DataFrame:
+    """``df`` with further columns ``fields`` (DDL), computed in Python from one column's values.
+
+    ``make`` runs once per task and gives a function from a list of values to a list per field.
+    Results leave the worker every ``rows`` rows, so it never holds more than one incoming batch.
+    """
+    added = T.StructType.fromDDL(fields)
+    names, types = added.names, to_arrow_schema(added).types
+    df = df.select(*[f"`{c}`" for c in df.columns if c not in names])  # as withColumn would replace them
+    schema = T.StructType([*df.schema.fields, *added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                got = work(part.column(column).to_pylist())
+                new = [pa.array(got[n], t) for n, t in zip(names, types)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *names])
+
+    return df.mapInArrow(run, schema)
+
+
 def words_sql(text: str) -> str:
     """SQL for the array of words of ``text``; none for null."""
     cut = f"btrim(coalesce({text}, ''), {BLANKS})"

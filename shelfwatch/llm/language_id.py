@@ -9,14 +9,14 @@ is nearly as small.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwatch.llm.common import map_slices
+
 #: per language: sampled texts, code points of each, bytes of dictionary; these bound the model
 TEXTS, EXCERPT, DICTIONARY = 150, 1500, 110 * 1024
 LEVEL, BLOCK, TURNS = 6, 1024, 4
@@ -98,15 +98,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double, lead double")
-    def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def make():
         one = Classifier(sent.value)
-        for batch in texts:
-            yield pd.DataFrame([one.predict(t) for t in batch], columns=["lang_pred", "score", "lead"])
+        return lambda texts: dict(zip(("lang_pred", "score", "_lead"), zip(*map(one.predict, texts))))
 
-    return docs.withColumn("_p", judge(F.col(text))).withColumns(
-        {"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score"), "rejected": F.col("_p.lead") < NARROW}
-    ).drop("_p")
+    done = map_slices(docs, "lang_pred string, score double, _lead double", text, make)
+    return done.withColumn("rejected", F.col("_lead") < NARROW).drop("_lead")
 
 
 def fold(doc_id: str, of: int) -> Column:

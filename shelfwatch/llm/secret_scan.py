@@ -12,12 +12,11 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
 from itertools import accumulate
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from shelfwatch.llm.common import map_slices
 
 # fixed values: the base patterns
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -133,12 +132,7 @@ SPANS = "array<struct<kind:string,start:int,end:int,from:int,to:int>>"
 def scan(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     """``docs`` with the spans of every whole text."""
 
-    @F.pandas_udf(SPANS)
-    def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([spans(t) for t in batch], dtype=object)
-
-    return docs.withColumn(out, find(F.col(text)))
+    return map_slices(docs, f"`{out}` {SPANS}", text, lambda: lambda texts: {out: [spans(t) for t in texts]})
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -157,9 +151,6 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
             at = max(at, s[1])
         return "".join(parts) + body[at:] if at else body
 
-    @F.pandas_udf("string")
-    def replace(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([clean(t) for t in batch], dtype=object)
-
-    return docs.withColumn(text, replace(F.col(text)))
+    names = [f"`{c}`" for c in docs.columns]
+    done = map_slices(docs, "_clean string", text, lambda: lambda texts: {"_clean": [clean(t) for t in texts]})
+    return done.drop(text).withColumnRenamed("_clean", text).select(*names)

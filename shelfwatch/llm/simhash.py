@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import materialise
+from shelfwatch.llm.common import map_slices, materialise
 from shelfwatch.llm.components import components
 
 SEED = 42
@@ -57,12 +57,10 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 def with_fingerprints(docs: DataFrame, text: str = "text", out: str = "_fp", shingle: int = 4) -> DataFrame:
     """``docs`` with the fingerprint as a signed long."""
 
-    @F.pandas_udf("long")
-    def prints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series(np.array([fingerprint(t, shingle) for t in batch], np.uint64).view(np.int64))
+    def make():
+        return lambda texts: {out: np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)}
 
-    return docs.withColumn(out, prints(F.col(text)))
+    return map_slices(docs, f"`{out}` long", text, make)
 
 
 def distance(values: np.ndarray, vantage: int) -> np.ndarray:
@@ -71,7 +69,8 @@ def distance(values: np.ndarray, vantage: int) -> np.ndarray:
 
 def _wide(values: np.ndarray, k: int) -> list[int]:
     """Sign patterns of the ``k`` widest directions: vantages from which distances differ most."""
-    bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float64)
+    flat = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)
+    bits = np.unpackbits(flat, axis=1, bitorder="little").astype(np.float64)
     _, axes = np.linalg.eigh(np.cov(bits, rowvar=False))
     return [int(np.packbits(axes[:, -i] > 0, bitorder="little").view("<u8")[0]) for i in range(1, k + 1)]
 

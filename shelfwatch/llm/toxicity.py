@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import materialise
+from shelfwatch.llm.common import map_slices, materialise
 
 #: labelled rows to learn from, picked by hash; one in CALIBRATION of them fits the statistics
 SAMPLE, CALIBRATION = 100_000, 4
@@ -158,38 +158,35 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     Rows without a label or id are left out; of rows with one id, or nearly one text, any toxic
     label counts. The sample and the lexicon are bounded, so they may be sent to every executor.
     """
-
-    @F.pandas_udf("long")
-    def signature(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([_signature(t) for t in batch], dtype="int64")
-
     picked = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     )
     rows = docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(materialise(picked)), "doc_id")
-    alike = rows.groupBy(signature("_text").alias("_sign")).agg(
+    signed = map_slices(rows, "_sign long", "_text", lambda: lambda texts: {"_sign": [_signature(t) for t in texts]})
+    alike = signed.groupBy("_sign").agg(
         F.min(F.struct("doc_id", F.xxhash64("_text").alias("h"))).alias("k"), F.max("toxic").alias("toxic")
     )
     chosen = alike.select("k.doc_id", "k.h", "toxic", (F.pmod("_sign", F.lit(CALIBRATION)) == 0).alias("fit"))
     chosen = materialise(chosen)
     rows = docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(chosen), "doc_id").where(F.xxhash64("_text") == F.col("h"))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for body, toxic in zip(batch["_text"], batch["toxic"]):
+            for body, toxic in zip(batch.column("_text").to_pylist(), batch.column("toxic").to_pylist()):
                 found = set()
                 for word in set(_WORD.findall((body or "").lower())):
                     found.update(units(word))
-                seen[int(toxic != 0)].update(found)
-            yield pd.DataFrame({"unit": list(seen[0]), "clean": list(seen[0].values()), "toxic": 0})
-            yield pd.DataFrame({"unit": list(seen[1]), "clean": 0, "toxic": list(seen[1].values())})
+                seen[toxic != 0].update(found)
+            for kind, counts in enumerate(seen):
+                n, none = pa.array(counts.values(), pa.int64()), pa.array([0] * len(counts), pa.int64())
+                clean, toxic = (none, n) if kind else (n, none)
+                yield pa.RecordBatch.from_arrays([pa.array(counts, pa.string()), clean, toxic], ["unit", "clean", "toxic"])
 
     counted = (
-        rows.where("not fit").select("_text", "toxic").mapInPandas(count, "unit string, clean long, toxic long")
+        rows.where("not fit").select("_text", "toxic").mapInArrow(count, "unit string, clean long, toxic long")
         .groupBy("unit").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     )
     counted = materialise(counted)
@@ -205,17 +202,23 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     lexicon = {r["unit"]: r["odds"] for r in kept.collect()}
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan():
         scanner = Scanner(sent.value)
-        for batch in batches:
-            out = []
-            for body, toxic in zip(batch["_text"], batch["toxic"]):
+
+        def work(texts: list) -> dict[str, list]:
+            out: dict[str, list] = {k: [] for k in ("n", "best", "scores", "counts")}
+            for body in texts:
                 n, found = scanner.segments(body)
                 marks = Counter(round(s, 2) for s in map(scanner.word, _WORD.findall((body or "").lower())) if s > 0)
-                out.append((int(toxic != 0), n, max((s for _, _, s in found), default=0.0), list(marks), list(marks.values())))
-            yield pd.DataFrame(out, columns=["toxic", "n", "best", "scores", "counts"])
+                for k, v in zip(out, (n, max((s for _, _, s in found), default=0.0), list(marks), list(marks.values()))):
+                    out[k].append(v)
+            return out
 
-    fit = rows.where("fit").select("_text", "toxic").mapInPandas(scan, "toxic int, n long, best double, scores array<double>, counts array<long>").toPandas()
+        return work
+
+    fields = "n long, best double, scores array<double>, counts array<long>"
+    fit = map_slices(rows.where("fit").select("_text", "toxic"), fields, "_text", scan).drop("_text").toPandas()
+    fit["toxic"] = (fit["toxic"] != 0).astype(int)
     harmless = fit[(fit.toxic == 0) & (fit.n > 0)]
     marks: Counter = Counter()
     for s, c in zip(harmless["scores"], harmless["counts"]):
@@ -245,19 +248,19 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(f"score double, passages {PASSAGES}")
-    def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def make():
         m = sent.value
         scanner = Scanner(m.lexicon)
-        for batch in texts:
+
+        def work(texts: list) -> dict[str, list]:
             scores, passages = [], []
-            for body in batch:
+            for body in texts:
                 n, found = scanner.segments(body)
                 scores.append(probability(m, n, max((s for _, _, s in found), default=0.0)))
                 rated = [(a, b, s, m.scale * n * math.exp(max(-700.0, -m.decay * s))) for a, b, s in found]
                 passages.append([dict(zip(("start", "end", "score", "expected"), r)) for r in rated if r[3] <= SIGNIFICANT])
-            yield pd.DataFrame({"score": scores, "passages": pd.Series(passages, dtype=object)})
+            return {"score": scores, "passages": passages}
+
+        return work
 
-    return docs.withColumn("_s", judge(F.col(text))).withColumns(
-        {"score": F.col("_s.score"), "passages": F.col("_s.passages")}
-    ).drop("_s")
+    return map_slices(docs, f"score double, passages {PASSAGES}", text, make)
