@@ -37,8 +37,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every row as little-endian 32-bit integers, and the text they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), path)
-    rows = bpe.decode(ids, path).withColumn("exact", F.col("decoded") == F.coalesce("text", F.lit("")))
+    rows = bpe.encode(docs.select("doc_id", "source", "text"), path, decoded="decoded").withColumn("exact", F.col("decoded") == F.coalesce("text", F.lit("")))
     return rows.select("doc_id", "source", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids", "exact")
 
 

@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import materialise
+from shelfwatch.llm.common import map_slices
 
 #: code points of a piece; a text of up to two pieces is encoded at once
 PIECE = 16_384
@@ -127,53 +128,64 @@ def _spec(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", piece: int = PIECE) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None, piece: int = PIECE
+) -> DataFrame:
     """``docs`` with the ids of every whole text as little-endian unsigned 32-bit integers.
 
-    A null text counts as empty and has no ids. Texts of more than two pieces are written once to
-    the scratch folder, so that their pieces and joins refer to the same rows.
+    A null text counts as empty and has no ids. With ``decoded``, a column of that name has the
+    ids decoded again by the same worker. Texts of more than two pieces are told apart by their
+    SHA-256; copies of one text are encoded once.
     """
     spec = _spec(docs, path)
+    docs = docs.drop(*[c for c in (out, decoded, "_key") if c])  # as withColumn would replace them
     long_ = F.coalesce(F.length(text) > 2 * piece, F.lit(False))
+    fields = f"`{out}` binary" + (f", `{decoded}` string" if decoded else "")
 
-    @F.pandas_udf("binary")
-    def whole(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def results(codec: Codec, ids: list[np.ndarray]) -> dict[str, list]:
+        found: dict[str, list] = {out: [i.astype("<u4").tobytes() for i in ids]}
+        return found | ({decoded: [codec.decode(i) for i in ids]} if decoded else {})
+
+    def whole():
         codec = Codec(spec.value)
-        for batch in texts:
-            yield pd.Series([codec.encode(t or "").astype("<u4").tobytes() for t in batch], dtype=object)
+        return lambda texts: results(codec, [codec.encode(t or "") for t in texts])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, body in zip(batch["_row"], batch["_text"]):
-                parts = [body[i : i + piece] for i in range(0, len(body), piece)]
-                yield pd.DataFrame({"_row": row, "_part": range(len(parts)), "_piece": parts})
+            for key, body in zip(batch.column("_key").to_pylist(), batch.column("_text")):
+                body = body.as_py()
+                cuts = [body[i : i + piece] for i in range(0, len(body), piece)]
+                columns = [pa.array([key] * len(cuts)), pa.array(range(len(cuts)), pa.int32()), pa.array(cuts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["_key", "_part", "_piece"])
 
-    def concat(group: pd.DataFrame) -> pd.DataFrame:
+    def parts():
         codec = Codec(spec.value)
+        return lambda texts: {"_ids": [codec.encode(t).astype("<u4").tobytes() for t in texts]}
+
+    made: list[Codec] = []  # one for all groups of a task
+
+    def concat(group: pd.DataFrame) -> pd.DataFrame:
+        if not made:
+            made.append(Codec(spec.value))
         group = group.sort_values("_part")
-        parts = [(p.encode(), np.frombuffer(i, "<u4")) for p, i in zip(group["_piece"], group["_ids"])]
-        return pd.DataFrame({"_row": [group["_row"].iloc[0]], out: [codec.concat(parts).astype("<u4").tobytes()]})
+        pieces = [(p.encode(), np.frombuffer(i, "<u4")) for p, i in zip(group["_piece"], group["_ids"])]
+        found = results(made[0], [made[0].concat(pieces)])
+        return pd.DataFrame({"_key": [group["_key"].iloc[0]]} | {k: pd.Series(v, dtype=object) for k, v in found.items()})
 
-    short = docs.where(~long_).withColumn(out, whole(F.col(text)))
-    rows = materialise(docs.where(long_).withColumn("_row", F.monotonically_increasing_id()))
-    pieces = (
-        rows.select("_row", F.col(text).alias("_text"))
-        .mapInPandas(cut, "_row long, _part int, _piece string")
-        .repartition("_row", "_part")
-        .withColumn("_ids", whole(F.col("_piece")))
-    )
-    ids = pieces.groupBy("_row").applyInPandas(concat, f"_row long, `{out}` binary")
-    return short.unionByName(rows.join(ids, "_row").drop("_row"))
+    short = map_slices(docs.where(~long_), fields, text, whole)
+    rows = docs.where(long_).withColumn("_key", F.sha2(F.col(text), 256))
+    pieces = rows.select("_key", F.col(text).alias("_text")).mapInArrow(cut, "_key string, _part int, _piece string")
+    pieces = map_slices(pieces.dropDuplicates(["_key", "_part"]), "_ids binary", "_piece", parts, rows=32)
+    ids = pieces.groupBy("_key").applyInPandas(concat, f"_key string, {fields}")
+    return short.unionByName(rows.join(ids, "_key").drop("_key"))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with the text of their ids, special tokens included; null for null."""
     spec = _spec(rows, path)
 
-    @F.pandas_udf("string")
-    def back(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def back():
         codec = Codec(spec.value)
-        for batch in batches:
-            yield pd.Series([None if x is None else codec.decode(np.frombuffer(x, "<u4")) for x in batch], dtype=object)
+        return lambda all_: {out: [None if x is None else codec.decode(np.frombuffer(x, "<u4")) for x in all_]}
 
-    return rows.withColumn(out, back(F.col(ids)))
+    return map_slices(rows, f"`{out}` string", ids, back)

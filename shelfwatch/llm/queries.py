@@ -167,8 +167,8 @@ FROM judged
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(ids, path).selectExpr(
+    rows = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded="decoded")
+    return rows.selectExpr(
         "doc_id", "cast(octet_length(ids) div 4 as bigint) as n_tokens", "sha2(ids, 256) as ids_sha256",
         "sha2(cast(decoded as binary), 256) as decoded_sha256",
     )
