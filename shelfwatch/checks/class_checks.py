@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.checks.registry import PARENT_SQL, class_sql, query, text
@@ -10,7 +13,7 @@ from shelfwatch.config import classes as C
 from shelfwatch.config.shops import AGGREGATED
 from shelfwatch.functions.levels import below_root, map_values, shift_levels
 from shelfwatch.operators.classify import class_of, parent_of, with_name_lc
-from shelfwatch.plans.aggregate import clean_shops
+from shelfwatch.plans.aggregate import clean_shops, link, unit_price
 
 MEN, WOMEN = C.men_words(), C.women_words()
 
@@ -99,7 +102,7 @@ def level_shift(spark, sf):
     (LISTING_SQL,),
 )
 def url_coalesce(spark, sf):
-    return listing(spark, sf).select("seq", F.coalesce("url_old", "URL").alias("url"))
+    return listing(spark, sf).select("seq", link().alias("url"))
 
 
 @query(
@@ -108,11 +111,8 @@ def url_coalesce(spark, sf):
     (LISTING_SQL,),
 )
 def price_units(spark, sf):
-    pence = [s.name for s in AGGREGATED if s.price_divisor != 1]
-    price = F.col("price")
-    return listing(spark, sf).select(
-        "seq", "shop", F.when(F.col("shop").isin(pence), price / 100).otherwise(price).alias("price")
-    )
+    rows = listing(spark, sf).withColumn("src_shop", F.col("shop"))
+    return rows.select("seq", "shop", unit_price().alias("price"))
 
 
 def _clean_sql(shop) -> str:
@@ -139,10 +139,11 @@ def _clean_sql(shop) -> str:
     )
 
 
-@query("clean_shop", _clean_sql([s for s in AGGREGATED if s.name == "GAP"][0]), (LISTING_SQL,))
+@query("clean_shop", " UNION ALL ".join(f"({_clean_sql(s)})" for s in AGGREGATED), (LISTING_SQL,))
 def clean_shop(spark, sf):
-    gap = [s for s in AGGREGATED if s.name == "GAP"]
-    return clean_shops(listing(spark, sf).withColumn("src_shop", F.col("shop")), gap).drop("seq")
+    """Each shop by itself, as the jobs run when one of them fails."""
+    rows = listing(spark, sf).withColumn("src_shop", F.col("shop"))
+    return reduce(DataFrame.unionAll, [clean_shops(rows, [s]).drop("seq") for s in AGGREGATED])
 
 
 @query("aggregate_all", " UNION ALL ".join(f"({_clean_sql(s)})" for s in AGGREGATED), (LISTING_SQL,))

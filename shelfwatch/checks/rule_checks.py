@@ -10,6 +10,8 @@ from shelfwatch.config import ladders as L
 from shelfwatch.functions.conditions import IS_NUMBER, Test, is_number, matches, member, not_member
 from shelfwatch.operators import dedup
 from shelfwatch.operators.quality import duplicates
+from shelfwatch.plans.aggregate import with_needed_name
+from shelfwatch.plans.categories import distinct_categories
 
 RULE_SETS = {
     "asos_clear": L.ASOS_CLEAR,
@@ -120,9 +122,14 @@ def first_per_key(spark, sf):
     )
 
 
-@query("distinct_rows", "SELECT DISTINCT shop, taxo1, taxo2, taxo3 FROM listing", (LISTING_SQL,))
+@query(
+    "distinct_rows",
+    "SELECT shop, taxo1, taxo2, taxo3, taxo4, URL AS url, min(seq) AS seq FROM listing GROUP BY ALL",
+    (LISTING_SQL,),
+)
 def distinct_rows(spark, sf):
-    return listing(spark, sf).select("shop", "taxo1", "taxo2", "taxo3").distinct()
+    rows = listing(spark, sf).select("shop", "taxo1", "taxo2", "taxo3", "taxo4", F.col("URL").alias("url"), "seq")
+    return distinct_categories(rows)
 
 
 @query(
@@ -152,9 +159,13 @@ def dup_check(spark, sf):
     return duplicates(listing(spark, sf).select("shop", "id", F.col("date").cast("date").alias("date")))
 
 
-@query("not_null", "SELECT seq, shop, name FROM listing WHERE name IS NOT NULL", (LISTING_SQL,))
+@query(
+    "not_null",
+    "SELECT seq, shop, name FROM listing WHERE name IS NOT NULL OR shop NOT IN ('PRIMARK', 'ZARA')",
+    (LISTING_SQL,),
+)
 def not_null(spark, sf):
-    return listing(spark, sf).select("seq", "shop", "name").where(F.col("name").isNotNull())
+    return with_needed_name(listing(spark, sf).withColumn("src_shop", F.col("shop"))).select("seq", "shop", "name")
 
 
 _ROOTS = ("women", "men", "kids")

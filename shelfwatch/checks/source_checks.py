@@ -11,23 +11,15 @@ from shelfwatch.config import ladders as L
 from shelfwatch.operators.dedup import keep_first
 from shelfwatch.operators.lookup import lookup_with_fallback, tree_paths
 from shelfwatch.operators.quality import log_counts
+from shelfwatch.functions.conditions import by_shop
+from shelfwatch.plans import categories
 from shelfwatch.plans import collect as plan
-from shelfwatch.schema import CAPTURE
 from shelfwatch.session import scratch_dir
 from shelfwatch.sources import pages as P
 from shelfwatch.sources import payloads, sitemaps, snapshots, tables
 
 # --- captures ---------------------------------------------------------------------------------
 
-
-
-def stored(spark, sf):
-    """The captures as a job finds them: a table by shop, below the shared folder."""
-    path = scratch_dir(spark, "captures")
-    tables.write_partitioned(captures(spark, sf), path, "shop")
-    return spark.read.schema(CAPTURE).parquet(path)
-
-
 JSON_SHOPS = tuple(payloads.PAYLOADS)
 NUMBERED = (
     "numbered AS (SELECT *, row_number() OVER (PARTITION BY shop, page ORDER BY seq) - 1 AS pos, "
@@ -57,16 +49,16 @@ FIELDS = f"""
     WHEN 'TKMAXX' THEN (list_filter([c1, c2, c3, c3], lambda x: x IS NOT NULL) || [leaf])[4] ELSE ({SHORT})[4] END AS taxo4,
   CASE shop WHEN 'ASOS' THEN 'https://www.asos.com/p/' || id WHEN 'NEWLOOK' THEN 'https://www.newlook.com/p/' || id
     WHEN 'HM' THEN 'https://www2.hm.com/p/' || id WHEN 'TKMAXX' THEN 'https://www.tkmaxx.com/uk/p/' || id
-    WHEN 'PRIMARK' THEN '' WHEN 'ZARA' THEN '' WHEN 'JOHN_LEWIS' THEN 'https://www.johnlewis.com/p/' || id
-    WHEN 'MS' THEN 'https://www.marksandspencer.com//shop/p/' || id || '?x=1' END AS "URL",
+    WHEN 'PRIMARK' THEN '' WHEN 'ZARA' THEN '' WHEN 'JOHN_LEWIS' THEN 'https://www.johnlewis.com/p/' || id || '?a=1&b=2'
+    WHEN 'MS' THEN 'https://www.marksandspencer.com//shop/p/' || id || '?x=1&y=2' END AS "URL",
   page AS page_seq, pos
 """
 VALID = (
     f"valid AS (SELECT {FIELDS}, min(date) OVER (PARTITION BY shop, page) AS date, c1, c2, c3, capture_url, "
-    f"(shop = 'HM' AND seq % 50 = 6) AS denied, ({V.NO_ID}) AS no_id, {NO_PRICE} AS no_price "
+    f"(shop = 'HM' AND seq % 50 = 6) AS denied, ({V.NO_ID}) AS no_id, {NO_PRICE} AS no_price, (shop = 'JOHN_LEWIS' AND seq % 13 = 5) AS bad_price "
     f"FROM numbered WHERE NOT ({V.BAD_PAGE}))"
 )
-GOOD = "good AS (SELECT * FROM valid WHERE NOT no_id AND NOT no_price AND NOT denied)"
+GOOD = "good AS (SELECT * FROM valid WHERE NOT no_id AND NOT no_price AND NOT bad_price AND NOT denied)"
 CAPTURED = (LISTING_SQL, NUMBERED, VALID, GOOD)
 _BASE = 'shop, id, reference, name, price, "inStock", taxo1, taxo2, taxo3, taxo4, "URL", page_seq, pos'
 
@@ -87,30 +79,31 @@ def json_flatten(spark, sf):
 @query(
     "reject_log",
     f"""SELECT shop, level, message, count(*) AS n FROM (
-          SELECT DISTINCT shop, page, 'MEDIUM' AS level, 'not JSON' AS message FROM listing WHERE {V.BAD_PAGE} AND shop IN {JSON_SHOPS}
+          SELECT DISTINCT shop, page, 'MEDIUM' AS level, CASE WHEN shop IN {JSON_SHOPS} THEN 'not JSON' ELSE 'no product cards' END AS message
+          FROM listing WHERE {V.BAD_PAGE}
         ) GROUP BY ALL
         UNION ALL
         SELECT shop, CASE WHEN no_price THEN 'INFORMATION' ELSE 'MINOR' END,
-          CASE WHEN no_price THEN 'no price/name' ELSE 'missing ' || CASE shop WHEN 'NEWLOOK' THEN '$.code' WHEN 'TKMAXX' THEN '$.code'
+          CASE WHEN no_price THEN 'no price/name' WHEN bad_price AND NOT no_id THEN 'price is not a number' ELSE 'missing ' || CASE shop WHEN 'NEWLOOK' THEN '$.code' WHEN 'TKMAXX' THEN '$.code'
             WHEN 'PRIMARK' THEN '$.BusinessId' WHEN 'HM' THEN '$.articleCode' WHEN 'MS' THEN 'id' WHEN 'JOHN_LEWIS' THEN 'id' ELSE '$.id' END END, count(*)
-        FROM valid WHERE no_id OR no_price GROUP BY ALL""",
+        FROM valid WHERE no_id OR no_price OR bad_price GROUP BY ALL""",
     CAPTURED,
 )
 def reject_log(spark, sf):
-    _, bad = plan.collect(stored(spark, sf))
+    _, bad = plan.collect(captures(spark, sf))
     return bad.groupBy("shop", "level", "message").agg(F.count("*").alias("n"))
 
 
 @query(
     "log_counts",
     f"""SELECT shop, level, count(*) AS n FROM (
-          SELECT DISTINCT shop, page, 'MEDIUM' AS level FROM listing WHERE {V.BAD_PAGE} AND shop IN {JSON_SHOPS}
-          UNION ALL SELECT shop, NULL, CASE WHEN no_price THEN 'INFORMATION' ELSE 'MINOR' END FROM valid WHERE no_id OR no_price)
+          SELECT DISTINCT shop, page, 'MEDIUM' AS level FROM listing WHERE {V.BAD_PAGE}
+          UNION ALL SELECT shop, NULL, CASE WHEN no_price THEN 'INFORMATION' ELSE 'MINOR' END FROM valid WHERE no_id OR no_price OR bad_price)
         GROUP BY ALL""",
     CAPTURED,
 )
 def log_counts_(spark, sf):
-    return log_counts(plan.collect(stored(spark, sf))[1])
+    return log_counts(plan.collect(captures(spark, sf))[1])
 
 
 @query(
@@ -120,7 +113,8 @@ def log_counts_(spark, sf):
 )
 def card_fields(spark, sf):
     cards = P.product_cards(captures(spark, sf).select("shop", "page_seq", "body"), P.CARDS, "body")
-    return cards.where(F.col("id").isNotNull()).withColumn("pos", F.col("pos").cast("bigint"))
+    good = cards.where("id is not null and not bad_price").drop("bad_price")
+    return good.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 _GAP_RANK = ladder_sql(L.CATEGORY_LADDERS["GAP"]).replace("taxo1", "c1").replace("taxo2", "c2").replace("taxo3", "c3")
@@ -135,7 +129,7 @@ OWNED = f"""owned AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY C
     (*CAPTURED, OWNED),
 )
 def canonical_record(spark, sf):
-    return plan.collect(stored(spark, sf))[0].drop("seq")
+    return plan.collect(captures(spark, sf))[0].drop("seq")
 
 
 _NAMED = "CASE WHEN shop = 'ASOS' THEN coalesce(taxo3, 'None') ELSE taxo3 END"
@@ -156,7 +150,7 @@ def _clean_rank() -> str:
     (*CAPTURED, OWNED),
 )
 def collect_clean(spark, sf):
-    return plan.clean(plan.collect(stored(spark, sf))[0]).drop("seq")
+    return plan.clean(plan.collect(captures(spark, sf))[0]).drop("seq")
 
 
 # --- snapshot files ---------------------------------------------------------------------------
@@ -197,17 +191,23 @@ def snapshot_scan(spark, sf):
 
 
 def _sitemaps(spark, sf):
-    """One sitemap of up to 50 URLs per block of pages; every second one has a namespace."""
-    url = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc><x>1</x></url>"))
-    opening = F.when(F.col("block") % 2 == 0, "<urlset>").otherwise(
-        '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+    """Two bodies per block of 50 pages: a sitemap with image locations, every second one with a namespace, and a broken one."""
+    loc = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc>"))
+    entry = F.concat(loc, F.lit("<image:image><image:loc>https://img.example/1</image:loc></image:image><x>1</x></url>"))
+    spaces = ' xmlns:image="http://www.google.com/schemas/sitemap-image/1.1"'
+    opening = F.when(F.col("block") % 2 == 0, f"<urlset{spaces}>").otherwise(
+        f'<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"{spaces}>'
     )
-    return (
+    blocks = (
         table(spark, sf, "pages")
-        .select(F.expr("page_id div 50").alias("block"), "page_id", url.alias("entry"))
+        .select(F.expr("page_id div 50").alias("block"), "page_id", entry.alias("entry"))
         .groupBy("block")
         .agg(F.array_sort(F.collect_list(F.struct("page_id", "entry"))).alias("e"))
-        .select("block", F.concat(opening, F.array_join("e.entry", ""), F.lit("</urlset>")).alias("body"))
+    )
+    good = F.concat(opening, F.array_join("e.entry", ""), F.lit("</urlset>"))
+    bodies = F.array(good, F.substring(good, F.lit(1), F.length(good) - 12))
+    return blocks.select("block", F.posexplode(bodies).alias("part", "body")).select(
+        F.lit("S").alias("shop"), F.concat_ws("/", "block", "part").alias("url"), "block", "body"
     )
 
 
@@ -216,20 +216,47 @@ def _sitemaps(spark, sf):
     "SELECT page_id // 50 AS block, cast(row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) - 1 AS INTEGER) AS pos, url AS loc FROM pages",
 )
 def sitemap_urls(spark, sf):
-    return sitemaps.sitemap_urls(_sitemaps(spark, sf))
+    return sitemaps.sitemap_urls(_sitemaps(spark, sf)).select("block", "pos", "loc")
 
 
-_TAG = "'(?s)<a\\s[^>]*>.*?</a>'"
+@query(
+    "sitemap_rejects",
+    "SELECT DISTINCT 'MEDIUM' AS level, 'S' AS shop, 'not a sitemap' AS message, concat(page_id // 50, '/1') AS url FROM pages",
+)
+def sitemap_rejects(spark, sf):
+    return sitemaps.sitemap_rejects(_sitemaps(spark, sf)).drop("ts")
+
+
+# links in the forms pages have, besides those of the stored pages
+_EXTRA_LINKS = (
+    "<A HREF=/x class=q>Plain<b>B</b></A>",
+    "<a class=\"n\" href='/c?a=1&amp;b=2'>Shaving &amp; Beard </a><a\nhref=\"/d\"><i>I</i>t</a><a name=\"none\">no link</a>",
+)
+_LINKS_SQL = f"concat(html, {text(_EXTRA_LINKS[0])}, CASE WHEN page_id % 2 = 0 THEN {text(_EXTRA_LINKS[1])} ELSE '' END)"
+_HREF = text(P.attribute_pattern("href"))
+_OPEN = r"regexp_extract(tag, '(?is)^<a\s[^>]*>')"
+_LINK_TEXT = r"nullif(trim(regexp_extract(tag, '(?is)^<a\s[^>]*>([^<]*)', 1), chr(9) || chr(10) || chr(13) || ' '), '')"
+_LINK_TAGS = rf"regexp_extract_all({_LINKS_SQL}, '(?is)<a\s[^>]*>.*?</a>')"
+
+
+def _decoded(sql: str) -> str:
+    for entity, plain in P.ENTITIES:
+        sql = f"replace({sql}, {text(entity)}, {text(plain)})"
+    return sql
 
 
 @query(
     "page_links",
-    f"""SELECT page_id, cast(i - 1 AS INTEGER) AS pos, nullif(regexp_extract(tags[i], '(?s)^<a\\s[^>]*?href="([^"]*)"', 1), '') AS href,
-          trim(regexp_extract(tags[i], '(?s)^<a\\s[^>]*>(.*?)</a>', 1)) AS text
-        FROM (SELECT page_id, tags, unnest(range(1, len(tags) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, {_TAG}) AS tags FROM pages))""",
+    f"""SELECT page_id, cast(i - 1 AS INTEGER) AS pos,
+          CASE WHEN regexp_matches({_OPEN}, {_HREF}) THEN {_decoded(" || ".join(f"regexp_extract({_OPEN}, {_HREF}, {g})" for g in (1, 2, 3)))} END AS href,
+          {_decoded(_LINK_TEXT)} AS text
+        FROM (SELECT page_id, i, tags[i] AS tag FROM (SELECT page_id, tags, unnest(range(1, len(tags) + 1)) AS i FROM (
+          SELECT page_id, {_LINK_TAGS} AS tags FROM pages)))""",
 )
 def page_links(spark, sf):
-    return P.page_links(table(spark, sf, "pages").select("page_id", "html"))
+    more = F.when(F.col("page_id") % 2 == 0, F.lit(_EXTRA_LINKS[1])).otherwise(F.lit(""))
+    html = F.concat("html", F.lit(_EXTRA_LINKS[0]), more)
+    return P.page_links(table(spark, sf, "pages").select("page_id", html.alias("html")))
 
 
 _GROUP = "case when page_id % 9 = 0 then '{\"other\":1}' else concat('{\"productGroups\":[{\"products\":[{\"id\":', cast(page_id as string), '},{\"id\":', cast(page_id * 2 as string), '}]},{\"products\":[{\"id\":-1}]}]}') end"
@@ -278,18 +305,23 @@ def facet_ladder(spark, sf):
 
 
 _NESTED = """to_json(named_struct('a', named_struct('link', concat('A', cast(o_orderkey as string)), 'z', 1),
-    'list', array(named_struct('link', concat('L', cast(o_custkey as string)), 'b', cast(null as struct<link: string>)),
-                  named_struct('link', cast(null as string), 'b', named_struct('link', o_orderstatus))),
+    'list', array(array(named_struct('link', concat('L', cast(o_custkey as string)), 'b', cast(null as struct<link: string>))),
+                  array(named_struct('link', cast(null as string), 'b', named_struct('link', o_orderstatus)))),
     'link', concat('T', cast(o_orderkey as string))))"""
 
 
 @query(
     "json_find_key",
     """SELECT o_orderkey, cast(i - 1 AS INTEGER) AS pos, v[i] AS value FROM (SELECT o_orderkey, unnest([1, 2, 3, 4]) AS i,
-         ['"A' || o_orderkey || '"', '"L' || o_custkey || '"', '"' || o_orderstatus || '"', '"T' || o_orderkey || '"'] AS v FROM orders)""",
+         ['"A' || o_orderkey || '"', '"L' || o_custkey || '"', '"' || o_orderstatus || '"', '"T' || o_orderkey || '"'] AS v FROM orders
+         WHERE o_orderkey % 11 <> 0)""",
 )
 def json_find_key(spark, sf):
-    bodies = table(spark, sf, "orders").selectExpr("o_orderkey", f"{_NESTED} AS body")
+    """Bodies of up to 3,000 levels below their own; some are cut short."""
+    levels = F.when(F.col("o_orderkey") % 500 == 1, 3000).otherwise(F.col("o_orderkey") % 7).cast("int")
+    deep = F.concat(F.repeat(F.lit('{"up": '), levels), F.expr(_NESTED), F.repeat(F.lit("}"), levels))
+    cut = F.substring(deep, F.lit(1), F.length(deep) - F.when(F.col("o_orderkey") % 11 == 0, 1).otherwise(0))
+    bodies = table(spark, sf, "orders").select("o_orderkey", cut.alias("body"))
     return bodies.select("o_orderkey", F.posexplode(payloads.find_key(F.col("body"), "link")).alias("pos", "value"))
 
 
@@ -313,33 +345,148 @@ _NODES = """
   SELECT concat('r', cast(r_regionkey as string)) AS node, cast(null as string) AS parent, r_name AS name FROM region
   UNION ALL SELECT concat('n', cast(n_nationkey as string)), concat('r', cast(n_regionkey as string)), n_name FROM nation
   UNION ALL SELECT concat('c', cast(c_custkey as string)), concat('n', cast(c_nationkey as string)), c_name FROM customer
-  UNION ALL SELECT concat('o', cast(o_orderkey as string)), concat('c', cast(o_custkey as string)), o_orderpriority FROM orders"""
+  UNION ALL SELECT concat('s', cast(c_custkey as string)), concat('c', cast(c_custkey as string)), c_mktsegment FROM customer
+  UNION ALL SELECT concat('t', cast(c_custkey as string)), concat('s', cast(c_custkey as string)), cast(c_nationkey as string) FROM customer
+  UNION ALL SELECT concat('u', cast(c_custkey as string)), concat('t', cast(c_custkey as string)), c_mktsegment FROM customer"""
 
 
 @query(
     "tree_paths",
-    """SELECT node, p[1] AS taxo1, p[2] AS taxo2, p[3] AS taxo3, p[4] AS taxo4 FROM (
-         SELECT node, list_filter([CASE WHEN m // 4 % 2 = 1 THEN n3 END, CASE WHEN m // 2 % 2 = 1 THEN n2 END, CASE WHEN m % 2 = 1 THEN n1 END],
-             lambda x: x IS NOT NULL) || [name] AS p
-         FROM up, unnest(range(8)) AS u(m)
-         WHERE m < CASE WHEN n1 IS NULL THEN 1 WHEN n2 IS NULL THEN 2 WHEN n3 IS NULL THEN 4 ELSE 8 END)""",
+    """SELECT menu, node, p[1] AS taxo1, p[2] AS taxo2, p[3] AS taxo3, p[4] AS taxo4 FROM (
+         SELECT DISTINCT menu, node, list_distinct_id, (list_transform(list_filter(range(1, len(line) + 1), lambda i: (m // cast(pow(2, i - 1) AS BIGINT)) % 2 = 1),
+             lambda i: line[i]) || [name])[1:4] AS p,
+           (list_filter(range(1, len(line) + 1), lambda i: (m // cast(pow(2, i - 1) AS BIGINT)) % 2 = 1) || [99])[1:4] AS chosen
+         FROM (SELECT *, 0 AS list_distinct_id FROM up), unnest(range(32)) AS u(m) WHERE m < pow(2, len(line)))""",
     (
-        f"nodes AS ({_NODES})",
-        """up AS (SELECT a.node, a.name, b.name AS n1, c.name AS n2, d.name AS n3 FROM nodes a LEFT JOIN nodes b ON a.parent = b.node
-           LEFT JOIN nodes c ON b.parent = c.node LEFT JOIN nodes d ON c.parent = d.node)""",
+        f"nodes AS (SELECT s.menu, n.* REPLACE (concat(name, ' ', s.menu) AS name) FROM ({_NODES}) n, (SELECT unnest(['A', 'B']) AS menu) s)",
+        """up AS (SELECT a.menu, a.node, a.name, list_filter([f.name, e.name, d.name, c.name, b.name], lambda x: x IS NOT NULL) AS line FROM nodes a
+           LEFT JOIN nodes b ON a.parent = b.node AND a.menu = b.menu LEFT JOIN nodes c ON b.parent = c.node AND b.menu = c.menu
+           LEFT JOIN nodes d ON c.parent = d.node AND c.menu = d.menu LEFT JOIN nodes e ON d.parent = e.node AND d.menu = e.menu
+           LEFT JOIN nodes f ON e.parent = f.node AND e.menu = f.menu)""",
     ),
 )
 def tree_paths_(spark, sf):
-    def level(name, key, parent, label, prefix, above):
+    """Two menus with the same node numbers, up to six levels deep."""
+
+    def level(name, key, label, prefix, parent=None, above=""):
         up = F.concat(F.lit(above), F.col(parent).cast("string")) if parent else F.lit(None).cast("string")
         return table(spark, sf, name).select(
-            F.concat(F.lit(prefix), F.col(key).cast("string")).alias("node"), up.alias("parent"), F.col(label).alias("name")
+            F.concat(F.lit(prefix), F.col(key).cast("string")).alias("node"), up.alias("parent"), F.col(label).cast("string").alias("name")
         )
 
     nodes = (
-        level("region", "r_regionkey", None, "r_name", "r", "")
-        .unionByName(level("nation", "n_nationkey", "n_regionkey", "n_name", "n", "r"))
-        .unionByName(level("customer", "c_custkey", "c_nationkey", "c_name", "c", "n"))
-        .unionByName(level("orders", "o_orderkey", "o_custkey", "o_orderpriority", "o", "c"))
+        level("region", "r_regionkey", "r_name", "r")
+        .unionByName(level("nation", "n_nationkey", "n_name", "n", "n_regionkey", "r"))
+        .unionByName(level("customer", "c_custkey", "c_name", "c", "c_nationkey", "n"))
+        .unionByName(level("customer", "c_custkey", "c_mktsegment", "s", "c_custkey", "c"))
+        .unionByName(level("customer", "c_custkey", "c_nationkey", "t", "c_custkey", "s"))
+        .unionByName(level("customer", "c_custkey", "c_mktsegment", "u", "c_custkey", "t"))
+    )
+    menus = nodes.select(F.explode(F.array(F.lit("A"), F.lit("B"))).alias("menu"), "node", "parent", "name")
+    named = menus.withColumn("name", F.concat_ws(" ", "name", "menu"))
+    return tree_paths(named, scope=["menu"]).select("menu", "node", "taxo1", "taxo2", "taxo3", "taxo4")
+
+
+# --- menus of pages -----------------------------------------------------------------------------
+
+_MENU = {
+    "root": (("MAN", "WOMAN", "KIDS", "HOME"), "page % 4"),
+    "second": (("JEANS", "NEW IN", "SHOES ", "T-SHIRTS", "X & Y"), "c_custkey % 5"),
+    "third": (("DRESSES", "BASIC", "COATS"), "c_custkey % 3"),
+}
+
+
+def _menu_sql() -> tuple[str, str, str]:
+    columns = ", ".join(f"{V.pick(values, index, V.DUCK)} AS {name}" for name, (values, index) in _MENU.items())
+    rows = f"menus AS (SELECT *, {columns} FROM (SELECT c_custkey, c_custkey // 20 AS page FROM customer))"
+    paths = """paths AS (
+      SELECT DISTINCT page, concat('/r/', page) AS url, root AS taxo1, 'None' AS taxo2, cast(NULL AS VARCHAR) AS taxo3, -1 AS k FROM menus
+      UNION ALL SELECT page, concat('/c/', c_custkey), root, second, NULL, c_custkey FROM menus
+      UNION ALL SELECT page, concat('/n/', c_custkey), root, third, NULL, c_custkey FROM menus
+      UNION ALL SELECT page, concat('/n/', c_custkey), root, second, third, c_custkey FROM menus)"""
+    rank = ladder_sql(L.CATEGORY_LADDERS["ZARA"])
+    return (
+        f"""SELECT page, taxo1, taxo2, taxo3, url FROM (SELECT *, row_number() OVER (PARTITION BY page, url
+              ORDER BY {rank}, taxo1 NULLS LAST, taxo2 NULLS LAST, taxo3 NULLS LAST) AS n FROM paths WHERE taxo1 <> 'HOME') WHERE n = 1""",
+        rows,
+        paths,
+    )
+
+
+@query("zara_categories", _menu_sql()[0], _menu_sql()[1:])
+def zara_categories(spark, sf):
+    """Menus of 20 customers each, with the same entries over and over: only the page keeps them apart."""
+    rows = table(spark, sf, "customer").selectExpr("c_custkey", "c_custkey div 20 AS page")
+    rows = rows.withColumns({n: F.expr(V.pick(values, index, V.SPARK)) for n, (values, index) in _MENU.items()})
+    entry = F.format_string(
+        "<LI class='e' data-name='%s'><a data-href=/c/%d>x</a><ul><li data-name=\"%s\"><a href='/n/%d'>n</a><p>a<br></li></ul></LI>",
+        F.replace("second", F.lit("&"), F.lit("&amp;")), F.col("c_custkey"), F.col("third"), F.col("c_custkey"),
+    )
+    pages = rows.groupBy("page", "root").agg(F.array_sort(F.collect_list(F.struct("c_custkey", entry.alias("e")))).alias("es"))
+    html = F.concat(
+        F.lit("<nav></li><!-- <li data-name='NO'> --><script>var t = '<li>';</script><ul><li data-name='"), "root", F.lit("'><a href=\"/r/"),
+        F.col("page").cast("string"), F.lit("\">r</a><ul><li><span>no entry</span><ul>"), F.array_join("es.e", ""), F.lit("</ul></li></ul></li></ul></nav>"),
+    )
+    menus = P.menu_tree(pages.select(F.lit("ZARA").alias("shop"), "page", html.alias("html")))
+    listed = categories.zara(menus.withColumn("seq", F.col("node")), keep=("page",))
+    return listed.select("page", "taxo1", "taxo2", "taxo3", "url")
+
+
+# --- filter blocks ------------------------------------------------------------------------------
+
+_BLOCK_SHOPS = ("ASOS", "JOHN_LEWIS", "MS")
+_BLOCKS = {
+    "ASOS": "<div class='x bybwbES'><div class=\"_3lFxFJi\"> {0} </div><div class=\"_2h_c2tR\"><input value=\"{2}\"><label> {1} </label></div></div>",
+    "JOHN_LEWIS": "<DIV class=\"faceted-filters-accordion\"><h3> {0} </h3><div><ul><li><a href='{2}'>{1}</a></li></ul></div></DIV>",
+    "MS": "<li class=\"accordion__item big\"><input><label><h3>{0}</h3></label><div><ul><li><input><span><a href='{2}'>{1} (3)</a></span></li></ul></div></li>",
+}
+
+
+def _block(shop: str, title: str, label: str, value: str):
+    parts = _BLOCKS[shop].replace("{0}", title).replace("{2}", value).split("{1}")
+    return F.concat(F.lit(parts[0]), F.col(label), F.lit(parts[1]))
+
+
+@query(
+    "titled_facets",
+    f"""SELECT p_partkey, shop, cast(CASE WHEN leaf IS NOT NULL THEN i END AS INTEGER) AS pos, leaf, CASE WHEN leaf IS NOT NULL THEN CASE i WHEN 0 THEN '/1' ELSE '/2' END END AS value
+        FROM (SELECT p_partkey, shop, i, CASE
+            WHEN p_partkey % 2 = 0 THEN CASE i WHEN 0 THEN p_brand ELSE p_type END
+            WHEN shop = 'MS' AND p_partkey % 5 < 3 AND i = 0 THEN p_type END AS leaf
+          FROM (SELECT *, {V.pick(_BLOCK_SHOPS, "p_partkey % 3", V.DUCK)} AS shop FROM part), unnest([0, 1]) AS u(i))
+        WHERE leaf IS NOT NULL OR (i = 0)""",
+)
+def titled_facets(spark, sf):
+    """Every second page has two blocks of the first title; others one of a later step, or only look-alikes."""
+    rows = table(spark, sf, "part").withColumn("shop", F.expr(V.pick(_BLOCK_SHOPS, "p_partkey % 3", V.SPARK)))
+    html = by_shop(
+        {
+            shop: F.concat(
+                F.lit("<html><ul>"), _block(shop, "Brand", "p_brand", "/0"), _block(shop, "Free Style", "p_brand", "/0"),
+                F.when(F.col("p_partkey") % 2 == 0, F.concat(_block(shop, "Product Type", "p_brand", "/1"), _block(shop, "Product Type", "p_type", "/2")))
+                .when(F.col("p_partkey") % 5 < 2, F.concat(_block(shop, "Style", "p_brand", "/3"), _block(shop, "Category", "p_type", "/1")))
+                .when(F.col("p_partkey") % 5 == 2, _block(shop, "Style", "p_type", "/1")).otherwise(F.lit("")),
+                F.lit("</ul></html>"),
+            )
+            for shop in _BLOCK_SHOPS
+        }
+    )
+    return P.titled_facets(rows.select("p_partkey", "shop", html.alias("html")))
+
+
+@query(
+    "json_facets",
+    """SELECT p_partkey, cast(CASE WHEN leaf IS NOT NULL THEN i END AS INTEGER) AS pos, leaf FROM (
+         SELECT p_partkey, i, CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 4 <> 0 THEN CASE i WHEN 0 THEN p_brand ELSE p_type END END AS leaf
+         FROM part, unnest([0, 1]) AS u(i)) WHERE leaf IS NOT NULL OR i = 0""",
+)
+def json_facets(spark, sf):
+    """Styles are listed only where fewer than four levels are known: the third level counts twice."""
+    body = F.when(F.col("p_partkey") % 4 == 0, F.lit('{"facets":[{"code":"size","values":[{"code":"s"}]}]}')).otherwise(
+        F.concat(F.lit('{"facets":[{"code":"style","values":[{"code":"'), "p_brand", F.lit('"},{"code":"'), "p_type", F.lit('"}]}]}'))
+    )
+    pages = table(spark, sf, "part").select(
+        "p_partkey", F.lit("men").alias("taxo1"), F.lit("tops").alias("taxo2"),
+        F.when(F.col("p_partkey") % 3 == 0, "slim").alias("taxo3"), body.alias("body"),
     )
-    return tree_paths(nodes).select("node", "taxo1", "taxo2", "taxo3", "taxo4")
+    return payloads.style_facets(pages).select("p_partkey", "pos", "leaf")

@@ -185,6 +185,7 @@ SAFE_NAME = "coalesce(name, 'unnamed')"
 # 7 stock word, 8 tracking text, 9 price in pence.
 KIND = (
     "case when shop = 'ASOS' then concat('ASOS', cast(seq % 2 as string)) "
+    "when shop = 'JOHN_LEWIS' and seq % 13 = 5 then 'JOHN_LEWIS1' "
     "when shop = 'ZARA' then case when seq % 2 = 0 then 'ZARA0' when seq % 11 = 0 then 'ZARA2' else 'ZARA1' end else shop end"
 )
 ID_ENTRIES = {
@@ -193,6 +194,12 @@ ID_ENTRIES = {
     "JOHN_LEWIS": ' data-product-id="%s"', "MS": "%s",
 }
 _ASOS = '{%1$s"productCode":"c%2$s",TITLE"name":"n %3$s","price":{"current":{"value":%4$s}},"url":"p/%2$s"}'
+# names in either case, values without quotes, several class names, entities; a price without a number
+_JOHN_LEWIS = (
+    '<SECTION class="product-card product-card--wide"%1$s><img src="i.png"><div><a class=x href="p/%2$s?a=1&amp;b=2"><h2> %3$s &amp; co</h2>'
+    '<span class="product-card__price">£%4$s</span><span class="product-card__price was">WAS</span></a></div></SECTION>'
+    '<section class=product-card-list></section>'
+)
 ITEMS = {
     "ASOS0": _ASOS.replace("TITLE", '"title":"%3$s",'),
     "ASOS1": _ASOS.replace("TITLE", ""),
@@ -205,11 +212,10 @@ ITEMS = {
     "ZARA0": '{%1$s"detail":{"reference":"r%2$s"},"name":"%3$s","price":%9$s}',
     "ZARA1": '{%1$s"detail":{"reference":"r%2$s"},"bundleProductSummaries":[{"name":"set %3$s","price":%9$s}]}',
     "ZARA2": '{%1$s"detail":{"reference":"r%2$s"},"bundleProductSummaries":[]}',
-    "JOHN_LEWIS": '<section class="product-card"%1$s><img src="i.png"><div><a class="x" href="p/%2$s"><h2> %3$s &amp; co</h2>'
-                  '<span class="product-card__price">£%4$s</span><span class="product-card__price was">£45.00</span>'
-                  "</a></div></section>",
-    "MS": '<a class="product" href="/shop/p/%1$s?x=1"><h3 class="product__title"> %3$s </h3>'
-          '<p class="product__price"><b><i></i>£%4$s</b></p></a>',
+    "JOHN_LEWIS": _JOHN_LEWIS.replace("WAS", "£45.00"),
+    "JOHN_LEWIS1": _JOHN_LEWIS.replace("WAS", "?"),
+    "MS": '<A href="/shop/p/%1$s?x=1&amp;y=2" class="x product"><h3 class="product__title"> %3$s </h3>'
+          '<p class="product__price big"><b><i></i>£%4$s</b></p></A>',
 }
 BODIES = {
     "ASOS": ('{"itemCount":1,"products":[', "]}"),

@@ -72,36 +72,41 @@ def day1_totals(stocked: DataFrame, levels: Sequence[str] = NODE[1:]) -> DataFra
     )
 
 
+def with_first(stocked: DataFrame, levels: Sequence[str] = NODE[1:], until: Column | None = None) -> DataFrame:
+    """Product days with ``_first``, the product's first day, and ``_start``, that of the table.
+
+    Rows are reduced to products and days before the window, which sees one row per day at most.
+    The table's first day is read from the same reduced rows, whose exchange is planned once.
+    """
+    days = stocked if until is None else stocked.where(F.col("d") <= until)
+    daily = daily_products(days, levels)
+    start = daily.agg(F.min(F.struct("d", "new_id", "shop", *levels)).alias("least")).select("least.d").scalar()
+    return daily.withColumns({"_first": F.min("d").over(Window.partitionBy("new_id")), "_start": start})
+
+
 def cohort_counts(
     stocked: DataFrame, levels: Sequence[str] = NODE[1:], until: datetime.date | Column | None = None
 ) -> DataFrame:
     """New and old products per day and node next to the day-1 total of the node.
 
     Days run from the day after the first one to ``until`` (today if not given). Counts are null,
-    not 0, where a node has no such product; the same holds for the total.
-
-    Rows are reduced to products and days first; the window for a product's first day then sees at
-    most one row per day. Day-1 totals are the old counts of the first day and are picked from the
-    counted nodes, so the table is not read again for them.
+    not 0, where a node has no such product; the same holds for the total, which is the old count
+    of the first day and picked from the counted nodes.
     """
     until = F.current_date() if until is None else (until if isinstance(until, Column) else F.lit(until))
     node = ("shop", *levels)
-    start = first_day(stocked)
-    daily = daily_products(stocked.where(F.col("d") <= until), levels)
-    seen = daily.withColumn("_first", F.min("d").over(Window.partitionBy("new_id")))
     counts = (
-        classified(seen, node)
-        .withColumn("_old", F.col("_first") == start)
-        .groupBy("d", *node)
+        classified(with_first(stocked, levels, until), node)
+        .groupBy("d", "_start", *node)
         .agg(
-            F.sum(F.when(~F.col("_old"), 1)).alias("item_not_present_day1"),
-            F.sum(F.when(F.col("_old"), 1)).alias("item_present_day1"),
+            F.sum(F.when(F.col("_first") > F.col("_start"), 1)).alias("item_not_present_day1"),
+            F.sum(F.when(F.col("_first") == F.col("_start"), 1)).alias("item_present_day1"),
         )
     )
-    total = F.max(F.when(F.col("d") == start, F.col("item_present_day1")))
+    total = F.max(F.when(F.col("d") == F.col("_start"), F.col("item_present_day1")))
     return (
         counts.withColumn("Total_item_day_1", total.over(Window.partitionBy(*node)))
-        .where(F.col("d") > start)
+        .where(F.col("d") > F.col("_start"))
         .select(
             F.col("d").alias("date"),
             *node,
@@ -113,21 +118,23 @@ def cohort_counts(
 
 
 def split_by_day1(stocked: DataFrame, levels: Sequence[str] = NODE[1:]) -> tuple[DataFrame, DataFrame]:
-    """(old, new) product days after the first day, by semi and anti join with the day-1 products."""
-    later = daily_products(stocked.where(F.col("d") > first_day(stocked)), levels)
-    ids = day1_ids(stocked)
-    return later.join(ids, "new_id", "left_semi"), later.join(ids, "new_id", "left_anti")
-
-
-def node_counts(daily: DataFrame, out: str, levels: Sequence[str] = NODE[1:]) -> DataFrame:
-    node = ("shop", *levels)
-    return classified(daily, node).groupBy("d", *node).agg(F.count("*").alias(out))
+    """(old, new) product days after the first day: a product is old if its own first day is that day."""
+    later = with_first(stocked, levels).where(F.col("d") > F.col("_start"))
+    kept = ["new_id", "d", "shop", *levels]
+    return (
+        later.where(F.col("_first") == F.col("_start")).select(*kept),
+        later.where(F.col("_first") > F.col("_start")).select(*kept),
+    )
 
 
 def cohort_outer(stocked: DataFrame, levels: Sequence[str] = NODE[1:]) -> DataFrame:
-    """New counts full outer joined with old counts on day and node."""
-    old, new = split_by_day1(stocked, levels)
-    on = ["d", "shop", *levels]
-    return node_counts(new, "item_not_present_day1", levels).join(
-        node_counts(old, "item_present_day1", levels), on, "full_outer"
+    """New next to old counts on day and node, null where there is none.
+
+    Both are counted in one pass, which a full outer join of two counts would do in two.
+    """
+    node = ("shop", *levels)
+    rows = classified(with_first(stocked, levels), node).where(F.col("d") > F.col("_start"))
+    return rows.groupBy("d", *node).agg(
+        F.sum(F.when(F.col("_first") > F.col("_start"), 1)).alias("item_not_present_day1"),
+        F.sum(F.when(F.col("_first") == F.col("_start"), 1)).alias("item_present_day1"),
     )

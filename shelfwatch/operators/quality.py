@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,7 +46,10 @@ def log_of_level(log: DataFrame, level: str) -> DataFrame:
 def run_isolated(spark: SparkSession, jobs: dict[str, Callable[[], None]]) -> DataFrame:
     """Run one job per shop; a failing shop is logged and does not stop the others."""
     rows = []
-    now = lambda: spark.sql("select current_timestamp()").head()[0]
+
+    def now() -> datetime.datetime:
+        return datetime.datetime.now(datetime.timezone.utc)
+
     for shop, job in jobs.items():
         rows.append((now(), TIMING, shop, "start", None))
         try:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfwatch.config.shops import AGGREGATED, Shop
 from shelfwatch.functions.levels import below_root, lookup, shift_levels
 from shelfwatch.operators.classify import class_of, classify, with_name_lc
-from shelfwatch.operators.quality import duplicates
+from shelfwatch.operators.quality import duplicates, run_isolated
 from shelfwatch.schema import MAN
 from shelfwatch.sources import tables
 from shelfwatch.sources.snapshots import OLD_URL, read_snapshots, typed_snapshots
@@ -30,6 +31,23 @@ def _case(shops: Sequence[Shop], trait: Callable, make: Callable, otherwise: Col
     return otherwise if out is None else out.otherwise(otherwise)
 
 
+def unit_price(shops: Sequence[Shop] = AGGREGATED) -> Column:
+    """Price in pounds; some shops' files have pence."""
+    divisor = _case(shops, lambda s: s.price_divisor if s.price_divisor != 1 else None, F.lit, F.lit(1))
+    return F.col("price") / divisor
+
+
+def link() -> Column:
+    """The link, which older files have in a column of another name."""
+    return F.coalesce(OLD_URL, "URL")
+
+
+def with_needed_name(df: DataFrame, shops: Sequence[Shop] = AGGREGATED) -> DataFrame:
+    """Rows without a name leave where the shop's rules need one."""
+    must_name = [s.name for s in shops if s.needs_name]
+    return df.where(F.col("name").isNotNull() | ~F.col("src_shop").isin(must_name)) if must_name else df
+
+
 def clean_shops(raw: DataFrame, shops: Sequence[Shop] = AGGREGATED) -> DataFrame:
     """Rows of the given shops in the common taxonomy; all roots but MAN and WOMAN leave.
 
@@ -48,10 +66,7 @@ def clean_shops(raw: DataFrame, shops: Sequence[Shop] = AGGREGATED) -> DataFrame
     gender = F.col("taxo1")
     if genders:
         gender = F.coalesce(lookup(F.concat_ws("/", "src_shop", "taxo1"), genders), gender)
-    divisor = _case(shops, lambda s: s.price_divisor if s.price_divisor != 1 else None, F.lit, F.lit(1))
-    must_name = [s.name for s in shops if s.needs_name]
-    if must_name:
-        df = df.where(F.col("name").isNotNull() | ~F.col("src_shop").isin(must_name))
+    df = with_needed_name(df, shops)
     men = _case(shops, lambda s: s.men, class_of, F.lit(""))
     women = _case(shops, lambda s: s.women, class_of, F.lit(""))
     df = classify(with_name_lc(df.withColumn("taxo1", gender)), men, women)
@@ -60,20 +75,32 @@ def clean_shops(raw: DataFrame, shops: Sequence[Shop] = AGGREGATED) -> DataFrame
         "id",
         "reference",
         "name",
-        (F.col("price") / divisor).alias("price"),
+        unit_price(shops).alias("price"),
         "inStock",
         "taxo1",
         "taxo2",
         "taxo3",
         "taxo4",
-        F.coalesce(OLD_URL, "URL").alias("URL"),
+        link().alias("URL"),
         "date",
         F.struct((F.col("taxo1") != MAN).alias("other"), (~F.col("_shifted")).alias("kept"), F.col("seq").alias("row")).alias("seq"),
     )
 
 
-def run(spark: SparkSession, landing: str, out: str, shops: Sequence[Shop] = AGGREGATED) -> DataFrame:
-    """Landing zone to the combined table; returns the duplicate (shop, id, date) notice."""
-    raw = typed_snapshots(read_snapshots(spark, landing, [s.name for s in shops]))
-    tables.write_aggregate(clean_shops(raw, shops), out)
+def run(spark: SparkSession, landing: str, out: str, shops: Sequence[Shop] = AGGREGATED, log_path: str | None = None) -> DataFrame:
+    """Landing zone to the combined table; returns the duplicate (shop, id, date) notice.
+
+    All shops run in one plan; if it fails, each by itself, and the failing ones are logged.
+    """
+
+    def one(some: Sequence[Shop]) -> None:
+        raw = typed_snapshots(read_snapshots(spark, landing, [s.name for s in some]))
+        tables.write_aggregate(clean_shops(raw, some), out)
+
+    try:
+        one(shops)
+    except Exception:  # found out below, shop by shop
+        log = run_isolated(spark, {s.name: partial(one, [s]) for s in shops})
+        if log_path:
+            tables.append_log(log, log_path)
     return duplicates(spark.read.parquet(out))

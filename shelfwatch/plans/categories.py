@@ -60,10 +60,12 @@ def starts_any(col: Column, values) -> Column:
     return _any(lambda v: F.startswith(col, F.lit(v)), values)
 
 
-def categories(df: DataFrame, levels: list[Column], url: Column, seq: str = "seq") -> DataFrame:
+def categories(
+    df: DataFrame, levels: list[Column], url: Column, seq: str = "seq", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """The common layout; missing levels are null."""
     levels = levels + [F.lit(None).cast("string")] * (4 - len(levels))
-    return df.select("shop", *[c.alias(n) for c, n in zip(levels, TAXO)], url.alias("url"), F.col(seq).alias("seq"))
+    return df.select("shop", *keep, *[c.alias(n) for c, n in zip(levels, TAXO)], url.alias("url"), F.col(seq).alias("seq"))
 
 
 def asos(links: DataFrame) -> DataFrame:
@@ -94,14 +96,14 @@ def john_lewis(links: DataFrame) -> DataFrame:
     listed = categories(
         kept, url_levels(F.col("href"), (2, 3, 4), drop="_"), F.concat(F.lit(JOHN_LEWIS_HOME), "href")
     )
-    return _distinct(listed)
+    return distinct_categories(listed)
 
 
 def ms(links: DataFrame) -> DataFrame:
     kept = links.where(
         starts_any(F.col("href"), MS_ROOTS) & ~F.contains(F.col("href"), F.lit("new-in"))
     ).withColumn("href", F.substring_index("href", "?", 1))
-    return _distinct(categories(kept, url_levels(F.col("href"), (2, 3, 4)), F.concat(F.lit(MS_HOME), "href")))
+    return distinct_categories(categories(kept, url_levels(F.col("href"), (2, 3, 4)), F.concat(F.lit(MS_HOME), "href")))
 
 
 def newlook(menus: DataFrame) -> DataFrame:
@@ -126,16 +128,20 @@ def newlook(menus: DataFrame) -> DataFrame:
 def primark(menu: DataFrame) -> DataFrame:
     """``menu``: (shop, category, seq), the comma code of each menu entry."""
     listed = categories(menu, pick(F.split("category", ","), range(3)), F.col("category"))
-    return _distinct(listed).where(member(F.col("taxo1"), PRIMARK_ROOTS))
+    return distinct_categories(listed).where(member(F.col("taxo1"), PRIMARK_ROOTS))
 
 
-def zara(nodes: DataFrame) -> DataFrame:
-    """``nodes``: (shop, node, parent, name, url, seq) of the menu tree."""
-    paths = tree_paths(nodes).where(member(F.col("taxo1"), ZARA_ROOTS))
+def zara(nodes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``nodes``: (shop, page, node, parent, name, url, seq) of the menus; nodes are numbered per page.
+
+    ``page`` may be absent if there is one menu per shop. ``keep`` names further columns to carry.
+    """
+    scope = [c for c in ("shop", "page") if c in nodes.columns]
+    paths = tree_paths(nodes, scope=scope).where(member(F.col("taxo1"), ZARA_ROOTS))
     named = paths.withColumn("taxo2", F.coalesce("taxo2", F.lit("None")))
     ranked = with_rank(named, CATEGORY_LADDERS, "_rank")
-    first = keep_first(ranked, ["shop", "url"], ["_rank", *TAXO, "seq"])
-    return categories(first, [F.col(c) for c in TAXO], F.col("url"))
+    first = keep_first(ranked, [*scope, "url"], ["_rank", *TAXO, "seq"])
+    return categories(first, [F.col(c) for c in TAXO], F.col("url"), keep=keep)
 
 
 def tkmaxx(locs: DataFrame) -> DataFrame:
@@ -152,6 +158,6 @@ def tkmaxx(locs: DataFrame) -> DataFrame:
     )
 
 
-def _distinct(listed: DataFrame) -> DataFrame:
+def distinct_categories(listed: DataFrame) -> DataFrame:
     """Distinct rows, each with its first place in the list."""
     return listed.groupBy("shop", *TAXO, "url").agg(F.min("seq").alias("seq"))

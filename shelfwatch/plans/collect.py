@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.config.ladders import CATEGORY_LADDERS, KEEP_ALL_LISTINGS, PRODUCT_LADDERS
 from shelfwatch.functions.levels import level_array
 from shelfwatch.operators.dedup import first_category_wins, keep_first, with_rank
-from shelfwatch.operators.quality import first_reason, log_rows
-from shelfwatch.schema import MINOR, PRODUCT, TAXO
+from shelfwatch.operators.quality import first_reason, log_rows, run_isolated
+from shelfwatch.schema import MEDIUM, MINOR, PRODUCT, SHOPS, TAXO
+from shelfwatch.session import stored
 from shelfwatch.sources import payloads, tables
-from shelfwatch.sources.pages import CARDS, product_cards
+from shelfwatch.sources.pages import CARDS, NO_CARDS, product_cards
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -19,14 +22,18 @@ def canonical(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRODUCT], "seq")
 
 
-def json_products(captures: DataFrame, filters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(raw products, rejects) of the shops that answer in JSON."""
-    flat = payloads.flatten(captures)
+def json_rows(captures: DataFrame) -> DataFrame:
+    """Items of all JSON bodies with ``reason``, and one row per unreadable page: each body parsed once."""
+    return payloads.flatten(captures)
+
+
+def json_products(flat: DataFrame, filters: DataFrame | None = None) -> DataFrame:
+    """Raw products of the shops that answer in JSON."""
     good = payloads.good_rows(flat)
     if filters is not None:
         good = payloads.with_sub_category(good, payloads.sub_categories(filters))
-    # Categories own their products in the order they are visited, in one shop. Captures are
-    # stored by shop, so the two branches read different folders and only this shop is shuffled.
+    # Categories own their products in the order they are visited, in one shop. Rows are stored by
+    # shop, so the two branches read different folders and only this shop is shuffled.
     ours = F.col("shop") == "GAP"
     owned = first_category_wins(
         good.where(ours).withColumn("date", F.col("captured_at").cast("date")),
@@ -36,13 +43,19 @@ def json_products(captures: DataFrame, filters: DataFrame | None = None) -> tupl
     ).drop("date")
     rows = good.where(~ours).unionByName(owned)
     out = payloads.with_levels(rows).withColumns({"date": F.col("captured_at"), "seq": F.struct("page_seq", "pos")})
-    return canonical(out.drop("url").withColumnRenamed("product_url", "URL")), payloads.rejects(flat)
+    return canonical(out.drop("url").withColumnRenamed("product_url", "URL"))
+
+
+def card_rows(captures: DataFrame) -> DataFrame:
+    """Cards of the shops whose pages are read card by card, with ``reason``; a row per page without any."""
+    cards = product_cards(captures.withColumnRenamed("url", "page_url"), CARDS, "body")
+    no_cards = F.col("pos").isNull()
+    checks = [(no_cards, NO_CARDS), *[(F.col(c).isNull(), f"missing {c}") for c in ("id", "url")]]
+    return cards.withColumn("reason", first_reason([*checks, (F.col("bad_price"), "price is not a number")]))
 
 
-def card_products(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(raw products, rejects) of the shops whose pages are read card by card."""
-    missing = first_reason([(F.col(c).isNull(), f"missing {c}") for c in ("id", "url")])
-    cards = product_cards(captures.withColumnRenamed("url", "page_url"), CARDS, "body").withColumn("reason", missing)
+def card_products(cards: DataFrame) -> DataFrame:
+    """Raw products of the cards without a reason against them."""
     levels = level_array([F.col(c) for c in TAXO[:3]], F.col("leaf"))
     good = cards.where(F.col("reason").isNull()).withColumn("_levels", levels)
     good = good.withColumns({c: F.get("_levels", F.lit(i)) for i, c in enumerate(TAXO)}).withColumns(
@@ -53,15 +66,26 @@ def card_products(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
             "seq": F.struct("page_seq", "pos"),
         }
     )
+    return canonical(good)
+
+
+def card_rejects(cards: DataFrame) -> DataFrame:
     bad = cards.where(F.col("reason").isNotNull())
-    return canonical(good), log_rows(bad, MINOR, F.col("reason"), "page_url")
+    level = F.when(F.col("reason") == NO_CARDS, MEDIUM).otherwise(MINOR)
+    return log_rows(bad, level, F.col("reason"), "page_url")
 
 
 def collect(captures: DataFrame, filters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(raw products, rejects) of all shops."""
-    json_good, json_bad = json_products(captures, filters)
-    card_good, card_bad = card_products(captures)
-    return json_good.unionByName(card_good), json_bad.unionByName(card_bad)
+    return products(json_rows(captures), card_rows(captures), filters), rejects(json_rows(captures), card_rows(captures))
+
+
+def products(flat: DataFrame, cards: DataFrame, filters: DataFrame | None = None) -> DataFrame:
+    return json_products(flat, filters).unionByName(card_products(cards))
+
+
+def rejects(flat: DataFrame, cards: DataFrame) -> DataFrame:
+    return payloads.rejects(flat).unionByName(card_rejects(cards))
 
 
 def clean(raw: DataFrame, hm_dedup: bool = False) -> DataFrame:
@@ -90,14 +114,27 @@ def clean(raw: DataFrame, hm_dedup: bool = False) -> DataFrame:
     return first.drop("_day", "_rank", "_own", "_level4")
 
 
+def _run(captures: DataFrame, raw_path: str, clean_path: str, log_path: str, filters: DataFrame | None) -> None:
+    """Bodies are parsed once, into written rows that raw, log, days and clean are read from."""
+    flat, cards = stored(json_rows(captures), "items"), stored(card_rows(captures), "cards")
+    tables.append_log(rejects(flat, cards), log_path)
+    raw = products(flat, cards, filters)
+    tables.write_snapshot(raw, raw_path)
+    seen = flat.select("captured_at").union(cards.select("captured_at"))
+    days = [r[0] for r in seen.select(F.col("captured_at").cast("date")).distinct().collect()]  # days of one run
+    written = captures.sparkSession.read.parquet(raw_path).where(F.col("snapshot_date").isin(days))
+    shops = [r[0] for r in flat.select("shop").union(cards.select("shop")).distinct().collect()]
+    tables.write_snapshot(clean(written.where(F.col("shop").isin(shops)).drop("snapshot_date")), clean_path)
+
+
 def run(captures: DataFrame, raw_path: str, clean_path: str, log_path: str, filters: DataFrame | None = None) -> None:
-    """Write raw snapshot, cleaned snapshot and rejects.
+    """Write raw snapshot, cleaned snapshot and log.
 
-    The cleaned snapshot is made from the written raw rows, so captures are parsed once for both.
+    All shops run in one plan. If it fails, each shop runs by itself: the one at fault is logged,
+    the others are written.
     """
-    raw, bad = collect(captures, filters)
-    tables.append_log(bad, log_path)
-    tables.write_snapshot(raw, raw_path)
-    days = [r[0] for r in captures.select(F.col("captured_at").cast("date")).distinct().collect()]
-    written = captures.sparkSession.read.parquet(raw_path).where(F.col("snapshot_date").isin(days))
-    tables.write_snapshot(clean(written.drop("snapshot_date")), clean_path)
+    try:
+        _run(captures, raw_path, clean_path, log_path, filters)
+    except Exception:  # found out below, shop by shop
+        jobs = {s: partial(_run, captures.where(F.col("shop") == s), raw_path, clean_path, log_path, filters) for s in SHOPS}
+        tables.append_log(run_isolated(captures.sparkSession, jobs), log_path)

@@ -1,7 +1,8 @@
-"""Stored HTML pages: links, product cards, filter facets, embedded JSON.
+"""Stored HTML pages: links, product cards, filter facets, menus, embedded JSON.
 
-Pages are not well-formed, so all extraction is by pattern (``xpath`` would abort the job).
-Patterns are parameters; the page-specific ones of the tracked shops are defaults.
+Pages are not well-formed, so all extraction is by pattern (``xpath`` would abort the job): names
+in any case, attributes in double, single or no quotes, entities decoded. Patterns are parameters;
+the page-specific ones of the tracked shops are defaults.
 """
 
 from __future__ import annotations
@@ -9,34 +10,58 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.conditions import by_shop
-from shelfwatch.functions.text import first_group, min_price_number, strip
+from shelfwatch.functions.text import first_group, min_price_number, price_in_text, strip
 
-LINK = r"(?s)<a\s[^>]*>.*?</a>"
-HREF = r'(?s)^<a\s[^>]*?href="([^"]*)"'
-LINK_TEXT = r"(?s)^<a\s[^>]*>(.*?)</a>"
+LINK = r"(?is)<a\s[^>]*>.*?</a>"
+LINK_TEXT = r"(?is)^<a\s[^>]*>([^<]*)"
+TAG = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|</?[a-z][^>]*>"
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
+    ("&nbsp;", "\u00a0"), ("&pound;", "£"), ("&#163;", "£"), ("&amp;", "&"),
+)
+
+
+def unescape(col: Column) -> Column:
+    """The entities a shop page uses in attributes and texts; ``&amp;`` last, so none is decoded twice."""
+    for entity, plain in ENTITIES:
+        col = F.replace(col, F.lit(entity), F.lit(plain))
+    return col
+
+
+def attribute_pattern(name: str) -> str:
+    """An attribute with its value in group 1, 2 or 3: double quotes, single quotes, none."""
+    return rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded value of the first attribute of that name in a tag or fragment; null if there is none."""
+    found = attribute_pattern(name)
+    value = F.concat(*[F.regexp_extract(tag, found, g) for g in (1, 2, 3)])
+    return F.when(tag.rlike(found), unescape(value))
+
+
+def has_class(token: str) -> str:
+    """Pattern of a class attribute that has ``token`` among its names."""
+    return rf"""\sclass\s*=\s*(?:"(?:[^"]*\s)?{token}(?:\s[^"]*)?"|'(?:[^']*\s)?{token}(?:\s[^']*)?'|{token}(?=[\s>]))"""
 
 
 def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """All links of each page in order: (pos, href, text)."""
+    """All links of each page in order: (pos, href, text).
+
+    ``text`` is what stands before the link's first child, null if nothing does.
+    """
     tags = F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(0))
     exploded = pages.select(*[c for c in pages.columns if c != html], F.posexplode(tags).alias("pos", "_tag"))
+    opening = F.regexp_extract("_tag", r"(?is)^<a\s[^>]*>", 0)
     return exploded.withColumns(
-        {"href": first_group(F.col("_tag"), HREF), "text": strip(F.regexp_extract("_tag", LINK_TEXT, 1))}
+        {"href": attribute(opening, "href"), "text": unescape(F.nullif(strip(F.regexp_extract("_tag", LINK_TEXT, 1)), F.lit("")))}
     ).drop("_tag")
 
 
-def unescape(col: Column) -> Column:
-    """The five entities a shop page uses in attributes and titles."""
-    for entity, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        col = F.replace(col, F.lit(entity), F.lit(plain))
-    return col
-
-
 # fixed values: the page variable that carries the products of one shop
 DATA_LAYER = (
     r"(?s)window\.zara\.dataLayer\s+=\s+(\{.*?\});window\.zara\.viewPayload = window\.zara\.dataLayer"
@@ -54,58 +79,65 @@ class Card:
     """Patterns for one kind of product card. ``price`` may match several times per card."""
 
     card: str
-    id: str
-    href: str
+    id: str  # attribute of the card's own tag, or with ``id_in_link`` a pattern on the link
     name: str
     price: str
     base_url: str = ""
+    id_in_link: bool = False
     smallest_price: bool = True  # else the last one
 
 
 # fixed values: card markup of the two shops that are read from HTML
 CARDS = {
     "JOHN_LEWIS": Card(
-        card=r'(?s)<section[^>]*class="product-card".*?</section>',
-        id=r'data-product-id="([^"]*)"',
-        href=r'(?s)<a\s[^>]*?href="([^"]*)"',
-        name=r"(?s)<h2[^>]*>(.*?)</h2>",
-        price=r'(?s)class="product-card__price[^"]*"[^>]*>([^<]*)<',
+        card=rf"(?is)<section\b(?=[^>]*{has_class('product-card')}).*?</section>",
+        id="data-product-id",
+        name=r"(?is)<h2[^>]*>([^<]*)",
+        price=r"""(?is)\sclass\s*=\s*["']?product-card__price[^>]*>([^<]*)<""",
         base_url="https://www.johnlewis.com/",
     ),
     "MS": Card(
-        card=r'(?s)<a\s[^>]*class="product".*?</a>',
+        card=rf"(?is)<a\b(?=[^>]*{has_class('product')}).*?</a>",
         id=r"(?i)/p/([a-zA-Z0-9]+)",
-        href=r'(?s)<a\s[^>]*?href="([^"]*)"',
-        name=r'(?s)class="product__title"[^>]*>(.*?)<',
-        price=r'(?s)class="product__price"[^>]*>(?:<[^>]*>)*([^<]*)<',
+        name=rf"(?is){has_class('product__title')}[^>]*>([^<]*)",
+        price=rf"(?is){has_class('product__price')}[^>]*>(?:<[^>]*>)*([^<]*)<",
         base_url="https://www.marksandspencer.com/",
+        id_in_link=True,
         smallest_price=False,
     ),
 }
+NO_CARDS = "no product cards"
 
 
 def product_cards(pages: DataFrame, specs: dict[str, Card] = CARDS, html: str = "html") -> DataFrame:
-    """One row per card: (pos, id, name, price, url). The row's shop selects the patterns."""
+    """One row per card: (pos, id, name, price, url, bad_price). The row's shop selects the patterns.
+
+    ``bad_price`` says that a price text of the card has no number. A page without cards keeps one
+    row with a null ``pos``.
+    """
 
     def each(make) -> Column:
         return by_shop({shop: make(spec) for shop, spec in specs.items()})
 
-    def prices(spec: Card) -> Column:
-        found = F.regexp_extract_all(F.col("_card"), F.lit(spec.price), F.lit(1))
-        last = F.slice(found, F.greatest(F.size(found), F.lit(1)), F.lit(1))
-        return found if spec.smallest_price else last
-
     cards = each(lambda s: F.regexp_extract_all(F.col(html), F.lit(s.card), F.lit(0)))
     mine = pages.where(F.col("shop").isin(list(specs)))
-    out = mine.select(*[c for c in pages.columns if c != html], F.posexplode(cards).alias("pos", "_card"))
+    out = mine.select(*[c for c in pages.columns if c != html], F.posexplode_outer(cards).alias("pos", "_card"))
+    own = F.regexp_extract("_card", r"(?is)^<[^>]*>", 0)
+    href = F.when(own.rlike(r"(?i)^<a\s"), attribute(own, "href")).otherwise(
+        attribute(F.regexp_extract("_card", r"(?is)<a\s[^>]*>", 0), "href")
+    )
+    out = out.withColumn("url", F.concat(each(lambda s: F.lit(s.base_url)), href)).withColumn(
+        "_prices", each(lambda s: F.regexp_extract_all(F.col("_card"), F.lit(s.price), F.lit(1)))
+    )
+    last = F.slice("_prices", F.greatest(F.size("_prices"), F.lit(1)), F.lit(1))
     return out.withColumns(
         {
-            "id": each(lambda s: first_group(F.col("_card"), s.id)),
+            "id": each(lambda s: first_group(F.col("url"), s.id) if s.id_in_link else F.nullif(attribute(own, s.id), F.lit(""))),
             "name": unescape(strip(each(lambda s: F.regexp_extract("_card", s.name, 1)))),
-            "price": min_price_number(each(prices)),
-            "url": each(lambda s: F.concat(F.lit(s.base_url), first_group(F.col("_card"), s.href))),
+            "price": min_price_number(each(lambda s: F.col("_prices") if s.smallest_price else last)),
+            "bad_price": F.exists("_prices", lambda t: price_in_text(t).isNull()),
         }
-    ).drop("_card")
+    ).drop("_card", "_prices")
 
 
 # fixed values: facet families of one shop's category page, best first
@@ -134,19 +166,92 @@ def facets(pages: DataFrame, html: str = "html", patterns: Sequence[str] = FACET
     )
 
 
-def named_block(html: Column, title: str, block: str, item: str) -> Column:
-    """Items of the filter block headed ``title``: first ``block`` with that title, all its ``item``s."""
+@dataclass(frozen=True)
+class Facets:
+    """Markup of one shop's filter blocks.
+
+    A block runs from a match of ``block`` to the next one. ``heading`` gives its title, ``items``
+    the part with its entries (the whole block if empty), ``label`` and ``value`` what they hold;
+    ``titles`` are tried in order, several names of one step together.
+    """
+
+    block: str
+    heading: str
+    label: str
+    titles: tuple[tuple[str, ...], ...]
+    value: str = ""
+    items: str = ""
+    counted: bool = False  # labels like "Jeans (12)"
+
+
+# fixed values: filter blocks and their titles
+FACET_BLOCKS = {
+    "ASOS": Facets(
+        block=rf"(?is)<div\b(?=[^>]*{has_class('bybwbES')})[^>]*>",
+        heading=rf"(?is)<div\b(?=[^>]*{has_class('_3lFxFJi')})[^>]*>([^<]*)",
+        label=rf"(?is)<div\b(?=[^>]*{has_class('_2h_c2tR')})[^>]*>\s*<[^>]*>(?:\s*</[^>]*>)?\s*<[^>]*>([^<]*)",
+        value=rf"""(?is)<div\b(?=[^>]*{has_class('_2h_c2tR')})[^>]*>\s*<[^>]*\svalue\s*=\s*["']?([^"'\s>]*)""",
+        titles=(("Product Type",),),
+    ),
+    "JOHN_LEWIS": Facets(
+        block=rf"(?is)<div\b(?=[^>]*{has_class('faceted-filters-accordion')})[^>]*>",
+        heading=r"(?is)^\s*<[^>]*>([^<]*)",
+        items=r"(?is)<ul\b.*?</ul>",
+        label=r"(?is)<a\s[^>]*>([^<]*)",
+        value=r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)""",
+        titles=(("Product Type",),),
+    ),
+    "MS": Facets(
+        block=rf"(?is)<li\b(?=[^>]*{has_class('accordion__item')})[^>]*>",
+        heading=r"(?is)<h[1-6][^>]*>\s*(?:<[^>]*>)?([^<]*)",
+        items=r"(?is)<ul\b.*?</ul>",
+        label=r"(?is)<a\s[^>]*>([^<]*)",
+        value=r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)""",
+        titles=(("Product Type",), ("Categories", "Category"), ("Style",)),
+        counted=True,
+    ),
+}
+
+
+def titled_entries(html: Column, spec: Facets, titles: Sequence[str]) -> Column:
+    """(label, value) of all entries of all blocks with one of these titles, in page order; null if none.
+
+    The stripped heading has to be the title itself, not only to have it in it.
+    """
+    parts = F.split(html, spec.block)
     blocks = F.filter(
-        F.regexp_extract_all(html, F.lit(block), F.lit(0)),
-        lambda b: F.contains(b, F.lit(title)),
+        F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1))),
+        lambda b: unescape(strip(F.regexp_extract(b, spec.heading, 1))).isin(list(titles)),
     )
-    items = F.regexp_extract_all(F.get(blocks, F.lit(0)), F.lit(item), F.lit(1))
-    return F.when(F.size(items) > 0, F.transform(items, strip))
 
+    def entries(block: Column) -> Column:
+        part = F.regexp_extract(block, spec.items, 0) if spec.items else block
+        labels = F.regexp_extract_all(part, F.lit(spec.label), F.lit(1))
+        values = F.regexp_extract_all(part, F.lit(spec.value), F.lit(1))
+        return F.zip_with(
+            labels, values,
+            lambda a, b: F.struct(
+                (label_without_count(unescape(a)) if spec.counted else strip(unescape(a))).alias("label"), unescape(b).alias("value")
+            ),
+        )
+
+    found = F.filter(F.flatten(F.transform(blocks, entries)), lambda e: e["label"].isNotNull())
+    return F.when(F.size(found) > 0, found)
 
-def named_block_ladder(html: Column, titles: Sequence[str], block: str, item: str) -> Column:
-    """Items of the first titled block that has any ("Product Type", then "Categories", then ...)."""
-    return F.coalesce(*[named_block(html, t, block, item) for t in titles])
+
+def titled_facets(pages: DataFrame, specs: dict[str, Facets] = FACET_BLOCKS, html: str = "html") -> DataFrame:
+    """One row per filter entry of a category page: (pos, leaf, value).
+
+    Of a shop's title ladder the first step with any entry counts. A page without entries keeps
+    one row with a null leaf, for the category is then listed as a whole.
+    """
+    ladders = {
+        shop: F.coalesce(*[titled_entries(F.col(html), spec, step) for step in spec.titles]) for shop, spec in specs.items()
+    }
+    mine = pages.where(F.col("shop").isin(list(specs)))
+    kept = [c for c in pages.columns if c != html]
+    out = mine.select(*kept, F.posexplode_outer(by_shop(ladders)).alias("pos", "_e"))
+    return out.select(*kept, "pos", F.col("_e.label").alias("leaf"), F.col("_e.value").alias("value"))
 
 
 def label_without_count(col: Column) -> Column:
@@ -154,58 +259,54 @@ def label_without_count(col: Column) -> Column:
     return first_group(strip(col), r"(.*).\(.*\)")
 
 
-def attribute_values(pages: DataFrame, attribute: str, html: str = "html", out: str = "value") -> DataFrame:
-    """One row per occurrence of an attribute, in page order, such as the menu codes of a page."""
-    values = F.regexp_extract_all(F.col(html), F.lit(rf'\s{attribute}="([^"]*)"'), F.lit(1))
-    exploded = pages.select(*[c for c in pages.columns if c != html], F.posexplode(values).alias("pos", out))
-    return exploded.withColumn(out, unescape(F.col(out)))
-
-
-MENU_NODE = "array<struct<node:int,parent:int,name:string,url:string>>"
+def attribute_values(pages: DataFrame, name: str, html: str = "html", out: str = "value") -> DataFrame:
+    """One row per tag with the attribute, in page order, such as the menu codes of a page."""
+    tags = F.filter(F.regexp_extract_all(F.col(html), F.lit(TAG), F.lit(0)), lambda t: t.rlike(attribute_pattern(name)))
+    values = F.transform(tags, lambda t: attribute(t, name))
+    return pages.select(*[c for c in pages.columns if c != html], F.posexplode(values).alias("pos", out))
 
 
 def menu_tree(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Nested menu entries (``li`` with ``data-name``) as (node, parent, name, url) rows.
+    """Nested menu entries (``li`` with ``data-name``) as (node, parent, name, url) rows, per page.
 
-    Nesting is beyond patterns, so an Arrow-batched function runs the standard HTML parser over
-    each page. An entry without a name or link is no level of its own: what is below it belongs to
-    the entry above. The function is self-contained, so workers need nothing but pandas.
+    A page is split into its tags; the running number of open ``li`` is the depth of each. An entry
+    takes its link from its first child. One without name or link is no level of its own: what is
+    below it belongs to the entry above. Nodes are numbered from 0 in each page, so callers keep
+    them apart by the page's own columns.
     """
+    kept = [c for c in pages.columns if c != html]
+    tags = F.filter(
+        F.regexp_extract_all(F.col(html), F.lit(TAG), F.lit(0)), lambda t: t.rlike(r"(?i)^</?[a-z]") & ~t.rlike(r"(?i)^<(script|style)\b")
+    )
+    rows = pages.withColumn("_page", F.monotonically_increasing_id()).select(*kept, "_page", F.posexplode(tags).alias("_pos", "_tag"))
+    order = Window.partitionBy("_page").orderBy("_pos")
+    opens, closes = F.col("_tag").rlike(r"(?i)^<li[\s>/]"), F.col("_tag").rlike(r"(?i)^</li[\s>]")
+    child = F.lead("_tag").over(order)
+    link = F.when(~F.startswith(child, F.lit("</")), F.coalesce(attribute(child, "href"), attribute(child, "data-href")))
+    marked = rows.withColumns({"_open": opens, "_name": attribute(F.col("_tag"), "data-name"), "_url": link}).where(opens | closes)
+    marked = _depth(marked.withColumn("_step", F.when(F.col("_open"), 1).otherwise(-1)), "_all")
+    # a close belongs to the last open of its depth
+    level = Window.partitionBy("_page", "_all").orderBy("_pos")
+    entry = F.when(F.col("_open"), F.col("_name").isNotNull() & F.col("_url").isNotNull())
+    marked = marked.withColumn("_entry", F.last(entry, ignorenulls=True).over(level)).where("_entry")
+    marked = _depth(marked, "_level")
+    opened = marked.where("_open").withColumn("_node", F.row_number().over(order) - 1)
+    # the parent is the last entry one level up that came before
+    both = opened.withColumn("_role", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_key", F.col("_level") + F.col("_role"))
+    near = Window.partitionBy("_page", "_key").orderBy("_pos")
+    parent = F.last(F.when(F.col("_role") == 1, F.col("_node")), ignorenulls=True).over(near)
+    return both.withColumn("_parent", parent).where("_role = 0").select(
+        *kept, F.col("_node").alias("node"), F.col("_parent").alias("parent"), F.col("_name").alias("name"), F.col("_url").alias("url")
+    )
 
-    @F.pandas_udf(MENU_NODE)
-    def entries(bodies: pd.Series) -> pd.Series:
-        from html.parser import HTMLParser
-
-        class Menu(HTMLParser):
-            def __init__(self):
-                super().__init__()
-                self.open, self.found = [], []
-
-            def handle_starttag(self, tag, attrs):
-                attrs = dict(attrs)
-                if tag == "li":
-                    self.open.append({"name": attrs.get("data-name"), "node": None, "fresh": True})
-                elif self.open and self.open[-1]["fresh"]:
-                    entry = self.open[-1]
-                    entry["fresh"] = False
-                    url = attrs.get("href", attrs.get("data-href"))
-                    if entry["name"] is not None and url is not None:
-                        above = [e["node"] for e in self.open[:-1] if e["node"] is not None]
-                        entry["node"] = len(self.found)
-                        self.found.append(
-                            {"node": entry["node"], "parent": above[-1] if above else None, "name": entry["name"], "url": url}
-                        )
-
-            def handle_endtag(self, tag):
-                if tag == "li" and self.open:
-                    self.open.pop()
-
-        def read(body):
-            menu = Menu()
-            menu.feed(body or "")
-            return menu.found
-
-        return bodies.map(read)
 
-    kept = [c for c in pages.columns if c != html]
-    return pages.select(*kept, F.explode(entries(html)).alias("_e")).select(*kept, "_e.*")
+def _depth(marked: DataFrame, out: str) -> DataFrame:
+    """Running depth of opens and closes; an open and its close have the same one. Stray closes leave."""
+    upto = Window.partitionBy("_page").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    summed = marked.withColumn("_sum", F.sum("_step").over(upto))
+    floor = summed.withColumn("_floor", F.least(F.min("_sum").over(upto), F.lit(0)))
+    stray = (F.col("_step") < 0) & (F.col("_sum") == F.col("_floor")) & (
+        F.coalesce(F.lag("_floor").over(Window.partitionBy("_page").orderBy("_pos")), F.lit(0)) > F.col("_floor")
+    )
+    depth = F.col("_sum") - F.col("_floor") + F.when(F.col("_step") < 0, 1).otherwise(0)
+    return floor.withColumns({"_stray": stray, out: depth}).where("not _stray").drop("_sum", "_floor", "_stray")

@@ -366,6 +366,17 @@ def facet_codes(body: Column, facet: str = "style") -> Column:
     return F.when(F.size(codes) > 0, codes)
 
 
+def style_facets(pages: DataFrame, body: str = "body", facet: str = "style", out: str = "leaf") -> DataFrame:
+    """One row per code of the facet: (pos, leaf); one row with nulls if there is none.
+
+    Only categories with fewer than four known levels are split; the third level counts twice, as
+    it fills the fourth.
+    """
+    known = F.size(F.array_compact(F.array(*[F.col(c) for c in (*TAXO[:3], TAXO[2])])))
+    codes = F.when(known < 4, facet_codes(F.col(body), facet))
+    return pages.select(*[c for c in pages.columns if c != body], F.posexplode_outer(codes).alias("pos", out))
+
+
 def sub_categories(filters: DataFrame, body: str = "body") -> DataFrame:
     """(shop, url, product_id, category) from the stored filter bodies of category pages.
 
@@ -394,33 +405,78 @@ def with_sub_category(rows: DataFrame, lookup: DataFrame, shop: str = "ZARA") ->
 
 
 def find_key(body: Column, key: str) -> Column:
-    """Every value under ``key`` at any depth, as JSON texts, nested matches first.
+    """Every value under ``key`` at any depth, arrays in arrays included, as JSON texts, nested matches first.
 
-    Recursion over an object of unknown depth is the one thing built-in functions cannot express
-    in one pass; an Arrow-batched function walks each body once. Bodies that are not a JSON object
-    give null. The function is self-contained, so workers need nothing but pandas.
+    Built-in functions can't follow an object of unknown depth in one pass, so an Arrow-batched
+    function reads each body's tokens once, with a stack of its own: depth is bounded by the body
+    alone. Bodies that are not a JSON object give null. The function is self-contained, so workers
+    need nothing but pandas.
     """
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def walk(bodies: pd.Series) -> pd.Series:
         import json
+        import re
 
-        encode = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
-
-        def hits(node: dict):
-            for name, value in node.items():
-                for below in value if isinstance(value, list) else [value]:
-                    if isinstance(below, dict):
-                        yield from hits(below)
-                if name == key:
-                    yield encode(value)
+        token = re.compile(r'\s*(?:("(?:[^"\\\x00-\x1f]|\\.)*")|([{}\[\],:])|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null))')
+        # what may follow in an object or array: its first entry, a further one, or what comes after an entry
+        value, name, colon, after, closed = range(5)
 
         def found(text: str | None) -> list | None:
-            try:
-                doc = json.loads(text or "")
-            except ValueError:
-                return None
-            return list(hits(doc)) if isinstance(doc, dict) else None
+            out: list[str] = []  # the body again, without blanks
+            hits, stack = [], []  # stack: closing sign, place of the matching value or None
+            state, at, start, may_close = value, 0, None, False
+            end = len((text or "").rstrip())
+            while at < end:
+                m = token.match(text, at)
+                if not m or state == closed:
+                    return None
+                at = m.end()
+                string, sign, plain = m.groups()
+                if state == name:
+                    if string is not None:
+                        try:
+                            wanted = json.loads(string) == key
+                        except ValueError:
+                            return None
+                        out.append(string)
+                        start, state = (len(out) + 1 if wanted else None), colon
+                        continue
+                    if sign != "}" or not may_close:
+                        return None
+                elif state == colon:
+                    if sign != ":":
+                        return None
+                    out.append(":")
+                    state = value
+                    continue
+                elif state == after:
+                    if sign == ",":
+                        out.append(",")
+                        state, may_close, start = (name if stack[-1][0] == "}" else value), False, None
+                        continue
+                    if sign != stack[-1][0]:
+                        return None
+                elif sign in ("{", "["):
+                    if not stack and sign == "[":
+                        return None
+                    stack.append(("}" if sign == "{" else "]", start))
+                    out.append(sign)
+                    state, start, may_close = (name if sign == "{" else value), None, True
+                    continue
+                elif sign is not None and not (sign == "]" and may_close and stack and stack[-1][0] == "]"):
+                    return None
+                if sign in ("}", "]"):
+                    out.append(sign)
+                    start = stack.pop()[1]
+                elif not stack:
+                    return None
+                else:
+                    out.append(json.dumps(json.loads(string), ensure_ascii=False) if string is not None else plain)
+                if start is not None:
+                    hits.append((start, len(out)))
+                state, start, may_close = (after if stack else closed), None, False
+            return ["".join(out[i:j]) for i, j in hits] if state == closed else None
 
         return bodies.map(found, na_action="ignore")
 

@@ -2,25 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_LOC = '//*[local-name()="loc"]/text()'
+from shelfwatch.operators.quality import log_rows
+from shelfwatch.schema import MEDIUM
+
+NOT_READ = "not a sitemap"
+
+
+def locations(body: Column, entry: str = "url") -> Column:
+    """The ``loc`` of every entry, with or without a namespace; null if the body can't be read.
+
+    Other elements named ``loc``, such as that of an image, are no entries.
+    """
+    parsed = F.from_xml(body, f"{entry} array<struct<loc:string>>", {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+    return F.transform(parsed[entry], lambda e: e["loc"])
 
 
 def sitemap_urls(sitemaps: DataFrame, body: str = "body", out: str = "loc", pos: str = "pos") -> DataFrame:
-    """One row per ``loc`` with its position; works with and without a namespace."""
+    """One row per entry with its position; unreadable bodies give none, see ``sitemap_rejects``."""
     return sitemaps.select(
         *[c for c in sitemaps.columns if c != body],
-        F.posexplode(F.xpath(F.col(body), F.lit(_LOC))).alias(pos, out),
+        F.posexplode(locations(F.col(body))).alias(pos, out),
     )
 
 
+def sitemap_rejects(sitemaps: DataFrame, body: str = "body", url: str = "url", entry: str = "url") -> DataFrame:
+    """Bodies without readable entries as log rows."""
+    return log_rows(sitemaps.where(locations(F.col(body), entry).isNull()), MEDIUM, F.lit(NOT_READ), url)
+
+
 def sitemap_of_index(index: DataFrame, sitemaps: DataFrame, wanted: str, body: str = "body") -> DataFrame:
     """Two levels: the first entry of the index that has ``wanted`` in it names the sitemap.
 
     ``index`` holds one index per shop; its entries are few (sitemap files, not pages).
     """
-    first = F.filter(F.xpath(F.col(body), F.lit(_LOC)), lambda u: F.contains(u, F.lit(wanted)))
+    first = F.filter(locations(F.col(body), "sitemap"), lambda u: F.contains(u, F.lit(wanted)))
     chosen = index.select("shop", F.get(first, F.lit(0)).alias("url"))
     return sitemap_urls(sitemaps.join(chosen, ["shop", "url"], "left_semi"), body)

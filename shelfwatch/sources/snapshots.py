@@ -1,22 +1,22 @@
 """Daily snapshot files: ``{SHOP}_{y}-{m}-{d}.csv``, one per shop and day, with drifting headers.
 
-A CSV read maps columns by position, so files with different headers must not share one read.
-File names are listed by Spark, each file's first line is read inside tasks, and every distinct
-header then gets one read with its own explicit schema. What reaches the driver is the list of
-file names per header, which Spark needs for planning anyway.
+A CSV read maps columns by position, so files with different headers can't share one schema. All
+files are read once as numbered cells; each file's header row then says which cell is which
+column. No file name passes through the driver. ``land`` stores new files by day and shop, so that
+the history is read as Parquet afterwards.
 """
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterator, Sequence
+import datetime
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from shelfwatch.functions.text import day_of
 from shelfwatch.schema import SHOPS
+from shelfwatch.sources import tables
 
 # fixed values: columns of a snapshot file, and texts a CSV read takes for a missing value
 COLUMNS = (
@@ -29,52 +29,6 @@ MISSING = (
 )
 OLD_URL = "url_old"  # older files carry the link as ``url``
 FILE_NAME = r"([^/]*\.csv)(?:/[^/]*)?\z"  # the file, or the folder that stands for it
-ORIGIN = ("src_file", "src_block", "src_row")
-
-
-def with_header(files: DataFrame) -> DataFrame:
-    """First line of each file: one small read per file, inside the task.
-
-    The function is self-contained, so workers need nothing but Arrow.
-    """
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        def head(path: str) -> str:
-            store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            line = b""
-            with store.open_input_stream(inner) as f:
-                while b"\n" not in line:
-                    more = f.read(1 << 14)
-                    if not more:
-                        break
-                    line += more
-            return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-
-        for batch in batches:
-            yield batch.assign(header=[head(p) for p in batch["path"]])
-
-    return files.select("path", "src_shop").mapInPandas(read, "path string, src_shop string, header string")
-
-
-def snapshot_files(spark: SparkSession, root: str, shops: Sequence[str] = SHOPS) -> DataFrame:
-    """(path, header, shop) of the snapshot files directly below ``root``.
-
-    A file counts if its name has the shop's name in it, ends in ``.csv`` and lacks
-    ``before_clean``. A folder of that name, as Spark writes it, counts as one file.
-    """
-    listed = (
-        spark.read.format("binaryFile")
-        .load(f"{root.rstrip('/')}/*.csv")
-        .select("path")
-    )
-    name = F.regexp_extract("path", FILE_NAME, 1)
-    shop = by_shop_name(name, shops)
-    wanted = listed.withColumn("src_shop", shop).where(
-        F.col("src_shop").isNotNull() & ~F.contains(name, F.lit("before_clean"))
-    )
-    return with_header(wanted)
 
 
 def by_shop_name(name: Column, shops: Sequence[str]) -> Column:
@@ -84,53 +38,78 @@ def by_shop_name(name: Column, shops: Sequence[str]) -> Column:
     return out
 
 
-def _read_group(spark: SparkSession, header: str, paths: list[str], multi_line: bool) -> DataFrame:
-    names = [OLD_URL if n == "url" else n for n in next(csv.reader([header]))]
-    names = [n or f"_c{i}" for i, n in enumerate(names)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .options(header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
-        .csv(paths)
-    )
-    kept = [c for c in names if c in COLUMNS or c == OLD_URL]
-    tidy = [F.when(~F.col(c).isin(list(MISSING)), F.col(c)).alias(c) for c in kept]
-    return df.select(
-        *tidy,
-        F.regexp_extract("_metadata.file_path", FILE_NAME, 1).alias("src_file"),
-        F.struct("_metadata.file_path", "_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_row"),
+def snapshot_cells(
+    spark: SparkSession, root: str, shops: Sequence[str] = SHOPS, pattern: str = "*.csv", multi_line: bool = True, width: int = 64
+) -> DataFrame:
+    """(src_shop, path, seq, cells) of all rows, header rows included, of the files below ``root``.
+
+    A file counts if its name has the shop's name in it, ends in ``.csv`` and lacks
+    ``before_clean``. A folder of that name, as Spark writes it, counts as one file. A quoted line
+    break is part of its cell; with ``multi_line`` off, files are split at every line break, and
+    large ones over several tasks. A header of more than ``width`` columns fails.
+    """
+    names = [f"_c{i}" for i in range(width + 1)]
+    rows = (
+        spark.read.schema(", ".join(f"{n} string" for n in names))
+        .options(header=False, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
+        .csv(f"{root.rstrip('/')}/{pattern}")
     )
+    file = F.regexp_extract("_metadata.file_path", FILE_NAME, 1)
+    too_wide = F.raise_error(F.concat(F.lit(f"more than {width} columns in "), file))
+    return (
+        rows.withColumns({"src_file": file, "path": F.col("_metadata.file_path")})
+        .withColumn("src_shop", by_shop_name(F.col("src_file"), shops))
+        .where(F.col("src_shop").isNotNull() & ~F.contains("src_file", F.lit("before_clean")))
+        .select(
+            "src_shop", "path",
+            F.struct(
+                "src_file",
+                F.struct("_metadata.file_path", "_metadata.file_block_start").alias("src_block"),
+                F.monotonically_increasing_id().alias("src_row"),
+            ).alias("seq"),
+            F.when(F.col(names[-1]).isNull(), F.array(*names[:-1])).otherwise(too_wide).alias("cells"),
+        )
+    )
+
+
+def is_header(cells: Column) -> Column:
+    """A header names at least these three columns in cells of their own."""
+    return F.coalesce(F.size(F.array_intersect(cells, F.array(*map(F.lit, ("id", "name", "date"))))) == 3, F.lit(False))
 
 
 def read_snapshots(
-    spark: SparkSession, root: str, shops: Sequence[str] = SHOPS, multi_line: bool = False
+    spark: SparkSession, root: str, shops: Sequence[str] = SHOPS, pattern: str = "*.csv", multi_line: bool = True
 ) -> DataFrame:
-    """All snapshot rows as text columns, unioned by name over all header versions.
+    """All snapshot rows as text columns, matched by name over all header versions.
 
-    ``seq`` orders rows as they lie in the files: file, block, row in the block.
+    ``seq`` orders rows as they lie in the files: file, block, row in the block. Files without a
+    header give nothing.
     """
-    found = snapshot_files(spark, root, shops)
-    groups: dict[str, list[str]] = {}
-    for row in found.select("header", "path").collect():  # file names only
-        groups.setdefault(row["header"], []).append(row["path"])
-    if not groups:
-        raise FileNotFoundError(f"no snapshot files below {root}")
-    df = None
-    for header in sorted(groups):
-        part = _read_group(spark, header, sorted(groups[header]), multi_line)
-        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
-    for c in (*COLUMNS, OLD_URL):
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    return df.select(
-        *COLUMNS,
-        OLD_URL,
-        by_shop_name(F.col("src_file"), shops).alias("src_shop"),
-        F.struct(*ORIGIN).alias("seq"),
+    cells = snapshot_cells(spark, root, shops, pattern, multi_line)
+    bare = F.transform("cells", lambda c: F.regexp_replace(c, "^\ufeff", ""))
+    headers = cells.where(is_header(bare)).groupBy("path").agg(F.min(F.struct("seq", bare.alias("names"))).alias("h"))
+    rows = cells.where(~is_header(bare)).join(headers.select("path", "h.names"), "path")
+
+    def column(name: str) -> Column:
+        value = F.get("cells", F.array_position("names", F.lit(name)).cast("int") - 1)
+        return F.when(~value.isin(list(MISSING)), value)
+
+    return rows.select(
+        *[column(c).alias(c) for c in COLUMNS], column("url").alias(OLD_URL), "src_shop", "seq"
     )
 
 
+def land(spark: SparkSession, root: str, out: str, day: datetime.date | None = None, shops: Sequence[str] = SHOPS) -> None:
+    """Store the files of one day (all if not given) as typed rows by day and shop.
+
+    Only the day's files are listed and read, and its folders are written again.
+    """
+    pattern = "*.csv" if day is None else f"*_{day.year}-{day.month}-{day.day}.csv"
+    typed = typed_snapshots(read_snapshots(spark, root, shops, pattern))
+    dated = typed.withColumn("snapshot_date", day_of(F.col("date")))
+    tables.write_partitioned(dated, out, "snapshot_date", "src_shop")
+
+
 def typed_snapshots(raw: DataFrame) -> DataFrame:
     """Text columns to the record layout; unreadable values become null.
 

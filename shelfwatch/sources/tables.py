@@ -56,7 +56,8 @@ def write_snapshot_csv(df: DataFrame, root: str, before_clean: bool = False) ->
         df.withColumn("snapshot_file", name)
         .drop("src_shop")
         .hint("rebalance", "snapshot_file")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")  # a file written again replaces itself
         .options(header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
         .partitionBy("snapshot_file")
         .csv(root)

@@ -1,9 +1,9 @@
 """Captures that arrive between runs.
 
-The tracked jobs run once a day. A file stream with an ``availableNow`` trigger does the same
-incrementally: it flattens the captures that came in since the last run, appends their raw rows
-(exactly once, by the checkpoint) and stops. Flattening keeps no state; ranking and
-de-duplication need a whole day and stay in the batch plan.
+The tracked jobs run once a day. A file stream with an ``availableNow`` trigger does the same for
+what came in since the last run: each batch is stored once under its own number, and the days it
+touches are collected again from all their stored captures. Ranking, ownership and
+de-duplication need a whole day, and so see one; a repeated batch replaces itself.
 """
 
 from __future__ import annotations
@@ -12,31 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwatch.plans.collect import canonical
+from shelfwatch.plans import collect
 from shelfwatch.schema import CAPTURE
-from shelfwatch.sources import payloads
+from shelfwatch.sources import tables
 
 
 def capture_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.readStream.schema(CAPTURE).format(fmt).load(path)
 
 
-def raw_products(captures: DataFrame) -> DataFrame:
-    """Raw rows of JSON captures; works on a stream as well as on a table."""
-    placed = payloads.with_levels(payloads.good_rows(payloads.flatten(captures)))
-    placed = placed.withColumns({"date": F.col("captured_at"), "seq": F.struct("page_seq", "pos")})
-    return canonical(placed.drop("url").withColumnRenamed("product_url", "URL"))
+def collect_new(captures: DataFrame, store: str, raw_path: str, clean_path: str, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Process what has arrived and stop. ``store`` keeps the captures by day and batch."""
 
+    def step(batch: DataFrame, number: int) -> None:
+        kept = batch.withColumns({"day": F.col("captured_at").cast("date"), "batch": F.lit(number)})
+        tables.write_partitioned(kept, store, "day", "batch")
+        days = [r[0] for r in batch.select(F.col("captured_at").cast("date")).distinct().collect()]
+        if days:
+            known = batch.sparkSession.read.parquet(store).where(F.col("day").isin(days))
+            collect.run(known.drop("day", "batch"), raw_path, clean_path, log_path)
 
-def append_new(captures: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived, append it by day and shop, stop."""
     return (
-        raw_products(captures)
-        .withColumn("snapshot_date", F.col("date").cast("date"))
-        .writeStream.format("parquet")
-        .partitionBy("snapshot_date", "shop")
+        captures.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
-        .start(out)
+        .start()
     )

@@ -64,18 +64,67 @@ def test_shops_fail_alone(spark):
     assert log.count() == 6
 
 
-def test_stream_takes_each_capture_once(spark, tmp_path):
-    inbox, out, state = (str(tmp_path / n) for n in ("inbox", "out", "state"))
+def test_each_body_is_parsed_once(spark, tmp_path, monkeypatch):
+    from shelfwatch.sources import payloads
+
+    calls, plans = [], []
+    flatten, write = payloads.flatten, tables.write_snapshot
+    monkeypatch.setattr(payloads, "flatten", lambda *a, **k: calls.append(1) or flatten(*a, **k))
+    monkeypatch.setattr(tables, "write_snapshot", lambda df, path: (plans.append(df._jdf.queryExecution().toString()), write(df, path)))
+    collect.run(captures(spark, 1, [1, 2]), *(str(tmp_path / n) for n in ("raw", "clean", "log")))
+    assert len(calls) == 1 and len(plans) == 2
+    assert all("parse_json" not in p.lower() and "parsejson" not in p.lower() for p in plans)
+
+
+def test_one_shop_fails_and_eight_are_written(spark, tmp_path):
+    from functools import reduce
+
+    from shelfwatch.schema import SHOPS
+
+    def all_captures():
+        parts = [captures(spark, 1, [1, 2]).withColumn("shop", F.lit(s)) for s in SHOPS]
+        fails = F.when(F.col("shop") == "HM", F.raise_error(F.lit("bad page"))).otherwise(F.col("body"))
+        return reduce(lambda a, b: a.unionByName(b), parts).withColumn("body", fails)
+
+    paths = [str(tmp_path / n) for n in ("raw", "clean", "log")]
+    for _ in range(2):  # a rerun gives the same rows
+        collect.run(all_captures(), *paths)
+        raw = spark.read.parquet(paths[0])
+        assert {r.shop: r.n for r in raw.groupBy("shop").agg(F.count("*").alias("n")).collect()} == {"ASOS": 4}
+    log = spark.read.parquet(paths[2])
+    failed = log.where("level = 'MAJOR'").collect()
+    assert {r.shop for r in failed} == {"HM"} and all("bad page" in r.message for r in failed)
+    assert {r.shop for r in log.where("level = 'TIMING' and message = 'end'").collect()} == set(SHOPS) - {"HM"}
+    assert {"MS", "JOHN_LEWIS"} <= {r.shop for r in log.where("message = 'no product cards'").collect()}
+
+
+def test_csv_files_are_replaced(spark, tmp_path):
+    row = ("ASOS", "1", "c", "n", 10.0, True, "men", "jeans", "x", None, "u", datetime.datetime(2018, 9, 1, 7, 0), "ASOS")
+    columns = ", ".join(f"{c} {t}" for c, t in zip(snapshots.COLUMNS, ["string"] * 4 + ["double", "boolean"] + ["string"] * 5 + ["timestamp_ntz"]))
+    for _ in range(2):
+        tables.write_snapshot_csv(spark.createDataFrame([row], columns + ", src_shop string"), str(tmp_path))
+    assert snapshots.read_snapshots(spark, str(tmp_path)).count() == 1
+
+
+def test_stream_gives_what_the_job_gives(spark, tmp_path):
+    inbox, store, raw, clean, log, state = (str(tmp_path / n) for n in ("inbox", "store", "raw", "clean", "log", "state"))
+
+    def follow():
+        ingest.collect_new(ingest.capture_stream(spark, inbox), store, raw, clean, log, state).awaitTermination()
+
     captures(spark, 1, [1, 2]).write.parquet(inbox)
-    ingest.append_new(ingest.capture_stream(spark, inbox), out, state).awaitTermination()
-    first = spark.read.parquet(out).count()
+    follow()
+    assert spark.read.parquet(raw).count() == 4
     captures(spark, 2, [3]).write.mode("append").parquet(inbox)
-    captures(spark, 2, [], text="oops").write.mode("append").parquet(inbox)
-    ingest.append_new(ingest.capture_stream(spark, inbox), out, state).awaitTermination()
-    got = spark.read.parquet(out).groupBy("snapshot_date").count().collect()
-    assert first == 4 and sorted((str(r[0]), r[1]) for r in got) == [("2018-09-01", 4), ("2018-09-02", 2)]
-    batch = ingest.raw_products(spark.read.schema(CAPTURE).parquet(inbox)).drop("seq")
-    assert batch.exceptAll(spark.read.parquet(out).select(batch.columns)).count() == 0
+    follow()
+    captures(spark, 2, [3, 4], shop="ASOS").write.mode("append").parquet(inbox)  # more of the same day
+    follow()
+    follow()  # nothing new
+    paths = [str(tmp_path / n) for n in ("raw2", "clean2", "log2")]
+    collect.run(spark.read.schema(CAPTURE).parquet(inbox), *paths)
+    for mine, theirs in ((raw, paths[0]), (clean, paths[1])):
+        a, b = (spark.read.parquet(p).drop("seq") for p in (mine, theirs))
+        assert a.count() == b.count() > 0 and a.exceptAll(b.select(a.columns)).count() == 0
 
 
 def test_scratch_folders_are_new_and_shared(spark):

@@ -34,14 +34,16 @@ def test_text(spark):
 def test_links(spark):
     html = '<a href="/a">A</a><p><a class="x" href="/b"><b>B</b></a><a>none</a><abbr href="/no">n</abbr><a\nhref="/c"> C </a>'
     got = P.page_links(spark.createDataFrame([(1, html), (2, "")], "id int, html string")).orderBy("pos").collect()
-    assert [(r.href, r.text) for r in got] == [("/a", "A"), ("/b", "<b>B</b>"), ("/c", "C")]
+    assert [(r.href, r.text) for r in got] == [("/a", "A"), ("/b", None), ("/c", "C")]
+    html = "<A HREF='/c?a=1&amp;b=2' data-href=x>Shaving &amp; Beard</A><a class=q href=/d>T<b>B</b></a><a name='n'>N</a>"
+    got = P.page_links(spark.createDataFrame([(1, html)], "id int, html string")).orderBy("pos").collect()
+    assert [(r.href, r.text) for r in got] == [("/c?a=1&b=2", "Shaving & Beard"), ("/d", "T"), (None, "N")]
 
 
 def test_cards(spark):
     jl = """<div><section data-product-id="7" class="product-card product-card--x"><img/><div><a href="p/7"><h2 class="t">Tea &amp; co</h2>
       <span class="product-card__price">£12.00</span><span class="product-card__price--now">£9.50</span></a></div></section>
       <section class="product-card" data-product-id="8"><a href="p/8"><h2>B</h2></a></section></div>"""
-    jl = jl.replace('class="product-card product-card--x"', 'class="product-card"')
     ms = '<a href="/p/P60?x=1" class="product"><h3 class="product__title"> Polo </h3><p class="product__price"><b><i></i>£35.00</b></p></a>'
     df = spark.createDataFrame([("JOHN_LEWIS", jl), ("MS", ms), ("HM", ms)], "shop string, html string")
     cards = P.product_cards(df)
@@ -52,6 +54,13 @@ def test_cards(spark):
     ]
     got = cards.where("shop = 'MS'").collect()
     assert [(r.id, r.name, r.price, r.url) for r in got] == [("P60", "Polo", 35.0, "https://www.marksandspencer.com//p/P60?x=1")]
+    odd = """<SECTION class='a product-card' data-product-id=9><a href='p/9?a=1&amp;b=2'><h2>C</h2><i class="product-card__price">on request</i></a></SECTION>
+      <section class="product-card__list" data-product-id="no"></section>"""
+    df = spark.createDataFrame([("JOHN_LEWIS", odd), ("MS", "<html>")], "shop string, html string")
+    got = {r.shop: r for r in P.product_cards(df).collect()}
+    jl = got["JOHN_LEWIS"]
+    assert (jl.id, jl.price, jl.bad_price, jl.url) == ("9", None, True, "https://www.johnlewis.com/p/9?a=1&b=2")
+    assert got["MS"].pos is None and got["MS"].id is None
 
 
 def test_facets(spark):
@@ -64,10 +73,23 @@ def test_facets(spark):
 
 
 def test_titled_blocks(spark):
-    html = "<div><h>Style</h><i>Slim</i></div><div><h>Categories</h><i> Tops </i><i>Bags</i></div><div><h>Product Type</h></div>"
-    ladder = lambda c: P.named_block_ladder(c, ("Product Type", "Categories", "Style"), r"(?s)<div>.*?</div>", r"<i>(.*?)</i>")
-    assert one(spark, ladder, html) == ["Tops", "Bags"]
-    assert one(spark, ladder, "<div></div>") is None
+    def li(title, *labels):
+        items = "".join(f"<li><span><a href='/{x}'>{x} (4)</a></span></li>" for x in labels)
+        return f'<li class="accordion__item"><label><h3> {title} </h3></label><div><ul>{items}</ul></div></li>'
+
+    def found(shop, html):
+        df = spark.createDataFrame([(shop, html)], "shop string, html string")
+        return [(r.pos, r.leaf, r.value) for r in P.titled_facets(df).orderBy("pos").collect()]
+
+    # the heading has to be the title, and all blocks of one step count
+    assert found("MS", li("Brand", "X") + li("Free Style", "Y") + li("Style", "Slim")) == [(0, "Slim", "/Slim")]
+    assert found("MS", li("Category", "A") + li("Style", "S") + li("Categories", "B")) == [(0, "A", "/A"), (1, "B", "/B")]
+    assert found("MS", li("Product Type") + li("Style", "S")) == [(0, "S", "/S")]
+    assert found("MS", "<div></div>") == [(None, None, None)]
+    jl = '<div class="faceted-filters-accordion"><h3>Product Type</h3><div><ul><li><a href="/t">T &amp; U</a></li></ul></div></div><a href="/no">no</a>'
+    assert found("JOHN_LEWIS", jl) == [(0, "T & U", "/t")]
+    asos = '<div class="bybwbES"><div class="_3lFxFJi">Product Type</div><div class="_2h_c2tR"><input value="77"><label>Jeans</label></div></div>'
+    assert found("ASOS", asos) == [(0, "Jeans", "77")]
 
 
 def test_sitemaps(spark):
@@ -76,6 +98,10 @@ def test_sitemaps(spark):
     df = spark.createDataFrame([("s", "https://m/1", plain), ("s", "https://m/2-Category-en-GBP", spaced)], "shop string, url string, body string")
     got = sorted((r.url, r.pos, r.loc) for r in sitemaps.sitemap_urls(df).collect())
     assert got == [("https://m/1", 0, "https://a/1"), ("https://m/1", 1, "https://a/2?b=1&c=2"), ("https://m/2-Category-en-GBP", 0, "https://b/1")]
+    image = '<urlset xmlns:i="x"><url><loc>https://c/1</loc><i:image><i:loc>https://img/1</i:loc></i:image></url></urlset>'
+    mixed = spark.createDataFrame([("s", "u1", image), ("s", "u2", "<urlset><url><loc>cut"), ("s", "u3", None)], "shop string, url string, body string")
+    assert [(r.url, r.loc) for r in sitemaps.sitemap_urls(mixed).collect()] == [("u1", "https://c/1")]
+    assert sorted(r.url for r in sitemaps.sitemap_rejects(mixed).collect()) == ["u2", "u3"]
     index = spark.createDataFrame(
         [("s", "<i><sitemap><loc>https://m/1</loc></sitemap><sitemap><loc>https://m/2-Category-en-GBP</loc></sitemap></i>")], "shop string, body string"
     )
@@ -99,14 +125,29 @@ def test_tree_paths(spark):
     assert got == sorted([("A",), ("B",), ("A", "B"), ("C",), ("A", "C"), ("B", "C"), ("A", "B", "C"), ("X",)])
 
 
-def test_too_deep_tree_raises(spark):
-    import pytest
-
-    nodes = [(str(i), str(i - 1) if i else None, "n") for i in range(4)]
+def test_deep_trees_keep_their_first_levels(spark):
+    nodes = [(str(i), str(i - 1) if i else None, f"n{i}") for i in range(6)]
     df = spark.createDataFrame(nodes, "node string, parent string, name string")
-    assert tree_paths(df, max_depth=4).count() == 15
-    with pytest.raises(Exception, match="deeper than 3"):
-        tree_paths(df, max_depth=3).collect()
+    got = tree_paths(df).collect()
+    last = [tuple(r.path) for r in got if r.node == "5"]
+    lines = {tuple(c for k, c in enumerate(("n0", "n1", "n2", "n3", "n4")) if m >> k & 1) + ("n5",) for m in range(32)}
+    assert len(last) == len(set(last)) and set(last) == {line[:4] for line in lines}
+    assert {(r.taxo1, r.taxo4) for r in got if tuple(r.path) == ("n0", "n1", "n2", "n3") and r.node == "5"} == {("n0", "n3")}
+    chain = [(i, i - 1 if i else None, "n") for i in range(40)]
+    assert tree_paths(spark.createDataFrame(chain, "node int, parent int, name string")).where("node = 3").count() == 8
+
+
+def test_trees_of_two_pages_stay_apart(spark):
+    from shelfwatch.plans import categories
+
+    def page(root):
+        return f'<nav><ul><li data-name="{root}"><a href="/{root}">x</a><ul><li data-name="JEANS"><a href="/{root}/j">j</a></li></ul></li></ul></nav>'
+
+    pages = spark.createDataFrame([("ZARA", 1, page("MAN")), ("ZARA", 2, page("WOMAN"))], "shop string, page int, html string")
+    nodes = P.menu_tree(pages)
+    assert sorted((r.page, r.node) for r in nodes.collect()) == [(1, 0), (1, 1), (2, 0), (2, 1)]
+    listed = categories.zara(nodes.withColumn("seq", F.col("node")))
+    assert {(r.taxo1, r.taxo2, r.url) for r in listed.collect() if r.url.endswith("/j")} == {("MAN", "JEANS", "/MAN/j"), ("WOMAN", "JEANS", "/WOMAN/j")}
 
 
 def test_labels_and_attributes(spark):
@@ -124,11 +165,19 @@ def test_menu_tree(spark):
         <li data-name="KIDS"><a href="/k">K</a></li></ul></nav>"""
     got = P.menu_tree(spark.createDataFrame([("ZARA", html), ("ZARA", None)], "shop string, html string")).collect()
     names = {r.node: r.name for r in got}
-    assert [(r.name, names.get(r.parent), r.url) for r in got] == [
+    assert [(r.name, names.get(r.parent), r.url) for r in sorted(got, key=lambda r: r.node)] == [
         ("MAN", None, "/m"), ("JEANS", "MAN", "/j"), ("SHIRTS", "MAN", "/s"), ("KIDS", None, "/k"),
     ]
 
 
+def test_menus_of_untidy_pages(spark):
+    html = """</li></ul><!-- <li data-name="NO"><a href="/no"> --><script>'<li data-name="NO">'</script>
+        <LI data-name='A &amp; B'><A HREF='/a?x=1&amp;y=2'>a</A><ul><li><p>none</p></li><li data-name=C><a href=/c>c</a></li></ul></LI></li>
+        <li data-name="D"><a href="/d">d</a></li>"""
+    got = sorted(P.menu_tree(spark.createDataFrame([(1, html), (2, "")], "page int, html string")).collect(), key=lambda r: r.node)
+    assert [(r.node, r.parent, r.name, r.url) for r in got] == [(0, None, "A & B", "/a?x=1&y=2"), (1, 0, "C", "/c"), (2, None, "D", "/d")]
+
+
 def test_json_facets(spark):
     from shelfwatch.sources.payloads import facet_codes
 

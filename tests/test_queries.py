@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shelfwatch.checks import ORACLES, QUERIES
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check_queries import compare  # noqa: E402
@@ -24,10 +25,11 @@ def con():
 
 
 def test_every_query_has_checking_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     rows, problem, _ = compare(spark, con, SF, name)
     assert problem is None and rows > 0

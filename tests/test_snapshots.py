@@ -1,3 +1,4 @@
+import datetime
 import os
 
 from shelfwatch.plans.aggregate import clean_shops
@@ -28,7 +29,7 @@ def landing(tmp_path):
 
 
 def test_files_are_chosen_by_name(spark, tmp_path):
-    found = snapshots.snapshot_files(spark, landing(tmp_path)).collect()
+    found = snapshots.snapshot_cells(spark, landing(tmp_path)).select("path", "src_shop").distinct().collect()
     assert sorted((os.path.basename(r.path), r.src_shop) for r in found) == [
         ("GAP_2018-9-1.csv", "GAP"), ("MS_2018-8-1.csv", "MS"), ("MS_2018-9-1.csv", "MS"),
         ("PRIMARK_2018-9-1.csv", "PRIMARK"), ("ZARA_2018-9-1.csv", "ZARA"),
@@ -55,13 +56,29 @@ def test_rows_keep_their_file_order(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        df = snapshots.read_snapshots(spark, str(tmp_path))
+        df = snapshots.read_snapshots(spark, str(tmp_path), multi_line=False)
         got = [(r.date, int(r.id)) for r in df.orderBy("seq").collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [(f"2018-09-0{d}", i) for d in (1, 2) for i in range(3000)]
 
 
+def test_line_breaks_inside_cells(spark, tmp_path):
+    (tmp_path / "GAP_2018-9-1.csv").write_text(HEAD + '\nGAP,1,u,"A\nB",1.0,True,men,a,b,c,d,2018-09-01 1:0:0\nGAP,2,u,"say ""hi""\n,x",1,True,men,a,b,,,2018-09-01 1:0:0\n')
+    got = {r.id: (r.shop, r.name, r.date) for r in snapshots.read_snapshots(spark, str(tmp_path)).collect()}
+    assert got == {"1": ("GAP", "A\nB", "2018-09-01 1:0:0"), "2": ("GAP", 'say "hi"\n,x', "2018-09-01 1:0:0")}
+
+
+def test_landing_one_day_at_a_time(spark, tmp_path):
+    root, out = landing(tmp_path), str(tmp_path / "landed")
+    snapshots.land(spark, root, out, datetime.date(2018, 8, 1))
+    assert {r.src_shop for r in spark.read.parquet(out).collect()} == {"MS"}
+    for _ in range(2):  # a day landed again replaces itself
+        snapshots.land(spark, root, out, datetime.date(2018, 9, 1))
+    whole = snapshots.read_snapshots(spark, root)
+    assert spark.read.parquet(out).count() == whole.count()
+
+
 def test_shop_pipelines(spark, tmp_path):
     raw = snapshots.typed_snapshots(snapshots.read_snapshots(spark, landing(tmp_path)))
     got = {(r.shop, r.id, r.date[:7]): r for r in clean_shops(raw).collect()}
