@@ -408,9 +408,9 @@ def find_key(body: Column, key: str) -> Column:
     """Every value under ``key`` at any depth, arrays in arrays included, as JSON texts, nested matches first.
 
     Built-in functions can't follow an object of unknown depth in one pass, so an Arrow-batched
-    function reads each body's tokens once, with a stack of its own: depth is bounded by the body
-    alone. Bodies that are not a JSON object give null. The function is self-contained, so workers
-    need nothing but pandas.
+    function parses each body and walks it with a stack of its own. Bodies too deep for the
+    parser are read token by token instead, so depth is bounded by the body alone. Bodies that are
+    not a JSON object give null. The function is self-contained, so workers need nothing but pandas.
     """
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -418,15 +418,50 @@ def find_key(body: Column, key: str) -> Column:
         import json
         import re
 
+        encode = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
+        other = object()
+
+        def refuse(name: str):
+            raise ValueError(name)
+
+        def found(text: str | None) -> list | None:
+            try:
+                doc = json.loads(text or "", parse_constant=refuse)
+                return hits_of(doc) if isinstance(doc, dict) else None
+            except RecursionError:
+                return found_by_token(text)
+            except ValueError:
+                return None
+
+        def hits_of(doc: dict) -> list:
+            hits, stack = [], [(other, iter(doc.items()))]  # a value to note when done, and what it holds
+            while stack:
+                noted, entries = stack[-1]
+                for name, value in entries:
+                    hit = value if name == key else other
+                    if isinstance(value, dict):
+                        stack.append((hit, iter(value.items())))
+                        break
+                    if isinstance(value, list):
+                        stack.append((hit, ((None, v) for v in value)))
+                        break
+                    if hit is not other:
+                        hits.append(encode(hit))
+                else:
+                    stack.pop()
+                    if noted is not other:
+                        hits.append(encode(noted))
+            return hits
+
         token = re.compile(r'\s*(?:("(?:[^"\\\x00-\x1f]|\\.)*")|([{}\[\],:])|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null))')
         # what may follow in an object or array: its first entry, a further one, or what comes after an entry
         value, name, colon, after, closed = range(5)
 
-        def found(text: str | None) -> list | None:
+        def found_by_token(text: str) -> list | None:
             out: list[str] = []  # the body again, without blanks
             hits, stack = [], []  # stack: closing sign, place of the matching value or None
             state, at, start, may_close = value, 0, None, False
-            end = len((text or "").rstrip())
+            end = len(text.rstrip())
             while at < end:
                 m = token.match(text, at)
                 if not m or state == closed:
@@ -472,7 +507,7 @@ def find_key(body: Column, key: str) -> Column:
                 elif not stack:
                     return None
                 else:
-                    out.append(json.dumps(json.loads(string), ensure_ascii=False) if string is not None else plain)
+                    out.append(encode(json.loads(string)) if string is not None else encode(json.loads(plain)))
                 if start is not None:
                     hits.append((start, len(out)))
                 state, start, may_close = (after if stack else closed), None, False

@@ -28,7 +28,6 @@ MISSING = (
     "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 )
 OLD_URL = "url_old"  # older files carry the link as ``url``
-FILE_NAME = r"([^/]*\.csv)(?:/[^/]*)?\z"  # the file, or the folder that stands for it
 
 
 def by_shop_name(name: Column, shops: Sequence[str]) -> Column:
@@ -54,7 +53,9 @@ def snapshot_cells(
         .options(header=False, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
         .csv(f"{root.rstrip('/')}/{pattern}")
     )
-    file = F.regexp_extract("_metadata.file_path", FILE_NAME, 1)
+    path = F.col("_metadata.file_path")
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    file = F.when(F.endswith(folder, F.lit(".csv")), folder).otherwise(F.substring_index(path, "/", -1))
     too_wide = F.raise_error(F.concat(F.lit(f"more than {width} columns in "), file))
     return (
         rows.withColumns({"src_file": file, "path": F.col("_metadata.file_path")})
@@ -74,7 +75,8 @@ def snapshot_cells(
 
 def is_header(cells: Column) -> Column:
     """A header names at least these three columns in cells of their own."""
-    return F.coalesce(F.size(F.array_intersect(cells, F.array(*map(F.lit, ("id", "name", "date"))))) == 3, F.lit(False))
+    named = F.array_contains(cells, "id") & F.array_contains(cells, "name") & F.array_contains(cells, "date")
+    return F.coalesce(named, F.lit(False))
 
 
 def read_snapshots(
@@ -86,17 +88,21 @@ def read_snapshots(
     header give nothing.
     """
     cells = snapshot_cells(spark, root, shops, pattern, multi_line)
-    bare = F.transform("cells", lambda c: F.regexp_replace(c, "^\ufeff", ""))
-    headers = cells.where(is_header(bare)).groupBy("path").agg(F.min(F.struct("seq", bare.alias("names"))).alias("h"))
-    rows = cells.where(~is_header(bare)).join(headers.select("path", "h.names"), "path")
+    names = F.transform("h.cells", lambda c: F.regexp_replace(c, "^\ufeff", ""))
+    wanted = (*COLUMNS, "url")
+    places = F.array(*[F.array_position("names", F.lit(c)).cast("int") - 1 for c in wanted])  # -1: not there
+    headers = (
+        cells.where(is_header(F.col("cells"))).groupBy("path").agg(F.min(F.struct("seq", "cells")).alias("h"))
+        .select("path", names.alias("names")).select("path", places.alias("places"))
+    )
+    rows = cells.where(~is_header(F.col("cells"))).join(headers, "path")
 
-    def column(name: str) -> Column:
-        value = F.get("cells", F.array_position("names", F.lit(name)).cast("int") - 1)
+    def column(i: int) -> Column:
+        value = F.get("cells", F.get("places", F.lit(i)))
         return F.when(~value.isin(list(MISSING)), value)
 
-    return rows.select(
-        *[column(c).alias(c) for c in COLUMNS], column("url").alias(OLD_URL), "src_shop", "seq"
-    )
+    texts = [column(i).alias(OLD_URL if c == "url" else c) for i, c in enumerate(wanted)]
+    return rows.select(*texts, "src_shop", "seq")
 
 
 def land(spark: SparkSession, root: str, out: str, day: datetime.date | None = None, shops: Sequence[str] = SHOPS) -> None:
