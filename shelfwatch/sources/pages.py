@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfwatch.functions.conditions import by_shop
 from shelfwatch.functions.text import first_group, min_price_number, price_in_text, strip
+from shelfwatch.operators.quality import log_rows
+from shelfwatch.schema import INFORMATION
 
 LINK = r"(?is)<a\s[^>]*>.*?</a>"
 LINK_TEXT = r"(?is)^<a\s[^>]*>([^<]*)"
@@ -66,7 +68,7 @@ def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
 DATA_LAYER = (
     r"(?s)window\.zara\.dataLayer\s+=\s+(\{.*?\});window\.zara\.viewPayload = window\.zara\.dataLayer"
 )
-CATEGORY_GROUP = r'"catGroupId":([0-9]+),'
+CATEGORY_GROUP = r'"catGroupId":[0-9]+,'
 
 
 def embedded_json(html: Column, pattern: str = DATA_LAYER) -> Column:
@@ -259,6 +261,24 @@ def label_without_count(col: Column) -> Column:
     return first_group(strip(col), r"(.*).\(.*\)")
 
 
+# fixed values: what a category page of a shop should have, once, and the notice if it has not
+LISTED = {
+    "GAP": rf"(?is)<a\b(?=[^>]*{has_class('category-name')})[^>]*>",
+    "HM": rf"(?is)<form\b(?=[^>]*{has_class('js-product-filter-form')})[^>]*>",
+    "ZARA": CATEGORY_GROUP,
+}
+
+
+def page_notices(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """Category pages that list nothing, or not what they should, as log rows; a null page was not found."""
+    found = F.coalesce(by_shop({s: F.size(F.regexp_extract_all(F.col(html), F.lit(p), F.lit(0))) for s, p in LISTED.items()}), F.lit(0))
+    gap = F.when(F.col(html).isNull(), "error 404").when(found == 0, "empty page")
+    hm = F.when(found == 0, "empty node").when(found > 1, "more than one node")
+    message = by_shop({"GAP": gap, "HM": hm, "ZARA": F.when(found == 0, "No sub category")})
+    noted = pages.where(F.col("shop").isin(list(LISTED))).withColumn("_message", message)
+    return log_rows(noted.where(F.col("_message").isNotNull()), INFORMATION, F.col("_message"), url)
+
+
 def attribute_values(pages: DataFrame, name: str, html: str = "html", out: str = "value") -> DataFrame:
     """One row per tag with the attribute, in page order, such as the menu codes of a page."""
     tags = F.filter(F.regexp_extract_all(F.col(html), F.lit(TAG), F.lit(0)), lambda t: t.rlike(attribute_pattern(name)))
