@@ -15,10 +15,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import map_slices
+from shelfwatch.llm.common import map_slices, materialise
 
 #: per language: sampled texts, code points of each, bytes of dictionary; these bound the model
 TEXTS, EXCERPT, DICTIONARY = 150, 1500, 110 * 1024
+#: parts in which a language's texts are first reduced
+PARTS = 16
 LEVEL, BLOCK, TURNS = 6, 1024, 4
 #: the lead, as a share of the runner-up's size, below which a prediction counts as rejected
 NARROW = 0.01
@@ -46,9 +48,12 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
         F.min(doc_id).alias("_id"), F.count(F.lit(1)).alias("n")
     )
     totals = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    spot = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    picked = texts.withColumn("_k", spot).where(F.col("_k") <= TEXTS).select("lang", "h", "_id")
-    # at most TEXTS rows per language
+    # the smallest hashes per part of a language first, so that its final choice is among PARTS * TEXTS rows
+    picked = texts.withColumn("_part", F.pmod("h", F.lit(PARTS)))
+    for within in (["lang", "_part"], ["lang"]):
+        spot = F.row_number().over(Window.partitionBy(*within).orderBy("h"))
+        picked = picked.withColumn("_k", spot).where(F.col("_k") <= TEXTS)
+    picked = materialise(picked.select("lang", "h", "_id"))  # at most TEXTS rows per language
     found = known.join(F.broadcast(picked), (F.col(doc_id) == F.col("_id")) & (F.xxhash64(text) == F.col("h")) & (known[lang] == picked["lang"]))
     rows = found.select(picked["lang"].alias("l"), "h", F.substring(text, 1, EXCERPT).alias("t")).distinct().collect()
     languages = tuple(sorted(totals, key=lambda k: (-totals[k], k)))
