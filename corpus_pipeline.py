@@ -1,4 +1,9 @@
-"""Training-data pipeline over ``documents``: each stage is one operator on what the last one kept."""
+"""Training-data pipeline over ``documents``: each stage is one operator on what the last one kept.
+
+Null and empty texts fail the quality rules. Repeated rows are near-duplicates of each other, and
+one stays. Null ids and sources are values like others. Further columns of the input are left
+out. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

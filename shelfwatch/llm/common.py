@@ -28,7 +28,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="llm-")
+    return f"{tempfile.gettempdir()}/llm-{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -125,7 +125,7 @@ def tilts(units: DataFrame, goals: DataFrame, ceiling: float) -> DataFrame:
 # whichever brings the words taken so far nearer to the words wanted so far.
 _CARRY = """
 aggregate(array_sort(collect_list(struct(-size as neg, doc_id, size, n, r))),
-  struct(0D as miss, cast(array() as array<struct<doc_id:bigint,size:bigint,n:bigint,copies:bigint>>) as done),
+  struct(0D as miss, cast(array() as array<struct<doc_id:ID,size:bigint,n:bigint,copies:bigint>>) as done),
   (a, x) -> transform(array(
       greatest(floor(x.r), least(ceil(x.r), if(x.size = 0, cast(round(x.r) as bigint),
         cast(round((a.miss + x.n * x.size * x.r) / (x.n * x.size)) as bigint))))), k ->
@@ -145,6 +145,7 @@ def copies(
     words get the rounded rate at size 0, one copy, or the ceiling in a full source.
     """
     sized = docs.select("doc_id", "source", F.size(F.expr(words_sql("text"))).cast("long").alias("size"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     units = materialise(sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
     goals = targets(units, weights, share, ceiling)
     state = tilts(units, goals, ceiling).withColumnRenamed("source", "_s")
@@ -153,14 +154,17 @@ def copies(
         .withColumn("r", F.expr(_rate(ceiling)))
         .withColumn("_chunk", F.expr(f"pmod(xxhash64(doc_id, size), cast(rows div {PER_CHUNK} + 1 as bigint))"))
     )
-    done = rated.groupBy("source", "source_size", "target", "_chunk").agg(F.expr(_CARRY).alias("d"))
+    done = rated.groupBy("source", "source_size", "target", "_chunk").agg(F.expr(_CARRY.replace("ID", id_type)).alias("d"))
     return done.select("source", "source_size", "target", F.explode("d").alias("d")).select(
         "source", "d.doc_id", "d.size", "d.n", "d.copies", "source_size", "target"
     )
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it; rows taken 0 times go."""
+    """``docs`` with each row repeated as often as the mix takes it; rows taken 0 times go.
+
+    Null ids, texts and sources are values like others; repeated rows are taken alike.
+    """
     plan = copies(docs, **options).where("copies > 0").select(
         F.col("source").alias("_s"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "copies"
     )

@@ -59,9 +59,10 @@ def _peel(cells: str, attempt: int) -> str:
     """SQL for the number of digests peeled out of a subtracted sketch; null if some remain."""
     low, width = _bits(attempt)
     c = ATTEMPTS[attempt]
-    spots = ", ".join(f"{t * c} + cast(shiftright(x.k, {low + t * width}) & {c - 1} as int) as p{t}" for t in range(3))
-    # a digest may be alone in several of its cells
-    pure = f"array_distinct(transform(filter(st.cells, x -> abs(x.c) = 1 and hash(x.k) = x.h), x -> struct(x.c as c, x.k as k, x.h as h, {spots})))"
+    spots = ", ".join(f"{t * c} + cast(shiftright(k, {low + t * width}) & {c - 1} as int) as p{t}" for t in range(3))
+    # a digest may be alone in several of its cells; its sign goes into the bit that digests don't use
+    alone = "array_distinct(transform(filter(st.cells, x -> abs(x.c) = 1 and hash(x.k) = x.h), x -> if(x.c < 0, x.k | 1L, x.k)))"
+    pure = f"transform({alone}, e -> transform(array(e & -2L), k -> struct(if(e = k, 1, -1) as c, k as k, hash(k) as h, {spots}))[0])"
     out = (
         "transform(st.cells, (x, i) -> aggregate(filter(pure, p -> i = p.p0 or i = p.p1 or i = p.p2), x,"
         " (y, p) -> struct(y.c - p.c as c, y.k ^ p.k as k, y.h ^ p.h as h)))"
