@@ -121,13 +121,14 @@ def tilts(units: DataFrame, goals: DataFrame, ceiling: float) -> DataFrame:
     return state
 
 
-# Copies of a chunk's documents, largest first: each takes the floor or the ceiling of its rate,
-# whichever brings the words taken so far nearer to the words wanted so far.
+# Copies of a chunk's documents, largest first: each takes the number, up to the ceiling, that
+# brings the words taken so far nearest to the words wanted so far. That is the floor or the
+# ceiling of its rate but where a larger document before it has left more than its own size over.
 _CARRY = """
 aggregate(array_sort(collect_list(struct(-size as neg, doc_id, size, n, r))),
   struct(0D as miss, cast(array() as array<struct<doc_id:ID,size:bigint,n:bigint,copies:bigint>>) as done),
   (a, x) -> transform(array(
-      greatest(floor(x.r), least(ceil(x.r), if(x.size = 0, cast(round(x.r) as bigint),
+      if(x.size = 0, cast(round(x.r) as bigint), greatest(0L, least(MOST,
         cast(round((a.miss + x.n * x.size * x.r) / (x.n * x.size)) as bigint))))), k ->
     struct(a.miss + x.n * x.size * (x.r - k) as miss,
       array_append(a.done, struct(x.doc_id as doc_id, x.size as size, x.n as n, k as copies)) as done))[0],
@@ -154,7 +155,7 @@ def copies(
         .withColumn("r", F.expr(_rate(ceiling)))
         .withColumn("_chunk", F.expr(f"pmod(xxhash64(doc_id, size), cast(rows div {PER_CHUNK} + 1 as bigint))"))
     )
-    done = rated.groupBy("source", "source_size", "target", "_chunk").agg(F.expr(_CARRY.replace("ID", id_type)).alias("d"))
+    done = rated.groupBy("source", "source_size", "target", "_chunk").agg(F.expr(_CARRY.replace("ID", id_type).replace("MOST", f"{int(ceiling)}L")).alias("d"))
     return done.select("source", "source_size", "target", F.explode("d").alias("d")).select(
         "source", "d.doc_id", "d.size", "d.n", "d.copies", "source_size", "target"
     )
