@@ -20,15 +20,17 @@ from pyspark.sql import functions as F
 ATTEMPTS = (4, 8, 16, 64)
 #: digests of both versions per block
 PER_BLOCK = 6
-#: pieces end at line breaks and after sentence ends
-PIECES = r"\n+|(?<=[.!?])[ \t]+"
+#: a piece ends at a line break, or after one of these signs if a blank follows
+SENTENCE_ENDS = ".!?"
 #: rows per bucket of the id order, and buckets at most
 PER_BUCKET, MOST_BUCKETS = 2000, 65_536
 
 
 def digests(text: Column) -> Column:
     """Distinct digests of the text's pieces; empty pieces and null texts have none."""
-    pieces = F.filter(F.split(text, PIECES), lambda p: p != "")
+    for sign in SENTENCE_ENDS:
+        text = F.replace(text, F.lit(f"{sign} "), F.lit(f"{sign}\n"))
+    pieces = F.filter(F.split(text, "\n"), lambda p: p != "")
     keys = F.transform(pieces, lambda p: F.xxhash64(p).bitwiseAND(F.lit(-2).cast("long")))
     return F.coalesce(F.array_distinct(keys), F.array().cast("array<bigint>"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.llm import paragraph_sketch as P
 
-CUT = re.compile(r"\n+|(?<=[.!?])[ \t]+")
+CUT = re.compile(r"\n|(?<=[.!?]) ")
 
 
 def pieces(text):
