@@ -76,9 +76,7 @@ def json_flatten(spark, sf):
     )
 
 
-@query(
-    "reject_log",
-    f"""SELECT shop, level, message, count(*) AS n FROM (
+REJECT_SQL = f"""SELECT shop, level, message, count(*) AS n FROM (
           SELECT DISTINCT shop, page, 'MEDIUM' AS level, CASE WHEN shop IN {JSON_SHOPS} THEN 'not JSON' ELSE 'no product cards' END AS message
           FROM listing WHERE {V.BAD_PAGE}
         ) GROUP BY ALL
@@ -86,9 +84,10 @@ def json_flatten(spark, sf):
         SELECT shop, CASE WHEN no_price THEN 'INFORMATION' ELSE 'MINOR' END,
           CASE WHEN no_price THEN 'no price/name' WHEN bad_price AND NOT no_id THEN 'price is not a number' ELSE 'missing ' || CASE shop WHEN 'NEWLOOK' THEN '$.code' WHEN 'TKMAXX' THEN '$.code'
             WHEN 'PRIMARK' THEN '$.BusinessId' WHEN 'HM' THEN '$.articleCode' WHEN 'MS' THEN 'id' WHEN 'JOHN_LEWIS' THEN 'id' ELSE '$.id' END END, count(*)
-        FROM valid WHERE no_id OR no_price OR bad_price GROUP BY ALL""",
-    CAPTURED,
-)
+        FROM valid WHERE no_id OR no_price OR bad_price GROUP BY ALL"""
+
+
+@query("reject_log", REJECT_SQL, CAPTURED)
 def reject_log(spark, sf):
     _, bad = plan.collect(captures(spark, sf))
     return bad.groupBy("shop", "level", "message").agg(F.count("*").alias("n"))
@@ -140,19 +139,36 @@ def _clean_rank() -> str:
     return f"CASE {whens} ELSE 0 END"
 
 
-@query(
-    "collect_clean",
-    f"""SELECT {_BASE.replace(", page_seq, pos", "")}, date FROM (
+CLEAN_SQL = f"""SELECT {_BASE.replace(", page_seq, pos", "")}, date FROM (
           SELECT *, row_number() OVER (PARTITION BY cast(date AS DATE), shop, id, reference, name, CASE WHEN shop = 'HM' THEN concat(page_seq, '/', pos) END
             ORDER BY {_clean_rank()}, taxo1 NULLS LAST, taxo2 NULLS LAST, taxo3 NULLS LAST,
               CASE WHEN shop IN ('ASOS', 'HM', 'NEWLOOK', 'TKMAXX', 'ZARA') THEN taxo4 END NULLS LAST, page_seq, pos) AS n
-          FROM (SELECT * REPLACE ({_NAMED} AS taxo3) FROM owned)) WHERE n = 1""",
-    (*CAPTURED, OWNED),
-)
+          FROM (SELECT * REPLACE ({_NAMED} AS taxo3) FROM owned)) WHERE n = 1"""
+
+
+@query("collect_clean", CLEAN_SQL, (*CAPTURED, OWNED))
 def collect_clean(spark, sf):
     return plan.clean(plan.collect(captures(spark, sf))[0]).drop("seq")
 
 
+def _collected(spark, sf) -> str:
+    """Folder of the tables that the whole job has written."""
+    root = scratch_dir(spark, "collect")
+    plan.run(captures(spark, sf), f"{root}/raw", f"{root}/clean", f"{root}/log")
+    return root
+
+
+@query("collect_job", f"SELECT *, cast(date AS DATE) AS snapshot_date FROM ({CLEAN_SQL})", (*CAPTURED, OWNED))
+def collect_job(spark, sf):
+    return spark.read.parquet(f"{_collected(spark, sf)}/clean").drop("seq")
+
+
+@query("log_job", REJECT_SQL, CAPTURED)
+def log_job(spark, sf):
+    log = spark.read.parquet(f"{_collected(spark, sf)}/log")
+    return log.groupBy("shop", "level", "message").agg(F.count("*").alias("n"))
+
+
 # --- snapshot files ---------------------------------------------------------------------------
 
 
