@@ -49,6 +49,22 @@ def cohort_new_old(spark, sf):
     return C.cohort_counts(stocked(spark, sf), until=datetime.date(2024, 1, 25))
 
 
+# cohort_new_old ends at a day inside the given tables, as its SQL does; this one counts every day
+@query(
+    "cohort_new_old_all_days",
+    """SELECT d AS date, n.shop, n.taxo1, n.taxo2, n.taxo3,
+       nullif(count(*) FILTER (WHERE NOT is_old), 0) AS item_not_present_day1,
+       nullif(count(*) FILTER (WHERE is_old), 0) AS item_present_day1,
+       max(total) AS "Total_item_day_1"
+    FROM nodes n CROSS JOIN first_day LEFT JOIN totals t
+      ON n.shop = t.shop AND n.taxo1 = t.taxo1 AND n.taxo2 = t.taxo2 AND n.taxo3 = t.taxo3
+    WHERE d > d0 GROUP BY 1, 2, 3, 4, 5""",
+    VIEWS,
+)
+def cohort_new_old_all_days(spark, sf):
+    return C.cohort_counts(stocked(spark, sf), until=datetime.date.max)
+
+
 @query("day1_ids", "SELECT new_id FROM ids", VIEWS)
 def day1_ids(spark, sf):
     return C.day1_ids(stocked(spark, sf))

@@ -122,3 +122,11 @@ def test_days(spark):
     }
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert {r.t: r.d for r in df.select("t", day_of(F.col("t")).alias("d")).collect()} == texts
+
+
+def test_bound_inside_the_data(spark):
+    rows = [("A", str(i), True, "MAN", "TOP", "SHIRT", f"2018-09-0{1 + i}", i) for i in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for until, days in ((datetime.date(2018, 9, 4), 3), (datetime.date.max, 5)):
+        got = as_dict(old_new_counts(df, until))
+        assert got == brute_force(rows, until) and len(got) == days

@@ -38,3 +38,8 @@ def test_query(spark, con, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "date" and df.count() > 0
+
+
+def test_entry_counts_to_the_last_day(spark, con):
+    last = con.execute("select max(cast(ts as date)) from events").fetchone()[0]
+    assert entry.entry(spark).agg({"date": "max"}).first()[0] == last
