@@ -199,6 +199,21 @@ def links(prints: DataFrame, fp: str = "_fp", bits: int = 4) -> DataFrame:
     return dealt.groupBy("leaf").applyInPandas(join, "a long, b long")
 
 
+def _placed(docs: DataFrame, doc_id: str, text: str, shingle: int, bits: int) -> DataFrame:
+    """(doc_id, text_hash, _fp, root, component_id) of every row; ``root`` is the component's key, never null."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text"))
+    rows = materialise(with_fingerprints(rows, "_text", shingle=shingle).drop("_text"))
+    prints = materialise(rows.groupBy("_fp").agg(F.min("doc_id").alias("_least")))
+    roots = components(links(prints, bits=bits))
+    placed = prints.join(roots, F.col("_fp") == F.col("node"), "left").select(
+        "_fp", "_least", F.coalesce("root", "_fp").alias("root")
+    )
+    placed = materialise(placed)
+    least = placed.groupBy("root").agg(F.min("_least").alias("component_id"))
+    by_print = placed.join(least, "root").select("_fp", "root", "component_id")
+    return rows.join(by_print, "_fp")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, bits: int = 4
 ) -> DataFrame:
@@ -209,25 +224,18 @@ def near_duplicates(
     A null text counts as empty; texts without words have fingerprint zero, linked like any other.
     Equal fingerprints are one node, so copies cost nothing in the search.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text"))
-    rows = materialise(with_fingerprints(rows, "_text", shingle=shingle).drop("_text"))
-    prints = materialise(rows.groupBy("_fp").agg(F.min("doc_id").alias("_least")))
-    roots = components(links(prints, bits=bits))
-    placed = prints.join(roots, F.col("_fp") == F.col("node"), "left").select(
-        "_fp", "_least", F.coalesce("root", "_fp").alias("root")
-    )
-    placed = materialise(placed)
-    least = placed.groupBy("root").agg(F.min("_least").alias("component_id"))
-    by_print = placed.join(least, "root").select("_fp", "component_id")
-    return rows.join(by_print, "_fp").select(
+    return _placed(docs, doc_id, text, shingle, bits).select(
         "doc_id", "text_hash", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """One row per component: that with the smallest doc_id, then the smallest text hash."""
-    found = near_duplicates(docs, shingle=shingle, bits=bits)
-    kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
+    """One row per component: that with the smallest doc_id, then the smallest text hash.
+
+    Components are told apart by their root: several may share a smallest doc_id, or have none.
+    """
+    found = _placed(docs, "doc_id", "text", shingle, bits)
+    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
     kept = materialise(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")))
     key = F.xxhash64("text")
     mine = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash")), "left_semi")

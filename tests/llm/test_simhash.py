@@ -104,3 +104,11 @@ def test_keep_first_leaves_one_row_of_each_group(spark):
     found = S.near_duplicates(docs).collect()
     assert len(found) == len(odd_rows()) and {r["component_id"] for r in found if r["fingerprint"] == "0" * 16} == {1}
     assert S.keep_first(docs.limit(0)).count() == 0
+
+
+def test_keep_first_keeps_unrelated_rows_without_or_with_equal_ids(spark):
+    rows = [(None, prose(300 + i, 90), "en", "a") for i in range(6)]
+    rows += [rows[0], (7, prose(400, 90), "en", "a"), (7, prose(401, 90), "en", "a"), (8, prose(401, 90), "en", "b")]
+    kept = S.keep_first(documents(spark, rows)).collect()
+    want = [(r[0], r[1]) for r in rows[:6] + rows[7:9]]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted((i or 0, t) for i, t in want)
