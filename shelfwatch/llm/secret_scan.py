@@ -1,7 +1,7 @@
 """Secrets: fixed patterns, and literals that source or configuration text assigns to sensitive names.
 
 The lexer reads ``name <operator> value`` pairs in the syntaxes common to code and configuration
-(``=``, ``:``, ``:=``, ``=>``; quoted names; quoted, joined or bare values). Names assigned to names
+(``=``, ``:``, ``:=``, ``=>``; quoted names; a type between name and ``=``; quoted, joined or bare values). Names assigned to names
 are followed to their literals. A literal is a secret if its target's name and its own shape score
 high enough together.
 """
@@ -25,15 +25,26 @@ HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{24,}")  # runs as HEX finds them, of 24 and more
 KINDS = ("assign", "access", "hex", "literal")
 
-#: a text without any of these, lower-cased, has no base assignment, or no sensitive name
+#: a text without any of these, lower-cased, has no base assignment
 ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
-NAME_HINTS = (*ASSIGN_HINTS, "pwd", "passphrase", "credential", "api-key", "key", "auth", "bearer")
 
 _STRING = r"(?:\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+')"
 _NAME = r"[A-Za-z_](?:[A-Za-z0-9_]|[.-](?=[A-Za-z0-9_]))*+"
 _BARE = r"[^\s\"'`,;(){}\[\]<>+]++"
+_WORD = r"[A-Za-z_][A-Za-z_]*+(?:(?:\.|::)[A-Za-z_]++)*+[0-9]{0,3}(?![A-Za-z0-9_])"
+# a declared type: a word with arguments, marks of references, arrays and options, alternatives
+_ONE_TYPE = (
+    r"(?:[&*]|\[[0-9]{0,9}\]|'[a-z_]++[ \t]++|(?:mut|const)[ \t]++){0,4}+" + _WORD
+    + r"(?:\[(?:[^\[\]\n=]|\[[^\[\]\n=]{0,60}\]){0,60}\]|<(?:[^<>\n=]|<[^<>\n=]{0,60}>){0,60}>|\([0-9, ]{1,12}\)){0,3}+[?!]?"
+)
+_TYPE = rf"{_ONE_TYPE}(?:[ \t]*+\|[ \t]*+{_ONE_TYPE}){{0,4}}+"
+# types that may follow a name without a colon; after var or const any type may
+_PLAIN_TYPE = r"(?:\*|\[[0-9]{0,9}\]){0,2}+(?:string|str|text|bytes?|rune|any|interface\{\}|n?varchar2?|char|character varying)(?:\([0-9 ]{1,8}\))?"
+_SET = r"[ \t]*+(?::=|=(?![=>~]))"
 PAIR = re.compile(
-    rf"(?<![A-Za-z0-9_.-])(?P<quote>[\"']?)(?P<name>{_NAME})(?P=quote)[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))[ \t]*+"
+    rf"(?<![A-Za-z0-9_.-])(?P<quote>[\"']?)(?P<name>{_NAME})(?P=quote)"
+    rf"(?:\??[ \t]*+:[ \t]*+(?P<type>{_TYPE}){_SET}|[ \t]++(?P<plain>{_PLAIN_TYPE}){_SET}|(?:(?<=var)|(?<=const))[ \t]++(?P<declared>{_NAME})[ \t]++(?P<any>{_ONE_TYPE}){_SET}"
+    rf"|[ \t]*+(?::=|=>|=(?!=)|:(?![:/])))[ \t]*+"
     rf"(?P<value>(?:{_STRING}(?![ \t]*+(?::|=>))|{_BARE})(?:[ \t]*+\+[ \t]*+(?:{_STRING}|{_NAME}))*+)"
 )
 TERM = re.compile(rf"(?P<string>{_STRING})|(?P<bare>{_BARE})")
@@ -44,6 +55,10 @@ _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _STRONG = {"password", "passwd", "pwd", "passphrase", "secret", "token", "apikey", "credential", "credentials", "passcode"}
 _KEYED = {"api", "access", "private", "secret", "signing", "encryption", "auth", "service", "account", "storage"}
 _WEAK = {"auth", "bearer", "authorization", "signature"}
+#: a text without any of these, lower-cased and without separators, has no sensitive name
+_TELLING = _STRONG | _WEAK | {"key"}
+NAME_HINTS = tuple(sorted(h for h in _TELLING if not any(o in h for o in _TELLING - {h})))
+_SEPARATORS = "_.-"
 _OTHER_USE = {"count", "name", "length", "limit", "type", "id", "url", "uri", "path", "file", "field", "label", "hint", "policy", "expiry", "ttl", "max", "min", "size", "prompt", "index"}
 _PLACEHOLDER = re.compile(r"example|changeme|change_me|placeholder|your|xxxx|\*\*\*|\$\{|\{\{|<|%\(|^(?:none|null|nil|true|false|undefined)$", re.I | re.A)
 #: least joint score of a secret
@@ -75,15 +90,21 @@ def _literals(text: str) -> list[tuple[int, int]]:
     values: dict[str, list[tuple[int, int]]] = {}
     refers: dict[str, set[str]] = {}
     for m in PAIR.finditer(text):
-        name, at = m["name"], m.start("value")
-        for t in TERM.finditer(m["value"]):
-            if t["string"]:
-                values.setdefault(name, []).append((at + t.start() + 1, at + t.end() - 1))
-            elif _WHOLE_NAME.match(t["bare"]):
-                refers.setdefault(name, set()).add(t["bare"])
-                values.setdefault(name, []).append((at + t.start(), at + t.end()))
-            else:
-                values.setdefault(name, []).append((at + t.start(), at + t.end()))
+        # "a b = value": either word may be the name, the other one the type
+        names = {m["declared"] or m["name"], m["plain"] or m["any"] or m["declared"] or m["name"]}
+        groups = ["value"]
+        if m["type"] and m["value"][0] not in "\"'":
+            groups.append("type")  # no declaration for sure: "a: b = c" may assign b
+        for name, group in ((n, g) for n in names for g in groups):
+            at = m.start(group)
+            for t in TERM.finditer(m[group]):
+                if t["string"]:
+                    values.setdefault(name, []).append((at + t.start() + 1, at + t.end() - 1))
+                elif _WHOLE_NAME.match(t["bare"]):
+                    refers.setdefault(name, set()).add(t["bare"])
+                    values.setdefault(name, []).append((at + t.start(), at + t.end()))
+                else:
+                    values.setdefault(name, []).append((at + t.start(), at + t.end()))
     found = set()
     for name in set(values) | set(refers):
         if not (weight := name_score(name)):
@@ -115,6 +136,8 @@ def spans(text: str | None) -> list[dict]:
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     out += [("hex", m.start(), m.end(), m.start(), m.end()) for m in HEX_LONG.finditer(text)]
+    for c in _SEPARATORS:
+        low = low.replace(c, "")
     if any(h in low for h in NAME_HINTS):
         starts = sorted(s[1] for s in out)
         reach = list(accumulate((s[2] for s in sorted(out, key=lambda s: s[1])), max))

@@ -50,6 +50,30 @@ def test_lexer():
     assert values('color = "k3jd92jfk20fk"') == set()
 
 
+def test_names_the_base_patterns_do_not_have():
+    for name in ("passcode", "signature", "db_pass_word", "PASS-PHRASE", "sec.ret", "bea_rer", "db_passCode", "authorization"):
+        assert values(f'{name} = "k3jd92jfk20fk+/x"') == {"k3jd92jfk20fk+/x"}, name
+    for part in S._STRONG | S._WEAK | {f"{k}_key" for k in S._KEYED}:
+        assert values(f'x_{part} = "k3jd92jfk20fk+/x"') == {"k3jd92jfk20fk+/x"}, part
+
+
+def test_typed_declarations():
+    lit = "k3jd92jfk20fk"
+    for text in (
+        'const passcode: string = "@"', 'db_pwd: str = "@"', 'pwd: Optional[str] = "@"', 'pwd: str | None = "@"', 'var dbPwd string = "@"',
+        'const (\n  dbPwd string = "@"\n)', 'const API_CREDENTIAL: &\'static str = "@"', 'val pwd: String? = "@"', 'var dbPwd: String = "@"',
+        'private pwd?: string = \'@\'', 'pwd: SecureString = "@"', 'const string dbPwd = "@"', 'String pwd = "@"', 'var dbPwd vault.Value = "@"',
+        'db_pwd varchar(40) := \'@\'', 'pwd: Map<string, List<int>> = "@"', 'char pwd = "@"', 'A: str = "@"\nclient_pwd: str = A',
+    ):
+        assert values(text.replace("@", lit)) == {lit}, text
+    assert lit in values(f'const apiKey: string = "{lit}"') and lit in values(f'db_password: str = "{lit}"')
+    # what is no type stays a value
+    assert values(f"db_pwd: {lit}") == {lit} and values(f"db_pwd: {lit} = x") == {lit}
+    assert values("db_pwd: correcthorsebattery = other") == {"correcthorsebattery"}
+    assert values('color: string = "k3jd92jfk20fk"') == set()
+    assert S.spans("pwd: " + "a|" * 100_000) is not None and S.spans("pwd a[" * 50_000) is not None and S.spans("key: a<" * 50_000) is not None
+
+
 def test_long_texts_stay_linear():
     assert len(S.spans("a" * 500_000)) == 1
     assert S.spans('pwd="' * 50_000) is not None
