@@ -1,8 +1,9 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut at line breaks and sentence ends; each piece has a 64-bit digest (its lowest bit
-cleared), and a digest is added to one cell of each of three tables: a count, the exclusive or of
-the digests, and of their checksums. Sketches of two versions subtract cell by cell, which cancels
+A text is cut at line breaks and sentence ends, and longer pieces after words, or in runs without
+blanks after characters, that their own hash chooses, so that an edit changes few pieces. Each
+piece has a 64-bit digest (its lowest bit cleared), and a digest is added to one cell of each of
+three tables: a count, the exclusive or of the digests, and of their checksums. Sketches of two versions subtract cell by cell, which cancels
 what they share. A cell left with one digest shows it by its checksum; taking it out of its other
 cells frees more (peeling), until every differing digest is known.
 
@@ -22,17 +23,45 @@ ATTEMPTS = (4, 8, 16, 64)
 PER_BLOCK = 6
 #: a piece ends at a line break, or after one of these signs if a blank follows
 SENTENCE_ENDS = ".!?"
+#: a piece of more code points than this is cut further
+LONG_PIECE = 160
+#: a word of more code points than this counts as its characters
+LONG_WORD = 32
+#: one word in so many, or one run of GRAM characters, ends a part; a part has MOST_PARTS words or characters at most
+WORDS, CHARS, GRAM, MOST_PARTS = 8, 32, 4, 128
 #: rows per bucket of the id order, and buckets at most
 PER_BUCKET, MOST_BUCKETS = 2000, 65_536
 
 
-def digests(text: Column) -> Column:
+def _parts(piece: str) -> str:
+    """SQL for the parts of one long piece: cut after words and characters whose hash ends in zeros.
+
+    Where a cut falls depends on one word, or the last few characters, alone. Parts without a cut
+    for long are cut by count from their start.
+    """
+    words = f"split({piece}, '(?<= )')"
+    tokens = f"filter(flatten(transform({words}, w -> if(length(w) <= {LONG_WORD}, array(w), split(w, '')))), w -> w <> '')"
+    gram = ", ".join(f"coalesce(get(t, i - {k}), '')" for k in range(GRAM, 1, -1))
+    ends = (
+        f"if(length(get(t, i - 1)) = 1, (xxhash64({gram}, get(t, i - 1)) & {CHARS - 1}L) = 0L,"
+        f" (xxhash64(get(t, i - 1)) & {WORDS - 1}L) = 0L)"
+    )
+    starts = f"filter(sequence(0, size(t) - 1), i -> i = 0 or {ends})"
+    finer = f"flatten(transform(s, (p, j) -> sequence(p, coalesce(get(s, j + 1), size(t)) - 1, {MOST_PARTS})))"
+    cut = "transform(f, (p, j) -> array_join(slice(t, p + 1, coalesce(get(f, j + 1), size(t)) - p), ''))"
+    return (
+        f"transform(array({tokens}), t -> transform(array({starts}), s ->"
+        f" transform(array({finer}), f -> {cut})[0])[0])[0]"
+    )
+
+
+def digests(text: str) -> Column:
     """Distinct digests of the text's pieces; empty pieces and null texts have none."""
     for sign in SENTENCE_ENDS:
-        text = F.replace(text, F.lit(f"{sign} "), F.lit(f"{sign}\n"))
-    pieces = F.filter(F.split(text, "\n"), lambda p: p != "")
-    keys = F.transform(pieces, lambda p: F.xxhash64(p).bitwiseAND(F.lit(-2).cast("long")))
-    return F.coalesce(F.array_distinct(keys), F.array().cast("array<bigint>"))
+        text = f"replace({text}, '{sign} ', '{sign}\n')"
+    pieces = f"filter(split({text}, '\n'), p -> p <> '')"
+    fine = f"flatten(transform({pieces}, p -> if(length(p) <= {LONG_PIECE}, array(p), {_parts('p')})))"
+    return F.expr(f"coalesce(array_distinct(transform({fine}, p -> xxhash64(p) & -2L)), cast(array() as array<bigint>))")
 
 
 def _bits(attempt: int) -> tuple[int, int]:
@@ -164,13 +193,13 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     of the next text, or all it has. A null text counts as empty; a table of one row is its own next.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    rows = rows.withColumns({"h": F.xxhash64("body"), "own": digests(F.col("body"))})
+    rows = rows.withColumns({"h": F.xxhash64("body"), "own": digests("body")})
     rows = with_next(rows, "doc_id", ["body", "own"], "h")
     n = F.length("body")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("body", F.lit(1), n - half), F.substring("next_body", F.lit(1), half))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", "next_own")
-    rows = rows.withColumn("new", digests(F.col("edited")))
+    rows = rows.withColumn("new", digests("edited"))
     return rows.select(
         "doc_id", "n_chars", "edited",
         sketch_text("own").alias("fingerprint"), sketch_text("new").alias("edited_fingerprint"),

@@ -84,3 +84,20 @@ def test_odd_rows(spark):
     assert alone["edited"] == "abab" and alone["near_next"] == 1.0
     nobody = P.fingerprint(documents(spark, [(None, "ab", "en", "a"), (None, "cd", "en", "a")])).collect()
     assert {r["edited"] for r in nobody} == {"ac", "ca"}
+
+
+def test_an_edit_in_a_long_piece_changes_few_digests(spark):
+    rng = random.Random(9)
+    words = [a + b for a in "bcdfgklmnprst" for b in ("an", "er", "ilo", "ont", "u")]
+    plain = " ".join(rng.choice(words) for _ in range(3000))  # no sentence sign
+    wide = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(4000))  # no blank
+    rows = []
+    for t in (plain, wide, "x" * 3000 + wide[:500], "to " * 2000 + plain):
+        for at in (0, len(t) // 2, len(t) - 1):
+            rows.append((t, t[:at] + "Qé" + t[at + 1 :], len(t)))
+    df = spark.createDataFrame(rows, "a string, b string, n int").withColumns({"x": P.digests("a"), "y": P.digests("b")})
+    for r in df.withColumn("like", P.likeness("x", "y")).collect():
+        x, y = set(r["x"]), set(r["y"])
+        assert len(x ^ y) <= 8 and len(x) >= 5 and abs(r["like"] - jaccard(x, y)) < 1e-12
+    rows = [(1, plain, "en", "a"), (2, wide, "zh", "a")]
+    assert all(0.2 < r["near_edited"] < 0.6 and r["near_next"] == 0 for r in P.fingerprint(documents(spark, rows)).collect())
