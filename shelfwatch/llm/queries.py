@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import bpe, language_id, mixing, paragraph_sketch, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
+from shelfwatch.llm import bpe, conversations, language_id, mixing, paragraph_sketch, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,4 +184,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(conversations.repair(conversations.damage(rows)), rows)
+
+
 ORACLES["op8_quality_rules"] = _quality_sql()
