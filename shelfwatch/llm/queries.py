@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import bpe, conversations, language_id, mixing, paragraph_sketch, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
+from shelfwatch.llm import bpe, collocations, conversations, language_id, mixing, paragraph_sketch, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,4 +190,46 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.repair(conversations.damage(rows)), rows)
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"), least=30, longest=4, covered=80, top=2000)
+
+
+ORACLES["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+lines AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[p:p + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM lines, range(1, 5) AS lengths(k) WHERE len(w) >= k)
+),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, k, phrase, f, c, array_to_string(w[:c], ' ') AS head, array_to_string(w[c + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)
+),
+scored AS (
+  SELECT u.lang, u.phrase, u.f AS a, h.f AS l, t.f AS r, ((2000000::HUGEINT * u.f) // (h.f + t.f))::BIGINT AS score,
+    row_number() OVER (PARTITION BY u.lang, u.phrase ORDER BY (2000000::HUGEINT * u.f) // (h.f + t.f), c) AS pick
+  FROM cuts u JOIN counts h ON h.lang = u.lang AND h.phrase = u.head JOIN counts t ON t.lang = u.lang AND t.phrase = u.tail
+),
+inner_parts AS (
+  SELECT lang, f AS longer, array_to_string(w[s:s + m - 1], ' ') AS phrase
+  FROM (SELECT lang, f, w, m, unnest(range(1, k - m + 2)) AS s FROM candidates, range(2, 4) AS sizes(m) WHERE m < k)
+),
+covered AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inner_parts i USING (lang, phrase) WHERE 100::HUGEINT * i.longer >= 80::HUGEINT * c.f
+),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM scored WHERE pick = 1 AND (lang, phrase) NOT IN (SELECT (lang, phrase) FROM covered)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES["op8_quality_rules"] = _quality_sql()
