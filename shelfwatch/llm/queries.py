@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import bpe, collocations, conversations, language_id, mixing, paragraph_sketch, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
+from shelfwatch.llm import bpe, collocations, conversations, language_id, minhash, mixing, paragraph_sketch, quality_rules, secret_scan, sharding, simhash, toxicity, url_filter
 from shelfwatch.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,4 +232,32 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
+@query
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=5, percent=85)
+
+
+ORACLES["op13_minhash_near_dedup"] = r"""
+WITH RECURSIVE rows_ AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' ')) END) AS s
+  FROM rows_
+),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (SELECT x.r AS a, y.r AS b, count(*) AS i FROM shingles x JOIN shingles y ON x.s = y.s AND x.r < y.r GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b WHERE 100 * i >= 85 * (p.n + q.n - i)
+),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT r AS a, r AS b FROM rows_ UNION SELECT reach.a, ways.b FROM reach JOIN ways ON ways.a = reach.b),
+least AS (SELECT reach.a AS r, min(rows_.doc_id) AS component_id FROM reach JOIN rows_ ON rows_.r = reach.b GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows_ JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
+
 ORACLES["op8_quality_rules"] = _quality_sql()
