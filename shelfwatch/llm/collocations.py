@@ -4,7 +4,7 @@ Texts are cut into pieces and words. The occurrences of one language are written
 about ``BLOCK`` words, sorted by piece and position; a relation of phrases of k words has, per
 position, the phrase that starts there. Level k + 1 merge-joins level k with itself on piece and
 adjacent position (both sides are sorted, so a position meets the next one), counts the groups over
-all blocks, and keeps the occurrences of frequent groups only by a semi-join with them. A phrase is
+all blocks, and keeps the occurrences of frequent groups only by a semi-join with them (both by one exchange). A phrase is
 known by the pair of k-word phrases that begin and end it, so each level joins and counts two ids.
 
 Words are told apart by their text, phrases by ids given to frequent ones; nothing is hashed. The
@@ -183,9 +183,18 @@ def frequent_pairs(relation: DataFrame, kept: DataFrame) -> DataFrame:
     return relation.groupBy("block").cogroup(kept.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(narrow, RELATION)
 
 
-def _numbered(counts: DataFrame, least: int) -> DataFrame:
-    """Groups of at least ``least`` occurrences (column f), each with an id; written, so that ids stay."""
-    return materialise(counts.where(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()))
+def _frequent(rows: DataFrame, by: list[str], least: int) -> DataFrame:
+    """``rows`` of groups with at least ``least`` occurrences, with their count f and an id; written.
+
+    Counting and semi-join share one exchange: a group has a row per block, and each learns the
+    group's sum. ``first`` marks one row per group.
+    """
+    group = Window.partitionBy(*by)
+    counted = rows.withColumn("_m", F.monotonically_increasing_id()).withColumns(
+        {"f": F.sum("n").over(group), "id": F.min("_m").over(group)}
+    )
+    kept = counted.where(F.col("f") >= least).withColumn("first", F.col("_m") == F.col("id"))
+    return materialise(kept.drop("_m", "n"))
 
 
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 30, longest: int = 4, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -199,14 +208,16 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     blocks = materialise(occurrences(docs, text, lang, block))
     spots = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("spot", "w"))
     spots = spots.select("block", "lang", (F.col("spot") + 1).alias("spot"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    totals = spots.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = _numbered(spots.groupBy("lang", "word").agg(F.sum("n").alias("f")), least)
-    relation = materialise(frequent_words(blocks, spots.join(words, ["lang", "word"]).select("block", "spot", "id")))
-    known = words.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("before"), F.array("f").alias("after"))
+    totals = blocks.select("lang", F.expr("aggregate(counts, 0L, (x, y) -> x + y)").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
+    words = _frequent(spots, ["lang", "word"], least)
+    relation = materialise(frequent_words(blocks, words.select("block", "spot", "id")))
+    known = words.where("first").select(
+        "id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("before"), F.array("f").alias("after")
+    )
     found = []
     for length in range(2, longest + 1):
-        adjacent = joined(relation)
-        groups = _numbered(adjacent.groupBy("a", "b").agg(F.sum("n").alias("f")), least)
+        pairs = _frequent(joined(relation), ["a", "b"], least)
+        groups = pairs.where("first").select("id", "a", "b", "f")
         above = groups.select(F.explode(F.array("a", "b")).alias("id"), "f").groupBy("id").agg(F.max("f").alias("most_above"))
         found.append(known.join(above, "id", "left"))
         first = known.select(F.col("id").alias("a"), "lang", F.col("words").alias("_first"), F.col("before").alias("_before"))
@@ -218,7 +229,7 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
             )
         )
         if length < longest:
-            relation = materialise(frequent_pairs(relation, adjacent.join(groups, ["a", "b"]).select("block", "a", "b", "id")))
+            relation = materialise(frequent_pairs(relation, pairs.select("block", "a", "b", "id")))
     found.append(known.withColumn("most_above", F.lit(None).cast("long")))
     table = found[0]
     for more in found[1:]:
