@@ -14,6 +14,7 @@ from shelfwatch.operators.quality import log_counts
 from shelfwatch.functions.conditions import by_shop
 from shelfwatch.plans import categories
 from shelfwatch.plans import collect as plan
+from shelfwatch.schema import SHOPS
 from shelfwatch.session import scratch_dir
 from shelfwatch.sources import pages as P
 from shelfwatch.sources import payloads, sitemaps, snapshots, tables
@@ -154,21 +155,61 @@ def collect_clean(spark, sf):
 def _collected(spark, sf) -> str:
     """Folder of the tables that the whole job has written."""
     root = scratch_dir(spark, "collect")
-    plan.run(captures(spark, sf), f"{root}/raw", f"{root}/clean", f"{root}/log")
+    plan.run(captures(spark, sf), *(f"{root}/{t}" for t in ("raw", "clean", "log")), ledger_path=f"{root}/ledger", run="all")
     return root
 
 
 @query("collect_job", f"SELECT *, cast(date AS DATE) AS snapshot_date FROM ({CLEAN_SQL})", (*CAPTURED, OWNED))
 def collect_job(spark, sf):
-    return spark.read.parquet(f"{_collected(spark, sf)}/clean").drop("seq")
+    return tables.read_table(spark, f"{_collected(spark, sf)}/clean").drop("seq")
 
 
-@query("log_job", REJECT_SQL, CAPTURED)
+# a start and an end of every shop, besides the rejects
+_TIMED_SHOPS = f"unnest([{', '.join(text(s) for s in SHOPS)}]) AS s(shop)"
+
+
+@query(
+    "log_job",
+    f"{REJECT_SQL} UNION ALL SELECT shop, 'TIMING', event, 1 FROM {_TIMED_SHOPS}, unnest(['start', 'end']) AS e(event)",
+    CAPTURED,
+)
 def log_job(spark, sf):
-    log = spark.read.parquet(f"{_collected(spark, sf)}/log")
+    log = tables.read_table(spark, f"{_collected(spark, sf)}/log")
     return log.groupBy("shop", "level", "message").agg(F.count("*").alias("n"))
 
 
+@query(
+    "run_ledger",
+    f"""SELECT 'all' AS run, shop, true AS in_order, coalesce(r.n, 0) AS raw_rows, coalesce(c.n, 0) AS clean_rows, coalesce(b.n, 0)::BIGINT AS rejects
+        FROM {_TIMED_SHOPS} LEFT JOIN (SELECT shop, count(*) AS n FROM owned GROUP BY shop) r USING (shop)
+        LEFT JOIN (SELECT shop, count(*) AS n FROM ({CLEAN_SQL}) GROUP BY shop) c USING (shop)
+        LEFT JOIN (SELECT shop, sum(n) AS n FROM ({REJECT_SQL}) GROUP BY shop) b USING (shop)""",
+    (*CAPTURED, OWNED),
+)
+def run_ledger(spark, sf):
+    """Start, end and row counts of each shop, taken while the one plan of all shops ran."""
+    ledger = tables.read_table(spark, f"{_collected(spark, sf)}/ledger")
+    return ledger.select("run", "shop", (F.col("started") <= F.col("ended")).alias("in_order"), "raw_rows", "clean_rows", "rejects")
+
+
+@query(
+    "snapshot_versions",
+    """SELECT shop, id, name, price, date, seq, cast(date AS DATE) AS snapshot_date FROM listing
+       WHERE shop NOT IN ('ASOS', 'HM') OR (shop = 'HM' AND seq % 2 = 0)""",
+    (LISTING_SQL,),
+)
+def snapshot_versions(spark, sf):
+    """All shops; then two of them again, of which one has half its rows and one none; then a run that is never committed."""
+    path = f"{scratch_dir(spark, 'versions')}/raw"
+    rows = listing(spark, sf).select("shop", "id", "name", "price", "date", "seq")
+    scope = rows.select(F.col("date").cast("date").alias("snapshot_date"), "shop").distinct()
+    tables.commit_snapshot(tables.stage_snapshot(rows, path, "first"), path, "first", scope)
+    again = tables.stage_snapshot(rows.where("shop = 'HM' and seq % 2 = 0"), path, "again")
+    tables.commit_snapshot(again, path, "again", scope.where("shop in ('ASOS', 'HM')"))
+    tables.stage_snapshot(rows.where("shop = 'MS'"), path, "killed")
+    return tables.read_table(spark, path)
+
+
 # --- snapshot files ---------------------------------------------------------------------------
 
 

@@ -95,12 +95,13 @@ def run(spark: SparkSession, landing: str, out: str, shops: Sequence[Shop] = AGG
 
     def one(some: Sequence[Shop]) -> None:
         raw = typed_snapshots(read_snapshots(spark, landing, [s.name for s in some]))
-        tables.write_aggregate(clean_shops(raw, some), out)
+        names = [s.name for s in some]
+        tables.write_aggregate(clean_shops(raw, some), out, "-".join(["aggregate", *names]), names)
 
     try:
         one(shops)
     except Exception:  # found out below, shop by shop
         log = run_isolated(spark, {s.name: partial(one, [s]) for s in shops})
         if log_path:
-            tables.append_log(log, log_path)
-    return duplicates(spark.read.parquet(out))
+            tables.write_log(log, log_path, "aggregate")
+    return duplicates(tables.read_table(spark, out))

@@ -23,4 +23,4 @@ def old_new_counts(aggregate: DataFrame, until: datetime.date | None = None) ->
 
 
 def run(spark: SparkSession, aggregate_path: str, out: str, until: datetime.date | None = None) -> None:
-    tables.write_cohort(old_new_counts(spark.read.parquet(aggregate_path), until), out)
+    tables.write_cohort(old_new_counts(tables.read_table(spark, aggregate_path), until), out)

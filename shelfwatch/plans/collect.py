@@ -2,21 +2,35 @@
 
 from __future__ import annotations
 
+import datetime
+import hashlib
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfwatch.config.ladders import CATEGORY_LADDERS, KEEP_ALL_LISTINGS, PRODUCT_LADDERS
 from shelfwatch.functions.levels import level_array
 from shelfwatch.operators.dedup import first_category_wins, keep_first, with_rank
 from shelfwatch.operators.quality import first_reason, log_rows, run_isolated
-from shelfwatch.schema import MEDIUM, MINOR, PRODUCT, SHOPS, TAXO
+from shelfwatch.schema import MAJOR, MEDIUM, MINOR, PRODUCT, RUN_LEDGER, RUN_LOG, SHOPS, TAXO, TIMING
 from shelfwatch.session import stored
-from shelfwatch.sources import payloads, tables
+from shelfwatch.sources import payloads, tables, versions
 from shelfwatch.sources.pages import CARDS, NO_CARDS, product_cards
 
 
+@dataclass(frozen=True)
+class Paths:
+    """Where a run writes."""
+
+    raw: str
+    clean: str
+    log: str
+    ledger: str | None = None
+
+
 def canonical(df: DataFrame) -> DataFrame:
     """The record layout plus ``seq``; every field is cast to its declared type."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRODUCT], "seq")
@@ -114,27 +128,68 @@ def clean(raw: DataFrame, hm_dedup: bool = False) -> DataFrame:
     return first.drop("_day", "_rank", "_own", "_level4")
 
 
-def _run(captures: DataFrame, raw_path: str, clean_path: str, log_path: str, filters: DataFrame | None) -> None:
-    """Bodies are parsed once, into written rows that raw, log, days and clean are read from."""
-    flat, cards = stored(json_rows(captures), "items"), stored(card_rows(captures), "cards")
-    tables.append_log(rejects(flat, cards), log_path)
-    raw = products(flat, cards, filters)
-    tables.write_snapshot(raw, raw_path)
-    seen = flat.select("captured_at").union(cards.select("captured_at"))
-    days = [r[0] for r in seen.select(F.col("captured_at").cast("date")).distinct().collect()]  # days of one run
-    written = captures.sparkSession.read.parquet(raw_path).where(F.col("snapshot_date").isin(days))
-    shops = [r[0] for r in flat.select("shop").union(cards.select("shop")).distinct().collect()]
-    tables.write_snapshot(clean(written.where(F.col("shop").isin(shops)).drop("snapshot_date")), clean_path)
+def _per_shop(name: str) -> tuple[Observation, list]:
+    """Row counts of every shop, taken while a plan runs."""
+    return Observation(name), [F.count_if(F.col("shop") == s).alias(s) for s in SHOPS]
 
 
-def run(captures: DataFrame, raw_path: str, clean_path: str, log_path: str, filters: DataFrame | None = None) -> None:
-    """Write raw snapshot, cleaned snapshot and log.
+def _run(captures: DataFrame, paths: Paths, run: str, filters: DataFrame | None, shop: str | None = None) -> None:
+    """Bodies are parsed once, into written rows that raw, log and clean are read from.
 
-    All shops run in one plan. If it fails, each shop runs by itself: the one at fault is logged,
-    the others are written.
+    Raw and cleaned rows are staged first and committed together at the end, so a run that fails
+    on the way changes neither. The log and the ledger come last; those of a run over all shops
+    also replace what runs of single shops had left. A single shop is timed by its caller.
+    """
+    spark, started, version = captures.sparkSession, _now(), versions.fresh(run)
+    flat, cards = stored(json_rows(captures), "items"), stored(card_rows(captures), "cards")
+    (raw_seen, counts), (clean_seen, _), (bad_seen, _) = (_per_shop(n) for n in ("raw", "clean", "bad"))
+    raw = tables.stage_snapshot(products(flat, cards, filters).observe(raw_seen, *counts), paths.raw, version)
+    best = tables.stage_snapshot(clean(raw.drop("snapshot_date")).observe(clean_seen, *counts), paths.clean, version)
+    scope = stored(tables.snapshot_scope(captures), "scope")
+    tables.commit_snapshot(raw, paths.raw, version, scope)
+    tables.commit_snapshot(best, paths.clean, version, scope)
+    ended = _now()
+    shops, alone = ([shop], []) if shop else (SHOPS, [f"{run}-{s}" for s in SHOPS])
+    log = rejects(flat, cards).observe(bad_seen, *counts)
+    if not shop:
+        timing = [(at, TIMING, s, event, None) for s in shops for at, event in ((started, "start"), (ended, "end"))]
+        log = log.unionByName(spark.createDataFrame(timing, RUN_LOG))
+    tables.write_log(log, paths.log, run, alone)
+    if paths.ledger:
+        seen = [o.get for o in (raw_seen, clean_seen, bad_seen)]
+        rows = [(s, started, ended, *[n.get(s, 0) for n in seen]) for s in shops]
+        tables.write_log(spark.createDataFrame(rows, RUN_LEDGER), paths.ledger, run, alone)
+
+
+def _now() -> datetime.datetime:
+    return datetime.datetime.now(datetime.timezone.utc)
+
+
+def run_name(captures: DataFrame) -> str:
+    """The same name for every run about the same days and shops."""
+    pairs = sorted((str(day), str(shop)) for day, shop in tables.snapshot_scope(captures).collect())  # days of one run
+    return hashlib.sha256(repr(pairs).encode()).hexdigest()[:32]
+
+
+def run(
+    captures: DataFrame, raw_path: str, clean_path: str, log_path: str, filters: DataFrame | None = None,
+    ledger_path: str | None = None, run: str | None = None,
+) -> None:
+    """Write raw snapshot, cleaned snapshot, log and ledger.
+
+    The days and shops of the captures are replaced, also where nothing was found this time. The
+    log says when each shop was started and done; the ledger also counts its rows. Both belong to
+    the run of that name (by default one name per set of days and shops), and a rerun replaces
+    them. All shops run in one plan. If it fails, each shop runs by itself: the one at fault is
+    logged, the others are written.
     """
+    paths, name = Paths(raw_path, clean_path, log_path, ledger_path), run or run_name(captures)
     try:
-        _run(captures, raw_path, clean_path, log_path, filters)
+        _run(captures, paths, name, filters)
     except Exception:  # found out below, shop by shop
-        jobs = {s: partial(_run, captures.where(F.col("shop") == s), raw_path, clean_path, log_path, filters) for s in SHOPS}
-        tables.append_log(run_isolated(captures.sparkSession, jobs), log_path)
+        jobs = {s: partial(_run, captures.where(F.col("shop") == s), paths, f"{name}-{s}", filters, s) for s in SHOPS}
+        log = run_isolated(captures.sparkSession, jobs)
+        failed = [f"{name}-{r.shop}" for r in log.where(F.col("level") == MAJOR).collect()]  # shops
+        tables.write_log(log, log_path, name, failed)
+        if ledger_path:
+            tables.write_log(captures.sparkSession.createDataFrame([], RUN_LEDGER), ledger_path, name, failed)

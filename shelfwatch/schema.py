@@ -51,6 +51,18 @@ RUN_LOG = T.StructType(
     ]
 )
 
+# One row per run and shop: when it ran and how many rows it wrote or refused.
+RUN_LEDGER = T.StructType(
+    [
+        T.StructField("shop", T.StringType()),
+        T.StructField("started", T.TimestampType()),
+        T.StructField("ended", T.TimestampType()),
+        T.StructField("raw_rows", T.LongType()),
+        T.StructField("clean_rows", T.LongType()),
+        T.StructField("rejects", T.LongType()),
+    ]
+)
+
 # Shops, log levels and the two genders that reach the combined table.
 SHOPS = ("ASOS", "HM", "MS", "NEWLOOK", "PRIMARK", "TKMAXX", "ZARA", "GAP", "JOHN_LEWIS")
 MAJOR = "MAJOR"

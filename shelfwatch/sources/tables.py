@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwatch.sources import versions
+
 
 def write_partitioned(df: DataFrame, path: str, *partition_by: str, fmt: str = "parquet", **options) -> None:
     """Overwrite only the partitions present in ``df``.
@@ -23,23 +27,44 @@ def write_partitioned(df: DataFrame, path: str, *partition_by: str, fmt: str = "
     )
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """Rows of one run, by day and shop. Used for the raw rows and for the cleaned rows."""
-    dated = df.withColumn("snapshot_date", F.col("date").cast("date"))
-    write_partitioned(dated, path, "snapshot_date", "shop")
+SNAPSHOT_KEYS = ("snapshot_date", "shop")
+
+
+def snapshot_scope(captures: DataFrame) -> DataFrame:
+    """The days and shops that a run over these captures is about."""
+    return captures.select(F.col("captured_at").cast("date").alias("snapshot_date"), "shop").distinct()
+
 
+def stage_snapshot(df: DataFrame, path: str, version: str) -> DataFrame:
+    """Rows of one run by day and shop, not yet visible. Used for the raw rows and for the cleaned rows."""
+    return versions.stage(df.withColumn("snapshot_date", F.col("date").cast("date")), path, version, SNAPSHOT_KEYS)
 
-def write_aggregate(df: DataFrame, path: str) -> None:
-    """Combined table, by shop: a read of one shop opens that shop's folder only."""
-    write_partitioned(df, path, "shop")
+
+def commit_snapshot(staged: DataFrame, path: str, version: str, scope: DataFrame) -> None:
+    """Replace the days and shops of ``scope`` by the staged rows."""
+    versions.commit(staged, path, version, SNAPSHOT_KEYS, scope)
+
+
+def write_aggregate(df: DataFrame, path: str, version: str, shops: Sequence[str]) -> None:
+    """Combined table, by shop: the run replaces ``shops`` and reads of one shop open that shop's folder only."""
+    scope = df.sparkSession.createDataFrame([(s,) for s in shops], "shop string")
+    versions.replace(df, path, version, ["shop"], scope)
 
 
 def write_cohort(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def write_log(df: DataFrame, path: str, run: str, also: Sequence[str] = ()) -> None:
+    """Log or ledger rows of one run; they replace those of an earlier run of that name, or of the names ``also``."""
+    named = df.withColumn("run", F.lit(run))
+    scope = named.sparkSession.createDataFrame([(r,) for r in (run, *also)], "run string")
+    versions.replace(named, path, run, ["run"], scope)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Snapshots, combined table, log or ledger as of the last run."""
+    return versions.current(spark, path)
 
 
 def write_snapshot_csv(df: DataFrame, root: str, before_clean: bool = False) -> None:

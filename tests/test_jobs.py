@@ -1,13 +1,15 @@
 import datetime
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from shelfwatch.operators import quality
 from shelfwatch.plans import aggregate, cohort, collect
-from shelfwatch.schema import CAPTURE
+from shelfwatch.schema import CAPTURE, SHOPS
 from shelfwatch.session import scratch_dir
-from shelfwatch.sources import snapshots, tables
+from shelfwatch.sources import snapshots, tables, versions
 from shelfwatch.streaming import ingest
 
 
@@ -24,13 +26,14 @@ def test_collect_job(spark, tmp_path):
     collect.run(captures(spark, 1, [1, 2]), raw, clean, log)
     collect.run(captures(spark, 2, [2, 3, 4]), raw, clean, log)
     collect.run(captures(spark, 2, [2, 3]), raw, clean, log)  # the day is written again, the other one stays
-    by_day = lambda p: {str(r[0]): r[1] for r in spark.read.parquet(p).groupBy("snapshot_date").count().collect()}
+    by_day = lambda p: {str(r[0]): r[1] for r in tables.read_table(spark, p).groupBy("snapshot_date").count().collect()}
     assert by_day(raw) == {"2018-09-01": 4, "2018-09-02": 4}
     assert by_day(clean) == {"2018-09-01": 2, "2018-09-02": 2}
-    assert {r.taxo2 for r in spark.read.parquet(clean).collect()} == {"jeans"}
-    found = spark.read.parquet(log)
-    assert {(r.shop, r.level): r.n for r in quality.log_counts(found).collect()} == {("ASOS", "MINOR"): 6}
-    assert quality.log_of_shop(found, "ASOS").count() == 6 and quality.log_of_shop(found, "HM").count() == 0
+    assert {r.taxo2 for r in tables.read_table(spark, clean).collect()} == {"jeans"}
+    found = tables.read_table(spark, log)  # of the two runs that are left, each with a start and an end of every shop
+    counts = {(r.shop, r.level): r.n for r in quality.log_counts(found).collect()}
+    assert counts == {("ASOS", "MINOR"): 4, **{(s, "TIMING"): 4 for s in SHOPS}}
+    assert quality.log_of_shop(found, "ASOS").count() == 8 and quality.log_of_shop(found, "HM").count() == 4
     assert "message" not in quality.log_of_level(found, "MINOR").columns
 
 
@@ -46,7 +49,7 @@ def test_aggregate_and_cohort_jobs(spark, tmp_path):
     tables.write_snapshot_csv(df, landing, before_clean=True)
     dups = aggregate.run(spark, landing, out)
     assert dups.count() == 0
-    assert spark.read.parquet(out).count() == 7
+    assert tables.read_table(spark, out).count() == 7
     cohort.run(spark, out, result, datetime.date(2018, 9, 30))
     got = sorted((str(r.date), r.taxo3, r.item_not_present_day1, r.item_present_day1, r.Total_item_day_1) for r in spark.read.parquet(result).collect())
     assert got == [("2018-09-02", "JEANS", 1, 2, 2), ("2018-09-03", "JEANS", 1, 1, 2)]
@@ -68,9 +71,9 @@ def test_each_body_is_parsed_once(spark, tmp_path, monkeypatch):
     from shelfwatch.sources import payloads
 
     calls, plans = [], []
-    flatten, write = payloads.flatten, tables.write_snapshot
+    flatten, write = payloads.flatten, tables.stage_snapshot
     monkeypatch.setattr(payloads, "flatten", lambda *a, **k: calls.append(1) or flatten(*a, **k))
-    monkeypatch.setattr(tables, "write_snapshot", lambda df, path: (plans.append(df._jdf.queryExecution().toString()), write(df, path)))
+    monkeypatch.setattr(tables, "stage_snapshot", lambda df, *a: plans.append(df._jdf.queryExecution().toString()) or write(df, *a))
     collect.run(captures(spark, 1, [1, 2]), *(str(tmp_path / n) for n in ("raw", "clean", "log")))
     assert len(calls) == 1 and len(plans) == 2
     assert all("parse_json" not in p.lower() and "parsejson" not in p.lower() for p in plans)
@@ -79,8 +82,6 @@ def test_each_body_is_parsed_once(spark, tmp_path, monkeypatch):
 def test_one_shop_fails_and_eight_are_written(spark, tmp_path):
     from functools import reduce
 
-    from shelfwatch.schema import SHOPS
-
     def all_captures():
         parts = [captures(spark, 1, [1, 2]).withColumn("shop", F.lit(s)) for s in SHOPS]
         fails = F.when(F.col("shop") == "HM", F.raise_error(F.lit("bad page"))).otherwise(F.col("body"))
@@ -89,15 +90,100 @@ def test_one_shop_fails_and_eight_are_written(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("raw", "clean", "log")]
     for _ in range(2):  # a rerun gives the same rows
         collect.run(all_captures(), *paths)
-        raw = spark.read.parquet(paths[0])
+        raw = tables.read_table(spark, paths[0])
         assert {r.shop: r.n for r in raw.groupBy("shop").agg(F.count("*").alias("n")).collect()} == {"ASOS": 4}
-    log = spark.read.parquet(paths[2])
+    log = tables.read_table(spark, paths[2])
     failed = log.where("level = 'MAJOR'").collect()
     assert {r.shop for r in failed} == {"HM"} and all("bad page" in r.message for r in failed)
     assert {r.shop for r in log.where("level = 'TIMING' and message = 'end'").collect()} == set(SHOPS) - {"HM"}
     assert {"MS", "JOHN_LEWIS"} <= {r.shop for r in log.where("message = 'no product cards'").collect()}
 
 
+def test_a_rerun_without_rows_leaves_none(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("raw", "clean", "log")]
+    collect.run(captures(spark, 1, [1, 2]), *paths)
+    collect.run(captures(spark, 2, [1]), *paths)
+    collect.run(captures(spark, 1, [], text='{"itemCount": 0, "products": []}'), *paths)
+    for p in paths[:2]:
+        assert {str(r.snapshot_date) for r in tables.read_table(spark, p).collect()} == {"2018-09-02"}
+
+
+def test_a_run_that_fails_before_its_end_changes_nothing(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / n) for n in ("raw", "clean", "log")]
+    collect.run(captures(spark, 1, [1, 2]), *paths)
+    before = [sorted(map(str, tables.read_table(spark, p).collect())) for p in paths]
+
+    class Killed(BaseException):
+        pass
+
+    def killed(*_):
+        raise Killed
+
+    monkeypatch.setattr(tables, "commit_snapshot", killed)
+    with pytest.raises(Killed):
+        collect.run(captures(spark, 1, [3]), *paths)
+    assert [sorted(map(str, tables.read_table(spark, p).collect())) for p in paths] == before
+
+
+def test_ledger_of_good_runs(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("raw", "clean", "log", "ledger")]
+
+    def ledger():
+        rows = tables.read_table(spark, paths[3]).collect()
+        assert all(r.started <= r.ended for r in rows)
+        return {(r.run, r.shop): (r.raw_rows, r.clean_rows, r.rejects) for r in rows}
+
+    for _ in range(2):
+        collect.run(captures(spark, 1, [1, 2]), *paths[:3], ledger_path=paths[3], run="day 1")
+        want = {("day 1", s): (0, 0, 0) for s in SHOPS} | {("day 1", "ASOS"): (4, 2, 2)}
+        assert ledger() == want
+
+
+def test_ledger_after_a_shop_failed(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("raw", "clean", "log", "ledger")]
+
+    def both(fails):
+        rows = captures(spark, 1, [1, 2]).unionByName(captures(spark, 1, [5], shop="NEWLOOK"))
+        bad = F.when((F.col("shop") == "NEWLOOK") & F.lit(fails), F.raise_error(F.lit("bad page"))).otherwise(F.col("body"))
+        return rows.withColumn("body", bad)
+
+    def runs():
+        return sorted((r.run, r.shop) for r in tables.read_table(spark, paths[3]).collect())
+
+    collect.run(both(True), *paths[:3], ledger_path=paths[3], run="r")
+    assert runs() == sorted((f"r-{s}", s) for s in SHOPS if s != "NEWLOOK")
+    collect.run(both(False), *paths[:3], ledger_path=paths[3], run="r")  # replaces what single shops left
+    assert runs() == sorted(("r", s) for s in SHOPS)
+    assert tables.read_table(spark, paths[2]).where("level = 'MAJOR'").count() == 0
+
+
+def test_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "day date, shop string, x int")
+
+    def scope(*pairs):
+        return spark.createDataFrame([(datetime.date(2020, 1, d), s) for d, s in pairs], "day date, shop string")
+
+    d1, d2 = datetime.date(2020, 1, 1), datetime.date(2020, 1, 2)
+    with pytest.raises(FileNotFoundError):
+        versions.current(spark, path)
+    versions.replace(frame([(d1, "7", 1), (d1, None, 2), (d2, "B", 3)]), path, "v9", ["day", "shop"], scope((1, "7")))
+    assert {r.x for r in versions.current(spark, path).collect()} == {1, 2, 3}
+    staged = versions.stage(frame([(d1, "7", 4)]), path, "v1", ["day", "shop"])
+    assert {r.x for r in versions.current(spark, path).collect()} == {1, 2, 3}  # not committed
+    versions.commit(staged, path, "v1", ["day", "shop"], scope((1, "7"), (2, "B")))
+    assert {r.x for r in versions.current(spark, path).collect()} == {4, 2}
+    versions.replace(frame([(d1, "7", 5)]), path, "v1", ["day", "shop"], scope((1, "7")))  # again under that name
+    assert {r.x for r in versions.current(spark, path).collect()} == {5, 2}
+    versions.replace(frame([]), path, "v2", ["day", "shop"], scope((1, "7"), (1, None), (2, "B")))
+    assert versions.current(spark, path).count() == 0
+    assert sorted(r.version[:2] for r in versions.dead_versions(spark, path).collect()) == ["v1", "v1", "v9"]
+    with pytest.raises(AnalysisException):
+        versions.stage(frame([(d1, "7", 6)]), path, "v1", ["day", "shop"])  # no fresh one
+
+
 def test_csv_files_are_replaced(spark, tmp_path):
     row = ("ASOS", "1", "c", "n", 10.0, True, "men", "jeans", "x", None, "u", datetime.datetime(2018, 9, 1, 7, 0), "ASOS")
     columns = ", ".join(f"{c} {t}" for c, t in zip(snapshots.COLUMNS, ["string"] * 4 + ["double", "boolean"] + ["string"] * 5 + ["timestamp_ntz"]))
@@ -114,7 +200,7 @@ def test_stream_gives_what_the_job_gives(spark, tmp_path):
 
     captures(spark, 1, [1, 2]).write.parquet(inbox)
     follow()
-    assert spark.read.parquet(raw).count() == 4
+    assert tables.read_table(spark, raw).count() == 4
     captures(spark, 2, [3]).write.mode("append").parquet(inbox)
     follow()
     captures(spark, 2, [3, 4], shop="ASOS").write.mode("append").parquet(inbox)  # more of the same day
@@ -123,7 +209,7 @@ def test_stream_gives_what_the_job_gives(spark, tmp_path):
     paths = [str(tmp_path / n) for n in ("raw2", "clean2", "log2")]
     collect.run(spark.read.schema(CAPTURE).parquet(inbox), *paths)
     for mine, theirs in ((raw, paths[0]), (clean, paths[1])):
-        a, b = (spark.read.parquet(p).drop("seq") for p in (mine, theirs))
+        a, b = (tables.read_table(spark, p).drop("seq") for p in (mine, theirs))
         assert a.count() == b.count() > 0 and a.exceptAll(b.select(a.columns)).count() == 0
 
 
