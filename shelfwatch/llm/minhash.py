@@ -9,8 +9,10 @@ Equal sets are one node. In a bucket, candidates go from a few centres to the ot
 between all members; a candidate is confirmed on the full sets. One round is not enough, as two
 members may be alike without being like the centre. So rounds go on with further centres, each
 round three times as many as all before, until every bucket has one component left or all its
-members have been centres: no link inside a bucket is lost. Pairs of one component, pairs whose
-sizes rule a link out and pairs already looked at are left out. Centres are taken by the number of
+members have been centres: no link inside a bucket is lost. Left out are pairs of one component,
+pairs already looked at, and pairs whose bounds rule a link out: a shingle that no other candidate
+has is in no intersection, so the smaller number of shared shingles bounds it. That spares edits
+of a text that are all unlike each other from being compared pair by pair. Centres are taken by the number of
 buckets and members a node meets, so the text that many others derive from comes first and a large
 group is joined by one star.
 """
@@ -108,6 +110,14 @@ def _sets(docs: DataFrame, nodes: DataFrame, text: str, width: int) -> DataFrame
     return map_slices(one, "set array<long>", "_text", make, rows=64).select("id", "set")
 
 
+def _shared(sets: DataFrame) -> DataFrame:
+    """(id, shared): how many of a node's shingles another node has as well."""
+    once = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("_nodes"), F.min("id").alias("id"))
+    own = once.where("_nodes = 1").groupBy("id").agg(F.count(F.lit(1)).alias("_own"))
+    sized = sets.select("id", F.size("set").cast("long").alias("n"))
+    return sized.join(own, "id", "left").select("id", "n", (F.col("n") - F.coalesce("_own", F.lit(0))).alias("shared"))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (a, b, n_a, n_b) whose full sets are alike enough."""
     left, right = (sets.select(F.col("id").alias(x), F.col("set").alias(f"_{x}")) for x in ("a", "b"))
@@ -115,22 +125,25 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(f"100L * _same >= {percent}L * (n_a + n_b - _same)").select("a", "b")
 
 
-def links_by_stars(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, root) of every node in a bucket: components over the links within buckets.
+def links_by_stars(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, root) of every node that may have a link: components over the links within buckets.
 
-    ``members`` has (key, id), of buckets with two nodes or more; ``nodes`` (id, n).
+    ``members`` has (key, id), of buckets with two nodes or more; ``sets`` (id, set) of their nodes.
     """
+    able = materialise(_shared(sets).where(f"100L * shared >= {percent}L * n"))
+    members = materialise(members.join(able.select("id"), "id"))
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("_size"))
     meets = members.join(sizes, "key").groupBy("id").agg(F.sum(F.col("_size") - 1).alias("_meets"))
-    meets = materialise(meets.join(nodes.select("id", "n"), "id").withColumn("root", F.col("id")))
+    meets = materialise(meets.join(able, "id").withColumn("root", F.col("id")))
     roots = meets.select("id", "root")
     live = materialise(members.join(meets, "id"))
     used, more, seen = 0, 1, None
     by = Window.partitionBy("key").orderBy(F.desc("_meets"), "id")
     while not live.isEmpty():
         places = live.withColumn("_place", F.row_number().over(by)).where(f"_place <= {used + more} and _place > {used}")
-        centres = places.select("key", F.col("id").alias("c"), F.col("n").alias("n_c"), F.col("root").alias("root_c"))
-        stars = live.join(centres, "key").where(f"root <> root_c and 100L * least(n, n_c) >= {percent}L * greatest(n, n_c)")
+        centres = places.select(F.col("key").alias("key_c"), F.col("id").alias("c"), F.col("n").alias("n_c"), F.col("shared").alias("s_c"), F.col("root").alias("root_c"))
+        most = "least(shared, s_c, n, n_c)"  # of the intersection
+        stars = live.join(centres, F.expr(f"key = key_c and root <> root_c and 100L * {most} >= {percent}L * (n + n_c - {most})"))
         pairs = stars.select(
             F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"),
             F.expr("if(id < c, n, n_c)").alias("n_a"), F.expr("if(id < c, n_c, n)").alias("n_b"),
@@ -161,7 +174,7 @@ def _placed(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -
     members = materialise(spread.join(shared, "key"))
     candidates = members.select("id").distinct()
     full = materialise(_sets(docs, nodes.join(candidates, "id").select("id", "text_key"), "text", width))
-    roots = links_by_stars(members, nodes, full, percent)
+    roots = links_by_stars(members, full, percent)
     rooted = nodes.select("_set", "id", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_set = rooted.join(least, "root").select("_set", "root", "component_id")
