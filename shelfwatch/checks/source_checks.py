@@ -286,19 +286,25 @@ def sitemap_rejects(spark, sf):
 
 # links in the forms pages have, besides those of the stored pages
 _EXTRA_LINKS = (
-    "<A HREF=/x class=q>Plain<b>B</b></A>",
+    "<A HREF=/x class=q>Plain<b>B</b></A><a title=\"a>b\" href='/caf&eacute;/men&#8217;s'>&#x20AC;5 &ndash; Men&rsquo;s &bogus; R&D</a>",
     "<a class=\"n\" href='/c?a=1&amp;b=2'>Shaving &amp; Beard </a><a\nhref=\"/d\"><i>I</i>t</a><a name=\"none\">no link</a>",
 )
 _LINKS_SQL = f"concat(html, {text(_EXTRA_LINKS[0])}, CASE WHEN page_id % 2 = 0 THEN {text(_EXTRA_LINKS[1])} ELSE '' END)"
 _HREF = text(P.attribute_pattern("href"))
-_OPEN = r"regexp_extract(tag, '(?is)^<a\s[^>]*>')"
-_LINK_TEXT = r"nullif(trim(regexp_extract(tag, '(?is)^<a\s[^>]*>([^<]*)', 1), chr(9) || chr(10) || chr(13) || ' '), '')"
-_LINK_TAGS = rf"regexp_extract_all({_LINKS_SQL}, '(?is)<a\s[^>]*>.*?</a>')"
+_INSIDE = r"""(?:[^>"''=]+|=\s*(?:"[^"]*"|''[^'']*'')?|["''])*"""
+_OPEN = rf"regexp_extract(tag, '(?is)^<a\s{_INSIDE}>')"
+_LINK_TEXT = rf"nullif(trim(regexp_extract(tag, '(?is)^<a\s{_INSIDE}>([^<]*)', 1), chr(9) || chr(10) || chr(13) || ' '), '')"
+_LINK_TAGS = rf"regexp_extract_all({_LINKS_SQL}, '(?is)<a\s{_INSIDE}>.*?</a>')"
+# the references that the pages have
+_REFERENCES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&nbsp;": "\u00a0", "&pound;": "£",
+    "&#163;": "£", "&eacute;": "é", "&#8217;": "’", "&rsquo;": "’", "&#x20AC;": "€", "&ndash;": "–", "&amp;": "&",
+}
 
 
 def _decoded(sql: str) -> str:
-    for entity, plain in P.ENTITIES:
-        sql = f"replace({sql}, {text(entity)}, {text(plain)})"
+    for reference, plain in _REFERENCES.items():
+        sql = f"replace({sql}, {text(reference)}, {text(plain)})"
     return sql
 
 

@@ -15,7 +15,7 @@ from shelfwatch.config.ladders import CATEGORY_LADDERS, KEEP_ALL_LISTINGS, PRODU
 from shelfwatch.functions.levels import level_array
 from shelfwatch.operators.dedup import first_category_wins, keep_first, with_rank
 from shelfwatch.operators.quality import first_reason, log_rows, run_isolated
-from shelfwatch.schema import MAJOR, MEDIUM, MINOR, PRODUCT, RUN_LEDGER, RUN_LOG, SHOPS, TAXO, TIMING
+from shelfwatch.schema import CAPTURE, MAJOR, MEDIUM, MINOR, PRODUCT, RUN_LEDGER, RUN_LOG, SHOPS, TAXO, TIMING
 from shelfwatch.session import stored
 from shelfwatch.sources import payloads, tables, versions
 from shelfwatch.sources.pages import CARDS, NO_CARDS, product_cards
@@ -36,6 +36,26 @@ def canonical(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRODUCT], "seq")
 
 
+NO_CATEGORY, NO_PAGE = "page of no listed category", "category without a page"
+
+
+def captures_of(categories: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored pages with the levels of their category, and log rows of what found no partner.
+
+    ``categories``: (shop, taxo1..4, url) of a category list; ``pages``: the columns of a capture
+    without levels. A page of a URL that several categories share belongs to each of them. Pages
+    are the side that a left join may split: a category that holds a third of them is read by many
+    tasks, next to its one row.
+    """
+    listed = categories.select("shop", "url", *TAXO).distinct()
+    rows = pages.drop(*TAXO).join(listed.withColumn("_listed", F.lit(True)), ["shop", "url"], "left").where("_listed")
+    captures = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CAPTURE])
+    urls = pages.select("shop", "url").distinct()
+    stray = log_rows(urls.join(listed, ["shop", "url"], "left_anti"), MEDIUM, F.lit(NO_CATEGORY))
+    empty = log_rows(listed.select("shop", "url").distinct().join(urls, ["shop", "url"], "left_anti"), MEDIUM, F.lit(NO_PAGE))
+    return captures, stray.unionByName(empty)
+
+
 def json_rows(captures: DataFrame) -> DataFrame:
     """Items of all JSON bodies with ``reason``, and one row per unreadable page: each body parsed once."""
     return payloads.flatten(captures)

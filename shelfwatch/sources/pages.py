@@ -1,7 +1,8 @@
 """Stored HTML pages: links, product cards, filter facets, menus, embedded JSON.
 
 Pages are not well-formed, so all extraction is by pattern (``xpath`` would abort the job): names
-in any case, attributes in double, single or no quotes, entities decoded. Patterns are parameters;
+in any case, attributes in double, single or no quotes (a ``>`` inside them ends no tag), all
+character references decoded. Patterns are parameters;
 the page-specific ones of the tracked shops are defaults.
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,20 +20,54 @@ from shelfwatch.functions.text import first_group, min_price_number, price_in_te
 from shelfwatch.operators.quality import log_rows
 from shelfwatch.schema import INFORMATION
 
-LINK = r"(?is)<a\s[^>]*>.*?</a>"
-LINK_TEXT = r"(?is)^<a\s[^>]*>([^<]*)"
-TAG = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|</?[a-z][^>]*>"
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&pound;", "£"), ("&#163;", "£"), ("&amp;", "&"),
-)
+#: the rest of a tag up to its end: a ``>`` in a quoted value is no end
+INSIDE = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+"""
+#: the attributes before the one that a pattern goes on with
+BEFORE = r"""(?:\s+[^\s>"'=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']*))?)*?"""
+LINK = rf"(?is)<a\s{INSIDE}>.*?</a>"
+LINK_OPEN = rf"(?is)^<a\s{INSIDE}>"
+LINK_TEXT = rf"(?is)^<a\s{INSIDE}>([^<]*)"
+TAG = rf"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|</?[a-z]{INSIDE}>"
+#: a character reference at the start of what follows an ampersand
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*)(;?)"
+#: names that pages use most come first, as a constant map is searched in its order
+COMMON = ("amp", "nbsp", "pound", "quot", "apos", "lt", "gt", "rsquo", "eacute", "euro")
+
+
+def _names() -> Column:
+    """The named references of HTML and the texts they stand for."""
+    names = {n[:-1]: text for n, text in html5.items() if n.endswith(";")}
+    ordered = {n: names[n] for n in COMMON} | names
+    listed = "\x01".join(f"{n}\x02{plain}" for n, plain in ordered.items())
+    return F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))  # one constant for the optimizer to fold
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; the replacement character if there is none."""
+    valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
 
 
 def unescape(col: Column) -> Column:
-    """The entities a shop page uses in attributes and texts; ``&amp;`` last, so none is decoded twice."""
-    for entity, plain in ENTITIES:
-        col = F.replace(col, F.lit(entity), F.lit(plain))
-    return col
+    """All character references decoded, once: by name (with ``;``), by decimal and by hexadecimal code.
+
+    What is no reference stays as it is.
+    """
+    names = _names()
+
+    def decoded(part: Column) -> Column:
+        ref, end = F.regexp_extract(part, REFERENCE, 1), F.regexp_extract(part, REFERENCE, 2)
+        plain = (
+            F.when(ref.rlike("^#[xX]"), _character(F.conv(F.substring(ref, 3, 6), 16, 10).cast("long")))
+            .when(F.startswith(ref, F.lit("#")), _character(F.substring(ref, 2, 7).try_cast("long")))
+            .when(end == ";", F.element_at(names, ref))
+        )
+        rest = F.substr(part, F.length(ref) + F.length(end) + 1)
+        return F.coalesce(F.concat(plain, rest), F.concat(F.lit("&"), part))
+
+    parts = F.split(col, "&")
+    rest = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1))), decoded)
+    return F.when(F.contains(col, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(col)
 
 
 def attribute_pattern(name: str) -> str:
@@ -58,7 +94,7 @@ def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """
     tags = F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(0))
     exploded = pages.select(*[c for c in pages.columns if c != html], F.posexplode(tags).alias("pos", "_tag"))
-    opening = F.regexp_extract("_tag", r"(?is)^<a\s[^>]*>", 0)
+    opening = F.regexp_extract("_tag", LINK_OPEN, 0)
     return exploded.withColumns(
         {"href": attribute(opening, "href"), "text": unescape(F.nullif(strip(F.regexp_extract("_tag", LINK_TEXT, 1)), F.lit("")))}
     ).drop("_tag")
@@ -92,17 +128,17 @@ class Card:
 # fixed values: card markup of the two shops that are read from HTML
 CARDS = {
     "JOHN_LEWIS": Card(
-        card=rf"(?is)<section\b(?=[^>]*{has_class('product-card')}).*?</section>",
+        card=rf"(?is)<section\b(?={BEFORE}{has_class('product-card')}).*?</section>",
         id="data-product-id",
-        name=r"(?is)<h2[^>]*>([^<]*)",
-        price=r"""(?is)\sclass\s*=\s*["']?product-card__price[^>]*>([^<]*)<""",
+        name=rf"(?is)<h2{INSIDE}>([^<]*)",
+        price=rf"""(?is)\sclass\s*=\s*(?:"product-card__price[^"]*"|'product-card__price[^']*'|product-card__price[^\s>]*){INSIDE}>([^<]*)<""",
         base_url="https://www.johnlewis.com/",
     ),
     "MS": Card(
-        card=rf"(?is)<a\b(?=[^>]*{has_class('product')}).*?</a>",
+        card=rf"(?is)<a\b(?={BEFORE}{has_class('product')}).*?</a>",
         id=r"(?i)/p/([a-zA-Z0-9]+)",
-        name=rf"(?is){has_class('product__title')}[^>]*>([^<]*)",
-        price=rf"(?is){has_class('product__price')}[^>]*>(?:<[^>]*>)*([^<]*)<",
+        name=rf"(?is){has_class('product__title')}{INSIDE}>([^<]*)",
+        price=rf"(?is){has_class('product__price')}{INSIDE}>(?:<{INSIDE}>)*([^<]*)<",
         base_url="https://www.marksandspencer.com/",
         id_in_link=True,
         smallest_price=False,
@@ -124,9 +160,9 @@ def product_cards(pages: DataFrame, specs: dict[str, Card] = CARDS, html: str =
     cards = each(lambda s: F.regexp_extract_all(F.col(html), F.lit(s.card), F.lit(0)))
     mine = pages.where(F.col("shop").isin(list(specs)))
     out = mine.select(*[c for c in pages.columns if c != html], F.posexplode_outer(cards).alias("pos", "_card"))
-    own = F.regexp_extract("_card", r"(?is)^<[^>]*>", 0)
+    own = F.regexp_extract("_card", rf"(?is)^<{INSIDE}>", 0)
     href = F.when(own.rlike(r"(?i)^<a\s"), attribute(own, "href")).otherwise(
-        attribute(F.regexp_extract("_card", r"(?is)<a\s[^>]*>", 0), "href")
+        attribute(F.regexp_extract("_card", rf"(?is)<a\s{INSIDE}>", 0), "href")
     )
     out = out.withColumn("url", F.concat(each(lambda s: F.lit(s.base_url)), href)).withColumn(
         "_prices", each(lambda s: F.regexp_extract_all(F.col("_card"), F.lit(s.price), F.lit(1)))
@@ -189,26 +225,26 @@ class Facets:
 # fixed values: filter blocks and their titles
 FACET_BLOCKS = {
     "ASOS": Facets(
-        block=rf"(?is)<div\b(?=[^>]*{has_class('bybwbES')})[^>]*>",
-        heading=rf"(?is)<div\b(?=[^>]*{has_class('_3lFxFJi')})[^>]*>([^<]*)",
-        label=rf"(?is)<div\b(?=[^>]*{has_class('_2h_c2tR')})[^>]*>\s*<[^>]*>(?:\s*</[^>]*>)?\s*<[^>]*>([^<]*)",
-        value=rf"""(?is)<div\b(?=[^>]*{has_class('_2h_c2tR')})[^>]*>\s*<[^>]*\svalue\s*=\s*["']?([^"'\s>]*)""",
+        block=rf"(?is)<div\b(?={BEFORE}{has_class('bybwbES')}){INSIDE}>",
+        heading=rf"(?is)<div\b(?={BEFORE}{has_class('_3lFxFJi')}){INSIDE}>([^<]*)",
+        label=rf"(?is)<div\b(?={BEFORE}{has_class('_2h_c2tR')}){INSIDE}>\s*<{INSIDE}>(?:\s*</{INSIDE}>)?\s*<{INSIDE}>([^<]*)",
+        value=rf"""(?is)<div\b(?={BEFORE}{has_class('_2h_c2tR')}){INSIDE}>\s*<[^\s>]+{BEFORE}\svalue\s*=\s*["']?([^"'\s>]*)""",
         titles=(("Product Type",),),
     ),
     "JOHN_LEWIS": Facets(
-        block=rf"(?is)<div\b(?=[^>]*{has_class('faceted-filters-accordion')})[^>]*>",
-        heading=r"(?is)^\s*<[^>]*>([^<]*)",
+        block=rf"(?is)<div\b(?={BEFORE}{has_class('faceted-filters-accordion')}){INSIDE}>",
+        heading=rf"(?is)^\s*<{INSIDE}>([^<]*)",
         items=r"(?is)<ul\b.*?</ul>",
-        label=r"(?is)<a\s[^>]*>([^<]*)",
-        value=r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)""",
+        label=rf"(?is)<a\s{INSIDE}>([^<]*)",
+        value=rf"""(?is)<a{BEFORE}\shref\s*=\s*["']?([^"'\s>]*)""",
         titles=(("Product Type",),),
     ),
     "MS": Facets(
-        block=rf"(?is)<li\b(?=[^>]*{has_class('accordion__item')})[^>]*>",
-        heading=r"(?is)<h[1-6][^>]*>\s*(?:<[^>]*>)?([^<]*)",
+        block=rf"(?is)<li\b(?={BEFORE}{has_class('accordion__item')}){INSIDE}>",
+        heading=rf"(?is)<h[1-6]{INSIDE}>\s*(?:<{INSIDE}>)?([^<]*)",
         items=r"(?is)<ul\b.*?</ul>",
-        label=r"(?is)<a\s[^>]*>([^<]*)",
-        value=r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)""",
+        label=rf"(?is)<a\s{INSIDE}>([^<]*)",
+        value=rf"""(?is)<a{BEFORE}\shref\s*=\s*["']?([^"'\s>]*)""",
         titles=(("Product Type",), ("Categories", "Category"), ("Style",)),
         counted=True,
     ),
@@ -263,8 +299,8 @@ def label_without_count(col: Column) -> Column:
 
 # fixed values: what a category page of a shop should have, once, and the notice if it has not
 LISTED = {
-    "GAP": rf"(?is)<a\b(?=[^>]*{has_class('category-name')})[^>]*>",
-    "HM": rf"(?is)<form\b(?=[^>]*{has_class('js-product-filter-form')})[^>]*>",
+    "GAP": rf"(?is)<a\b(?={BEFORE}{has_class('category-name')}){INSIDE}>",
+    "HM": rf"(?is)<form\b(?={BEFORE}{has_class('js-product-filter-form')}){INSIDE}>",
     "ZARA": CATEGORY_GROUP,
 }
 

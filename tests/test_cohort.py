@@ -130,3 +130,27 @@ def test_bound_inside_the_data(spark):
     for until, days in ((datetime.date(2018, 9, 4), 3), (datetime.date.max, 5)):
         got = as_dict(old_new_counts(df, until))
         assert got == brute_force(rows, until) and len(got) == days
+
+
+def test_days_merged_one_by_one(spark, tmp_path):
+    """Ten appended days, with late rows of any day, give the counts of one run over everything."""
+    from shelfwatch.plans import cohort
+
+    rng = random.Random(11)
+    start = datetime.date(2018, 9, 1)
+    schema = "new_id string, d date, shop string, taxo1 string, taxo2 string, taxo3 string, seq long"
+    rows = []
+    for seq in range(1500):
+        day = start + datetime.timedelta(days=rng.randint(0, 11))
+        node = ("ASOS", "men", rng.choice(["a", "b", None]), rng.choice(["x", "y", ""]))
+        rows.append((f"p{rng.randint(0, 60)}", day if seq % 50 else None, *node, seq))
+    days = sorted({r[1] for r in rows if r[1]})
+    batches = [[r for r in rows if r[1] == d and r[-1] % 10] for d in days[2:]]  # the first days are late
+    batches += [[r for r in rows if r[1] == days[1] and r[-1] % 10], [r for r in rows if r[-1] % 10 == 0], [r for r in rows if r[1] == days[0]], []]
+    path = str(tmp_path / "state")
+    again = [cohort.merge_days(spark.createDataFrame(b, schema), path, f"b{i}") for i, b in enumerate(batches)]
+    assert again[1] == [days[3]] and again[-2] == days and again[-1] == []
+    want = as_dict(C.cohort_counts(spark.createDataFrame(rows, schema), until=UNTIL))
+    assert want and as_dict(cohort.stored_counts(spark, path, UNTIL)) == want
+    cohort.merge_days(spark.createDataFrame(batches[3], schema), path, "again")  # the same rows again
+    assert as_dict(cohort.stored_counts(spark, path, UNTIL)) == want

@@ -224,3 +224,42 @@ def test_files_of_a_hot_shop_are_split(spark, tmp_path):
     df = spark.range(1000).select(F.lit("ASOS").alias("shop"), "id")
     tables.write_partitioned(df, str(tmp_path / "t"), "shop")
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
+def test_owners_over_micro_batches(spark, tmp_path):
+    import random
+
+    from shelfwatch.config.ladders import CATEGORY_LADDERS
+    from shelfwatch.operators.dedup import first_category_wins
+    from shelfwatch.streaming import owners
+
+    rng, schema = random.Random(6), "shop string, id string, day date, taxo1 string, taxo2 string, taxo3 string, taxo4 string, url string, link_pos long, seq long"
+    ladders = {"GAP": CATEGORY_LADDERS["GAP"]}
+    rows = [
+        ("GAP", str(rng.randint(0, 30)), datetime.date(2018, 9, rng.randint(1, 3)), rng.choice(["men", "sale", None]), rng.choice(["jeans", "last-chance"]),
+         None, None, f"/c/{rng.randint(0, 3)}", rng.randint(0, 2), i)
+        for i in range(400)
+    ]
+    parts = [rows[i::3] for i in range(3)]
+    inbox, path, state = (str(tmp_path / n) for n in ("inbox", "owners", "state"))
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(schema).parquet(inbox)
+        owners.own_new(stream, path, state, ladders).awaitTermination()
+    owners.merge_owners(spark.createDataFrame(parts[0], schema), path, "again", ladders)  # a repeated batch
+    want = first_category_wins(spark.createDataFrame(rows, schema), ladders, owners.KEYS)
+    assert sorted(map(str, owners.owners(spark, path).collect())) == sorted(map(str, want.collect()))
+
+
+def test_pages_join_their_categories(spark):
+    """Shared URLs, null URLs and levels, pages and categories without partner, a hot category."""
+    listed = [("GAP", "men", "a", None, None, "u1"), ("GAP", "men", "b", None, None, "u1"), ("GAP", "men", "c", None, None, "u2"), ("GAP", "x", None, None, None, None)]
+    categories = spark.createDataFrame(listed + listed[:1], "shop string, taxo1 string, taxo2 string, taxo3 string, taxo4 string, url string")
+    pages = [("GAP", "u1", i) for i in range(50)] + [("GAP", "u9", 90), ("HM", "u1", 91), ("GAP", None, 92)]
+    pages = spark.createDataFrame(pages, "shop string, url string, page_seq long").selectExpr(
+        "*", "null as leaf", "0L as link_pos", "'{}' as body", "timestamp_ntz'2018-09-01 00:00:00' as captured_at"
+    )
+    got, log = collect.captures_of(categories, pages)
+    assert got.columns == CAPTURE.names and sorted((r.page_seq, r.taxo2) for r in got.collect()) == sorted((i, t) for i in range(50) for t in "ab")
+    said = sorted((r.message, r.shop, r.url or "") for r in log.collect())
+    assert said == sorted([(collect.NO_CATEGORY, "GAP", "u9"), (collect.NO_CATEGORY, "HM", "u1"), (collect.NO_CATEGORY, "GAP", ""), (collect.NO_PAGE, "GAP", "u2"), (collect.NO_PAGE, "GAP", "")])

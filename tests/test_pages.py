@@ -40,6 +40,55 @@ def test_links(spark):
     assert [(r.href, r.text) for r in got] == [("/c?a=1&b=2", "Shaving & Beard"), ("/d", "T"), (None, "N")]
 
 
+def test_references_are_decoded(spark):
+    import html
+
+    texts = ["&eacute;&#8217;&#x20AC;&#X41;", "a & b &amp;lt; &bogus; &", "&#0;&#xD800;&#1114112;&#x1F600;", "&#65x&#66;", "&&amp;&", "&notin;&NotEqualTilde;", "", "plain"]
+    for t in texts:
+        want = html.unescape(t) if "&#0;" not in t else "\ufffd\ufffd\ufffd\U0001f600"
+        assert one(spark, P.unescape, t) == want, t
+    assert one(spark, P.unescape, "?a=1&copy=2&lt") == "?a=1&copy=2&lt"  # names need their semicolon
+    assert one(spark, P.unescape, None) is None
+
+
+def test_quoted_signs_end_no_tag(spark):
+    html = """<a title="a>b" href='/x>y'>T</a><a data-n=it's href=/z alt='q'>U</a><a href="/w" title='"'>V</a>""" + "<a href='/long' title='" + "x>" * 20000 + "'>W</a>"
+    got = P.page_links(spark.createDataFrame([(1, html)], "id int, html string")).orderBy("pos").collect()
+    assert [(r.href, r.text) for r in got] == [("/x>y", "T"), ("/z", "U"), ("/w", "V"), ("/long", "W")]
+    card = """<section title="1 > 0" class="product-card" data-product-id="7"><a title='>' href="p/7"><h2 id="a>b">Caf&eacute;</h2>
+      <span class="product-card__price now" title=">">&pound;12.00 £3.00</span></a></section>"""
+    got = P.product_cards(spark.createDataFrame([("JOHN_LEWIS", card)], "shop string, html string")).collect()
+    assert [(r.id, r.name, r.url) for r in got] == [("7", "Café", "https://www.johnlewis.com/p/7")]
+    menu = "<ul><li title='<li>' data-name='A>B'><a href='/a'>x</a></li></ul>"
+    got = P.menu_tree(spark.createDataFrame([(1, menu)], "id int, html string")).collect()
+    assert [(r.name, r.url) for r in got] == [("A>B", "/a")]
+
+
+def test_large_sitemap_files(spark, tmp_path):
+    """One line, no line breaks, several tasks; a file cut short; a namespace; two levels."""
+    entries = "".join(f"<url><loc>https://s.example/{i}?a=1&amp;b=2</loc><image:image><image:loc>no</image:loc></image:image></url>" for i in range(30_000))
+    spaces = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:image="http://i"'
+    maps = tmp_path / "maps"
+    maps.mkdir()
+    (maps / "Category-1.xml").write_text(f'<?xml version="1.0"?><urlset {spaces}>{entries}</urlset>')
+    (maps / "Category-2.xml").write_text(f"<urlset {spaces}>{entries[:200]}")
+    (maps / "empty.xml").write_text(f"<urlset {spaces}></urlset>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500k")
+    try:
+        found, cut = sitemaps.sitemap_entries(spark, str(maps))
+        assert found.rdd.getNumPartitions() > 3
+        got = [r["loc"] for r in found.orderBy("seq").collect()]
+        assert got == [f"https://s.example/{i}?a=1&b=2" for i in range(30_000)]
+        assert [r["file"].rsplit("/", 1)[1] for r in cut.collect()] == ["Category-2.xml"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    index = "".join(f"<sitemap><loc> https://s.example/m/{n} </loc></sitemap>\n" for n in ("Product-1.xml", "Category-1.xml", "Category-2.xml"))
+    (tmp_path / "index.xml").write_text(f"<sitemapindex>{index}</sitemapindex>")
+    found, cut = sitemaps.two_levels(spark, str(tmp_path / "index.xml"), str(maps), "Category")
+    assert found.count() == 30_000 and cut.count() == 1
+
+
 def test_cards(spark):
     jl = """<div><section data-product-id="7" class="product-card product-card--x"><img/><div><a href="p/7"><h2 class="t">Tea &amp; co</h2>
       <span class="product-card__price">£12.00</span><span class="product-card__price--now">£9.50</span></a></div></section>
