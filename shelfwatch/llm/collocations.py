@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from shelfwatch.llm.common import materialise
 
-#: words of one language in a block; a task holds up to four times as many over all languages
-BLOCK = 1 << 20
+#: words of one language in a block; a task holds up to three times as many over all languages
+BLOCK = 1 << 21
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 CUT = bytes.maketrans(string.ascii_uppercase.encode() + SEPARATORS, string.ascii_lowercase.encode() + b"\n" * len(SEPARATORS))
 #: marks the end of a piece; no byte of a UTF-8 text
@@ -108,7 +108,7 @@ def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang", block:
                         sizes[lang] += len(words)
                     if sizes[lang] >= block:
                         yield full(lang)
-                    elif sum(sizes.values()) >= 4 * block:
+                    elif sum(sizes.values()) >= 3 * block:
                         yield full(max(sizes, key=sizes.get))
         for lang in list(held):
             yield full(lang)
@@ -184,17 +184,17 @@ def frequent_pairs(relation: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, by: list[str], least: int) -> DataFrame:
-    """``rows`` of groups with at least ``least`` occurrences, with their count f and an id; written.
+    """``rows`` of groups with at least ``least`` occurrences, with an id of the group; written.
 
     Counting and semi-join share one exchange: a group has a row per block, and each learns the
-    group's sum. ``first`` marks one row per group.
+    group's sum. One row per group, and no other, has the sum as f.
     """
     group = Window.partitionBy(*by)
-    counted = rows.withColumn("_m", F.monotonically_increasing_id()).withColumns(
-        {"f": F.sum("n").over(group), "id": F.min("_m").over(group)}
-    )
-    kept = counted.where(F.col("f") >= least).withColumn("first", F.col("_m") == F.col("id"))
-    return materialise(kept.drop("_m", "n"))
+    # numbered behind the exchange, which then needn't carry the numbers
+    numbered = rows.repartition(*by).withColumn("_m", F.monotonically_increasing_id())
+    counted = numbered.withColumns({"_f": F.sum("n").over(group), "id": F.min("_m").over(group)})
+    kept = counted.where(F.col("_f") >= least).withColumn("f", F.when(F.col("_m") == F.col("id"), F.col("_f")))
+    return materialise(kept.drop("_m", "_f", "n"), "zstd")
 
 
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 30, longest: int = 4, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -211,13 +211,13 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     totals = blocks.select("lang", F.expr("aggregate(counts, 0L, (x, y) -> x + y)").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     words = _frequent(spots, ["lang", "word"], least)
     relation = materialise(frequent_words(blocks, words.select("block", "spot", "id")))
-    known = words.where("first").select(
+    known = words.where("f is not null").select(
         "id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("before"), F.array("f").alias("after")
     )
     found = []
     for length in range(2, longest + 1):
         pairs = _frequent(joined(relation), ["a", "b"], least)
-        groups = pairs.where("first").select("id", "a", "b", "f")
+        groups = pairs.where("f is not null").select("id", "a", "b", "f")
         above = groups.select(F.explode(F.array("a", "b")).alias("id"), "f").groupBy("id").agg(F.max("f").alias("most_above"))
         found.append(known.join(above, "id", "left"))
         first = known.select(F.col("id").alias("a"), "lang", F.col("words").alias("_first"), F.col("before").alias("_before"))

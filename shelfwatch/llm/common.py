@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,14 +31,25 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{tempfile.gettempdir()}/llm-{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def free_names(columns: Sequence[str], *wanted: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from ``columns`` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage; unlike a cached table it outlives any executor.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -92,13 +103,16 @@ def gapless(df: DataFrame, name: str, within: list[str], by: list[str], per_chun
     own window; chunk counts, one row per chunk, add up to the offsets. ``df`` is read twice and
     must be stable. The order is deterministic but arbitrary across chunks.
     """
-    sizes = df.groupBy(*within).agg(F.count(F.lit(1)).alias("_rows"))
-    most = sizes.agg(F.max("_rows")).first()[0] or 0
+    chunk, rows, ahead = free_names([*df.columns, name], "_chunk", "_rows", "_before")
+    sizes = df.groupBy(*within).agg(F.count(F.lit(1)).alias(rows))
+    most = sizes.agg(F.max(rows)).first()[0] or 0
     chunks = most // per_chunk + 1
-    marked = df.withColumn("_chunk", F.pmod(F.xxhash64(*by), F.lit(chunks)))
-    counts = marked.groupBy(*within, "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*within).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*within, "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*within, "_chunk").orderBy(*by)
+    marked = df.withColumn(chunk, F.pmod(F.xxhash64(*by), F.lit(chunks)))
+    counts = marked.groupBy(*within, chunk).agg(F.count(F.lit(1)).alias(rows))
+    before = Window.partitionBy(*within).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*within, chunk, F.coalesce(F.sum(rows).over(before), F.lit(0)).alias(ahead))
+    inside = Window.partitionBy(*within, chunk).orderBy(*by)
     numbered = marked.withColumn(name, F.row_number().over(inside).cast("long") - 1)
-    return numbered.join(offsets, [*within, "_chunk"]).withColumn(name, F.col(name) + F.col("_before")).drop("_chunk", "_before")
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*within, chunk)]  # groups may have null keys
+    both = numbered.alias("n").join(offsets.alias("o"), same)
+    return both.select(*[F.col(f"n.`{c}`") for c in df.columns], (F.col(f"n.{name}") + F.col(f"o.{ahead}")).alias(name))

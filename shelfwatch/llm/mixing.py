@@ -15,10 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import materialise, ranked, words_sql
+from shelfwatch.llm.common import free_names, gapless, materialise, ranked, words_sql
 
 #: documents whose rounding error is carried in one sequence
 PER_CHUNK = 2000
+#: rows of a line that are listed by one task
+PER_PIECE = 10_000
 #: a source is settled when its expected words miss the target by less than this share, or a hundredth of a word
 NEAR, MOST_STEPS = 1e-7, 80
 
@@ -121,17 +123,18 @@ def tilts(units: DataFrame, goals: DataFrame, ceiling: float) -> DataFrame:
     return state
 
 
-# Copies of a chunk's documents, largest first: each takes the number, up to the ceiling, that
-# brings the words taken so far nearest to the words wanted so far. That is the floor or the
-# ceiling of its rate but where a larger document before it has left more than its own size over.
+# Copies of a chunk's lines, largest first: each takes the number in all, up to the ceiling per row,
+# that brings the words taken so far nearest to the words wanted so far. For a line of one document
+# that is the floor or the ceiling of its rate but where a larger one before it has left more than
+# its own size over.
 _CARRY = """
 aggregate(array_sort(collect_list(struct(-size as neg, doc_id, size, n, r))),
-  struct(0D as miss, cast(array() as array<struct<doc_id:ID,size:bigint,n:bigint,copies:bigint>>) as done),
+  struct(0D as miss, cast(array() as array<struct<doc_id:ID,size:bigint,n:bigint,total:bigint>>) as done),
   (a, x) -> transform(array(
-      if(x.size = 0, cast(round(x.r) as bigint), greatest(0L, least(MOST,
-        cast(round((a.miss + x.n * x.size * x.r) / (x.n * x.size)) as bigint))))), k ->
-    struct(a.miss + x.n * x.size * (x.r - k) as miss,
-      array_append(a.done, struct(x.doc_id as doc_id, x.size as size, x.n as n, k as copies)) as done))[0],
+      if(x.size = 0, x.n * cast(round(x.r) as bigint), greatest(0L, least(MOST * x.n,
+        cast(round((a.miss + x.n * x.size * x.r) / x.size) as bigint))))), k ->
+    struct(a.miss + x.size * (x.n * x.r - k) as miss,
+      array_append(a.done, struct(x.doc_id as doc_id, x.size as size, x.n as n, k as total)) as done))[0],
   a -> a.done)
 """
 
@@ -139,11 +142,12 @@ aggregate(array_sort(collect_list(struct(-size as neg, doc_id, size, n, r))),
 def copies(
     docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, ceiling: float = 2.0
 ) -> DataFrame:
-    """(source, doc_id, size, n, copies, source_size, target) for ``docs`` (doc_id, text, source).
+    """(source, doc_id, size, n, total, source_size, target) for ``docs`` (doc_id, text, source).
 
     ``size`` is the number of words, 0 for null or empty texts. Rows that agree in source, doc_id
-    and size are one line with their number ``n``; each of them gets ``copies``. Documents without
-    words get the rounded rate at size 0, one copy, or the ceiling in a full source.
+    and size are one line with their number ``n``; together they get ``total`` copies, which
+    ``row_copies`` deals out evenly. Documents without words get the rounded rate at size 0, one
+    copy, or the ceiling in a full source. Ties go by id. An empty table gives no lines.
     """
     sized = docs.select("doc_id", "source", F.size(F.expr(words_sql("text"))).cast("long").alias("size"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -157,19 +161,44 @@ def copies(
     )
     done = rated.groupBy("source", "source_size", "target", "_chunk").agg(F.expr(_CARRY.replace("ID", id_type).replace("MOST", f"{int(ceiling)}L")).alias("d"))
     return done.select("source", "source_size", "target", F.explode("d").alias("d")).select(
-        "source", "d.doc_id", "d.size", "d.n", "d.copies", "source_size", "target"
+        "source", "d.doc_id", "d.size", "d.n", "d.total", "source_size", "target"
     )
 
 
+def row_copies(number: str, n: str = "n", total: str = "total") -> str:
+    """SQL for the copies of the row with that number, from 0, in its line: the first ones take one more."""
+    return f"{total} div {n} + if({number} < {total} % {n}, 1, 0)"
+
+
+def rows_of(plan: DataFrame) -> DataFrame:
+    """``plan`` with a row and its ``copies`` for every document; long lines are dealt over many tasks."""
+    pieces = plan.withColumn("_from", F.expr(f"explode(sequence(0L, n - 1, {PER_PIECE}L))"))
+    spread = pieces.repartition("source", "doc_id", "size", "_from")
+    numbered = spread.withColumn("_row", F.expr(f"explode(sequence(_from, least(n, _from + {PER_PIECE}L) - 1))"))
+    return numbered.withColumn("copies", F.expr(row_copies("_row"))).drop("_from", "_row")
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; rows taken 0 times go.
 
-    Null ids, texts and sources are values like others; repeated rows are taken alike.
+    All columns of ``docs`` stay, whatever their names. Null ids, texts and sources are values like
+    others. Rows that agree in source, id and number of words are numbered, in chunks that no
+    repeated row outgrows, and the first of them may be taken once more than the others.
     """
-    plan = copies(docs, **options).where("copies > 0").select(
-        F.col("source").alias("_s"), F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "copies"
+    size, s, i, z, n, total, number = free_names(docs.columns, "size", "s", "id", "z", "n", "total", "number")
+    plan = copies(docs.select("doc_id", "text", "source"), **options).where("total > 0").select(
+        F.col("source").alias(s), F.col("doc_id").alias(i), F.col("size").alias(z), F.col("n").alias(n), F.col("total").alias(total)
     )
-    size = F.size(F.expr(words_sql("text"))).cast("long")
-    same = F.col("source").eqNullSafe(F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (size == F.col("_size"))
+    plan = materialise(plan)
+    sized = docs.withColumn(size, F.size(F.expr(words_sql("text"))).cast("long"))
+    same = F.col("source").eqNullSafe(F.col(s)) & F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(size) == F.col(z))
     names = [f"`{c}`" for c in docs.columns]
-    return docs.join(plan, same).selectExpr(*names, "explode(sequence(1, copies)) as _copy").select(*names)
+    single = sized.join(plan.where(F.col(n) == 1), same).selectExpr(*names, f"explode(sequence(1, {total})) as {number}").select(*names)
+    lines = plan.where(F.col(n) > 1)
+    if lines.isEmpty():
+        return single
+    rows = materialise(sized.join(lines, same).withColumn(f"{number}_", F.monotonically_increasing_id()))
+    numbered = gapless(rows, number, [s, i, z], [f"{number}_"])
+    taken = F.expr(row_copies(number, n, total))
+    more = numbered.withColumn(total, taken).where(F.col(total) > 0)
+    return single.unionByName(more.selectExpr(*names, f"explode(sequence(1, {total})) as {number}").select(*names))

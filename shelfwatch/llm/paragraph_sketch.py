@@ -2,14 +2,16 @@
 
 A text is cut at line breaks and sentence ends, and longer pieces after words, or in runs without
 blanks after characters, that their own hash chooses, so that an edit changes few pieces. Each
-piece has a 64-bit digest (its lowest bit cleared), and a digest is added to one cell of each of
-three tables: a count, the exclusive or of the digests, and of their checksums. Sketches of two versions subtract cell by cell, which cancels
-what they share. A cell left with one digest shows it by its checksum; taking it out of its other
-cells frees more (peeling), until every differing digest is known.
-
-To keep any text linear, digests are first dealt by their top bits into blocks of a few; a block
-that does not peel is tried again with larger tables and other bits of the digests. All of it is
-SQL on arrays within the row.
+piece has a digest that carries its own checksum in its last 16 bits, and a digest is added, by
+exclusive or, to one cell of each of three tables. Sketches of two versions subtract cell by cell,
+which cancels what they share. A cell left with one digest shows it by its checksum; taking it out
+of its other cells frees more (peeling), until every differing digest is known.
+
+To keep any text linear, digests are first dealt by their top bits into blocks, as many as the text
+needs; the sketch of a text with more blocks folds onto that of one with fewer. The fingerprint is
+the sketch of all blocks. Two versions are compared by subtracting their fingerprints. Blocks that
+don't peel, as they differ in too much, are tried again from the digests themselves: in finer blocks
+and then with larger tables. All of it is SQL on arrays within the row.
 """
 
 from __future__ import annotations
@@ -17,10 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: cells per table of each attempt; positions use disjoint bits of the digest from bit 1 up
-ATTEMPTS = (4, 8, 16, 64)
-#: digests of both versions per block
-PER_BLOCK = 6
+#: cells per table of the fingerprint, and of each further attempt; positions use disjoint bits of the digest from bit 16 up
+ATTEMPTS = (4, 2, 4, 16)
+#: digests of one version per block of the fingerprint, and of both versions per finer block, at most on average
+PER_BLOCK, PER_FINE = 12, 3
+#: blocks of a fingerprint, as a power of two, at most
+MOST_BITS = 20
+#: turns of peeling before a block counts as failed
+TURNS = 12
 #: a piece ends at a line break, or after one of these signs if a blank follows
 SENTENCE_ENDS = ".!?"
 #: a piece of more code points than this is cut further
@@ -55,153 +61,227 @@ def _parts(piece: str) -> str:
     )
 
 
+def _checked(top: str) -> str:
+    """SQL for a digest: 47 bits of hash, and 16 of their checksum, the last of which is set."""
+    return f"(shiftleft({top}, 16) | (cast(hash({top}) as bigint) & 65535L) | 1L)"
+
+
 def digests(text: str) -> Column:
-    """Distinct digests of the text's pieces; empty pieces and null texts have none."""
+    """Distinct digests of the text's pieces, ascending; empty pieces and null texts have none."""
     for sign in SENTENCE_ENDS:
         text = f"replace({text}, '{sign} ', '{sign}\n')"
     pieces = f"filter(split({text}, '\n'), p -> p <> '')"
     fine = f"flatten(transform({pieces}, p -> if(length(p) <= {LONG_PIECE}, array(p), {_parts('p')})))"
-    return F.expr(f"coalesce(array_distinct(transform({fine}, p -> xxhash64(p) & -2L)), cast(array() as array<bigint>))")
+    tops = f"transform({fine}, p -> shiftrightunsigned(xxhash64(p), 17))"
+    return F.expr(f"coalesce(array_sort(transform(array_distinct({tops}), t -> {_checked('t')})), cast(array() as array<bigint>))")
 
 
-def _bits(attempt: int) -> tuple[int, int]:
-    """(lowest bit, bits per position)"""
+def _hits(key: str, attempt: int, cell: int) -> str:
+    """SQL for whether a digest is in that cell; the tables follow each other."""
     width = [c.bit_length() - 1 for c in ATTEMPTS]
-    return 1 + 3 * sum(width[:attempt]), width[attempt]
+    c = ATTEMPTS[attempt]
+    table, place = divmod(cell, c)
+    return f"(shiftright({key}, {16 + 3 * sum(width[:attempt]) + table * width[attempt]}) & {c - 1}L) = {place}L"
 
 
-def _cells(keys: str, attempt: int) -> str:
-    """SQL for the sketch of an array of digests: three tables in one array."""
-    low, width = _bits(attempt)
-    c = ATTEMPTS[attempt]
-    tables = ", ".join(
-        f"transform(sequence(0, {c - 1}), i -> aggregate(filter({keys}, k -> (shiftright(k, {low + t * width}) & {c - 1}) = i),"
-        f" struct(0 as c, 0L as k, 0 as h), (s, k) -> struct(s.c + 1 as c, s.k ^ k as k, s.h ^ hash(k) as h)))"
-        for t in range(3)
+def _toggled(keys: str, attempt: int, start: str) -> str:
+    """SQL for cells with each of ``keys`` taken in or out; ``start`` gives a cell's value by its number."""
+    cells = (
+        f"aggregate({keys}, {start.format(i)}, (x, k) -> if({_hits('k', attempt, i)}, x ^ k, x))"
+        for i in range(3 * ATTEMPTS[attempt])
     )
-    return f"concat({tables})"
+    return f"array({', '.join(cells)})"
 
 
-def _subtract(a: str, b: str) -> str:
-    return f"zip_with({a}, {b}, (x, y) -> struct(x.c - y.c as c, x.k ^ y.k as k, x.h ^ y.h as h))"
+def _cells(keys: str, attempt: int) -> str:
+    return _toggled(keys, attempt, "0L")
 
 
 def _peel(cells: str, attempt: int) -> str:
-    """SQL for the number of digests peeled out of a subtracted sketch; null if some remain."""
-    low, width = _bits(attempt)
-    c = ATTEMPTS[attempt]
-    spots = ", ".join(f"{t * c} + cast(shiftright(k, {low + t * width}) & {c - 1} as int) as p{t}" for t in range(3))
-    # a digest may be alone in several of its cells; its sign goes into the bit that digests don't use
-    alone = "array_distinct(transform(filter(st.cells, x -> abs(x.c) = 1 and hash(x.k) = x.h), x -> if(x.c < 0, x.k | 1L, x.k)))"
-    pure = f"transform({alone}, e -> transform(array(e & -2L), k -> struct(if(e = k, 1, -1) as c, k as k, hash(k) as h, {spots}))[0])"
-    out = (
-        "transform(st.cells, (x, i) -> aggregate(filter(pure, p -> i = p.p0 or i = p.p1 or i = p.p2), x,"
-        " (y, p) -> struct(y.c - p.c as c, y.k ^ p.k as k, y.h ^ p.h as h)))"
+    """SQL for the digests peeled out of a subtracted sketch; null if some remain."""
+    pure = "array_distinct(filter(st.cells, x -> x <> 0L and (x & 65535L) = ((cast(hash(shiftright(x, 16)) as bigint) & 65535L) | 1L)))"
+    out = _toggled("pure", attempt, "get(st.cells, {})")
+    step = (
+        f"transform(array({pure}), pure -> if(size(pure) = 0, struct(st.cells as cells, st.got as got, false as live),"
+        f" transform(array({out}), rest -> struct(rest as cells, concat(st.got, pure) as got, exists(rest, x -> x <> 0L) as live))[0]))[0]"
     )
-    step = f"transform(array({pure}), pure -> if(size(pure) = 0, struct(st.cells as cells, st.n as n, false as live), struct({out} as cells, st.n + size(pure) as n, true as live)))[0]"
     return (
-        f"aggregate(sequence(1, {3 * c}), struct({cells} as cells, 0 as n, true as live),"
+        f"aggregate(sequence(1, {TURNS}), struct({cells} as cells, cast(array() as array<bigint>) as got, true as live),"
         f" (st, turn) -> if(st.live, {step}, st),"
-        " st -> if(forall(st.cells, x -> x.c = 0 and x.k = 0 and x.h = 0), st.n, cast(null as int)))"
+        " st -> if(forall(st.cells, x -> x = 0L), st.got, cast(null as array<bigint>)))"
     )
 
 
-def _block_difference(a: str, b: str) -> str:
-    """SQL for the number of digests in which two small sets differ; larger tables after each failure.
+def _blocks(keys: str, bits: str, low: str = "0L", shift: str = "63") -> str:
+    """SQL for digests dealt by the next ``bits`` bits below ``shift``: one array per block, empty ones too.
 
-    The attempts all fail only if digests share their cells every time; such are compared as sets.
+    ``low`` has the bits above. A mark per block, the only even numbers, is sorted in front of its digests.
     """
-    tries = [_peel(_subtract(_cells(a, k), _cells(b, k)), k) for k in range(len(ATTEMPTS))]
-    return f"coalesce({', '.join(tries)}, size(array_except({a}, {b})) + size(array_except({b}, {a})))"
-
-
-def difference(a: str, b: str) -> Column:
-    """Digests in which two arrays of digests differ, recovered from the sketches of their blocks."""
-    merged = f"array_sort(concat({a}, transform({b}, k -> k | 1L)))"
-    starts = "filter(sequence(0, size(m) - 1), i -> i = 0 or shiftright(get(m, i), s) <> shiftright(get(m, i - 1), s))"
-    block = "slice(m, p + 1, coalesce(get(starts, j + 1), size(m)) - p)"
-    one = _block_difference("e.a", "e.b")
-    each = (
-        f"transform(array({block}), w -> transform(array(struct(filter(w, k -> (k & 1L) = 0L) as a,"
-        f" transform(filter(w, k -> (k & 1L) = 1L), k -> k - 1L) as b)), e -> {one})[0])[0]"
-    )
-    return F.expr(
-        f"""transform(array({merged}), m -> if(size(m) = 0, 0L,
-  transform(array(64 - greatest(1, least(17, cast(ceil(log2(size(m) / {PER_BLOCK})) as int)))), s ->
-    transform(array({starts}), starts ->
-      aggregate(transform(starts, (p, j) -> {each}), 0L, (x, y) -> x + y))[0])[0]))[0]"""
-    )
+    marks = f"transform(sequence(0L, shiftleft(1L, {bits}) - 1L), b -> {low} | shiftleft(b, {shift} - {bits}))"
+    starts = "filter(sequence(0, size(m) - 1), i -> (get(m, i) & 1L) = 0L)"
+    cut = "transform(starts, (p, j) -> slice(m, p + 2, coalesce(get(starts, j + 1), size(m)) - p - 1))"
+    return f"transform(array(array_sort(concat({keys}, {marks}))), m -> transform(array({starts}), starts -> {cut})[0])[0]"
+
+
+def _bits(n: str, per: int, least: int) -> str:
+    """SQL for how many bits deal ``n`` digests into blocks of ``per`` at most on average."""
+    return f"greatest({least}, least({MOST_BITS}, cast(ceil(log2(greatest({n}, 1) / {per})) as int)))"
+
+
+ROW = 3 * ATTEMPTS[0]
+
+
+def sketch(keys: str) -> Column:
+    """The fingerprint of ascending distinct digests: the cells of all blocks, one after the other."""
+    none = f"array_repeat(0L, {ROW})"
+    blocks = _blocks("ks", _bits("size(ks)", PER_BLOCK, 0))
+    return F.expr(f"transform(array({keys}), ks -> flatten(transform({blocks}, b -> if(size(b) = 0, {none}, {_cells('b', 0)}))))[0]")
+
 
+def _folded(cells: str, blocks: str) -> str:
+    """SQL for a sketch folded to fewer blocks: neighbours are added up."""
+    per = f"(size({cells}) div ({ROW} * {blocks}))"
+    one = f"aggregate(sequence(0, {per} - 1), 0L, (x, q) -> x ^ get({cells}, cast(((i div {ROW}) * {per} + q) * {ROW} + i % {ROW} as int)))"
+    return f"if({per} = 1, {cells}, transform(sequence(0, cast({ROW} * {blocks} as int) - 1), i -> {one}))"
 
-def likeness(a: str, b: str) -> Column:
-    """Jaccard likeness of two arrays of distinct digests, from their sizes and the recovered difference.
+
+def _again(keys: str, low: str, shift: str) -> str:
+    """SQL for the digests that occur once in ``keys``, those of a block of both versions: in finer blocks, then in larger tables.
+
+    Both versions' digests go into one sketch, where shared ones cancel. The attempts all fail only
+    if digests share their cells every time; such are compared as they are.
+    """
+    tries = ", ".join(_peel(_cells("u", k), k) for k in range(1, len(ATTEMPTS)))
+    one = f"coalesce({tries}, filter(u, k -> size(filter(u, y -> y = k)) = 1))"
+    fine = _blocks("w", _bits("size(w)", PER_FINE, 1), low, shift)
+    return f"transform(array({keys}), w -> flatten(transform({fine}, u -> if(size(u) < 2, u, {one}))))[0]"
+
+
+def difference(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
+    """Digests in which two versions differ, recovered from their fingerprints where these peel.
+
+    ``a`` and ``b`` are the versions' ascending digests, used for blocks whose difference is too large.
+    """
+    blocks = f"(least(size({sketch_a}), size({sketch_b})) div {ROW})"
+    bits = "cast(round(log2(n)) as int)"
+    less = f"zip_with({_folded(sketch_a, 'n')}, {_folded(sketch_b, 'n')}, (x, y) -> x ^ y)"
+    cells = f"slice(z, {ROW} * j + 1, {ROW})"
+    both = "concat(get(p, j), get(q, j))"
+    retry = _again(both, "shiftleft(cast(j as bigint), 63 - s)", "(63 - s)")
+    one = f"if(forall(c, x -> x = 0L), cast(array() as array<bigint>), coalesce({_peel('c', 0)}, {retry}))"
+    each = f"flatten(transform(sequence(0, cast(n as int) - 1), j -> transform(array({cells}), c -> {one})[0]))"
+    dealt = f"transform(array({_blocks(a, 's')}), p -> transform(array({_blocks(b, 's')}), q -> {each})[0])[0]"
+    return F.expr(f"transform(array({blocks}), n -> transform(array({bits}), s -> transform(array({less}), z -> {dealt})[0])[0])[0]")
+
+
+def likeness(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
+    """Jaccard likeness of two versions, from the sizes of their digests and the recovered difference.
 
     1 if both are empty.
     """
-    d = difference(a, b)
+    d = F.size(difference(a, b, sketch_a, sketch_b))
     both = F.size(a) + F.size(b)
     return F.when(both == 0, F.lit(1.0)).otherwise((both - d) / (both + d))
 
 
-def sketch_text(keys: str) -> Column:
-    """The sketch of all digests as text: number of digests, then count, digest and checksum of each cell."""
-    cells = f"transform({_cells('ks', 0)}, x -> concat_ws(':', hex(x.c), hex(x.k), hex(x.h)))"
-    return F.expr(f"transform(array({keys}), ks -> concat_ws(' ', size(ks), concat_ws(' ', {cells})))[0]")
+def sketch_text(keys: str, cells: str) -> Column:
+    """A fingerprint as text: the number of digests, and the cells."""
+    return F.expr(f"concat_ws(' ', size({keys}), array_join(transform({cells}, x -> if(x = 0L, '', lower(hex(x)))), '.'))")
+
+
+def _place(ids: Column, tie: Column, bounds: list[tuple]) -> Column:
+    """How many bounds (id, tie) are not above the row's, by halving; null ids are the highest."""
+    known = [b for b in bounds if b[0] is not None]
+    nulls = [b for b in bounds if b[0] is None]
+
+    def halved(below, n: int) -> Column:
+        def step(s: Column, _: Column) -> Column:
+            mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+            up = below(mid)
+            go = s["lo"] < s["hi"]
+            return F.struct(F.when(go & up, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(go & ~up, mid).otherwise(s["hi"]).alias("hi"))
 
+        turns = F.sequence(F.lit(1), F.lit(max(1, n.bit_length())))
+        return F.aggregate(turns, F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi")), step, lambda s: s["lo"])
 
-def with_next(docs: DataFrame, doc_id: str, columns: list[str], tie: str) -> DataFrame:
-    """``docs`` with ``next_<column>``: of the next row by (doc_id, tie), nulls last; the first row's after the last.
+    def fits(part: list[tuple], compare) -> Column:
+        return halved(lambda mid: F.coalesce(compare(mid), F.lit(False)), len(part)) if part else F.lit(0)
 
-    Rows are dealt into buckets of the id order whose bounds are ids that occur, so a bucket's
-    first rows are known by their id alone; they are sent to the bucket before as well, and the
-    very first to the last. One exchange, no join. ``docs`` is read twice.
+    first, second = F.lit([b[0] for b in known]) if known else None, F.lit([b[1] for b in known]) if known else None
+    third = F.lit([b[1] for b in nulls]) if nulls else None
+    plain = fits(known, lambda m: (F.get(first, m) < ids) | ((F.get(first, m) == ids) & (F.get(second, m) <= tie)))
+    return F.when(ids.isNotNull(), plain).otherwise(F.lit(len(known)) + fits(nulls, lambda m: F.get(third, m) <= tie))
+
+
+def with_next(docs: DataFrame, doc_id: str, columns: dict[str, Column], tie: str) -> DataFrame:
+    """``docs`` with ``columns``, computed once per row, and ``next_<column>``: of the next row by (doc_id, tie).
+
+    Null ids come last; the first row follows the last. Rows are dealt into ranges of that order,
+    whose first keys are known, so a repeated or null id is cut as well; rows with the first key of
+    a range are sent to the range before too, and those with the very first key to the last. Rows
+    that repeat one id and tie very often are spread: of such equal rows all but some follow
+    themselves. One exchange, no join of rows. ``docs`` is read three times.
     """
-    rows, first = docs.agg(F.count(F.lit(1)), F.min(doc_id)).first()
-    n = max(1, min(MOST_BUCKETS, rows // PER_BUCKET))
-    bounds: list = []
-    if first is not None and n > 1:
-        cuts = [i / n for i in range(1, n)]
-        found = docs.agg(F.percentile_approx(doc_id, F.array(*map(F.lit, cuts)) if n < 200 else cuts, max(10_000, 8 * n))).first()[0]
-        bounds = sorted(set(found) - {first})
+    ids, ties = F.col(doc_id), F.col(tie)
+    order = [ids.asc_nulls_last(), ties]
+    keys = docs.select(doc_id, tie)
+    rows = keys.count()
+    per = max(PER_BUCKET, rows // MOST_BUCKETS)
+    n = max(1, rows // per)
+    ranged = keys.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    least = ranged.groupBy("_p").agg(F.min(F.struct(ids.isNull().alias("z"), ids.alias("i"), ties.alias("t"))).alias("k"))
+    bounds = [(r["k"]["i"], r["k"]["t"]) for r in least.orderBy("k").collect()]  # one per range
+    first, bounds = (bounds[0], bounds[1:]) if bounds else (None, [])
     last = len(bounds)
-    # two levels, so that a row compares with about twice the root of the bounds
-    width = max(1, int(len(bounds) ** 0.5))
-    coarse = bounds[::width]
-    ids = F.col(doc_id)
-    below = F.size(F.filter(F.lit(coarse), lambda x: x <= ids)) if coarse else F.lit(0)
-    near = F.slice(F.lit(bounds), F.greatest((below - 1) * width + 1, F.lit(1)), F.lit(width)) if bounds else None
-    bucket = F.when(below == 0, 0).otherwise((below - 1) * width + F.size(F.filter(near, lambda x: x <= ids))) if bounds else F.lit(0)
-    dealt = docs.withColumn("_b", F.when(ids.isNull(), F.lit(last)).otherwise(bucket).cast("int"))
-    at_bound = F.get(F.lit(bounds), F.col("_b") - 1) == ids if bounds else F.lit(False)
-    places = F.array_compact(
-        F.array(
-            F.struct(F.col("_b").alias("bucket"), F.lit(0).alias("place")),
-            F.when((F.col("_b") > 0) & at_bound, F.struct((F.col("_b") - 1).alias("bucket"), F.lit(1).alias("place"))),
-            F.when(ids.eqNullSafe(F.lit(first)), F.struct(F.lit(last).alias("bucket"), F.lit(2).alias("place"))),
-        )
-    )
-    spread = dealt.select(*docs.columns, F.inline(places))
-    order = Window.partitionBy("bucket").orderBy("place", ids.asc_nulls_last(), tie)
-    led = spread.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-    return led.where("place = 0").drop("bucket", "place")
+    hot = keys.groupBy(doc_id, tie).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 4 * per)
+    hot = [(r[0], r[1], r["_n"]) for r in hot.collect()]  # fewer than a quarter of the ranges
+
+    def same(key: tuple) -> Column:
+        return ids.eqNullSafe(F.lit(key[0])) & (ties == F.lit(key[1]))
+
+    dealt = docs.withColumn("_b", _place(ids, ties, bounds).cast("int"))
+    self_next = F.lit(False)
+    for i, t, times in hot:
+        self_next = self_next | (same((i, t)) & (F.pmod(F.monotonically_increasing_id(), F.lit(times // per)) != 0))
+    dealt = dealt.withColumn("_self", self_next)
+    starts = [b for b in bounds]
+    at_start = F.lit(False)
+    if starts:
+        known = F.array(*[F.struct(F.lit(i).cast(docs.schema[doc_id].dataType).alias("i"), F.lit(t).alias("t")) for i, t in starts])
+        here = F.get(known, F.col("_b") - 1)
+        at_start = F.coalesce((F.col("_b") > 0) & here["i"].eqNullSafe(ids) & (here["t"] == ties), F.lit(False))
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(last + 1)).cast("int")
+    own = F.struct(F.when(F.col("_self"), spread).otherwise(F.col("_b")).alias("bucket"), F.when(F.col("_self"), 3).otherwise(0).alias("place"))
+    before = F.struct((F.col("_b") - 1).alias("bucket"), F.lit(1).alias("place"))
+    around = F.struct(F.lit(last).alias("bucket"), F.lit(2).alias("place"))
+    opens = same(first) if first else F.lit(False)
+    places = F.array_compact(F.array(own, F.when(at_start & ~F.col("_self"), before), F.when(opens & ~F.col("_self"), around)))
+    dealt = dealt.select(*docs.columns, F.inline(places)).repartition("bucket").withColumns(columns)
+    along = Window.partitionBy("bucket").orderBy("place", *order)
+    led = dealt.withColumns({f"next_{c}": F.when(F.col("place") == 3, F.col(c)).otherwise(F.lead(c).over(along)) for c in ("body", *columns)})
+    return led.where("place in (0, 3)").drop("bucket", "place")
 
 
 def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
     ``edited`` is the text whose last half, rounded down, is replaced by as many first code points
-    of the next text, or all it has. A null text counts as empty; a table of one row is its own next.
+    of the next text, or all it has. The next row is that of the next larger id of any type, nulls
+    last; rows of one id go by a hash of their texts, and equal rows are interchangeable. A null
+    text counts as empty; a table of one row is its own next, an empty one stays empty. Other
+    columns are left out.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    rows = rows.withColumns({"h": F.xxhash64("body"), "own": digests("body")})
-    rows = with_next(rows, "doc_id", ["body", "own"], "h")
+    rows = with_next(rows.withColumn("h", F.xxhash64("body")), "doc_id", {"own": digests("body")}, "h")
     n = F.length("body")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("body", F.lit(1), n - half), F.substring("next_body", F.lit(1), half))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", "next_own")
     rows = rows.withColumn("new", digests("edited"))
+    rows = rows.withColumns({f"{c}_cells": sketch(c) for c in ("own", "next_own", "new")})
     return rows.select(
         "doc_id", "n_chars", "edited",
-        sketch_text("own").alias("fingerprint"), sketch_text("new").alias("edited_fingerprint"),
-        likeness("own", "new").alias("near_edited"), likeness("own", "next_own").alias("near_next"),
+        sketch_text("own", "own_cells").alias("fingerprint"), sketch_text("new", "new_cells").alias("edited_fingerprint"),
+        likeness("own", "new", "own_cells", "new_cells").alias("near_edited"),
+        likeness("own", "next_own", "own_cells", "next_own_cells").alias("near_next"),
     )

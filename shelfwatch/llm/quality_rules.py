@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import BLANKS, words_sql
+from shelfwatch.llm.common import BLANKS, free_names, words_sql
 
 #: rule name -> SQL condition of failure over the measurements; the position is the bit
 RULES: dict[str, str] = {
@@ -66,24 +66,25 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     A null text counts as empty: no words, no lines. Lines are ``\\n`` pieces with a word in them.
     A text is never cut; all work stays within its row.
     """
+    w, l = free_names([*docs.columns, *MEASURES], "_w", "_l")
     body = f"coalesce(`{text}`, '')"
     lines = f"filter(split({body}, '\\n'), l -> btrim(l, {BLANKS}) != '')"
     return (
-        docs.withColumns({"_w": F.expr(words_sql(f"`{text}`")), "_l": F.expr(lines)})
+        docs.withColumns({w: F.expr(words_sql(f"`{text}`")), l: F.expr(lines)})
         .withColumns(
             {
-                "n_words": F.size("_w").cast("long"),
+                "n_words": F.size(w).cast("long"),
                 "word_chars": F.expr(f"cast(length(translate({body}, {BLANKS}, '')) as bigint)"),
                 "n_symbols": F.expr(f"cast(length({body}) - length(translate({body}, '#*$%&|<>', '')) as bigint)"),
-                "n_dup_lines": F.expr("cast(size(_l) - size(array_distinct(_l)) as bigint)"),
-                "n_repeat_words": F.expr(f"transform(array(_w), w -> {_REPEATED})[0]"),
-                "n_lines": F.size("_l").cast("long"),
+                "n_dup_lines": F.expr(f"cast(size({l}) - size(array_distinct({l})) as bigint)"),
+                "n_repeat_words": F.expr(f"transform(array({w}), w -> {_REPEATED})[0]"),
+                "n_lines": F.size(l).cast("long"),
                 "n_upper": F.expr(f"cast(length({body}) - length(translate({body}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) as bigint)"),
-                "n_bullets": F.expr(f"cast(size(filter(_l, l -> substr(btrim(l, {BLANKS}), 1, 1) in ('-', '*', '•'))) as bigint)"),
-                "n_cut_lines": F.expr(f"cast(size(filter(_l, l -> endswith(btrim(l, {BLANKS}), '...') or endswith(btrim(l, {BLANKS}), '…'))) as bigint)"),
+                "n_bullets": F.expr(f"cast(size(filter({l}, l -> substr(btrim(l, {BLANKS}), 1, 1) in ('-', '*', '•'))) as bigint)"),
+                "n_cut_lines": F.expr(f"cast(size(filter({l}, l -> endswith(btrim(l, {BLANKS}), '...') or endswith(btrim(l, {BLANKS}), '…'))) as bigint)"),
             }
         )
-        .drop("_w", "_l")
+        .drop(w, l)
     )
 
 

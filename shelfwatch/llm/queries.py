@@ -71,9 +71,7 @@ ORACLES["op2_url_filter"] = _url_sql()
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return plan.selectExpr(
-        "doc_id", "size", "source_size", "target", "copies * size as taken", "copies", "source", "explode(sequence(1, n)) as _row"
-    ).drop("_row")
+    return mixing.rows_of(plan).selectExpr("doc_id", "size", "source_size", "target", "copies * size as taken", "copies", "source")
 
 
 @query

@@ -16,7 +16,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
-from shelfwatch.llm.common import map_slices
+from shelfwatch.llm.common import free_names, map_slices
 
 # fixed values: the base patterns
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -153,7 +153,10 @@ SPANS = "array<struct<kind:string,start:int,end:int,from:int,to:int>>"
 
 
 def scan(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
-    """``docs`` with the spans of every whole text."""
+    """``docs`` with the spans of every whole text, none for null; repeated rows get the same ones.
+
+    A column named like ``out`` is replaced. An empty table stays empty.
+    """
 
     return map_slices(docs, f"`{out}` {SPANS}", text, lambda: lambda texts: {out: [spans(t) for t in texts]})
 
@@ -161,7 +164,8 @@ def scan(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; overlapping secrets as one.
 
-    A null text stays null.
+    A null text stays null, and all columns stay, whatever their names. Repeated rows are treated
+    alike; an empty table stays empty.
     """
 
     def clean(body: str | None) -> str | None:
@@ -175,5 +179,6 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
         return "".join(parts) + body[at:] if at else body
 
     names = [f"`{c}`" for c in docs.columns]
-    done = map_slices(docs, "_clean string", text, lambda: lambda texts: {"_clean": [clean(t) for t in texts]})
-    return done.drop(text).withColumnRenamed("_clean", text).select(*names)
+    (new,) = free_names(docs.columns, "clean")
+    done = map_slices(docs, f"`{new}` string", text, lambda: lambda texts: {new: [clean(t) for t in texts]})
+    return done.drop(text).withColumnRenamed(new, text).select(*names)

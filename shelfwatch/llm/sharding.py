@@ -6,13 +6,15 @@ room; quotas per pair of shards, swaps first and then free room, admit the reque
 highest gain. Documents without links fill what is left, and a last step moves the cheapest
 documents out of shards that are still too large.
 
-Copies in one group and bundle (a hash of the id, BUNDLES per group) move as one node, so a group
-of any size is at most that many nodes, and no step holds a group together by itself. The driver
-sees sums per pair of shards and order bin, whose number is fixed.
+Copies in one group and bundle (a hash of the id, BUNDLES per group) move as one node. A node with
+more than a small share of a shard's bytes, such as that of a row repeated very often, is split into
+numbered parts, so no group and no repeated row keeps the shards from being even. The driver sees
+sums per pair of shards and order bin, whose number is fixed.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from shelfwatch.llm.common import gapless, materialise
 
 BUNDLES = 1024
-ROUNDS, PASSES = 12, 10
+#: rounds of propagation, and passes of evening without a move before it ends
+ROUNDS, IDLE = 12, 4
 #: order bins: of requests with like gain, and of documents in a shard
 BINS, FILL_BINS = 64, 4096
 #: shards whose size is this near the mean, as a share of it, are even
@@ -130,17 +133,25 @@ def _fill(nodes: DataFrame, need: dict[int, float]) -> DataFrame:
 
 
 def _even(nodes: DataFrame, cap: float, shards: int) -> DataFrame:
-    """Move the cheapest nodes out of shards that are too large until all are even, or nothing helps."""
-    for turn in range(PASSES):
+    """Move the cheapest nodes out of shards that are too large until all are even, or nothing helps.
+
+    Loads that stay uneven, as single documents may be larger than what is missing, are warned of.
+    """
+    turn = idle = 0
+    while True:
         load = {j: 0.0 for j in range(shards)}
         load |= {r["label"]: float(r["bytes"]) for r in nodes.groupBy("label").agg(F.sum("bytes").alias("bytes")).collect()}
         over = {j: b - cap for j, b in load.items() if b > cap}
         room = {j: cap - b for j, b in load.items() if b < cap}
-        if not over or not room or max(map(abs, (*over.values(), *room.values()))) <= EVEN * cap:
+        worst = max(map(abs, (*over.values(), *room.values())), default=0.0)
+        if not over or not room or worst <= EVEN * cap:
+            break
+        if idle == IDLE:
+            warnings.warn(f"shards stay up to {worst:.0f} bytes off the mean of {cap:.0f}", stacklevel=2)
             break
         excess = F.lit(None).cast("double")
         for j, b in over.items():
-            excess = F.when(F.col("label") == j, F.lit(min(b, max(room.values())) * (1 if turn < PASSES // 2 else 2))).otherwise(excess)
+            excess = F.when(F.col("label") == j, F.lit(min(b, max(room.values())) * (2 if idle else 1))).otherwise(excess)
         # nodes without links first, then those of small groups; large ones first, to be followed by finer ones
         o = F.when(F.col("linked"), 1 + F.floor(F.log2("total"))).otherwise(0) * FILL_BINS + _hash(200 + turn, FILL_BINS, "h", "bundle")
         bins = nodes.where(F.col("bytes") <= excess).groupBy("label", o.alias("o")).agg(F.sum("bytes").alias("bytes")).collect()
@@ -157,6 +168,7 @@ def _even(nodes: DataFrame, cap: float, shards: int) -> DataFrame:
                 over[i] -= b
                 room[j] -= b
                 moves.append((i, r["o"], j))
+        turn, idle = turn + 1, 0 if moves else idle + 1
         if not moves:
             continue
         plan = nodes.sparkSession.createDataFrame(moves, "label int, _o long, _to int")  # order bins at most
@@ -172,8 +184,9 @@ def assign(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str =
     """(doc_id, size, text_crc32, shard, slot) of every row.
 
     ``size`` is the UTF-8 bytes of the text plus 1; a null text counts as empty. Sizes of shards
-    are even as far as single documents allow. ``slot`` numbers each shard's rows from 0. Equal
-    rows, and null ids, are documents like others. An empty table gives an empty result.
+    are even as far as single documents allow. ``slot`` numbers each shard's rows from 0. Repeated
+    rows, and null ids, are documents like others, and may lie in different shards. Other columns
+    are left out. An empty table gives an empty result.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = materialise(
@@ -182,8 +195,23 @@ def assign(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str =
             (F.octet_length(body) + F.lit(1)).cast("long").alias("size"),
             F.crc32(body.cast("binary")).alias("crc"),
             F.xxhash64(body).alias("h"),
+            F.monotonically_increasing_id().alias("row"),
         ).withColumn("bundle", _hash(5, BUNDLES, "doc_id"))
     )
+    whole = base.agg(F.sum("size")).first()[0] or 0
+    cap = whole / shards
+    # nodes too large to be evened out, split by their ids and then, where one id repeats, by row
+    most = EVEN * cap / 2
+    one_id = F.min("doc_id").eqNullSafe(F.max("doc_id"))
+    for by, repeats in (("doc_id", False), ("row", True)):
+        counted = base.groupBy(*KEY, "bundle").agg(F.count(F.lit(1)).alias("n"), one_id.alias("_one"))
+        large = counted.where((F.col("n") > 1) & (F.col("n") * F.col("size") > F.lit(most)) & (F.col("_one") == F.lit(repeats)))
+        parts = 4 * F.least("n", F.ceil(F.col("n") * F.col("size") / F.lit(most)))
+        # fewer rows than shards by 2 / EVEN, whatever the table
+        split = F.broadcast(large.select(*KEY, "bundle", parts.alias("_parts")))
+        finer = F.xxhash64("bundle", F.pmod(F.xxhash64(by, F.lit(9)), F.col("_parts")))
+        base = base.join(split, [*KEY, "bundle"], "left").withColumn("bundle", F.when(F.col("_parts").isNull(), F.col("bundle")).otherwise(finer)).drop("_parts")
+    base = materialise(base)
     nodes = base.groupBy(*KEY, "bundle").agg(F.count(F.lit(1)).alias("n"))
     groups = nodes.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_nodes"), F.sum("n").alias("total"))
     nodes = materialise(
@@ -191,16 +219,14 @@ def assign(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", text: str =
         .withColumns({"linked": F.col("_nodes") > 1, "bytes": F.col("n") * F.col("size"), "label": _hash(3, shards, *KEY, "bundle").cast("int")})
         .drop("_nodes")
     )
-    whole = nodes.agg(F.sum("bytes")).first()[0] or 0
-    cap = whole / shards
     linked = propagate(nodes.where("linked"), cap, shards)
     load = {r["label"]: float(r["bytes"]) for r in linked.groupBy("label").agg(F.sum("bytes").alias("bytes")).collect()}
     need = {j: max(cap - load.get(j, 0.0), 0.0) for j in range(shards)}
     placed = materialise(linked.unionByName(_fill(nodes.where("not linked"), need)))
     placed = _even(placed, cap, shards)
     shard = placed.select(*KEY, "bundle", F.col("label").alias("shard"))
-    rows = materialise(base.join(shard, [*KEY, "bundle"]).select("doc_id", "size", F.col("crc").alias("text_crc32"), "h", "shard"))
-    return gapless(rows, "slot", ["shard"], ["doc_id", "h"], per_chunk=5000).drop("h")
+    rows = materialise(base.join(shard, [*KEY, "bundle"]).select("doc_id", "size", F.col("crc").alias("text_crc32"), "h", "row", "shard"))
+    return gapless(rows, "slot", ["shard"], ["doc_id", "h", "row"], per_chunk=5000).drop("h", "row")
 
 
 def cut(assigned: DataFrame, group: list[str]) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import map_slices, materialise
+from shelfwatch.llm.common import free_names, map_slices, materialise
 from shelfwatch.llm.components import components
 
 SEED = 42
@@ -232,11 +232,19 @@ def near_duplicates(
 def keep_first(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """One row per component: that with the smallest doc_id, then the smallest text hash.
 
-    Components are told apart by their root: several may share a smallest doc_id, or have none.
+    Components are told apart by their root: several may share a smallest doc_id, or have none. Of
+    rows that repeat an id and a text one stays, whichever values their other columns have. All
+    columns stay, whatever their names; an empty table stays empty.
     """
     found = _placed(docs, "doc_id", "text", shingle, bits)
-    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
-    kept = materialise(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")))
-    key = F.xxhash64("text")
-    mine = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash")), "left_semi")
-    return mine.dropDuplicates(["doc_id", "text"])
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    kept = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("k"))
+    own, hashed = free_names(docs.columns, "id", "hash")
+    kept = materialise(kept.select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(hashed), "k.n"))
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(hashed))
+    # texts move once, for the join; only repeated rows go through an aggregation as well
+    single = docs.join(kept.where("n = 1").drop("n"), same, "left_semi")
+    repeated = kept.where("n > 1").drop("n")
+    if repeated.isEmpty():
+        return single
+    return single.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

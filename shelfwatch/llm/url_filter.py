@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwatch.llm.common import free_names
+
 #: rules that one pass holds; more rules go in blocks, one pass after another
 BLOCK = 50_000
 _TOKEN = re.compile(r"[a-z0-9]+")
@@ -159,7 +161,9 @@ def filter_urls(
     """``pages`` with host, path, rule, pattern and verdict.
 
     ``rule`` is the longest fitting host rule and decides; else the longest fitting ``pattern``
-    does, else ``default``. Null and odd URLs fit no host rule.
+    does, else ``default``. Null and odd URLs fit no host rule. The five result columns replace the
+    caller's of the same names, all others stay. Of rules of equal length the first one counts.
+    Repeated rows are judged alike; an empty table stays empty.
     """
 
     @F.pandas_udf("host string, path string")
@@ -167,13 +171,13 @@ def filter_urls(
         for batch in values:
             yield pd.DataFrame([host_and_path(v) for v in batch], columns=["host", "path"])
 
-    rows = judge(judge(pages, rules, url, "_rule"), patterns, url, "_pattern").withColumn("_parts", parts(F.col(url)))
-    return rows.withColumns(
-        {
-            "host": F.col("_parts.host"),
-            "path": F.col("_parts.path"),
-            "rule": F.col("_rule.name"),
-            "pattern": F.when(F.col("_rule.name").isNull(), F.col("_pattern.name")),
-            "verdict": F.coalesce("_rule.verdict", "_pattern.verdict", F.lit(default)),
-        }
-    ).drop("_rule", "_pattern", "_parts")
+    # the url under a name of its own: a result column may replace the caller's
+    own, cut, fits, also = free_names(pages.columns, "own", "parts", "fits", "also")
+    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "pattern", "verdict")]
+    rows = pages.withColumn(own, F.col(url))
+    rows = judge(judge(rows, rules, own, fits), patterns, own, also).withColumn(cut, parts(F.col(own)))
+    return rows.select(
+        *[f"`{c}`" for c in kept], F.col(f"{cut}.host").alias("host"), F.col(f"{cut}.path").alias("path"), F.col(f"{fits}.name").alias("rule"),
+        F.when(F.col(f"{fits}.name").isNull(), F.col(f"{also}.name")).alias("pattern"),
+        F.coalesce(f"{fits}.verdict", f"{also}.verdict", F.lit(default)).alias("verdict"),
+    )

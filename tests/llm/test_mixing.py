@@ -38,9 +38,9 @@ def test_targets_rates_and_copies(spark, rows):
     assert sorted(r["doc_id"] for r in plan) == list(range(900))
     sizes, taken, target = defaultdict(int), defaultdict(int), {}
     for r in plan:
-        assert r["size"] == len(rows[r["doc_id"]][1].split()) and 0 <= r["copies"] <= 2 and r["n"] == 1
+        assert r["size"] == len(rows[r["doc_id"]][1].split()) and 0 <= r["total"] <= 2 and r["n"] == 1
         sizes[r["source"]] += r["size"]
-        taken[r["source"]] += r["size"] * r["copies"]
+        taken[r["source"]] += r["size"] * r["total"]
         target[r["source"]] = r["target"]
     goal = wanted(sizes)
     for s in sizes:
@@ -67,21 +67,44 @@ def test_rates_solve_the_dual(spark, rows):
 
 
 def test_mix_repeats_rows(spark, rows):
-    docs = clash(documents(spark, rows), "copies", "_s", "size", "target")
-    plan = {r["doc_id"]: r["copies"] for r in M.copies(docs).collect()}
+    docs = clash(documents(spark, rows), "copies", "s", "_s", "size", "_size", "target", "total", "number", "n", "id", "z")
+    plan = {r["doc_id"]: r["total"] for r in M.copies(docs).collect()}
     got = defaultdict(int)
-    for r in M.mix(docs.drop("copies", "_s")).collect():
+    mixed = M.mix(docs)
+    assert mixed.columns == docs.columns
+    for r in mixed.collect():
         got[r["doc_id"]] += 1
-        assert r["size"] == "kept"
+        assert r["size"] == "kept" and r["_s"] == "kept"
     assert dict(got) == {i: c for i, c in plan.items() if c}
 
 
+def test_repeated_ids_meet_the_target(spark, monkeypatch):
+    """A third of all rows have no id and one size; a line of them takes a number between one and two copies each."""
+    monkeypatch.setattr(M, "PER_PIECE", 64)
+    rows = [(None, prose(i % 7, 11), "en", "a") for i in range(1000)] + [(i, prose(i, 5 + i % 90), "en", "b") for i in range(1500)]
+    rows += [(1, prose(3, 40), "en", "c")] * 500
+    docs = documents(spark, rows).repartition(4)
+    plan = M.copies(docs)
+    listed = M.rows_of(plan).collect()
+    assert len(listed) == len(rows) and all(0 <= r["copies"] <= 2 for r in listed)
+    taken, goal = defaultdict(int), {r["source"]: r["target"] for r in listed}
+    for r in listed:
+        taken[r["source"]] += r["copies"] * r["size"]
+    for s, t in goal.items():
+        assert taken[s] == pytest.approx(t, rel=0.01)
+    mixed = M.mix(docs).collect()
+    words = defaultdict(int)
+    for r in mixed:
+        words[r["source"]] += len(r["text"].split())
+    assert dict(words) == dict(taken)
+
+
 def test_odd_rows(spark):
     docs = documents(spark, odd_rows())
     plan = M.copies(docs).collect()
     assert sum(r["n"] for r in plan) == len(odd_rows())
     assert {r["n"] for r in plan if r["doc_id"] == 7} == {2}
-    assert all(r["copies"] in (0, 1, 2) for r in plan)
+    assert all(0 <= r["total"] <= 2 * r["n"] for r in plan)
     assert M.copies(docs.limit(0)).count() == 0 and M.mix(docs.limit(0)).count() == 0
     empty = documents(spark, [(1, None, "en", "a"), (2, "", "en", None)])
-    assert {(r["copies"], r["target"]) for r in M.copies(empty).collect()} == {(1, 0.0)}
+    assert {(r["total"], r["target"]) for r in M.copies(empty).collect()} == {(1, 0.0)}

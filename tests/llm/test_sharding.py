@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from helpers import clash, documents, odd_rows, prose
 
 from shelfwatch.llm import sharding as S
@@ -56,3 +57,19 @@ def test_odd_rows(spark):
     check(out, odd_rows(), 3)
     assert {r["text_crc32"] for r in out if r["size"] == 1} == {0}
     assert S.assign(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_stay_even(spark):
+    """A third of all rows are one row, with an id and without; half are copies without an id."""
+    text = "same text " * 4
+    for doc_id, share in ((7, 3), (None, 3), (None, 2)):
+        rows = [(doc_id if i % share == 0 else i, text if i % share == 0 else prose(i, 15), "en", "a") for i in range(3000)]
+        sizes = check(S.assign(documents(spark, rows).repartition(3), shards=8).collect(), rows, 8)
+        mean = sum(sizes.values()) / 8
+        assert max(abs(b - mean) for b in sizes.values()) < 0.02 * mean
+
+
+def test_uneven_loads_are_said(spark):
+    rows = [(1, "x" * 10_000, "en", "a")] + [(i, "y", "en", "a") for i in range(2, 30)]
+    with pytest.warns(UserWarning, match="off the mean"):
+        S.assign(documents(spark, rows), shards=4).collect()
