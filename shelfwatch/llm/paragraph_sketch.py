@@ -20,13 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: cells per table of the fingerprint, and of each further attempt; positions use disjoint bits of the digest from bit 16 up
-ATTEMPTS = (4, 2, 4, 16)
+ATTEMPTS = (4, 4, 8)
 #: digests of one version per block of the fingerprint, and of both versions per finer block, at most on average
-PER_BLOCK, PER_FINE = 12, 3
+PER_BLOCK, PER_FINE = 12, 2
 #: blocks of a fingerprint, as a power of two, at most
 MOST_BITS = 20
 #: turns of peeling before a block counts as failed
-TURNS = 12
+TURNS = 4
 #: a piece ends at a line break, or after one of these signs if a blank follows
 SENTENCE_ENDS = ".!?"
 #: a piece of more code points than this is cut further
@@ -153,8 +153,10 @@ def _again(keys: str, low: str, shift: str) -> str:
     """
     tries = ", ".join(_peel(_cells("u", k), k) for k in range(1, len(ATTEMPTS)))
     one = f"coalesce({tries}, filter(u, k -> size(filter(u, y -> y = k)) = 1))"
+    # one digest is a difference, and two are one or the same: no table is needed
+    small = f"case when size(u) < 2 then u when size(u) = 2 then if(get(u, 0) = get(u, 1), cast(array() as array<bigint>), u) else {one} end"
     fine = _blocks("w", _bits("size(w)", PER_FINE, 1), low, shift)
-    return f"transform(array({keys}), w -> flatten(transform({fine}, u -> if(size(u) < 2, u, {one}))))[0]"
+    return f"transform(array({keys}), w -> flatten(transform({fine}, u -> {small})))[0]"
 
 
 def difference(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
