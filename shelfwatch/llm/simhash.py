@@ -1,13 +1,15 @@
-"""SimHash near-duplicates: fingerprints, and exact Hamming search in a vantage-point tree.
-
-The tree's inner nodes hold a vantage fingerprint and a radius; the inside child has what is no
-farther from the vantage. Every fingerprint goes to its own leaf, and as a visitor to each leaf
-that the triangle inequality can't rule out: a neighbour within r bits differs by at most r in its
-distance to any vantage. Each leaf is one shard; its own fingerprints are compared with all its
-members, so every pair is found in the leaf of either end. Visitors grow by about 1.7 times per
-level, for distances of unrelated texts lie close together; so the tree is cut into shards high up,
-and each shard goes on by itself with rings around further vantages, which take no copies. In all
-the search takes about n^1.75 steps.
+"""SimHash near-duplicates: fingerprints, and exact Hamming search in vantage-point trees.
+
+Fingerprints within r bits agree in one of r + 1 bands of their bits, so each is dealt to the block
+of its value in every band, and pairs are looked for inside blocks only. A block that is too large
+for one task is cut by a vantage-point tree. The tree's inner nodes hold a vantage fingerprint and a
+radius; the inside child has what is no farther from the vantage. Every fingerprint goes to its own
+leaf, and as a visitor to each leaf that the triangle inequality can't rule out: a neighbour within
+r bits differs by at most r in its distance to any vantage. Each leaf is one shard; its own
+fingerprints are compared with all its members, so every pair is found in the leaf of either end.
+Visitors grow by about 1.7 times per level, as distances of unrelated texts lie close together, so
+only large blocks are cut, and a shard goes on by itself with rings around further vantages, which
+take no copies.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +28,10 @@ from shelfwatch.llm.common import free_names, map_slices, materialise
 from shelfwatch.llm.components import components
 
 SEED = 42
-#: own fingerprints a leaf should have
+#: own fingerprints a leaf should have; blocks of no more are one shard
 LEAF = 65_536
+#: shards of no more are compared without rings
+SMALL = 256
 #: the tree's shape is fitted on this many fingerprints per leaf, MOST at most; what it finds doesn't depend on it
 PER_LEAF, LEAST, MOST = 16, 4096, 65_536
 
@@ -148,6 +153,11 @@ def search(values: np.ndarray, own: np.ndarray, bits: int, block: int = 1 << 21)
     label = np.arange(len(values))
     if len(values) < 2 or not own.any():
         return values[:0], values[:0]
+    if len(values) <= SMALL:
+        a, b = np.nonzero(np.triu(np.bitwise_count(values[:, None] ^ values[None, :]) <= bits, 1))
+        _union(label, a, b) if own.all() else _union(label, *(x[own[a] | own[b]] for x in (a, b)))
+        linked = np.flatnonzero(label != np.arange(len(values)))
+        return values[linked], values[label[linked]]
     some = values if len(values) <= 4096 else np.random.default_rng(11).choice(values, 4096, replace=False)
     vantages = _wide(some, 1 + (len(values) > 2000) + (len(values) > 30_000))
     rings = [distance(values, v).astype(np.int64) for v in vantages]
@@ -174,29 +184,82 @@ def search(values: np.ndarray, own: np.ndarray, bits: int, block: int = 1 << 21)
     return values[linked], values[label[linked]]
 
 
-def links(prints: DataFrame, fp: str = "_fp", bits: int = 4) -> DataFrame:
+def band_keys(values: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """For each of ``bits + 1`` bands, the value of its bits with the band's number above them."""
+    edges = np.linspace(0, 64, bits + 2).astype(int)
+    for band, (low, high) in enumerate(zip(edges, edges[1:])):
+        part = (values >> np.uint64(low)) & np.uint64((1 << int(high - low)) - 1)
+        yield (part | np.uint64(band << 56) if high - low < 56 else part).view(np.int64)
+
+
+def links(prints: DataFrame, fp: str = "_fp", bits: int = 4, leaf: int | None = None) -> DataFrame:
     """Edges (a, b) that connect exactly the fingerprints within ``bits`` of each other.
 
-    ``prints`` has distinct fingerprints in ``fp`` and must be stable. Only the tree, fitted on a
-    bounded sample, passes through the driver.
+    ``prints`` has distinct fingerprints in ``fp`` and must be stable. Each is in ``bits + 1``
+    blocks. Blocks over ``leaf`` fingerprints, fewer than (bits + 1) / leaf of all fingerprints, are
+    known to every task, and share one tree, fitted on a bounded sample; its shape doesn't change
+    what is found. A shard passes through its task as its rows come.
     """
-    n = prints.count()
-    depth = max(0, math.ceil(math.log2(max(n, 1) / LEAF)))
-    size = min(MOST, max(LEAST, PER_LEAF << depth))
-    sample = prints.orderBy(F.xxhash64(fp), fp).limit(size).toPandas()[fp].to_numpy(np.int64).view(np.uint64)
-    tree = fit_tree(sample, depth) if depth and len(sample) else 0
+
+    leaf = leaf or LEAF
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            leaf, value, own = route(tree, batch[fp].to_numpy(np.int64).view(np.uint64), bits)
-            yield pd.DataFrame({"leaf": leaf, "value": value.view(np.int64), "own": own})
-
-    def join(leaf: pd.DataFrame) -> pd.DataFrame:
-        a, b = search(leaf["value"].to_numpy(np.int64).view(np.uint64), leaf["own"].to_numpy(bool), bits)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+            values = batch[fp].to_numpy(np.int64).view(np.uint64)
+            for keys in band_keys(values, bits):
+                yield pd.DataFrame({"block": keys, "value": values.view(np.int64)})
+
+    dealt = prints.select(fp).mapInPandas(deal, "block long, value long")
+    sizes = dealt.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf).collect()
+    large = np.sort(np.array([r["block"] for r in sizes], np.int64))
+    depth = max((math.ceil(math.log2(r["n"] / leaf)) for r in sizes), default=0)
+    tree = 0
+    if depth:
+        size = min(MOST, max(LEAST, PER_LEAF << depth))
+        sample = prints.orderBy(F.xxhash64(fp), fp).limit(size).toPandas()[fp].to_numpy(np.int64).view(np.uint64)
+        tree = fit_tree(sample, depth)
+
+    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = batch[fp].to_numpy(np.int64).view(np.uint64)
+            for keys in band_keys(values, bits):
+                cut = np.isin(keys, large)
+                yield pd.DataFrame({"block": keys[~cut], "leaf": np.int32(0), "value": values[~cut].view(np.int64), "own": True})
+                if cut.any():
+                    # values are distinct, so a value leads back to its block
+                    order = np.argsort(values[cut])
+                    place, value, own = route(tree, values[cut], bits)
+                    block = keys[cut][order][np.searchsorted(values[cut][order], value)]
+                    yield pd.DataFrame({"block": block, "leaf": place, "value": value.view(np.int64), "own": own})
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            block, place = rows.column("block").to_numpy(), rows.column("leaf").to_numpy()
+            value, own = rows.column("value").to_numpy().view(np.uint64), rows.column("own").to_numpy().astype(bool)
+            ends = np.flatnonzero((np.diff(block) != 0) | (np.diff(place) != 0)) + 1
+            out = [search(v, o, bits) for v, o in zip(np.split(value, ends), np.split(own, ends)) if len(v) > 1]
+            if out:
+                a, b = (np.concatenate(x).view(np.int64) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    dealt = prints.select(fp).mapInPandas(deal, "leaf int, value long, own boolean")
-    return dealt.groupBy("leaf").applyInPandas(join, "a long, b long")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(pa.table(batch))
+            rows = pa.concat_tables(held)
+            block, place = rows.column("block").to_numpy(), rows.column("leaf").to_numpy()
+            # the last shard may go on in the next batch
+            last = int(np.argmax((block == block[-1]) & (place == place[-1])))
+            yield from found(rows.slice(0, last))
+            held = [rows.slice(last)]
+        if held:
+            yield from found(pa.concat_tables(held))
+
+    dealt = prints.select(fp).mapInPandas(shards, "block long, leaf int, value long, own boolean")
+    shard = ["block", "leaf"]
+    return dealt.repartition(*shard).sortWithinPartitions(*shard).mapInArrow(join, "a long, b long")
 
 
 def _placed(docs: DataFrame, doc_id: str, text: str, shingle: int, bits: int) -> DataFrame:

@@ -65,7 +65,7 @@ def test_bits_policies_and_ablations(spark):
 
 
 def test_odd_rows_and_empty_table(spark):
-    docs = clash(documents(spark, odd_rows()), "w", "n_words", "fail_bits", "kept")
+    docs = clash(documents(spark, odd_rows()), "w", "n_words", "fail_bits", "kept", "_w", "_l")
     out = Q.apply_policy(Q.ledger(docs), "v2")
     assert out.count() == len(odd_rows())
     assert out.where("n_words is null or kept is null").count() == 0

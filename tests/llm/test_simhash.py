@@ -78,6 +78,32 @@ def test_components_of_chains_stars_and_cycles(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_bands_and_trees_find_every_link(spark):
+    """Random values, chains and a dense bunch; half of them share the bits of a band, whose block is cut by a tree."""
+    values = near(800, 4)
+    hot = near(700, 9) & np.uint64((1 << 51) - 1) | np.uint64(5 << 51)
+    values = np.unique(np.concatenate([values, hot, np.array([0, 1, 3, (1 << 64) - 1], np.uint64)]))
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "_fp long").repartition(4)
+    for bits, leaf in ((4, 40), (4, 100_000), (2, 64), (0, 10)):
+        label = np.arange(len(values))
+        found = S.links(df, bits=bits, leaf=leaf).collect()
+        a, b = (np.array([r[c] for r in found], np.int64).view(np.uint64) for c in "ab")
+        assert all(0 < np.bitwise_count(x ^ y) for x, y in zip(a, b))
+        S._union(label, np.searchsorted(values, a), np.searchsorted(values, b))
+        assert label.tolist() == brute_groups(values, bits)
+
+
+def test_visitors_are_bounded():
+    """Values that agree in a band are dealt to as many blocks as there are bands, whatever their number."""
+    values = near(3000, 3)
+    for bits in (0, 2, 4):
+        keys = list(S.band_keys(values, bits))
+        assert len(keys) == bits + 1
+        for i in range(0, 200, 7):
+            other = values[i] ^ np.uint64(sum(1 << b for b in random.Random(i).sample(range(64), bits)))
+            assert any(k[i] == x[0] for k, x in zip(keys, S.band_keys(np.array([other], np.uint64), bits)))
+
+
 def test_near_duplicates_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(S, "LEAF", 16)  # a tree of several shards
     base = [prose(i, 150) for i in range(60)]
@@ -96,7 +122,7 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
 
 
 def test_keep_first_leaves_one_row_of_each_group(spark):
-    docs = clash(documents(spark, odd_rows()), "_fp", "root", "component_id")
+    docs = clash(documents(spark, odd_rows()), "_fp", "root", "component_id", "id", "_id", "_hash", "hash", "n", "k")
     kept = S.keep_first(docs).collect()
     ids = [r["doc_id"] for r in kept]
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 7, 8, 9] and ids.count(None) == 1
