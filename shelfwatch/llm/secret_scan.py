@@ -1,8 +1,11 @@
 """Secrets: fixed patterns, and literals that source or configuration text assigns to sensitive names.
 
 The lexer reads ``name <operator> value`` pairs in the syntaxes common to code and configuration
-(``=``, ``:``, ``:=``, ``=>``; quoted names; a type between name and ``=``; quoted, joined or bare values). Names assigned to names
-are followed to their literals. A literal is a secret if its target's name and its own shape score
+(``=``, ``:``, ``:=``, ``=>``; quoted names; a type between name and ``=``; quoted, joined or bare
+values). A second pass goes over tokens with a stack of brackets, so that literals of any string
+kind reach their target through groups, lists, alternatives and continued lines; blocks of indented
+lines, and names and values in the attributes and elements of a markup, are pairs as well. Names
+assigned to names are followed to their literals. A literal is a secret if its target's name and its own shape score
 high enough together.
 """
 
@@ -12,6 +15,7 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -85,6 +89,77 @@ def literal_score(value: str) -> int:
     return score - 2 * any(c.isspace() for c in value)
 
 
+_MARKED = "|".join(rf"{q}(?:[^{q}\\\n]|\\.)*+{q}" for q in "\"'") + r"|`(?:[^`\\]|\\.)*+`"
+_LONG = "|".join(rf"{q * 3}(?:[^{q}\\]|\\.|{q}(?!{q * 2}))*+{q * 3}" for q in "\"'")
+_TOKENS = re.compile(
+    rf"(?P<string>(?:(?<![A-Za-z0-9_])[rRbBuUfF]{{1,2}})?(?:{_LONG}|{_MARKED}))|(?P<name>{_NAME})|(?P<set>:=|=>|=(?![=~])|:(?![:/]))"
+    r"|(?P<open>[(\[{])|(?P<close>[)\]}])|(?P<end>[;,])|(?P<line>\n)|(?P<other>\\\n|[^\s])",
+    re.S,
+)
+#: after these a line goes on in the next one
+_GOES_ON = {"set", "open", "other"}
+_BLOCK = re.compile(
+    rf"(?m)^(?P<indent>[ \t]*+)(?:-[ \t]++)?[\"']?(?P<name>{_NAME})[\"']?:[ \t]*+[|>][+-]?[0-9]?[ \t]*+\n"
+    r"(?P<lines>(?:(?P=indent)[ \t]++\S[^\n]*+(?:\n|\Z))++)"
+)
+_ATTRIBUTES = re.compile(r"<[A-Za-z][^<>]*>")
+_ATTRIBUTE = re.compile(r"\s(?P<key>[A-Za-z]++)\s*+=\s*+(?:\"(?P<a>[^\"]*+)\"|'(?P<b>[^']*+)')")
+_ELEMENT = re.compile(rf"<(?P<name>{_NAME})>\s*+(?P<value>[^<>\s]++)\s*+</(?P=name)>")
+
+
+def _assigned(text: str) -> Iterator[tuple[str, int, int]]:
+    """(target, start, end) of string literals, by one pass over the tokens.
+
+    A string belongs to the target of the innermost bracket: groups and lists hand theirs on,
+    arguments of a call and entries of a map have targets of their own.
+    """
+    stack: list[list] = [["top", None]]  # kind of bracket, target
+    before, asked = None, False  # kind of the last token but line ends, and whether it is the sign of a choice
+    tokens = _TOKENS.finditer(text)
+    now = next(tokens, None)
+    while now is not None:
+        following = next(tokens, None)
+        kind, context = now.lastgroup, stack[-1]
+        if kind in ("name", "string") and not asked and following is not None and following.lastgroup == "set":
+            context[1] = now["name"] or now["string"].lstrip("rRbBuUfF").strip("\"'`")
+            before, asked, now = "set", False, next(tokens, None)
+            continue
+        if kind == "string" and context[1]:
+            body = now["string"].lstrip("rRbBuUfF")
+            marks = 3 if len(body) >= 6 and body[:3] in ('"' * 3, "'" * 3) else 1
+            yield context[1], now.end() - len(body) + marks, now.end() - marks
+        elif kind == "open":
+            call = now["open"] != "{" and before in ("name", "close")
+            own = "map" if now["open"] == "{" else "call" if call else "group"
+            stack.append([own, context[1] if own == "group" else None])
+        elif kind == "close" and len(stack) > 1:
+            stack.pop()
+        elif kind == "end" and (now["end"] == ";" or context[0] != "group"):
+            context[1] = None
+        elif kind == "line" and context[0] in ("top", "map") and before not in _GOES_ON:
+            context[1] = None
+        if kind != "line":
+            before, asked = kind, now[0] == "?"
+        now = following
+
+
+def _blocks_and_markup(text: str) -> Iterator[tuple[str, int, int]]:
+    """(name, start, end) of values in indented blocks, in attributes and in elements."""
+    for m in _BLOCK.finditer(text):
+        for line in re.finditer(r"\S(?:[^\n]*\S)?", m["lines"]):
+            yield m["name"], m.start("lines") + line.start(), m.start("lines") + line.end()
+    if "<" not in text:
+        return
+    for m in _ELEMENT.finditer(text):
+        yield m["name"], m.start("value"), m.end("value")
+    for tag in _ATTRIBUTES.finditer(text):
+        found = {a["key"].lower(): a for a in _ATTRIBUTE.finditer(tag[0])}
+        name = next((found[k] for k in ("key", "name", "id") if k in found), None)
+        if name and (value := found.get("value")):
+            group = "a" if value["a"] is not None else "b"
+            yield name["a"] or name["b"] or "", tag.start() + value.start(group), tag.start() + value.end(group)
+
+
 def _literals(text: str) -> list[tuple[int, int]]:
     """Literals in ``text`` that reach a sensitive name, directly or over other names."""
     values: dict[str, list[tuple[int, int]]] = {}
@@ -105,6 +180,8 @@ def _literals(text: str) -> list[tuple[int, int]]:
                     values.setdefault(name, []).append((at + t.start(), at + t.end()))
                 else:
                     values.setdefault(name, []).append((at + t.start(), at + t.end()))
+    for name, i, j in (*_assigned(text), *_blocks_and_markup(text)):
+        values.setdefault(name, []).append((i, j))
     found = set()
     for name in set(values) | set(refers):
         if not (weight := name_score(name)):

@@ -74,7 +74,25 @@ def test_typed_declarations():
     assert S.spans("pwd: " + "a|" * 100_000) is not None and S.spans("pwd a[" * 50_000) is not None and S.spans("key: a<" * 50_000) is not None
 
 
+def test_string_kinds_brackets_and_lines():
+    lit = "k3jd92jfk20fkz88"
+    for text in (
+        "db_pwd := `@`", 'db_pwd = ("@")', "db_pwd = f'@'", 'private_key = """@"""', '{"secretKey": ["@"]}', "db_pwd: |\n  @\n",
+        '<add key="ApiKey" value="@"/>', 'db_pwd = os.getenv("PWD") or "@"', "db_pwd = (\n  x or\n  '@'\n)", "db_pwd = \\\n  '@'",
+        "private_key = '''@'''", "conf = {\n 'db_pwd': x ?? `@`,\n}", "  - db_pwd: >-\n      @", "<db_pwd> @ </db_pwd>", "db_pwd = [\n 'ab',\n '@',\n]",
+        "connect(user='x', db_pwd='@')", 'A = ("@")\nclient_pwd = A', "db_pwd = cond ? '' : '@'", "<setting value='@' name='db.pwd'>",
+    ):
+        assert values(text.replace("@", lit)) == {lit}, text
+    for text in (
+        "db_pwd = getenv('@')", "db_pwd = x\ny = '@'", "db_pwd = conf['@']", "{'db_pwd': x, 'color': '@'}", "color: |\n  @\n",
+        "<add key='color' value='@'/>", "f(db_pwd, '@')",
+    ):
+        assert values(text.replace("@", lit)) == set(), text
+
+
 def test_long_texts_stay_linear():
+    for piece in ('pwd="""', "pwd=[", "pwd={", "pwd=(", "pwd: |\n", "pwd=`", "<pwd>", "<a key='pwd' ", "pwd='''x", "<a ", "pwd\\"):
+        assert S.spans(piece * 40_000) is not None
     assert len(S.spans("a" * 500_000)) == 1
     assert S.spans('pwd="' * 50_000) is not None
     assert S.spans("x" * 200_000 + " pwd = 'k3jd92jfk20fk'")[0]["kind"] == "literal"
