@@ -1,9 +1,9 @@
 """Language by compression: the language whose dictionary makes a text smallest.
 
 Each language has a zstandard raw-content dictionary of sampled text. A text is coded in blocks
-with every dictionary; the sizes add up, so whole texts count. Texts of one block are coded in
-four rotations of their words, as sizes are whole bytes. The winner is rejected if the runner-up
-is nearly as small.
+with every dictionary, each block as it is and turned by half, as sizes are whole bytes; the sizes
+add up, so whole texts count and all sizes are treated alike. The winner is rejected if the
+runner-up is nearly as small.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from shelfwatch.llm.common import map_slices, materialise
 TEXTS, EXCERPT, DICTIONARY = 150, 1500, 110 * 1024
 #: parts in which a language's texts are first reduced
 PARTS = 16
-LEVEL, BLOCK, TURNS = 6, 1024, 4
+LEVEL, BLOCK = 6, 1024
 #: the lead, as a share of the runner-up's size, below which a prediction counts as rejected
 NARROW = 0.01
 #: how fast a lead becomes certainty
@@ -41,7 +41,9 @@ class Model:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
     """Dictionaries from up to TEXTS different texts per language, picked by hash.
 
-    Rows without text or language are left out. Only the excerpts reach the driver.
+    The model is a bounded sample: the first EXCERPT code points of each picked text, DICTIONARY
+    bytes per language. Rows without text or language are left out, repeated texts count once.
+    Only the excerpts reach the driver. Without rows there is no language to predict.
     """
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     texts = known.groupBy(F.col(lang).alias("lang"), F.xxhash64(text).alias("h")).agg(
@@ -78,10 +80,9 @@ class Classifier:
     def sizes(self, text: str) -> np.ndarray:
         body = text.lower().encode("utf-8", "surrogatepass")
         blocks = [body[i : i + BLOCK] for i in range(0, len(body), BLOCK)]
-        if len(blocks) == 1:
-            words = body.split()
-            cuts = [len(words) * i // TURNS for i in range(TURNS)]
-            blocks = [b" ".join(words[c:] + words[:c]) for c in cuts]
+        for b in blocks[:]:
+            middle = b.find(b" ", len(b) // 2) + 1 or len(b) // 2
+            blocks.append(b[middle:] + b" " + b[:middle])
         return np.array([sum(len(c.compress(b)) for b in blocks) for c in self.coders], np.float64)
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
@@ -99,7 +100,9 @@ class Classifier:
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected`` (a narrow lead, or no letters).
 
-    A null text, and one without letters, is ``und`` with score 0.
+    A null text, and one without letters, is ``und`` with score 0. Equal sizes go to the language
+    with more texts. Columns of these names are replaced; repeated rows get the same result; an
+    empty table stays empty.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -10,6 +10,7 @@ a logistic curve turns that into the score of the document.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
@@ -26,8 +27,8 @@ from shelfwatch.llm.common import map_slices, materialise
 
 #: labelled rows to learn from, picked by hash; one in CALIBRATION of them fits the statistics
 SAMPLE, CALIBRATION = 100_000, 4
-#: units kept, the most significant first
-LEXICON = 200_000
+#: smallest checksums that near copies agree in
+MINIMA = 4
 #: prior: this many background counts, and a floor for each unit
 PRIOR, FLOOR = 500.0, 0.5
 #: least significance and support of a unit, and the word starts that count beside whole words
@@ -53,10 +54,14 @@ def units(word: str) -> list[str]:
 
 
 def _signature(text: str | None) -> int:
-    """Smallest checksum of the text's three-word runs: near copies mostly share it, other texts don't."""
+    """Of the text's three-word runs the MINIMA smallest checksums, as one: near copies mostly share them.
+
+    Texts that share a passage only would need all of them to lie in it.
+    """
     words = _WORD.findall((text or "").lower())
     runs = zip(words, words[1:], words[2:]) if len(words) > 2 else [words]
-    return min(zlib.crc32(" ".join(r).encode("utf-8", "surrogatepass")) for r in runs)
+    sums = {zlib.crc32(" ".join(r).encode("utf-8", "surrogatepass")) for r in runs}
+    return zlib.crc32(" ".join(map(str, heapq.nsmallest(MINIMA, sums))).encode())
 
 
 class Scanner:
@@ -155,8 +160,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), at most SAMPLE labelled rows.
 
-    Rows without a label or id are left out; of rows with one id, or nearly one text, any toxic
-    label counts. The sample and the lexicon are bounded, so they may be sent to every executor.
+    Rows without a label or id are left out; of labels for one id any toxic one counts. Of rows
+    with nearly one text the one of the smallest id stays, with its own label. The lexicon has
+    every significant unit of the sample, whose bound bounds it too, so both may be sent to every
+    executor. Without labelled rows the model finds nothing and gives a small constant score.
     """
     picked = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -165,10 +172,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     )
     rows = docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(materialise(picked)), "doc_id")
     signed = map_slices(rows, "_sign long", "_text", lambda: lambda texts: {"_sign": [_signature(t) for t in texts]})
-    alike = signed.groupBy("_sign").agg(
-        F.min(F.struct("doc_id", F.xxhash64("_text").alias("h"))).alias("k"), F.max("toxic").alias("toxic")
-    )
-    chosen = alike.select("k.doc_id", "k.h", "toxic", (F.pmod("_sign", F.lit(CALIBRATION)) == 0).alias("fit"))
+    alike = signed.groupBy("_sign").agg(F.min(F.struct("doc_id", F.xxhash64("_text").alias("h"), "toxic")).alias("k"))
+    chosen = alike.select("k.doc_id", "k.h", "k.toxic", (F.pmod("_sign", F.lit(CALIBRATION)) == 0).alias("fit"))
     chosen = materialise(chosen)
     rows = docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(chosen), "doc_id").where(F.xxhash64("_text") == F.col("h"))
 
@@ -197,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     kept = (
         counted.where(F.col("toxic") >= LEAST_TEXTS)
         .select("unit", odds.alias("odds"), (odds / F.sqrt(1 / y + 1 / n)).alias("z"))
-        .where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "unit").limit(LEXICON)
+        .where(F.col("z") >= LEAST_Z)
     )
     lexicon = {r["unit"]: r["odds"] for r in kept.collect()}
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
@@ -244,7 +249,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and the significant ``passages`` of every whole text.
 
     ``expected`` is the number of passages as strong in clean text of that length. A null text
-    counts as empty: no passage, the score of a text without evidence.
+    counts as empty: no passage, the score of a text without evidence. Columns named ``score`` and
+    ``passages`` are replaced; repeated rows are scored alike; an empty table stays empty.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
