@@ -115,7 +115,7 @@ def price_units(spark, sf):
     return rows.select("seq", "shop", unit_price().alias("price"))
 
 
-def _clean_sql(shop) -> str:
+def clean_sql(shop) -> str:
     """One shop's rows, step by step, gender halves apart: a form of its own, not the CASE plan."""
     src = f"(SELECT * FROM listing WHERE shop = {text(shop.name)})"
     if shop.shift_root:
@@ -139,13 +139,13 @@ def _clean_sql(shop) -> str:
     )
 
 
-@query("clean_shop", " UNION ALL ".join(f"({_clean_sql(s)})" for s in AGGREGATED), (LISTING_SQL,))
+@query("clean_shop", " UNION ALL ".join(f"({clean_sql(s)})" for s in AGGREGATED), (LISTING_SQL,))
 def clean_shop(spark, sf):
     """Each shop by itself, as the jobs run when one of them fails."""
     rows = listing(spark, sf).withColumn("src_shop", F.col("shop"))
     return reduce(DataFrame.unionAll, [clean_shops(rows, [s]).drop("seq") for s in AGGREGATED])
 
 
-@query("aggregate_all", " UNION ALL ".join(f"({_clean_sql(s)})" for s in AGGREGATED), (LISTING_SQL,))
+@query("aggregate_all", " UNION ALL ".join(f"({clean_sql(s)})" for s in AGGREGATED), (LISTING_SQL,))
 def aggregate_all(spark, sf):
     return clean_shops(listing(spark, sf).withColumn("src_shop", F.col("shop"))).drop("seq")

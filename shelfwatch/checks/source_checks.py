@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import datetime
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfwatch.checks import views as V
-from shelfwatch.checks.registry import ladder_sql, query, text
+from shelfwatch.checks.class_checks import clean_sql
+from shelfwatch.checks.cohort_checks import STOCKED, VIEWS as COHORT_VIEWS
+from shelfwatch.checks.registry import ORACLES, ladder_sql, query, text
 from shelfwatch.checks.views import LISTING_SQL, captures, listing, table
 from shelfwatch.config import ladders as L
+from shelfwatch.config.shops import AGGREGATED
 from shelfwatch.operators.dedup import keep_first
 from shelfwatch.operators.lookup import lookup_with_fallback, tree_paths
 from shelfwatch.operators.quality import log_counts
 from shelfwatch.functions.conditions import by_shop
-from shelfwatch.plans import categories
+from shelfwatch.plans import aggregate, categories, cohort
 from shelfwatch.plans import collect as plan
 from shelfwatch.schema import SHOPS
 from shelfwatch.session import scratch_dir
@@ -213,11 +219,11 @@ def snapshot_versions(spark, sf):
 # --- snapshot files ---------------------------------------------------------------------------
 
 
-def landing(spark, sf) -> str:
-    """Daily files of the listing view in three header versions, and raw files to be skipped."""
+def landing(spark, listed) -> str:
+    """Daily files of the listed rows in three header versions, and raw files to be skipped."""
     root = scratch_dir(spark, "landing")
     cols = list(snapshots.COLUMNS)
-    rows = listing(spark, sf).withColumn("src_shop", F.col("shop"))
+    rows = listed.withColumn("src_shop", F.col("shop"))
     day = F.dayofmonth("date")
     newer = rows.where(day % 3 == 0).select(*cols, "src_shop")
     bare = rows.where(day % 3 == 1).select(*[c for c in cols if c != "taxo4"], "src_shop")
@@ -240,10 +246,46 @@ SCANNED = f"""scanned AS (SELECT shop, shop AS src_shop, id, reference, name, pr
     (LISTING_SQL, SCANNED),
 )
 def snapshot_scan(spark, sf):
-    raw = snapshots.typed_snapshots(snapshots.read_snapshots(spark, landing(spark, sf)))
+    raw = snapshots.typed_snapshots(snapshots.read_snapshots(spark, landing(spark, listing(spark, sf))))
     return raw.withColumn("date", F.col("date").cast("timestamp_ntz")).drop("seq")
 
 
+_CLEANED = " UNION ALL ".join(f"({clean_sql(s)})" for s in AGGREGATED)
+
+
+@query("aggregate_job", _CLEANED.replace("FROM listing", "FROM scanned"), (LISTING_SQL, SCANNED))
+def aggregate_job(spark, sf):
+    """Snapshot files to the written combined table, read back."""
+    out = f"{scratch_dir(spark, 'combined')}/table"
+    aggregate.run(spark, landing(spark, listing(spark, sf)), out)
+    return tables.read_table(spark, out).withColumn("date", F.col("date").cast("timestamp_ntz")).drop("seq")
+
+
+# one row per product and day, as rows of a file have no order that SQL could know
+_ONCE = "row_number() OVER (PARTITION BY shop, id, cast(date AS DATE) ORDER BY seq) AS once"
+
+
+@query(
+    "cohort_job",
+    ORACLES["cohort_new_old"].split("SELECT d AS date", 1)[1].join(["SELECT d AS date", ""]),
+    (
+        LISTING_SQL,
+        SCANNED.replace("FROM listing)", f"FROM (SELECT *, {_ONCE} FROM listing) WHERE once = 1)"),
+        f"cleaned AS ({_CLEANED.replace('FROM listing', 'FROM scanned')})",
+        STOCKED.replace("seq FROM snap WHERE in_stock", '0 AS seq FROM cleaned WHERE "inStock"'),
+        *COHORT_VIEWS[2:],
+    ),
+)
+def cohort_job(spark, sf):
+    """Snapshot files to the combined table, and that to the written counts, read back."""
+    first = Window.partitionBy("shop", "id", F.col("date").cast("date")).orderBy("seq")
+    once = listing(spark, sf).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    root = scratch_dir(spark, "cohorts")
+    aggregate.run(spark, landing(spark, once), f"{root}/combined")
+    cohort.run(spark, f"{root}/combined", f"{root}/counts", datetime.date.max)
+    return spark.read.parquet(f"{root}/counts")
+
+
 # --- sitemaps and pages -----------------------------------------------------------------------
 
 
