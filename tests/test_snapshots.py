@@ -93,3 +93,44 @@ def test_shop_pipelines(spark, tmp_path):
     assert got[("ZARA", "5", "2018-09")].price == 19.99
     assert (got[("PRIMARK", "3", "2018-09")].price, got[("PRIMARK", "3", "2018-09")].taxo3) == (12.05, "TSHIRT")
     assert got[("PRIMARK", "4", "2018-09")].taxo3 == "SWEATSHIRT"
+
+
+def test_large_files_with_line_breaks_are_split(spark, tmp_path):
+    """Quotes, commas and line breaks in cells, over many small blocks: the rows of Python's csv module."""
+    import csv
+    import random
+
+    rng = random.Random(3)
+    bits = ["a", "é", '"', ",", "\n", " ", "x" * 30, "'"]
+    header = ["shop", "id", "name", "date", "URL"]
+    rows = [["ASOS", str(i), "".join(rng.choice(bits) for _ in range(rng.randint(0, 12))), "2018-09-01", f"u{i}"] for i in range(3000)]
+    path = tmp_path / "ASOS_2018-9-1.csv"
+    with path.open("w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows([header, *rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        cells_blocks = snapshots.snapshot_cells(spark, str(tmp_path)).select("seq.src_block").distinct().count()
+        got = snapshots.read_snapshots(spark, str(tmp_path)).orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert cells_blocks > 10
+    assert [(r.id, r.name, r.URL) for r in got] == [(i, n or None, u) for _, i, n, _, u in rows]
+
+
+def test_wide_rows_are_rejected(spark, tmp_path):
+    stray = "HM,2,n," + ",".join(["x"] * 90)
+    wide = ",".join(["shop", "id", "name", "date", *[f"c{i}" for i in range(100)]])
+    (tmp_path / "HM_2018-9-1.csv").write_text(f"shop,id,name,date\nHM,1,n,2018-09-01\n{stray}\n\nHM,3,n,2018-09-01,\n")
+    (tmp_path / "MS_2018-9-1.csv").write_text(wide + "\nMS,4,n,2018-09-01" + ",v" * 100 + "\n")
+    got = snapshots.read_snapshots(spark, str(tmp_path)).collect()
+    assert sorted((r.src_shop, r.id) for r in got) == [("HM", "1"), ("MS", "4")]
+    bad = snapshots.snapshot_rejects(spark, str(tmp_path)).collect()
+    assert [(r.shop, r.level, r.message) for r in bad] == [("HM", "MINOR", snapshots.TOO_WIDE)] * 2 and bad[0].url.endswith("HM_2018-9-1.csv")
+
+
+def test_an_unclosed_quote_ends_with_its_blocks(spark, tmp_path):
+    body = "shop,id,name,date\nHM,1,n,2018-09-01\nHM,2,\"open,2018-09-01\n" + "HM,3,n,2018-09-01\n" * 2000
+    (tmp_path / "HM_2018-9-1.csv").write_text(body)
+    got = snapshots.read_snapshots(spark, str(tmp_path)).collect()
+    assert [r.id for r in got][:1] == ["1"] and len(got) <= 2
