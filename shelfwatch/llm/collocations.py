@@ -65,7 +65,7 @@ def _packed(spots: np.ndarray) -> bytes:
 
 
 def _unpacked(spots: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(spots), "<i4").astype(np.int64)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(spots), "<i4")
 
 
 def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang", block: int = BLOCK) -> DataFrame:
@@ -116,10 +116,15 @@ def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang", block:
     return rows.mapInArrow(run, schema)
 
 
-def _pairs(ids: np.ndarray, spots: np.ndarray) -> np.ndarray:
-    """Per position, the number of (phrase here, phrase at the next position); -1 if one is missing."""
-    here, there = spots[:-1], spots[1:]
-    return np.where((here > 0) & (there > 0), (here - 1) * len(ids) + there - 1, -1)
+def _pairs(ids: np.ndarray, spots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions with a phrase here and one at the next position, and the number of that pair."""
+    at = np.flatnonzero((spots[:-1] > 0) & (spots[1:] > 0))
+    pairs = spots[at].astype(np.int64)
+    pairs -= 1
+    pairs *= len(ids)
+    pairs += spots[at + 1]
+    pairs -= 1
+    return at, pairs
 
 
 def joined(relation: DataFrame) -> DataFrame:
@@ -131,8 +136,8 @@ def joined(relation: DataFrame) -> DataFrame:
             for row in range(batch.num_rows):
                 block = batch.column("block")[row].as_py()
                 ids = np.asarray(batch.column("ids")[row].values)
-                pairs = _pairs(ids, _unpacked(batch.column("spots")[row].as_py()))
-                pairs, n = np.unique(pairs[pairs >= 0], return_counts=True)
+                pairs = _pairs(ids, _unpacked(batch.column("spots")[row].as_py()))[1]
+                pairs, n = np.unique(pairs, return_counts=True)
                 for at in range(0, len(pairs), 65_536):
                     some = pairs[at : at + 65_536]
                     columns = [np.full(len(some), block), ids[some // len(ids)], ids[some % len(ids)], n[at : at + 65_536]]
@@ -157,7 +162,7 @@ def frequent_words(blocks: DataFrame, kept: DataFrame) -> DataFrame:
             return _row(0, np.array([], np.int64), np.array([], np.int64)).slice(0, 0)
         spots = _unpacked(block.column("spots")[0].as_py())
         ids, order = np.unique(kept.column("id").to_numpy(), return_index=True)
-        number = np.zeros(int(spots.max()) + 1, np.int64)
+        number = np.zeros(int(spots.max()) + 1, np.int32)
         number[kept.column("spot").to_numpy()[order]] = np.arange(1, len(ids) + 1)
         return _row(block.column("block")[0].as_py(), ids, number[spots])
 
@@ -171,14 +176,16 @@ def frequent_pairs(relation: DataFrame, kept: DataFrame) -> DataFrame:
         if not block.num_rows or not kept.num_rows:
             return _row(0, np.array([], np.int64), np.array([], np.int64)).slice(0, 0)
         before = np.asarray(block.column("ids")[0].values)
-        pairs = _pairs(before, _unpacked(block.column("spots")[0].as_py()))
+        spots = _unpacked(block.column("spots")[0].as_py())
+        at, pairs = _pairs(before, spots)
         a, b, ids = (kept.column(c).to_numpy() for c in ("a", "b", "id"))
         wanted = np.searchsorted(before, a) * len(before) + np.searchsorted(before, b)
         order = np.argsort(wanted)
         wanted, number = wanted[order], np.searchsorted(np.sort(ids), ids[order]) + 1
         place = np.minimum(np.searchsorted(wanted, pairs), len(wanted) - 1)
-        spots = np.where(wanted[place] == pairs, number[place], 0)
-        return _row(block.column("block")[0].as_py(), np.sort(ids), np.append(spots, 0))
+        found = np.zeros(len(spots), np.int32)
+        found[at] = np.where(wanted[place] == pairs, number[place], 0)
+        return _row(block.column("block")[0].as_py(), np.sort(ids), found)
 
     return relation.groupBy("block").cogroup(kept.withColumnRenamed("block", "_block").groupBy("_block")).applyInArrow(narrow, RELATION)
 
