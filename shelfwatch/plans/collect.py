@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -176,11 +177,21 @@ def _run(captures: DataFrame, paths: Paths, run: str, filters: DataFrame | None,
         log = log.unionByName(spark.createDataFrame(timing, RUN_LOG))
     tables.write_log(log, paths.log, run, alone)
     if paths.ledger:
-        seen = [o.get for o in (raw_seen, clean_seen, bad_seen)]
+        seen = [_observed(o) for o in (raw_seen, clean_seen, bad_seen)]
         rows = [(s, started, ended, *[n.get(s, 0) for n in seen]) for s in shops]
         tables.write_log(spark.createDataFrame(rows, RUN_LEDGER), paths.ledger, run, alone)
 
 
+def _observed(observation: Observation) -> dict[str, int]:
+    """The counts; none where the optimizer found that there are no rows and left the step out."""
+    try:
+        return observation.get
+    except Py4JJavaError as ex:
+        if "AssertionError" not in str(ex.java_exception):
+            raise
+        return {}
+
+
 def _now() -> datetime.datetime:
     return datetime.datetime.now(datetime.timezone.utc)
 
