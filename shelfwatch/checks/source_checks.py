@@ -267,7 +267,7 @@ _ONCE = "row_number() OVER (PARTITION BY shop, id, cast(date AS DATE) ORDER BY s
 
 @query(
     "cohort_job",
-    ORACLES["cohort_new_old"].split("SELECT d AS date", 1)[1].join(["SELECT d AS date", ""]),
+    "SELECT d AS date" + ORACLES["cohort_new_old"].split("SELECT d AS date", 1)[1],  # without its views
     (
         LISTING_SQL,
         SCANNED.replace("FROM listing)", f"FROM (SELECT *, {_ONCE} FROM listing) WHERE once = 1)"),

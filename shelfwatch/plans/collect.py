@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 import hashlib
-from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
 
