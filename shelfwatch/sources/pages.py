@@ -75,11 +75,19 @@ def attribute_pattern(name: str) -> str:
     return rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
+def _written(tag: Column, name: str) -> Column:
+    found = attribute_pattern(name)
+    return F.concat(*[F.regexp_extract(tag, found, g) for g in (1, 2, 3)])
+
+
+def raw_attribute(tag: Column, name: str) -> Column:
+    """Value of the first attribute of that name as it is written; null if there is none."""
+    return F.when(tag.rlike(attribute_pattern(name)), _written(tag, name))
+
+
 def attribute(tag: Column, name: str) -> Column:
     """Decoded value of the first attribute of that name in a tag or fragment; null if there is none."""
-    found = attribute_pattern(name)
-    value = F.concat(*[F.regexp_extract(tag, found, g) for g in (1, 2, 3)])
-    return F.when(tag.rlike(found), unescape(value))
+    return F.when(tag.rlike(attribute_pattern(name)), unescape(_written(tag, name)))
 
 
 def has_class(token: str) -> str:
@@ -145,6 +153,7 @@ CARDS = {
     ),
 }
 NO_CARDS = "no product cards"
+CARD_FIELDS = ("url", "id", "name", "price", "bad_price")
 
 
 def product_cards(pages: DataFrame, specs: dict[str, Card] = CARDS, html: str = "html") -> DataFrame:
@@ -159,23 +168,31 @@ def product_cards(pages: DataFrame, specs: dict[str, Card] = CARDS, html: str =
 
     cards = each(lambda s: F.regexp_extract_all(F.col(html), F.lit(s.card), F.lit(0)))
     mine = pages.where(F.col("shop").isin(list(specs)))
-    out = mine.select(*[c for c in pages.columns if c != html], F.posexplode_outer(cards).alias("pos", "_card"))
-    own = F.regexp_extract("_card", rf"(?is)^<{INSIDE}>", 0)
-    href = F.when(own.rlike(r"(?i)^<a\s"), attribute(own, "href")).otherwise(
-        attribute(F.regexp_extract("_card", rf"(?is)<a\s{INSIDE}>", 0), "href")
-    )
-    out = out.withColumn("url", F.concat(each(lambda s: F.lit(s.base_url)), href)).withColumn(
-        "_prices", each(lambda s: F.regexp_extract_all(F.col("_card"), F.lit(s.price), F.lit(1)))
-    )
-    last = F.slice("_prices", F.greatest(F.size("_prices"), F.lit(1)), F.lit(1))
-    return out.withColumns(
+    kept = [c for c in pages.columns if c != html and c.lower() not in CARD_FIELDS]
+    out = mine.select(*kept, F.posexplode_outer(cards).alias("pos", "_card"))
+    # A tag, a raw value or a decoded one is used several times by what follows: each is a column of its own.
+    out = out.withColumn("_own", F.regexp_extract("_card", rf"(?is)^<{INSIDE}>", 0))
+    link = F.when(F.col("_own").rlike(r"(?i)^<a\s"), F.col("_own")).otherwise(F.regexp_extract("_card", rf"(?is)<a\s{INSIDE}>", 0))
+    out = out.withColumn("_link", link).withColumns(
         {
-            "id": each(lambda s: first_group(F.col("url"), s.id) if s.id_in_link else F.nullif(attribute(own, s.id), F.lit(""))),
-            "name": unescape(strip(each(lambda s: F.regexp_extract("_card", s.name, 1)))),
-            "price": min_price_number(each(lambda s: F.col("_prices") if s.smallest_price else last)),
-            "bad_price": F.exists("_prices", lambda t: price_in_text(t).isNull()),
+            "_href": raw_attribute(F.col("_link"), "href"),
+            "_entry": each(lambda s: F.lit(None).cast("string") if s.id_in_link else raw_attribute(F.col("_own"), s.id)),
+            "_name": strip(each(lambda s: F.regexp_extract("_card", s.name, 1))),
+            "_prices": each(lambda s: F.regexp_extract_all(F.col("_card"), F.lit(s.price), F.lit(1))),
         }
-    ).drop("_card", "_prices")
+    )
+    out = out.withColumn("_url", F.concat(each(lambda s: F.lit(s.base_url)), unescape(F.col("_href"))))
+    last = F.slice("_prices", F.greatest(F.size("_prices"), F.lit(1)), F.lit(1))
+    fields = {
+        "url": F.col("_url"),
+        "id": each(lambda s: first_group(F.col("_url"), s.id) if s.id_in_link else F.nullif(unescape(F.col("_entry")), F.lit(""))),
+        "name": unescape(F.col("_name")),
+        "price": min_price_number(each(lambda s: F.col("_prices") if s.smallest_price else last)),
+        "bad_price": F.exists("_prices", lambda t: price_in_text(t).isNull()),
+    }
+    # One generated row per card: a filter on a field stays above this step. Pushed below, it would
+    # repeat the search for the field in the card once per use of the field.
+    return out.select(*kept, "pos", F.inline(F.array(F.struct(*[fields[c].alias(c) for c in CARD_FIELDS]))))
 
 
 # fixed values: facet families of one shop's category page, best first

@@ -81,3 +81,17 @@ def test_bodies_are_parsed_once(spark, tmp_path):
     text = good._jdf.queryExecution().executedPlan().toString()
     assert text.count("parseJson") == 1
     assert "PushedFilters: [In(shop" in text
+
+
+def test_fields_of_a_card_are_searched_once(spark, tmp_path):
+    from shelfwatch.plans import collect
+    from shelfwatch.schema import CAPTURE
+    from shelfwatch.sources import pages
+
+    rows = [("MS", *[None] * 5, "u", 0, 0, '<a href="/p/1" class=product><p class=product__price>£4.00</p></a>', None)]
+    spark.createDataFrame(rows, CAPTURE).write.parquet(str(tmp_path / "c"))
+    good = collect.card_products(collect.card_rows(spark.read.parquet(str(tmp_path / "c"))))
+    text = good._jdf.queryExecution().executedPlan().toString()
+    for spec in pages.CARDS.values():
+        assert text.count(spec.card) == 1 and text.count(spec.price) == 1 and text.count(spec.name) == 1
+    assert [(r.id, r.price, r.URL) for r in good.collect()] == [("1", 4.0, "https://www.marksandspencer.com//p/1")]
