@@ -73,7 +73,7 @@ def digests(text: str) -> Column:
     pieces = f"filter(split({text}, '\n'), p -> p <> '')"
     fine = f"flatten(transform({pieces}, p -> if(length(p) <= {LONG_PIECE}, array(p), {_parts('p')})))"
     tops = f"transform({fine}, p -> shiftrightunsigned(xxhash64(p), 17))"
-    return F.expr(f"coalesce(array_sort(transform(array_distinct({tops}), t -> {_checked('t')})), cast(array() as array<bigint>))")
+    return F.expr(f"coalesce(sort_array(transform(array_distinct({tops}), t -> {_checked('t')})), cast(array() as array<bigint>))")
 
 
 def _hits(key: str, attempt: int, cell: int) -> str:
@@ -81,7 +81,8 @@ def _hits(key: str, attempt: int, cell: int) -> str:
     width = [c.bit_length() - 1 for c in ATTEMPTS]
     c = ATTEMPTS[attempt]
     table, place = divmod(cell, c)
-    return f"(shiftright({key}, {16 + 3 * sum(width[:attempt]) + table * width[attempt]}) & {c - 1}L) = {place}L"
+    at = 16 + 3 * sum(width[:attempt]) + table * width[attempt]
+    return f"({key} & {(c - 1) << at}L) = {place << at}L"
 
 
 def _toggled(keys: str, attempt: int, start: str) -> str:
@@ -99,7 +100,7 @@ def _cells(keys: str, attempt: int) -> str:
 
 def _peel(cells: str, attempt: int) -> str:
     """SQL for the digests peeled out of a subtracted sketch; null if some remain."""
-    pure = "array_distinct(filter(st.cells, x -> x <> 0L and (x & 65535L) = ((cast(hash(shiftright(x, 16)) as bigint) & 65535L) | 1L)))"
+    pure = "array_distinct(filter(st.cells, x -> (x & 1L) = 1L and (x & 65535L) = ((cast(hash(shiftright(x, 16)) as bigint) & 65535L) | 1L)))"
     out = _toggled("pure", attempt, "get(st.cells, {})")
     step = (
         f"transform(array({pure}), pure -> if(size(pure) = 0, struct(st.cells as cells, st.got as got, false as live),"
@@ -120,7 +121,7 @@ def _blocks(keys: str, bits: str, low: str = "0L", shift: str = "63") -> str:
     marks = f"transform(sequence(0L, shiftleft(1L, {bits}) - 1L), b -> {low} | shiftleft(b, {shift} - {bits}))"
     starts = "filter(sequence(0, size(m) - 1), i -> (get(m, i) & 1L) = 0L)"
     cut = "transform(starts, (p, j) -> slice(m, p + 2, coalesce(get(starts, j + 1), size(m)) - p - 1))"
-    return f"transform(array(array_sort(concat({keys}, {marks}))), m -> transform(array({starts}), starts -> {cut})[0])[0]"
+    return f"transform(array(sort_array(concat({keys}, {marks}))), m -> transform(array({starts}), starts -> {cut})[0])[0]"
 
 
 def _bits(n: str, per: int, least: int) -> str:
@@ -181,9 +182,10 @@ def likeness(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
 
     1 if both are empty.
     """
-    d = F.size(difference(a, b, sketch_a, sketch_b))
     both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise((both - d) / (both + d))
+    # bound to a variable: written twice in a branch, the difference would be recovered twice
+    found = F.transform(F.array(F.size(difference(a, b, sketch_a, sketch_b))), lambda d: (both - d) / (both + d))
+    return F.when(both == 0, F.lit(1.0)).otherwise(F.get(found, F.lit(0)))
 
 
 def sketch_text(keys: str, cells: str) -> Column:

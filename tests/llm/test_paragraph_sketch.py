@@ -200,3 +200,9 @@ def test_an_edit_in_a_long_piece_changes_few_digests(spark):
         assert len(x ^ y) <= 8 and len(x) >= 5 and abs(r["like"] - jaccard(x, y)) < 1e-12
     rows = [(1, plain, "en", "a"), (2, wide, "zh", "a")]
     assert all(0.2 < r["near_edited"] < 0.6 and r["near_next"] == 0 for r in P.fingerprint(documents(spark, rows)).collect())
+
+
+def test_each_difference_is_recovered_once(spark):
+    out = P.fingerprint(spark.createDataFrame([(1, "a. b. c"), (2, "a. d")], "doc_id long, text string"))
+    plan = out.select("doc_id", "near_edited", "near_next")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 2  # the subtraction of two sketches, once per likeness
