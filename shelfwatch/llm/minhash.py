@@ -6,15 +6,20 @@ Bands of ``ROWS`` bins are bucket keys. Two sets of similarity 0.85 miss all 42
 probability of about 2e-9.
 
 Equal sets are one node. In a bucket, candidates go from a few centres to the other members, not
-between all members; a candidate is confirmed on the full sets. One round is not enough, as two
-members may be alike without being like the centre. So rounds go on with further centres, each
-round three times as many as all before, until every bucket has one component left or all its
-members have been centres: no link inside a bucket is lost. Left out are pairs of one component,
-pairs already looked at, and pairs whose bounds rule a link out: a shingle that no other candidate
-has is in no intersection, so the smaller number of shared shingles bounds it. That spares edits
-of a text that are all unlike each other from being compared pair by pair. Centres are taken by the number of
+between all members; a candidate is confirmed on the full sets. Centres are taken by the number of
 buckets and members a node meets, so the text that many others derive from comes first and a large
 group is joined by one star.
+
+One star is not enough, as two members may be alike without being like the centre. Of the nodes in
+buckets that still have two components, a shingle is rare if few have it and common if more do. A
+linked pair shares a rare shingle, or its whole intersection is among the common ones. The former
+are looked up by their rare shingles. The latter need nodes that are common shingles nearly
+throughout; among them rounds go on with further centres, each round three times as many as all
+before, until every bucket has one component left or all its members have been centres: no link
+inside a bucket is lost. Left out are pairs of one component, pairs already looked at, and pairs
+whose bounds rule a link out: a shingle that no other candidate has is in no intersection, so the
+smaller number of shared shingles bounds it, and without a rare one the smaller number of common
+ones. That spares edits of a text that are all unlike each other from being compared pair by pair.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ from shelfwatch.llm.components import components
 SEED = 42
 ROWS, BANDS = 6, 42
 BINS = ROWS * BANDS
+#: a shingle that more nodes have is common; pairs are not looked up by it
+RARE = 50
 
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
@@ -125,6 +132,74 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(f"100L * _same >= {percent}L * (n_a + n_b - _same)").select("a", "b")
 
 
+def _stars(live: DataFrame, first: int, last: int, percent: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of every bucket's centres number ``first`` to ``last`` with members of other roots.
+
+    ``live`` has (key, id, root, n, most, _meets); the smaller ``most`` bounds the intersection.
+    """
+    by = Window.partitionBy("key").orderBy(F.desc("_meets"), "id")
+    places = live.withColumn("_place", F.row_number().over(by)).where(f"_place <= {last} and _place >= {first}")
+    centres = places.select(F.col("key").alias("key_c"), F.col("id").alias("c"), F.col("n").alias("n_c"), F.col("most").alias("most_c"), F.col("root").alias("root_c"))
+    most = "least(most, most_c, n, n_c)"
+    stars = live.join(centres, F.expr(f"key = key_c and root <> root_c and 100L * {most} >= {percent}L * (n + n_c - {most})"))
+    return stars.select(
+        F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"),
+        F.expr("if(id < c, n, n_c)").alias("n_a"), F.expr("if(id < c, n_c, n)").alias("n_b"),
+    ).distinct()
+
+
+def _rare(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, root, n, common, held, rare) of the nodes in ``live``, ``rare`` having (at, s) of their rare shingles.
+
+    A shingle is rare if two to ``RARE`` of the nodes have it, and common if more have it. ``rare``
+    lists those that nodes of two roots have, ``held`` counts them.
+    """
+    nodes = live.select("id", "root", "n").distinct()
+    spread = nodes.join(sets, "id").select("id", "root", F.explode("set").alias("s"))
+    seen = spread.groupBy("s").agg(F.count(F.lit(1)).alias("at"), F.min("id").alias("id"), F.expr("min(root) <> max(root)").alias("across"))
+    own = seen.where("at = 1").groupBy("id").agg(F.count(F.lit(1)).alias("_own"))
+    few = spread.drop("root").join(seen.where(f"at > 1 and at <= {RARE}").drop("id"), "s")
+    few = few.groupBy("id").agg(F.count(F.lit(1)).alias("_few"), F.expr("array_sort(collect_list(struct(at, s)) filter (where across))").alias("rare"))
+    known = nodes.join(own, "id", "left").join(few, "id", "left")
+    return known.select(
+        "id", "root", "n", F.expr("n - coalesce(_own, 0) - coalesce(_few, 0)").alias("common"),
+        F.expr("coalesce(size(rare), 0)").cast("long").alias("held"), "rare",
+    )
+
+
+def _sharing(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of nodes (see ``_rare``) of two roots that share a rare shingle and may be linked.
+
+    A link takes ``percent`` percent of a node's shingles, so all that are not common have to be
+    rare ones. Sorted by their number of nodes, two nodes that share so many share one that is not
+    among the last of either: only the first ones are looked up.
+    """
+    least = f"greatest(1L, ({percent}L * n + 99) div 100 - common)"
+    able = nodes.where(f"held >= {least}").withColumn("_most", F.expr("common + held"))
+    first = able.select("id", "root", "n", "_most", F.explode(F.expr(f"slice(rare, 1, int(held - {least} + 1))")).alias("r"))
+    first = materialise(first.select("id", "root", "n", "_most", F.col("r.s").alias("s")))
+    left, right = (first.select("s", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "root", "n", "_most")]) for x in ("a", "b"))
+    most = "least(_most_a, _most_b, n_a, n_b)"
+    both = left.join(right, "s").where(f"id_a < id_b and root_a <> root_b and 100L * {most} >= {percent}L * (n_a + n_b - {most})")
+    return both.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "n_a", "n_b").distinct()
+
+
+def _merged(roots: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``roots`` (id, root) after the links among ``pairs``."""
+    found = _linked(pairs, sets, percent)
+    ends = [roots.select(F.col("id").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
+    moved = components(found.join(ends[0], "a").join(ends[1], "b").select("root_a", "root_b"), "root_a", "root_b")
+    moved = moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    return materialise(roots.join(moved, "root", "left").select("id", F.coalesce("_to", "root").alias("root")))
+
+
+def _open(live: DataFrame, roots: DataFrame, used: int) -> DataFrame:
+    """The rows of ``live``, with their roots of now, in buckets of two roots and more than ``used`` members."""
+    now = live.drop("root").join(roots, "id")
+    open_ = now.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count(F.lit(1)).alias("_size"))
+    return materialise(now.join(open_.where(f"_low <> _high and _size > {used}").select("key"), "key"))
+
+
 def links_by_stars(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(id, root) of every node that may have a link: components over the links within buckets.
 
@@ -134,32 +209,28 @@ def links_by_stars(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     members = materialise(members.join(able.select("id"), "id"))
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("_size"))
     meets = members.join(sizes, "key").groupBy("id").agg(F.sum(F.col("_size") - 1).alias("_meets"))
-    meets = materialise(meets.join(able, "id").withColumn("root", F.col("id")))
+    meets = materialise(meets.join(able, "id").select("id", "n", F.col("shared").alias("most"), "_meets", F.col("id").alias("root")))
     roots = meets.select("id", "root")
     live = materialise(members.join(meets, "id"))
-    used, more, seen = 0, 1, None
-    by = Window.partitionBy("key").orderBy(F.desc("_meets"), "id")
+    seen = materialise(_stars(live, 1, 1, percent))
+    roots = _merged(roots, seen, sets, percent)
+    live = _open(live, roots, 1)
+    if live.isEmpty():
+        return roots
+    known = materialise(_rare(live, sets))
+    pairs = materialise(_sharing(known, percent).join(seen, ["a", "b"], "left_anti"))
+    roots = _merged(roots, pairs, sets, percent)
+    seen = seen.union(pairs)
+    # what is left shares no rare shingle, so its intersection is among the common ones
+    common = known.where(f"100L * common >= {percent}L * n").select("id", F.col("common").alias("most"))
+    live = _open(live.drop("most").join(common, "id"), roots, 0)
+    used, more = 0, 1
     while not live.isEmpty():
-        places = live.withColumn("_place", F.row_number().over(by)).where(f"_place <= {used + more} and _place > {used}")
-        centres = places.select(F.col("key").alias("key_c"), F.col("id").alias("c"), F.col("n").alias("n_c"), F.col("shared").alias("s_c"), F.col("root").alias("root_c"))
-        most = "least(shared, s_c, n, n_c)"  # of the intersection
-        stars = live.join(centres, F.expr(f"key = key_c and root <> root_c and 100L * {most} >= {percent}L * (n + n_c - {most})"))
-        pairs = stars.select(
-            F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"),
-            F.expr("if(id < c, n, n_c)").alias("n_a"), F.expr("if(id < c, n_c, n)").alias("n_b"),
-        ).distinct()
-        pairs = materialise(pairs.join(seen, ["a", "b"], "left_anti") if seen is not None else pairs)
-        seen = pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b"))
-        found = _linked(pairs, sets, percent)
-        ends = [roots.select(F.col("id").alias(x), F.col("root").alias(f"root_{x}")) for x in ("a", "b")]
-        moved = components(found.join(ends[0], "a").join(ends[1], "b").select("root_a", "root_b"), "root_a", "root_b")
-        moved = moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))
-        roots = materialise(roots.join(moved, "root", "left").select("id", F.coalesce("_to", "root").alias("root")))
+        pairs = materialise(_stars(live, used + 1, used + more, percent).join(seen, ["a", "b"], "left_anti"))
+        seen = seen.union(pairs)
+        roots = _merged(roots, pairs, sets, percent)
         used, more = used + more, 3 * (used + more)
-        now = live.drop("root").join(roots, "id")
-        open_ = now.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count(F.lit(1)).alias("_size"))
-        open_ = open_.where(f"_low <> _high and _size > {used}").select("key")
-        live = materialise(now.join(open_, "key"))
+        live = _open(live, roots, used)
     return roots
 
 

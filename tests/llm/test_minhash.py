@@ -123,3 +123,25 @@ def test_bands_meet(size):
         more = rng.integers(0, 1 << 63, int(size * 15 / 85), dtype=np.uint64)
         a, b = np.sort(shared), np.sort(np.concatenate([shared, more]))
         assert (M.bands_of(M.bins_of(a, orders), mixers) == M.bands_of(M.bins_of(b, orders), mixers)).any()
+
+
+def test_members_unlike_each_other_are_not_compared(spark, monkeypatch):
+    """Edits whose new shingles few others have: a pair is confirmed if it shares such shingles, or enough without them."""
+    rng = random.Random(11)
+    base, swaps = prose(60, 150).split(), ["kan", "lo", "mur"]
+    texts = [" ".join(base)]
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(150), 2 + i % 5):
+            words[at] = rng.choice(swaps)
+        texts.append(" ".join(words))
+    looked, linked = [], M._linked
+
+    def counted(pairs, *rest):
+        looked.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(M, "_linked", counted)
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    assert placed(documents(spark, rows)) == brute(rows)
+    assert sum(looked) < 20 * len(rows)
