@@ -247,6 +247,15 @@ def _map(values: dict[str, str]) -> str:
     return "map(" + ", ".join(f"{quote(k)}, {quote(v)}" for k, v in values.items()) + ")"
 
 
+def _page_partitions(spark: SparkSession) -> int:
+    """Partitions of pages: some for every core.
+
+    Adaptive execution merges those it may merge by their bytes, but reading a page costs far more
+    than its bytes say: a few tasks would read all cards while other cores wait.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def captures(spark: SparkSession, sf: str) -> DataFrame:
     """Bodies of the listing view; some pages are unreadable and some items lack their id."""
     entry, item = item_text()
@@ -254,6 +263,7 @@ def captures(spark: SparkSession, sf: str) -> DataFrame:
         listing(spark, sf)
         .withColumn("_entry", entry)
         .select("shop", "page", "seq", "date", item.alias("item"))
+        .repartition(_page_partitions(spark), "shop", "page")
         .groupBy("shop", "page")
         .agg(F.array_sort(F.collect_list(F.struct("seq", "item"))).alias("items"), F.min("date").alias("captured_at"))
     )

@@ -75,19 +75,15 @@ def attribute_pattern(name: str) -> str:
     return rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
-def _written(tag: Column, name: str) -> Column:
-    found = attribute_pattern(name)
-    return F.concat(*[F.regexp_extract(tag, found, g) for g in (1, 2, 3)])
-
-
 def raw_attribute(tag: Column, name: str) -> Column:
     """Value of the first attribute of that name as it is written; null if there is none."""
-    return F.when(tag.rlike(attribute_pattern(name)), _written(tag, name))
+    found = F.get(F.regexp_extract_all(tag, F.lit(attribute_pattern(name)), F.lit(0)), F.lit(0))  # the only search
+    return F.regexp_replace(found, r"""^[^=]+=\s*["']?|["']\z""", "")
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Decoded value of the first attribute of that name in a tag or fragment; null if there is none."""
-    return F.when(tag.rlike(attribute_pattern(name)), unescape(_written(tag, name)))
+    return unescape(raw_attribute(tag, name))
 
 
 def has_class(token: str) -> str:

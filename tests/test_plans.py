@@ -95,3 +95,33 @@ def test_fields_of_a_card_are_searched_once(spark, tmp_path):
     for spec in pages.CARDS.values():
         assert text.count(spec.card) == 1 and text.count(spec.price) == 1 and text.count(spec.name) == 1
     assert [(r.id, r.price, r.URL) for r in good.collect()] == [("1", 4.0, "https://www.marksandspencer.com//p/1")]
+
+
+def test_an_attribute_is_searched_once(spark, tmp_path):
+    from shelfwatch.sources import pages
+
+    tags = ["<a href=\"x'y\">", "<a HREF = 'p?a=\"1\"'>", "<a href=p=1&amp;q>", "<a href=\"\">", "<a b>", None, "<a b='1' href=\n'\"z'>"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(tags)], "i int, tag string").write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    got = read.select("i", pages.raw_attribute(read.tag, "href").alias("v"), pages.attribute(read.tag, "href").alias("d"))
+    rows = sorted(got.collect())
+    assert [r.v for r in rows] == ["x'y", 'p?a="1"', "p=1&amp;q", "", None, None, '"z']
+    assert [r.d for r in rows] == ["x'y", 'p?a="1"', "p=1&q", "", None, None, '"z']
+    raw = read.select(pages.raw_attribute(read.tag, "href").alias("v"))._jdf.queryExecution().executedPlan().toString()
+    assert raw.count(pages.attribute_pattern("href")) == 1
+
+
+def test_pages_are_read_by_all_cores(spark, tmp_path):
+    from shelfwatch.checks.views import captures
+
+    part = "id AS p_partkey, 'b' AS p_brand, 'n' AS p_name, 't' AS p_type"
+    spark.range(50).selectExpr(*part.split(", ")).write.parquet(str(tmp_path / "part.parquet"))
+    event = "id AS event_id, timestamp'2024-01-01' AS ts, id % 50 AS user_id, 'view' AS event_type, 1.0D AS value"
+    spark.range(2000).selectExpr(*event.split(", ")).write.parquet(str(tmp_path / "events.parquet"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for wanted, made in (("7", 7), ("1000", 4 * spark.sparkContext.defaultParallelism)):
+            spark.conf.set("spark.sql.shuffle.partitions", wanted)
+            assert captures(spark, str(tmp_path)).rdd.getNumPartitions() == made
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
